@@ -58,6 +58,19 @@ def read_month(spark: SparkSession, table: str, base: str, run_month: str,
     return with_row_id(df) if row_id else df
 
 
+def read_months(spark: SparkSession, table: str, base: str, run_months: list[str],
+                row_id: bool = True) -> DataFrame:
+    """Several ``year=/month=`` partitions in one pruned scan."""
+    schema = raw_schema(table).add("year", T.IntegerType()).add("month", T.IntegerType())
+    cond = None
+    for ym in run_months:
+        y, m = (int(x) for x in ym.split("-"))
+        c = (F.col("year") == y) & (F.col("month") == m)
+        cond = c if cond is None else cond | c
+    df = _csv(spark, schema).option("basePath", base).csv(base).where(cond)
+    return with_row_id(df) if row_id else df
+
+
 def file_path_col() -> Column:
     return F.col("_metadata.file_path")
 
