@@ -263,3 +263,16 @@ def next_month_job(spark: SparkSession, lake: Lake, start: str = "2011-05",
     if r["status"] == "NO_ACTION":
         out["reason"] = f"candidate {r['candidate']} > END_MONTH {end}"
     return out
+
+
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """The three BI views as temporary views over the warehouse tables."""
+    from tallyhouse.operators import views as V
+    fact = spark.read.parquet(lake.warehouse("fact_sales"))
+    d = {n: spark.read.parquet(lake.warehouse(n))
+         for n in ("dim_customer", "dim_employee", "dim_store", "dim_product")}
+    V.v_sales(fact, d["dim_customer"], d["dim_employee"], d["dim_store"],
+              d["dim_product"]).createOrReplaceTempView("v_sales")
+    V.v_dim_store(d["dim_store"]).createOrReplaceTempView("v_dim_store")
+    V.v_calendar_month_loaded(fact).createOrReplaceTempView("v_calendar_month_loaded")
+    return ["v_sales", "v_dim_store", "v_calendar_month_loaded"]

@@ -30,12 +30,16 @@ def _csv(spark: SparkSession, schema: T.StructType, sep: str = ","):
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
 
 
-def read_bronze(spark: SparkSession, table: str, path: str, row_id: bool = True) -> DataFrame:
+def read_bronze(spark: SparkSession, table: str, path: str, row_id: bool = True,
+                multiline: bool = False) -> DataFrame:
     """All-STRING CSV scan of one raw table (header line skipped).
 
+    Records are lines, as in the reference's CSV table definition (no line
+    breaks inside quoted fields), which keeps large files splittable;
+    ``multiline=True`` reads quoted line breaks at one task per file.
     ``row_id`` attaches ``_rid`` right on the scan (see dq.with_row_id).
     """
-    df = _csv(spark, raw_schema(table)).csv(path)
+    df = _csv(spark, raw_schema(table)).option("multiLine", multiline).csv(path)
     return with_row_id(df) if row_id else df
 
 
