@@ -33,10 +33,19 @@ _EPOCH = "1970-01-01"
 def with_row_id(df: DataFrame, name: str = RID) -> DataFrame:
     """Attach a row id.  Call directly on a file scan (before any shuffle): scan
     partitions are fixed by the file listing, so a retried task regenerates the
-    same ids."""
+    same ids.  (For parquet scans prefer ``file_row_id``: it is deterministic,
+    so Spark can reuse the scan's exchanges across plan branches.)"""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def file_row_id() -> Column:
+    """Deterministic row id of a parquet scan: (hash of the file path, row
+    index in the file).  Exact within a file; files are told apart by a
+    64-bit path hash."""
+    return F.struct(F.xxhash64(F.col("_metadata.file_path")).alias("f"),
+                    F.col("_metadata.row_index").alias("r"))
+
+
 def _descending_key(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     col = F.col(c)
@@ -66,7 +75,9 @@ def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
     winners = (df.groupBy(*[F.col(k) for k in keys])
                .agg(F.min_by(F.col(rid), ordering_key(df, order, rid)).alias("_win"))
                .select(F.col("_win").alias(rid), F.lit(True).alias(flag)))
-    return (df.join(winners, on=rid, how="left")
+    # the winners side is two narrow columns (id, flag): hash it per partition
+    # instead of sorting both sides on the unique id
+    return (df.join(winners.hint("shuffle_hash"), on=rid, how="left")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
@@ -75,7 +86,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
     """Rows with row number 1 only (a semi join against the winners)."""
     winners = (df.groupBy(*[F.col(k) for k in keys])
                .agg(F.min_by(F.col(rid), ordering_key(df, order, rid)).alias(rid)))
-    return df.join(winners.select(rid), on=rid, how="left_semi")
+    return df.join(winners.select(rid).hint("shuffle_hash"), on=rid, how="left_semi")
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -149,10 +150,12 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, run_month: str, refresh_di
     X.check_run_month(run_month)
     y, m = (int(v) for v in run_month.split("-"))
     out = {}
-    orders = B.read_month(spark, "orders", lake.bronze_orders, run_month)
+    # the month's rows feed the dedup aggregate and the routed output: read once
+    orders = B.read_month(spark, "orders", lake.bronze_orders, run_month).persist(StorageLevel.MEMORY_AND_DISK)
     routed = C.clean_orders(orders, null_policy)
     out["orders"] = K.write_routed(routed, lake.silver_orders, lake.invalid("orders"),
                                    ["year", "month"], {"year": F.lit(y), "month": F.lit(m)})
+    orders.unpersist()
     if refresh_dims:
         snap = {"run_month": F.lit(run_month)}
         for entity, (table, cleaner) in DIM_ENTITIES.items():
