@@ -275,3 +275,13 @@ def safe_ratio(num, den) -> Column:
 def decode_key(c) -> Column:
     """Percent-decode an object key ('+' -> space); malformed escapes -> NULL."""
     return F.try_url_decode(_c(c))
+
+
+# F25 -------------------------------------------------------------------------
+def now_utc() -> Column:
+    """Current timestamp (session time zone UTC by default in this package)."""
+    return F.current_timestamp()
+
+
+def epoch_seconds() -> Column:
+    return F.unix_timestamp()

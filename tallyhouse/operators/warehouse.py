@@ -148,3 +148,28 @@ def silver_dim_product(raw_products: DataFrame, raw_subcategories: DataFrame,
             .select(F.col("ProductID").alias("ProductKey"), "ProductNumber", "ProductName",
                     "ModelName", F.col("MakeFlag").cast("int").alias("MakeFlag"), "StandardCost",
                     "ListPrice", "SubCategoryID", "SubCategoryName", "CategoryID", "CategoryName"))
+
+
+# ------------------------------------------------------- warehouse schemas
+WAREHOUSE_SCHEMAS = {
+    "fact_sales": ("SalesOrderKey int, SalesOrderDetailKey int, OrderDate date, DueDate date, "
+                   "ShipDate date, EmployeeKey int, CustomerKey int, ProductKey int, StoreKey int, "
+                   "OrderQty int, UnitPrice double, UnitPriceDiscount double, SubTotal double, "
+                   "TaxAmt double, Freight double, TotalDue double, LineTotal double, RunMonth string"),
+    "dim_customer": "CustomerKey int, FirstName string, LastName string, FullName string",
+    "dim_employee": ("EmployeeKey int, ManagerID int, FirstName string, LastName string, "
+                     "FullName string, JobTitle string, OrganizationLevel int, MaritalStatus string, "
+                     "Gender string, Territory string, Country string, GroupCol string"),
+    "dim_store": "StoreKey int, StoreName string, EmployeeID int, Budget double",
+    "dim_product": ("ProductKey int, ProductNumber string, ProductName string, ModelName string, "
+                    "MakeFlag int, StandardCost double, ListPrice double, SubCategoryID int, "
+                    "SubCategoryName string, CategoryID int, CategoryName string"),
+}
+
+
+def read_warehouse(spark, path: str, table: str) -> DataFrame:
+    """Parquet scan of a warehouse table with its declared schema (no
+    inference; a silver-built store Budget stored as DECIMAL is read as DOUBLE)."""
+    df = spark.read.parquet(path)
+    want = [f.split() for f in WAREHOUSE_SCHEMAS[table].split(", ")]
+    return df.select(*[F.col(n).cast(t).alias(n) for n, t in want])

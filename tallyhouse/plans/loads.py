@@ -93,3 +93,15 @@ def landing_keys(orders: DataFrame, bucket: str) -> DataFrame:
            .otherwise(std))
     b = F.when(k == 0, F.lit("other-bucket")).otherwise(F.lit(bucket))
     return orders.select(b.alias("bucket"), key.alias("key"))
+
+
+def scalar_int(df: DataFrame, default: int = 0) -> int:
+    """A5: the first cell of a one-value query as int; ``default`` when there is
+    no row, the value is NULL or it does not parse."""
+    row = df.limit(1).collect()
+    if not row or row[0][0] is None:
+        return default
+    try:
+        return int(float(row[0][0]))
+    except (TypeError, ValueError):
+        return default

@@ -98,3 +98,24 @@ def fk_orphan_report(spark: SparkSession, sf: str, rules=DEFAULT_RULES) -> DataF
                 F.lit(t).alias("table"), F.lit(fk).alias("fk"), F.lit(parent).alias("parent"),
                 "n_checked", "n_orphans"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def manifest_checks(table: str, rules=DEFAULT_RULES) -> list:
+    """The manifest's rules of ``table`` as routing checks (REASON
+    'RULE_<kind>_<column>'); PK uniqueness is the keep-first flag of dq."""
+    from tallyhouse.operators.dq import FIRST, Check
+    for t, pk, _fk, dq_rules in rules:
+        if t == table:
+            checks = [Check(r.replace(":", "_"), compile_rule(r),
+                            "RULE_" + r.replace(":", "_").upper()) for r in dq_rules]
+            return checks + [Check("pk_unique", F.col(FIRST), "DUPLICATE_PK")]
+    raise KeyError(table)
+
+
+def route_by_manifest(df: DataFrame, table: str, order: list[tuple[str, str]], rules=DEFAULT_RULES):
+    """Route a typed table (with ``_rid``) by its manifest rules alone."""
+    from tallyhouse.operators.dq import mark_first, route
+    pk = next(p for t, p, _f, _r in rules if t == table)
+    flagged = mark_first(df, pk, order)
+    cols = [c for c in df.columns if c != "_rid"]
+    return route(flagged, manifest_checks(table, rules), cols, cols)

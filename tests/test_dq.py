@@ -134,3 +134,14 @@ def test_no_python_udf_in_plans(spark, key):
     plan = all_queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
         assert marker not in plan
+
+
+def test_route_by_manifest_rules(spark):
+    from conftest import SF_SMALL
+    from tallyhouse.plans.rules import route_by_manifest, typed_table
+    t = typed_table(spark, SF_SMALL, "orders").withColumn(dq.RID, F.monotonically_increasing_id())
+    r = route_by_manifest(t, "orders", [("OrderDate", "asc")])
+    reasons = {x["REASON"] for x in r.invalid().select("REASON").distinct().collect()}
+    assert reasons <= {"RULE_NOT_NULL_SALESORDERID", "RULE_VALID_DATE_ORDERDATE", "DUPLICATE_PK"}
+    a = r.audit("orders").first()
+    assert a["rows_gap"] == 0 and a["rows_in"] == a["rows_valid"] + a["rows_invalid"]

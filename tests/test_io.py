@@ -160,3 +160,21 @@ def test_jdbc_store_query(spark):
     par = E.read_jdbc_query(spark, url, properties=props, partition_column="StoreID", lower=1,
                             upper=3, num_partitions=2)
     assert par.rdd.getNumPartitions() == 2 and par.count() == 2
+
+
+def test_read_warehouse_schema(spark, scratch):
+    from tallyhouse.operators.warehouse import read_warehouse
+    p = os.path.join(scratch, "dim_store")
+    from decimal import Decimal
+    spark.createDataFrame([(1, "A", 2, Decimal("10.00"))], "StoreKey int, StoreName string, EmployeeID int, "
+                          "Budget decimal(18,2)").write.parquet(p)
+    df = read_warehouse(spark, p, "dim_store")
+    assert df.schema.simpleString() == "struct<StoreKey:int,StoreName:string,EmployeeID:int,Budget:double>"
+
+
+def test_scalar_int_default(spark):
+    from tallyhouse.plans.loads import scalar_int
+    assert scalar_int(spark.range(0).select("id")) == 0
+    assert scalar_int(spark.sql("select cast(null as int)"), 5) == 5
+    assert scalar_int(spark.sql("select 'x'"), 7) == 7
+    assert scalar_int(spark.sql("select '42.0'")) == 42
