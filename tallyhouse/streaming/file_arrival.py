@@ -32,10 +32,15 @@ from tallyhouse.sources.bronze import raw_schema
 
 
 def _loaded_months(spark: SparkSession, fact_path: str) -> DataFrame:
+    """RunMonth partitions present in the fact table, from the file listing
+    (one row per file, file contents are not read)."""
     try:
-        return spark.read.parquet(fact_path).select("RunMonth").distinct()
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .option("pathGlobFilter", "*.parquet").load(fact_path).select("path"))
     except AnalysisException:  # no fact table yet
         return spark.createDataFrame([], "RunMonth string")
+    m = F.regexp_extract("path", r"/RunMonth=([^/]+)/", 1)
+    return files.select(F.url_decode(m).alias("RunMonth")).where(F.col("RunMonth") != "").distinct()
 
 
 def load_batch(batch: DataFrame, epoch_id: int, fact_path: str, status_path: str) -> None:
@@ -76,11 +81,16 @@ def _load(spark: SparkSession, batch: DataFrame, epoch_id: int, fact_path: str,
 
 
 def start_fact_stream(spark: SparkSession, landing_dir: str, fact_path: str, status_path: str,
-                      checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                      checkpoint: str, available_now: bool = True,
+                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the file-arrival load; ``available_now`` processes what is there
-    and stops (a scheduled run), else it keeps watching the folder."""
-    src = (spark.readStream.schema(raw_schema("orders")).option("header", True)
-           .option("escape", '"').option("pathGlobFilter", "*.csv").csv(landing_dir)
+    and stops (a scheduled run), else it keeps watching the folder.  A large
+    backlog is split into micro-batches of ``max_files_per_trigger`` files."""
+    r = (spark.readStream.schema(raw_schema("orders")).option("header", True)
+         .option("escape", '"').option("pathGlobFilter", "*.csv"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = (r.csv(landing_dir)
            .select("*", F.col("_metadata.file_path").alias("file_path")))
     w = (src.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda b, e: load_batch(b, e, fact_path, status_path)))

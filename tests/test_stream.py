@@ -8,8 +8,8 @@ from lakefix import month_rows, write_month_file
 from tallyhouse.streaming.file_arrival import start_fact_stream
 
 
-def _run(spark, landing, fact, status, ckpt):
-    q = start_fact_stream(spark, landing, fact, status, ckpt)
+def _run(spark, landing, fact, status, ckpt, per_trigger=None):
+    q = start_fact_stream(spark, landing, fact, status, ckpt, max_files_per_trigger=per_trigger)
     q.awaitTermination(300)
     assert q.exception() is None
 
@@ -39,7 +39,7 @@ def test_stream_loads_each_file_once(spark, scratch):
     m5 = month_rows(spark, "1995-05")
     write_month_file(os.path.join(landing, "orders_1995-05.csv"), m5)
     write_month_file(os.path.join(landing, "y_orders_1995-03.csv"), m3[:3])
-    _run(spark, landing, fact, status, ckpt)
+    _run(spark, landing, fact, status, ckpt, per_trigger=1)      # one file per micro-batch
     counts = {r["RunMonth"]: r["n"] for r in spark.read.parquet(fact).groupBy("RunMonth")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {"1995-03": len(m3), "1995-04": len(m4), "1995-05": len(m5)}
