@@ -81,22 +81,35 @@ def parent_of(fk: str, rules=DEFAULT_RULES) -> str | None:
     return None
 
 
+def fk_orphan_counts(child: DataFrame, table: str, parents: dict[str, tuple[str, DataFrame]]) -> DataFrame:
+    """J6 for all foreign keys of one child table in one pass over the child:
+    each parent's distinct keys are left-joined as a found-marker, then one
+    aggregate counts checked (non-NULL) and orphaned rows per key."""
+    j = child
+    for i, (fk, (_parent, pdf)) in enumerate(parents.items()):
+        keys = pdf.where(F.col(fk).isNotNull()).select(F.col(fk).alias(f"_k{i}")).distinct()
+        j = j.join(keys.withColumn(f"_found{i}", F.lit(True)), F.col(fk) == F.col(f"_k{i}"), "left")
+    aggs = []
+    for i, fk in enumerate(parents):
+        aggs += [F.count(F.when(F.col(fk).isNotNull(), 1)).alias(f"c{i}"),
+                 F.count(F.when(F.col(fk).isNotNull() & F.col(f"_found{i}").isNull(), 1)).alias(f"o{i}")]
+    wide = j.agg(*aggs)
+    items = [F.struct(F.lit(fk).alias("fk"), F.lit(parent).alias("parent"),
+                      F.col(f"c{i}").alias("n_checked"), F.col(f"o{i}").alias("n_orphans"))
+             for i, (fk, (parent, _)) in enumerate(parents.items())]
+    return wide.select(F.explode(F.array(*items)).alias("x")).select(
+        F.lit(table).alias("table"), "x.fk", "x.parent", "x.n_checked", "x.n_orphans")
+
+
 def fk_orphan_report(spark: SparkSession, sf: str, rules=DEFAULT_RULES) -> DataFrame:
     """table, fk, parent, n_checked (non-NULL fk rows), n_orphans."""
     parts = []
     for t, _pk, fks, _r in rules:
-        for fk in fks:
-            parent = parent_of(fk, rules)
-            if parent is None or parent == t:
-                continue
-            child = typed_table(spark, sf, t)
-            par = typed_table(spark, sf, parent)
-            orphans = dq.fk_orphans(child, fk, par, fk)
-            checked = child.where(F.col(fk).isNotNull()).agg(F.count(F.lit(1)).alias("n_checked"))
-            n_orph = orphans.agg(F.count(F.lit(1)).alias("n_orphans"))
-            parts.append(checked.withColumn("n_orphans", n_orph.scalar()).select(
-                F.lit(t).alias("table"), F.lit(fk).alias("fk"), F.lit(parent).alias("parent"),
-                "n_checked", "n_orphans"))
+        parents = {fk: (parent_of(fk, rules), None) for fk in fks}
+        parents = {fk: (p, typed_table(spark, sf, p)) for fk, (p, _) in parents.items()
+                   if p is not None and p != t}
+        if parents:
+            parts.append(fk_orphan_counts(typed_table(spark, sf, t), t, parents))
     return reduce(DataFrame.unionByName, parts)
 
 
