@@ -79,18 +79,10 @@ def strict_int(c) -> Column:
 
 
 # F3 date parse ---------------------------------------------------------------
-def _ymd(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")).try_cast("date")
-
-
 def parse_mdy(c) -> Column:
     """TRY(date_parse(x, '%m/%d/%Y')) as DATE: 1-2 digit month/day, 4-digit year."""
     c = _c(c)
-    return F.when(
-        c.rlike(MDY_TEXT),
-        _ymd(F.regexp_extract(c, MDY_TEXT, 3), F.regexp_extract(c, MDY_TEXT, 1),
-             F.regexp_extract(c, MDY_TEXT, 2)),
-    )
+    return F.when(c.rlike(MDY_TEXT), F.regexp_replace(c, MDY_TEXT, "$3-$1-$2").try_cast("date"))
 
 
 def parse_mdy_ts(c) -> Column:
