@@ -279,3 +279,53 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     V.v_dim_store(d["dim_store"]).createOrReplaceTempView("v_dim_store")
     V.v_calendar_month_loaded(fact).createOrReplaceTempView("v_calendar_month_loaded")
     return ["v_sales", "v_dim_store", "v_calendar_month_loaded"]
+
+
+# Manifest table name -> bronze table of this package.
+MANIFEST_TABLES = {"customers": "customers", "employee": "employees", "orders": "orders",
+                   "productCategories": "product_categories", "products": "products",
+                   "productSubcategories": "product_subcategories", "stores": "stores",
+                   "storesBudget": "stores_budget"}
+
+
+def ingest_from_manifest(spark: SparkSession, manifest_path: str, lake: Lake, run_months: list[str],
+                         refresh_dims: bool = False, allow_overwrite: bool = False) -> dict:
+    """The ingest handler: manifest -> dimension snapshots (once, optional) ->
+    orders months.  Each failing step writes an error record (K9) with its
+    code and re-raises.  ``url_or_query`` of a CSV source is a Spark-readable path."""
+    from tallyhouse.sources import manifest as MF
+    run_id = _run_id("csv", run_months)
+
+    def fail(table: str, code: str, e: Exception):
+        K.log_error(spark, lake.errors, run_id, "github", table, "ingest", code, str(e)[:1000])
+
+    try:
+        sources, _defaults = MF.load_manifest(spark, manifest_path)
+        csv_sources = MF.select_sources(sources, type_="csv_github")
+        srcs = [r.asDict() for r in csv_sources.collect()]      # a handful of manifest entries
+    except Exception as e:
+        fail("_manifest", "LOAD_MANIFEST", e)
+        raise
+    out = {"run_id": run_id, "dims": [], "orders": []}
+    if refresh_dims:
+        try:
+            for s in srcs:
+                if s["table"] != "orders":
+                    out["dims"].append(ingest_dim_snapshot(spark, MANIFEST_TABLES[s["table"]], s["url_or_query"],
+                                                           lake, run_months[0], allow_overwrite))
+        except Exception as e:
+            fail("_dims", "DIMS_SNAPSHOT", e)
+            raise
+    orders = next((s for s in srcs if s["table"] == "orders"), None)
+    if orders is None:
+        e = RuntimeError("no 'orders' source in the manifest")
+        fail("orders", "ORDERS_SRC_NOT_FOUND", e)
+        raise e
+    try:
+        out["orders"] = ingest_orders(spark, orders["url_or_query"], lake, run_months,
+                                      orders.get("date_field") or "OrderDate", orders.get("date_format"),
+                                      allow_overwrite)
+    except Exception as e:
+        fail("orders", "ORDERS_MONTH_INGEST", e)
+        raise
+    return out

@@ -88,3 +88,34 @@ def test_next_month(spark, lake_env):
     assert r["status"] == "NO_ACTION" and r["candidate"] == "1995-05"
     empty = J.Lake(lake.root + "_none")
     assert J.next_month_job(spark, empty, "2011-05", "2014-05")["candidate"] == "2011-05"
+
+
+def test_ingest_from_manifest_and_errors(spark, tmp_path):
+    import json
+    base = str(tmp_path)
+    src = write_sources(spark, base)
+    lake = J.Lake(os.path.join(base, "lake"))
+    doc = {"run_defaults": {"allow_overwrite": False},
+           "sources": [{"source_name": "orders", "type": "csv_github", "table": "orders",
+                        "url_or_query": src["orders"], "date_field": "OrderDate",
+                        "date_format": "MM-dd-yyyy", "pk": [], "fk": [], "dq_rules": []},
+                       {"source_name": "customers", "type": "csv_github", "table": "customers",
+                        "url_or_query": src["customers"], "pk": [], "fk": [], "dq_rules": []},
+                       {"source_name": "stores", "type": "mysql", "table": "stores",
+                        "url_or_query": "SELECT 1", "pk": [], "fk": [], "dq_rules": []}]}
+    mpath = os.path.join(base, "sources.json")
+    with open(mpath, "w") as fh:
+        json.dump(doc, fh)
+    out = J.ingest_from_manifest(spark, mpath, lake, ["1995-03"], refresh_dims=True)
+    assert [d["table"] for d in out["dims"]] == ["customers"]
+    assert out["orders"][0]["status"] == "SUCCEEDED" and out["orders"][0]["rows"] > 0
+    # no orders source -> error record, then the error is raised
+    doc["sources"] = doc["sources"][1:]
+    with open(mpath, "w") as fh:
+        json.dump(doc, fh)
+    with pytest.raises(RuntimeError):
+        J.ingest_from_manifest(spark, mpath, lake, ["1995-04"])
+    with pytest.raises(Exception):
+        J.ingest_from_manifest(spark, os.path.join(base, "missing.json"), lake, ["1995-04"])
+    codes = sorted(r["error_code"] for r in spark.read.parquet(lake.errors).collect())
+    assert codes == ["LOAD_MANIFEST", "ORDERS_SRC_NOT_FOUND"]
