@@ -144,7 +144,8 @@ def stage_stores(raw_stores: DataFrame) -> DataFrame:
 
 def stage_budgets(raw_budgets: DataFrame) -> DataFrame:
     return raw_budgets.select(X.strict_int("StoreID").alias("StoreID"),
-                              X.safe_decimal("Budget", 18, 2).alias("BudgetRaw"))
+                              X.safe_decimal("Budget", 18, 2).alias("BudgetRaw"),
+                              F.col("Budget").alias("BudgetText"))
 
 
 def store_budget_join(raw_stores: DataFrame, raw_budgets: DataFrame) -> DataFrame:
@@ -161,6 +162,18 @@ def store_budget_join(raw_stores: DataFrame, raw_budgets: DataFrame) -> DataFram
     return j.withColumn("Budget", F.coalesce(F.col("BudgetRaw"), F.lit(0).cast("decimal(18,2)")))
 
 
+def budget_default_audit(joined: DataFrame) -> DataFrame:
+    """SURVEY 7.4 #14: stores whose budget text was present but unparsable (or
+    overflowing) and therefore became 0.00 silently, next to the missing ones."""
+    text = X.trim_ws("BudgetText")
+    return joined.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(F.col("BudgetText").isNull(), 1)).alias("no_budget_row"),
+        F.count(F.when(text.isNotNull() & (text != "") & F.col("BudgetRaw").isNull(), 1))
+        .alias("unparsable_to_zero"),
+        F.count(F.when(F.col("BudgetRaw") < 0, 1)).alias("negative"))
+
+
 def clean_stores(raw_stores: DataFrame, raw_budgets: DataFrame) -> Routed:
     j = store_budget_join(raw_stores, raw_budgets)
     checks = [

@@ -155,6 +155,13 @@ def split_audit(flagged: DataFrame, entity: str) -> DataFrame:
     ).select(F.lit(entity).alias("entity"), "*")
 
 
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once (SURVEY 7.4 #17: duplicate dimension keys
+    fan out star joins).  An aggregation, partial before the shuffle."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > 1))
+
+
 def reason_profile(invalid: DataFrame) -> DataFrame:
     """Quarantined rows per REASON."""
     return invalid.groupBy(REASON).agg(F.count(F.lit(1)).alias("n"))

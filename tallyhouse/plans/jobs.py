@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import exprs as X
 from tallyhouse.operators import clean as C
+from tallyhouse.operators import dq
 from tallyhouse.operators import warehouse as W
 from tallyhouse.plans import loads as L
 from tallyhouse.sinks import writers as K
@@ -176,8 +177,9 @@ def read_silver_dim(spark: SparkSession, lake: Lake, entity: str, run_month: str
 
 
 # ---------------------------------------------------------------- warehouse
-def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "silver") -> None:
-    """SCD1 dimension refresh (overwrite, the default) from silver or bronze."""
+def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "silver") -> dict:
+    """SCD1 dimension refresh (overwrite, the default) from silver or bronze.
+    Returns the number of duplicated keys per dimension."""
     if source == "silver":
         cu = read_silver_dim(spark, lake, "customer", run_month).withColumnRenamed("CustomerID", "CustomerKey")
         em = (read_silver_dim(spark, lake, "employee", run_month)
@@ -202,8 +204,14 @@ def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "s
                                    snap["product_categories"])
     else:
         raise ValueError("source must be 'silver' or 'bronze'")
+    keys = {"dim_customer": "CustomerKey", "dim_employee": "EmployeeKey", "dim_store": "StoreKey",
+            "dim_product": "ProductKey"}
+    dup = {}
     for name, df in (("dim_customer", cu), ("dim_employee", em), ("dim_store", st), ("dim_product", pr)):
         K.write_parquet(df, lake.warehouse(name), "overwrite")
+        # unique-key report on what was written: duplicates fan out v_sales lines
+        dup[name] = dq.duplicate_keys(spark.read.parquet(lake.warehouse(name)), [keys[name]]).count()
+    return dup
 
 
 def load_month(spark: SparkSession, lake: Lake, run_month: str | None = None, key: str | None = None,

@@ -145,3 +145,13 @@ def test_route_by_manifest_rules(spark):
     assert reasons <= {"RULE_NOT_NULL_SALESORDERID", "RULE_VALID_DATE_ORDERDATE", "DUPLICATE_PK"}
     a = r.audit("orders").first()
     assert a["rows_gap"] == 0 and a["rows_in"] == a["rows_valid"] + a["rows_invalid"]
+
+
+def test_budget_default_audit(spark):
+    from conftest import SF_MID
+    j = C.store_budget_join(FX.raw_stores(spark, SF_MID), FX.raw_budgets(spark, SF_MID))
+    a = C.budget_default_audit(j).first().asDict()
+    # 'n/a' budgets (s_suppkey % 17 == 0 that still have a budget row) become 0.00 silently
+    assert a["unparsable_to_zero"] == j.where("BudgetText = 'n/a'").count() > 0
+    assert a["no_budget_row"] == j.where("BudgetText IS NULL").count() > 0
+    assert a["rows"] == j.count()
