@@ -7,7 +7,8 @@ huge group of identical copies) would land on a single executor.  Instead:
 1. ``groupBy(key).agg(min_by(_rid, ordering))`` finds the winner of every key;
    partial (map-side) aggregation collapses a hot key before the shuffle.
 2. The winners' row ids are joined back on ``_rid`` alone; ``_rid`` is unique,
-   so that join hashes evenly whatever the key distribution.
+   so that join hashes evenly whatever the key distribution (AQE picks a hash
+   or sort-merge join from the measured partition sizes).
 
 The ordering is NULLS LAST in both directions (the reference engine's rule) and
 ends with ``_rid``, so ties between rows equal in every column are broken
@@ -75,9 +76,11 @@ def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
     winners = (df.groupBy(*[F.col(k) for k in keys])
                .agg(F.min_by(F.col(rid), ordering_key(df, order, rid)).alias("_win"))
                .select(F.col("_win").alias(rid), F.lit(True).alias(flag)))
-    # the winners side is two narrow columns (id, flag): hash it per partition
-    # instead of sorting both sides on the unique id
-    return (df.join(winners.hint("shuffle_hash"), on=rid, how="left")
+    # join on the unique id: even partitions whatever the key skew.  AQE turns
+    # it into a shuffled hash join when every build partition is measured under
+    # spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold, else it stays a
+    # (spillable) sort-merge join.
+    return (df.join(winners, on=rid, how="left")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
@@ -86,7 +89,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
     """Rows with row number 1 only (a semi join against the winners)."""
     winners = (df.groupBy(*[F.col(k) for k in keys])
                .agg(F.min_by(F.col(rid), ordering_key(df, order, rid)).alias(rid)))
-    return df.join(winners.select(rid).hint("shuffle_hash"), on=rid, how="left_semi")
+    return df.join(winners.select(rid), on=rid, how="left_semi")
 
 
 @dataclass(frozen=True)

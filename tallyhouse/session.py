@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": BROADCAST_LIMIT,
     "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_LIMIT,
+    # sort-merge -> shuffled hash join only when every build partition is
+    # measured under this size (hash maps do not spill)
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": BROADCAST_LIMIT,
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
