@@ -95,15 +95,18 @@ def rows_per_file(df: DataFrame) -> DataFrame:
     return df.groupBy(file_path_col().alias("file_path")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def land_csv(spark: SparkSession, src: str, dst: str, mode: str = "errorifexists") -> int:
-    """S3: take a whole delivered CSV (UTF-8, header kept, quoted fields may
-    span lines) and rewrite it to bronze with the same header and columns.
+def land_csv(spark: SparkSession, src: str, dst: str, mode: str = "errorifexists",
+             multiline: bool = True) -> int:
+    """S3: take a whole delivered CSV (UTF-8, bad bytes replaced, header kept)
+    and rewrite it to bronze with the same header and columns.  Quoted fields
+    may span lines (``multiline``, one task per file); pass ``False`` for large
+    line-record deliveries so they split.
 
     Returns the number of data rows written (counted while writing).
     """
     from pyspark.sql import Observation
 
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    df = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
           .option("encoding", "UTF-8").option("inferSchema", False).csv(src))
     obs = Observation("landed")
     (df.observe(obs, F.count(F.lit(1)).alias("n"))
