@@ -82,19 +82,34 @@ def overwrite_slice(df: DataFrame, path: str, partition_by: list[str]) -> None:
     write_parquet(df, path, "overwrite", partition_by)
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when a write job completed at ``path`` (its ``_SUCCESS`` marker)."""
+    try:
+        spark.read.format("binaryFile").load(path.rstrip("/") + "/_SUCCESS").select("path").limit(1).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def write_once(df: DataFrame, path: str, allow_overwrite: bool = False, fmt: str = "csv",
                **options) -> tuple[str, int]:
-    """K6: an existing target without ``allow_overwrite`` -> ('SKIPPED_EXISTS', 0);
-    otherwise write and return ('SUCCEEDED', rows written)."""
-    obs = Observation("write_once")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).options(**options)
+    """K6: a committed target without ``allow_overwrite`` -> ('SKIPPED_EXISTS', 0);
+    otherwise write and return ('SUCCEEDED', rows written).  A target left
+    without its commit marker by a failed job is rewritten, not skipped."""
+    def attempt(mode: str) -> int:
+        obs = Observation("write_once")
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).options(**options) \
+            .mode(mode).save(path)
+        return int(obs.get["n"])
+
     try:
-        w.mode("overwrite" if allow_overwrite else "errorifexists").save(path)
+        return "SUCCEEDED", attempt("overwrite" if allow_overwrite else "errorifexists")
     except AnalysisException as e:
-        if "PATH_ALREADY_EXISTS" in str(e) or "already exists" in str(e):
-            return "SKIPPED_EXISTS", 0
-        raise
-    return "SUCCEEDED", int(obs.get["n"])
+        if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+            raise
+    if is_committed(df.sparkSession, path):
+        return "SKIPPED_EXISTS", 0
+    return "SUCCEEDED", attempt("overwrite")
 
 
 def write_month_csv(df: DataFrame, prefix: str, table: str, run_month: str,
