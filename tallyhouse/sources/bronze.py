@@ -31,21 +31,27 @@ def _csv(spark: SparkSession, schema: T.StructType, sep: str = ","):
 
 
 def read_bronze(spark: SparkSession, table: str, path: str, row_id: bool = True,
-                multiline: bool = False) -> DataFrame:
+                multiline: bool = False, corrupt_col: str | None = None) -> DataFrame:
     """All-STRING CSV scan of one raw table (header line skipped).
 
     Records are lines, as in the reference's CSV table definition (no line
     breaks inside quoted fields), which keeps large files splittable;
     ``multiline=True`` reads quoted line breaks at one task per file.
     ``row_id`` attaches ``_rid`` right on the scan (see dq.with_row_id).
+    ``corrupt_col`` keeps the raw text of malformed lines (wrong field count)
+    in that column (PERMISSIVE mode); well-formed lines have NULL there.
     """
-    df = _csv(spark, raw_schema(table)).option("multiLine", multiline).csv(path)
+    schema = raw_schema(table)
+    r = _csv(spark, schema.add(corrupt_col, T.StringType()) if corrupt_col else schema)
+    if corrupt_col:
+        r = r.option("columnNameOfCorruptRecord", corrupt_col)
+    df = r.option("multiLine", multiline).csv(path)
     return with_row_id(df) if row_id else df
 
 
-def read_typed(spark: SparkSession, table: str, path: str) -> DataFrame:
+def read_typed(spark: SparkSession, table: str, path: str, corrupt_col: str | None = None) -> DataFrame:
     """The typed external table: declared types, unparsable text -> NULL."""
-    return typed(read_bronze(spark, table, path, row_id=False), table)
+    return typed(read_bronze(spark, table, path, row_id=False, corrupt_col=corrupt_col), table)
 
 
 def read_month(spark: SparkSession, table: str, base: str, run_month: str,

@@ -25,6 +25,8 @@ def test_read_bronze_quotes_and_short_rows(spark, scratch):
     assert rows == [("1", 'A "quoted", name', "7"), ("2", None, None), ("3", "short", None)]
     typed = B.read_typed(spark, "stores", p).collect()
     assert [r["StoreID"] for r in typed] == [1, 2, 3] and typed[0]["EmployeeID"] == 7
+    bad = B.read_typed(spark, "stores", p, corrupt_col="_corrupt").collect()
+    assert [r["_corrupt"] for r in bad] == [None, None, "3,short"]
 
 
 def test_read_month_prunes_partitions(spark, scratch):
