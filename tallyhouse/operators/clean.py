@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import exprs as X
-from tallyhouse.operators.dq import FIRST, RID, Check, Routed, keep_first, mark_first, route
+from tallyhouse.operators.dq import FIRST, RID, Check, Routed, first_rows, keep_first, mark_first, route
 
 # ----------------------------------------------------------------- orders
 ORDER_KEY = ["SalesOrderID", "SalesOrderDetailID"]
@@ -59,8 +59,9 @@ def dedup_orders(staged: DataFrame) -> DataFrame:
 
 def clean_orders(raw: DataFrame, null_policy: str = "parity") -> Routed:
     """Valid / invalid orders; DueDate and ShipDate are dropped."""
-    return route(dedup_orders(stage_orders(raw)), order_checks(), ORDER_COLS, ORDER_COLS,
-                 null_policy)
+    s = stage_orders(raw)
+    return route(dedup_orders(s), order_checks(), ORDER_COLS, ORDER_COLS, null_policy,
+                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT))
 
 
 def latest_orders(raw: DataFrame) -> DataFrame:
@@ -84,8 +85,10 @@ def _pk_dup_checks(pk: str) -> list[Check]:
 
 
 def clean_customers(raw: DataFrame) -> Routed:
-    s = mark_first(stage_customers(raw), ["CustomerID"], CUSTOMER_SORT)
-    return route(s, _pk_dup_checks("CustomerID"), CUSTOMER_COLS, CUSTOMER_COLS)
+    st = stage_customers(raw)
+    s = mark_first(st, ["CustomerID"], CUSTOMER_SORT)
+    return route(s, _pk_dup_checks("CustomerID"), CUSTOMER_COLS, CUSTOMER_COLS,
+                 firsts=first_rows(st, ["CustomerID"], CUSTOMER_SORT))
 
 
 def first_customers(raw: DataFrame) -> DataFrame:
@@ -117,7 +120,8 @@ def stage_employees(raw: DataFrame) -> DataFrame:
 
 
 def clean_employees(raw: DataFrame) -> Routed:
-    s = mark_first(stage_employees(raw), ["EmployeeID"], EMPLOYEE_SORT)
+    st = stage_employees(raw)
+    s = mark_first(st, ["EmployeeID"], EMPLOYEE_SORT)
     checks = _pk_dup_checks("EmployeeID") + [
         Check("gender", F.col("GenderNorm").isin("M", "F"), "GENDER_INVALID"),
         Check("marital", F.col("MaritalNorm").isin("S", "M"), "MARITALSTATUS_INVALID"),
@@ -128,7 +132,8 @@ def clean_employees(raw: DataFrame) -> Routed:
                       "Territory", "Country", F.col("GroupCol").alias("Group")]
     invalid = common + ["MaritalStatus", "Gender", "Territory", "Country",
                         F.col("GroupCol").alias("Group")]
-    return route(s, checks, valid, invalid)
+    return route(s, checks, valid, invalid,
+                 firsts=first_rows(st, ["EmployeeID"], EMPLOYEE_SORT))
 
 
 # ----------------------------------------------------------------- stores
@@ -156,9 +161,14 @@ def store_budget_join(raw_stores: DataFrame, raw_budgets: DataFrame) -> DataFram
     Catalyst/AQE: it broadcasts the budget side only when its measured size
     is under the configured threshold.
     """
-    s = mark_first(stage_stores(raw_stores), ["StoreID"],
-                   [("StoreName", "asc"), ("EmployeeID", "asc")])
-    j = s.join(stage_budgets(raw_budgets), on="StoreID", how="left")
+    return _with_budget(mark_first(stage_stores(raw_stores), ["StoreID"], STORE_SORT), raw_budgets)
+
+
+STORE_SORT = [("StoreName", "asc"), ("EmployeeID", "asc")]
+
+
+def _with_budget(stores: DataFrame, raw_budgets: DataFrame) -> DataFrame:
+    j = stores.join(stage_budgets(raw_budgets), on="StoreID", how="left")
     return j.withColumn("Budget", F.coalesce(F.col("BudgetRaw"), F.lit(0).cast("decimal(18,2)")))
 
 
@@ -181,7 +191,8 @@ def clean_stores(raw_stores: DataFrame, raw_budgets: DataFrame) -> Routed:
         Check("dedup", F.col(FIRST), "DUPLICATE_PK"),
         Check("budget", F.col("BudgetRaw").isNull() | (F.col("BudgetRaw") >= 0), "BUDGET_INVALID"),
     ]
-    return route(j, checks, STORE_COLS, STORE_COLS)
+    firsts = _with_budget(first_rows(stage_stores(raw_stores), ["StoreID"], STORE_SORT), raw_budgets)
+    return route(j, checks, STORE_COLS, STORE_COLS, firsts=firsts)
 
 
 # --------------------------------------------------------- product family
@@ -197,8 +208,10 @@ def stage_categories(raw: DataFrame) -> DataFrame:
 
 
 def clean_categories(raw: DataFrame) -> Routed:
-    s = mark_first(stage_categories(raw), ["CategoryID"], [("CategoryName", "asc")])
-    return route(s, _pk_dup_checks("CategoryID"), CATEGORY_COLS, CATEGORY_COLS)
+    st = stage_categories(raw)
+    s = mark_first(st, ["CategoryID"], [("CategoryName", "asc")])
+    return route(s, _pk_dup_checks("CategoryID"), CATEGORY_COLS, CATEGORY_COLS,
+                 firsts=first_rows(st, ["CategoryID"], [("CategoryName", "asc")]))
 
 
 def stage_subcategories(raw: DataFrame) -> DataFrame:
@@ -208,11 +221,13 @@ def stage_subcategories(raw: DataFrame) -> DataFrame:
 
 
 def clean_subcategories(raw: DataFrame) -> Routed:
-    s = mark_first(stage_subcategories(raw), ["SubCategoryID"],
-                   [("SubCategoryName", "asc"), ("CategoryID", "asc")])
+    st = stage_subcategories(raw)
+    order = [("SubCategoryName", "asc"), ("CategoryID", "asc")]
+    s = mark_first(st, ["SubCategoryID"], order)
     checks = _pk_dup_checks("SubCategoryID") + [
         Check("cat_fk", F.col("CategoryID").isNotNull(), "CAT_FK_NULL_OR_NOT_INT")]
-    return route(s, checks, SUBCATEGORY_COLS, SUBCATEGORY_COLS)
+    return route(s, checks, SUBCATEGORY_COLS, SUBCATEGORY_COLS,
+                 firsts=first_rows(st, ["SubCategoryID"], order))
 
 
 def stage_products(raw: DataFrame) -> DataFrame:
@@ -233,7 +248,9 @@ PRODUCT_SORT = [("ProductName", "asc")] + [(c, "asc") for c in PRODUCT_COLS[1:]
 
 
 def clean_products(raw: DataFrame) -> Routed:
-    s = mark_first(stage_products(raw), ["ProductID"], PRODUCT_SORT)
+    st = stage_products(raw)
+    s = mark_first(st, ["ProductID"], PRODUCT_SORT)
     checks = _pk_dup_checks("ProductID") + [
         Check("subcat_fk", F.col("SubCategoryID").isNotNull(), "SUBCAT_FK_NULL_OR_NOT_INT")]
-    return route(s, checks, PRODUCT_COLS, PRODUCT_COLS)
+    return route(s, checks, PRODUCT_COLS, PRODUCT_COLS,
+                 firsts=first_rows(st, ["ProductID"], PRODUCT_SORT))

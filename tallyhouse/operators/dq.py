@@ -69,6 +69,13 @@ def ordering_key(df: DataFrame, order: list[tuple[str, str]], rid: str = RID) ->
     return F.struct(*parts)
 
 
+def first_rows(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
+               rid: str = RID, flag: str = FIRST) -> DataFrame:
+    """The rows ``mark_first`` flags TRUE, with the flag column, computed by the
+    aggregate alone (see ``keep_first``)."""
+    return keep_first(df, keys, order, rid).withColumn(flag, F.lit(True))
+
+
 def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
                rid: str = RID, flag: str = FIRST) -> DataFrame:
     """Add boolean ``flag``: TRUE for the single first row of each key group
@@ -86,10 +93,13 @@ def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
 
 def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
                rid: str = RID) -> DataFrame:
-    """Rows with row number 1 only (a semi join against the winners)."""
-    winners = (df.groupBy(*[F.col(k) for k in keys])
-               .agg(F.min_by(F.col(rid), ordering_key(df, order, rid)).alias(rid)))
-    return df.join(winners.select(rid), on=rid, how="left_semi")
+    """Rows with row number 1 only: the aggregate returns each key's winning
+    row itself (``min_by`` of the whole row), so the input is consumed once and
+    no join back is needed."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return (df.groupBy(*[F.col(k) for k in keys])
+            .agg(F.min_by(row, ordering_key(df, order, rid)).alias("_w"))
+            .select("_w.*"))
 
 
 @dataclass(frozen=True)
@@ -108,9 +118,14 @@ class Routed:
     valid_cols: list[str]
     invalid_cols: list[str]
     renames: dict = field(default_factory=dict)
+    firsts: DataFrame | None = None   # the rn=1 rows only, with checks (no join back)
 
     def valid(self) -> DataFrame:
-        return self.flagged.where(F.col(STATUS) == "valid").select(*self._cols(self.valid_cols))
+        """All checks TRUE.  Valid rows are first rows of their key, so when the
+        first rows are known directly they are filtered instead of the flagged
+        set (same rows, one pass over the input, no join)."""
+        src = self.firsts if self.firsts is not None else self.flagged
+        return src.where(F.col(STATUS) == "valid").select(*self._cols(self.valid_cols))
 
     def invalid(self) -> DataFrame:
         return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
@@ -123,7 +138,7 @@ class Routed:
 
 
 def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: list,
-          null_policy: str = "parity") -> Routed:
+          null_policy: str = "parity", firsts: DataFrame | None = None) -> Routed:
     """Route every row to valid / invalid with the first failing check as REASON.
 
     SQL three-valued logic is kept: valid = all checks TRUE; invalid = NOT(all)
@@ -133,6 +148,12 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
     """
     if null_policy not in ("parity", "quarantine"):
         raise ValueError("null_policy must be 'parity' or 'quarantine'")
+    out = _apply_checks(df, checks, null_policy)
+    first_out = _apply_checks(firsts, checks, null_policy) if firsts is not None else None
+    return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out)
+
+
+def _apply_checks(df: DataFrame, checks: list[Check], null_policy: str) -> DataFrame:
     named = {f"ok_{c.name}": c.predicate for c in checks}
     out = df.withColumns(named)
     all_ok = reduce(lambda a, b: a & b, [F.col(n) for n in named])
@@ -143,9 +164,8 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
     reason = reason.otherwise("NULL_CHECK" if null_policy == "quarantine" else "UNKNOWN")
     status = (F.when(all_ok, "valid").when(~all_ok, "invalid")
               .otherwise("invalid" if null_policy == "quarantine" else "gap"))
-    out = out.withColumn(STATUS, status).withColumn(
+    return out.withColumn(STATUS, status).withColumn(
         REASON, F.when(F.col(STATUS) == "invalid", reason))
-    return Routed(out, list(valid_cols), list(invalid_cols) + [REASON])
 
 
 def split_audit(flagged: DataFrame, entity: str) -> DataFrame:
