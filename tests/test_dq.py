@@ -155,3 +155,16 @@ def test_budget_default_audit(spark):
     assert a["unparsable_to_zero"] == j.where("BudgetText = 'n/a'").count() > 0
     assert a["no_budget_row"] == j.where("BudgetText IS NULL").count() > 0
     assert a["rows"] == j.count()
+
+
+@pytest.mark.parametrize("key", sorted(all_queries()))
+def test_no_cross_joins(spark, key):
+    from conftest import SF_SMALL
+    plan = all_queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scan_reads_projected_columns_only(spark):
+    from conftest import SF_SMALL
+    plan = all_queries()["scan_parquet"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
