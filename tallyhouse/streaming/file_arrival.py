@@ -11,9 +11,10 @@ load protocol (I3) to all files of a micro-batch at once:
 * the rest is projected (L5) and written with dynamic partition overwrite on
   RunMonth, so a replayed batch rewrites the same partitions, never duplicates.
 
-A status row per file is written to a status table partitioned by batch id
-(dynamic overwrite again, so a replay replaces its own status rows).  Files
-without data rows produce no rows in the stream and therefore no load.
+A status row per file is recorded (partitioned by batch id) before the fact
+write; a replayed batch reuses the recorded decisions and rewrites the same
+RunMonth partitions, ending in the state of one clean run.  Files without
+data rows produce no rows in the stream and therefore no load.
 """
 
 from __future__ import annotations
@@ -53,31 +54,45 @@ def load_batch(batch: DataFrame, epoch_id: int, fact_path: str, status_path: str
         batch.unpersist()
 
 
+def _prior_status(spark: SparkSession, status_path: str, epoch_id: int) -> DataFrame | None:
+    """Statuses already recorded for this batch id (a replayed micro-batch)."""
+    try:
+        prior = spark.read.parquet(status_path).where(F.col("batch_id") == epoch_id)
+    except AnalysisException:
+        return None
+    return prior if prior.limit(1).count() > 0 else None
+
+
 def _load(spark: SparkSession, batch: DataFrame, epoch_id: int, fact_path: str,
           status_path: str) -> None:
     rows = batch.withColumn("RunMonth", X.month_from_key("file_path"))
-    files = rows.groupBy("file_path", "RunMonth").agg(F.count(F.lit(1)).alias("rows_file"))
-    first = (files.where(F.col("RunMonth").isNotNull()).groupBy("RunMonth")
-             .agg(F.min("file_path").alias("_winner")))
-    loaded = _loaded_months(spark, fact_path).select(
-        F.col("RunMonth").alias("_m"), F.lit(True).alias("_loaded"))
-    st = (files.join(first, "RunMonth", "left").join(loaded, F.col("RunMonth") == F.col("_m"), "left")
-          .select("file_path", "RunMonth", "rows_file",
-                  F.when(F.col("RunMonth").isNull(), "IGNORED_BAD_NAME")
+    st = _prior_status(spark, status_path, epoch_id)
+    if st is None:
+        files = rows.groupBy("file_path", "RunMonth").agg(F.count(F.lit(1)).alias("rows_file"))
+        first = (files.where(F.col("RunMonth").isNotNull()).groupBy("RunMonth")
+                 .agg(F.min("file_path").alias("_winner")))
+        loaded = _loaded_months(spark, fact_path).select(
+            F.col("RunMonth").alias("_m"), F.lit(True).alias("_loaded"))
+        status = (F.when(F.col("RunMonth").isNull(), "IGNORED_BAD_NAME")
                   .when(F.col("_loaded") | (F.col("file_path") != F.col("_winner")), "SKIPPED_EXISTS")
                   .when(F.col("rows_file") == 0, "SKIPPED_EMPTY_FILE")
-                  .otherwise("SUCCEEDED").alias("status"))
-          .withColumn("batch_id", F.lit(epoch_id)))
-    # statuses must be fixed before the fact write changes the loaded months:
-    # materialise them (one row per file) in the shared checkpoint folder
-    ensure_checkpoint_dir(spark)
-    st = st.checkpoint(eager=True)
+                  .otherwise("SUCCEEDED"))
+        st = (files.join(first, "RunMonth", "left").join(loaded, F.col("RunMonth") == F.col("_m"), "left")
+              .select("file_path", "RunMonth", "rows_file", status.alias("status"))
+              .withColumn("rows_inserted", F.when(F.col("status") == "SUCCEEDED", F.col("rows_file"))
+                          .otherwise(F.lit(0).cast("bigint")))
+              .withColumn("batch_id", F.lit(epoch_id)))
+        # decisions are fixed before the fact write changes the loaded months:
+        # materialise them (one row per file) in the shared checkpoint folder,
+        # then record them, so a replay of this batch reuses them
+        ensure_checkpoint_dir(spark)
+        st = st.checkpoint(eager=True)
+        st.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "batch_id").parquet(status_path)
     accepted = st.where(F.col("status") == "SUCCEEDED").select("file_path")
     to_load = rows.join(accepted, "file_path", "left_semi").drop("file_path")
+    # dynamic overwrite of the accepted months: a replay rewrites the same partitions
     K.overwrite_slice(W.fact_projection(to_load), fact_path, ["RunMonth"])
-    st.withColumn("rows_inserted", F.when(F.col("status") == "SUCCEEDED", F.col("rows_file"))
-                  .otherwise(F.lit(0).cast("bigint"))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(status_path)
 
 
 def start_fact_stream(spark: SparkSession, landing_dir: str, fact_path: str, status_path: str,
