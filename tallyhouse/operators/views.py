@@ -22,11 +22,14 @@ V_SALES_COLS = ["SalesOrderKey", "SalesOrderDetailKey", "OrderDate", "RunMonth",
 
 
 def v_sales(fact: DataFrame, dim_customer: DataFrame, dim_employee: DataFrame,
-            dim_store: DataFrame, dim_product: DataFrame) -> DataFrame:
+            dim_store: DataFrame, dim_product: DataFrame,
+            store_keys_unique: bool = False) -> DataFrame:
     """Fact LEFT JOIN customer, employee, store, product.
 
     The store join adds no column but is kept: duplicate store keys fan out
-    lines, exactly as the view does.
+    lines, exactly as the view does.  When the caller has proven StoreKey
+    unique (``store_keys_unique``) the join cannot change the result and is
+    left out.
     """
     c = dim_customer.select(F.col("CustomerKey").alias("_ck"), F.col("FullName").alias("CustomerName"))
     e = dim_employee.select(F.col("EmployeeKey").alias("_ek"), F.col("FullName").alias("EmployeeName"),
@@ -35,9 +38,10 @@ def v_sales(fact: DataFrame, dim_customer: DataFrame, dim_employee: DataFrame,
     p = dim_product.select(F.col("ProductKey").alias("_pk"), "ProductName", "ModelName",
                            "SubCategoryName", "CategoryName")
     j = (fact.join(c, fact.CustomerKey == c._ck, "left")
-         .join(e, fact.EmployeeKey == e._ek, "left")
-         .join(s, fact.StoreKey == s._sk, "left")
-         .join(p, fact.ProductKey == p._pk, "left"))
+         .join(e, fact.EmployeeKey == e._ek, "left"))
+    if not store_keys_unique:
+        j = j.join(s, fact.StoreKey == s._sk, "left")
+    j = j.join(p, fact.ProductKey == p._pk, "left")
     return j.select(*[F.col("OrderDate").cast("date").alias("OrderDate") if c_ == "OrderDate"
                       else F.col(c_) for c_ in V_SALES_COLS])
 

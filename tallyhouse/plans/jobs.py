@@ -288,8 +288,10 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     fact = spark.read.parquet(lake.warehouse("fact_sales"))
     d = {n: spark.read.parquet(lake.warehouse(n))
          for n in ("dim_customer", "dim_employee", "dim_store", "dim_product")}
-    V.v_sales(fact, d["dim_customer"], d["dim_employee"], d["dim_store"],
-              d["dim_product"]).createOrReplaceTempView("v_sales")
+    # the store join only matters if StoreKey repeats; prove it before dropping it
+    unique = dq.duplicate_keys(d["dim_store"], ["StoreKey"]).limit(1).count() == 0
+    V.v_sales(fact, d["dim_customer"], d["dim_employee"], d["dim_store"], d["dim_product"],
+              store_keys_unique=unique).createOrReplaceTempView("v_sales")
     V.v_dim_store(d["dim_store"]).createOrReplaceTempView("v_dim_store")
     V.v_calendar_month_loaded(fact).createOrReplaceTempView("v_calendar_month_loaded")
     return ["v_sales", "v_dim_store", "v_calendar_month_loaded"]

@@ -80,3 +80,20 @@ def test_dedup_hot_key_is_pre_aggregated(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert len(firsts) == 1 and firsts[0]["v"] == 9
     assert "partial_min_by" in plan
+
+
+def test_store_join_dropped_only_when_keys_unique(spark):
+    fact = _fact(spark, 3000)
+    cu = spark.range(500).select(F.col("id").cast("int").alias("CustomerKey"), F.lit("c").alias("FullName"))
+    em = spark.range(25).select(F.col("id").cast("int").alias("EmployeeKey"), F.lit("e").alias("FullName"),
+                                F.lit("t").alias("JobTitle"), F.lit("x").alias("Territory"),
+                                F.lit("y").alias("Country"))
+    pr = spark.range(200).select(F.col("id").cast("int").alias("ProductKey"), F.lit("p").alias("ProductName"),
+                                 F.lit("m").alias("ModelName"), F.lit("s").alias("SubCategoryName"),
+                                 F.lit("c").alias("CategoryName"))
+    st = spark.range(100).select(F.col("id").cast("int").alias("StoreKey"))
+    full = V.v_sales(fact, cu, em, st, pr)
+    short = V.v_sales(fact, cu, em, st, pr, store_keys_unique=True)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, short.collect()))
+    dup = st.unionByName(st.where("StoreKey = 1"))
+    assert V.v_sales(fact, cu, em, dup, pr).count() > 3000      # duplicates fan out
