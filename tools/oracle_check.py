@@ -12,6 +12,10 @@ import sys
 import time
 from collections import Counter
 
+import os
+
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # compare doubles bit for bit
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -20,7 +24,7 @@ def norm(v):
     if isinstance(v, decimal.Decimal):
         return ("dec", str(v.normalize()) if v == v else "nan")
     if isinstance(v, float):
-        return ("num", repr(round(v, 9)))
+        return ("num", repr(v) if STRICT else repr(round(v, 9)))
     if isinstance(v, bool):
         return ("bool", v)
     if isinstance(v, int):
