@@ -275,16 +275,10 @@ def q_dim_store_load(spark, sf):
 @register("budget_clean")
 def q_budget_clean(spark, sf):
     """Money texts normalised; rows without id or amount skipped."""
-    r = _raw(spark, sf, "raw_money")
-    sid = X.trim_ws("StoreID")
-    cleaned = X.clean_money("Budget")
-    out = r.select(sid.alias("StoreID"), F.col("Budget").alias("BudgetText"),
-                   cleaned.alias("Budget"))
-    keep = (F.col("StoreID").isNotNull() & (F.col("StoreID") != "")
-            & F.col("BudgetText").isNotNull() & (X.trim_ws("BudgetText") != "")
-            & F.col("Budget").isNotNull() & (F.col("Budget") != ""))
-    return out.where(keep).select("StoreID", "BudgetText", "Budget",
-                                  X.safe_decimal("Budget", 18, 2).alias("BudgetValue"))
+    from tallyhouse.sources.external import budget_rows
+    out = budget_rows(_raw(spark, sf, "raw_money"), "StoreID", "Budget")
+    return out.select("StoreID", "BudgetText", "Budget",
+                      X.safe_decimal("Budget", 18, 2).alias("BudgetValue"))
 
 
 # ------------------------------------------------------- product family D5-D7

@@ -70,9 +70,16 @@ def read_budget_sheet(spark: SparkSession, path: str, sep: str = ";") -> DataFra
         raise ValueError(f"StoreID/Budget columns not found in header {hdr}")
     data = cells.where(F.col(RID) > hdr_rid).select(
         F.get(F.col("c"), i_sid).alias("sid"), F.get(F.col("c"), i_bud).alias("bud"))
-    out = data.where(F.col("sid").isNotNull() & (F.col("sid") != "")
-                     & F.col("bud").isNotNull() & (F.col("bud") != "")).select(
-        X.trim_ws("sid").alias("StoreID"), X.clean_money("bud").alias("Budget"))
+    return budget_rows(data, "sid", "bud").select("StoreID", "Budget")
+
+
+def budget_rows(df: DataFrame, sid: str, bud: str) -> DataFrame:
+    """P8 + F8: (StoreID, BudgetText, Budget) for rows with both cells present;
+    a row whose id trims to nothing or whose amount cleans to nothing is skipped."""
+    out = df.where(F.col(sid).isNotNull() & (F.col(sid) != "")
+                   & F.col(bud).isNotNull() & (F.col(bud) != "")).select(
+        X.trim_ws(sid).alias("StoreID"), F.col(bud).alias("BudgetText"),
+        X.clean_money(bud).alias("Budget"))
     return out.where((F.col("StoreID") != "") & F.col("Budget").isNotNull() & (F.col("Budget") != ""))
 
 
