@@ -168,3 +168,15 @@ def test_scan_reads_projected_columns_only(spark):
     from conftest import SF_SMALL
     plan = all_queries()["scan_parquet"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("policy", ["parity", "quarantine"])
+def test_first_rows_path_equals_flagged_path(spark, policy):
+    """valid() reads the winners straight from the aggregate; it must equal
+    filtering the fully flagged rows."""
+    from conftest import SF_MID
+    r = C.clean_orders(FX.raw_orders(spark, SF_MID), policy)
+    slow = dq.Routed(r.flagged, r.valid_cols, r.invalid_cols).valid()
+    fast = r.valid()
+    assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+    assert fast.count() == 44099
