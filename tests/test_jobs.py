@@ -122,3 +122,11 @@ def test_ingest_from_manifest_and_errors(spark, tmp_path):
         J.ingest_from_manifest(spark, os.path.join(base, "missing.json"), lake, ["1995-04"])
     codes = sorted(r["error_code"] for r in spark.read.parquet(lake.errors).collect())
     assert codes == ["LOAD_MANIFEST", "ORDERS_SRC_NOT_FOUND"]
+
+
+def test_cli_dispatch(spark, tmp_path):
+    from tallyhouse.cli import main
+    lake = str(tmp_path / "lake")
+    out = main(["next-month", "--lake", lake, "--start", "2011-05", "--end", "2014-05"], spark)
+    assert out["candidate"] == "2011-05" and out["status"] == "INVOKED"
+    assert main(["load-month", "--lake", lake], spark)["status"] == "IGNORED_NO_INPUT"
