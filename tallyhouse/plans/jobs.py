@@ -183,9 +183,14 @@ def read_silver_dim(spark: SparkSession, lake: Lake, entity: str, run_month: str
 
 
 # ---------------------------------------------------------------- warehouse
-def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "silver") -> dict:
-    """SCD1 dimension refresh (overwrite, the default) from silver or bronze.
-    Returns the number of duplicated keys per dimension."""
+def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "silver",
+               mode: str = "overwrite") -> dict:
+    """SCD1 dimension refresh (``mode='overwrite'``, the default) from silver or
+    bronze; ``mode='append'`` is the reference's INSERT INTO (K3), where every
+    rerun adds the rows again.  Returns the number of duplicated keys per
+    dimension."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
     if source == "silver":
         cu = read_silver_dim(spark, lake, "customer", run_month).withColumnRenamed("CustomerID", "CustomerKey")
         em = (read_silver_dim(spark, lake, "employee", run_month)
@@ -214,7 +219,7 @@ def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "s
             "dim_product": "ProductKey"}
     dup = {}
     for name, df in (("dim_customer", cu), ("dim_employee", em), ("dim_store", st), ("dim_product", pr)):
-        K.write_parquet(df, lake.warehouse(name), "overwrite")
+        K.write_parquet(df, lake.warehouse(name), mode)
         # unique-key report on what was written: duplicates fan out v_sales lines
         dup[name] = dq.duplicate_keys(spark.read.parquet(lake.warehouse(name)), [keys[name]]).count()
     return dup

@@ -63,6 +63,11 @@ def test_warehouse_and_monthly_fact_load(spark, lake_env):
         spark.read.parquet(lake.silver_dim("customer")).count()
     direct = J.build_dims(spark, lake, "1995-03", source="bronze")     # the direct path also builds
     assert direct["dim_customer"] > 0     # no dedup on the direct path
+    n_store = spark.read.parquet(lake.warehouse("dim_store")).count()
+    J.build_dims(spark, lake, "1995-03", source="bronze", mode="append")   # INSERT INTO: rows again
+    assert spark.read.parquet(lake.warehouse("dim_store")).count() == 2 * n_store
+    J.build_dims(spark, lake, "1995-03", source="bronze")                  # SCD1 overwrite restores
+    assert spark.read.parquet(lake.warehouse("dim_store")).count() == n_store
     rows = month_rows(spark, "1995-03")
     write_month_file(os.path.join(lake.landing_orders, "orders_1995-03.csv"), rows)
     write_month_file(os.path.join(lake.landing_orders, "orders_1995-04.csv"), [])
