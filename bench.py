@@ -40,7 +40,9 @@ def main() -> None:
     scratch = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(f"local[{cpus}]", app="tallyhouse-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "16g",
-                                 "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
+                                 "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+                                 # keep every query's generated classes for the warm pass
+                                 "spark.sql.codegen.cache.maxEntries": "2000"})
     spark.sparkContext.setLogLevel("ERROR")
     qs = all_queries()
 
