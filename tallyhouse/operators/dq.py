@@ -39,6 +39,21 @@ def with_row_id(df: DataFrame, name: str = RID) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def spread_if_few_partitions(df: DataFrame, key: str = RID) -> DataFrame:
+    """A scan with fewer partitions than the session has cores (for example a
+    file holding one large parquet row group) leaves all per-row work to a few
+    tasks.  Such input is spread evenly by its unique row id, so no key can
+    become hot.  Inputs with enough partitions are returned untouched, leaving
+    the planner's own exchanges and AQE's skew handling in place."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # sessions without RDD access: leave it to the planner
+        return df
+    return df.repartition(cores, key)
+
+
 def file_row_id() -> Column:
     """Deterministic row id of a parquet scan: (hash of the file path, row
     index in the file).  Exact within a file; files are told apart by a

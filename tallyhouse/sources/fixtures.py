@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dq import file_row_id
+from tallyhouse.operators.dq import file_row_id, spread_if_few_partitions
 
 RID = "_rid"
 
@@ -43,10 +43,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     ).withColumn(RID, file_row_id())  # deterministic: (file, row index)
-    # Hash-partition on the join key: at scale this is the exchange the
-    # lineitem-orders join needs anyway; with few row groups per file it also
-    # spreads the per-row work below over all cores.
-    li = li.repartition("l_orderkey")
+    li = spread_if_few_partitions(li)
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(su, li.l_suppkey == su.s_suppkey)
