@@ -88,7 +88,7 @@ def first_rows(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
                rid: str = RID, flag: str = FIRST) -> DataFrame:
     """The rows ``mark_first`` flags TRUE, with the flag column, computed by the
     aggregate alone (see ``keep_first``)."""
-    return keep_first(df, keys, order, rid).withColumn(flag, F.lit(True))
+    return keep_first(df, keys, order, rid, GROUP_ROWS).withColumn(flag, F.lit(True))
 
 
 def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
@@ -106,15 +106,20 @@ def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
+GROUP_ROWS = "_group_rows"
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
-               rid: str = RID) -> DataFrame:
+               rid: str = RID, count_col: str | None = None) -> DataFrame:
     """Rows with row number 1 only: the aggregate returns each key's winning
     row itself (``min_by`` of the whole row), so the input is consumed once and
-    no join back is needed."""
+    no join back is needed.  ``count_col`` adds the key's row count."""
     row = F.struct(*[F.col(c) for c in df.columns])
-    return (df.groupBy(*[F.col(k) for k in keys])
-            .agg(F.min_by(row, ordering_key(df, order, rid)).alias("_w"))
-            .select("_w.*"))
+    aggs = [F.min_by(row, ordering_key(df, order, rid)).alias("_w")]
+    if count_col:
+        aggs.append(F.count(F.lit(1)).alias(count_col))
+    return (df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
+            .select("_w.*", *([count_col] if count_col else [])))
 
 
 @dataclass(frozen=True)
@@ -134,6 +139,7 @@ class Routed:
     invalid_cols: list[str]
     renames: dict = field(default_factory=dict)
     firsts: DataFrame | None = None   # the rn=1 rows only, with checks (no join back)
+    audit_from_firsts: bool = False   # firsts carry group sizes of exactly the routed rows
 
     def valid(self) -> DataFrame:
         """All checks TRUE.  Valid rows are first rows of their key, so when the
@@ -149,11 +155,24 @@ class Routed:
         return [F.col(c).alias(self.renames.get(c, c)) if isinstance(c, str) else c for c in names]
 
     def audit(self, entity: str) -> DataFrame:
-        return split_audit(self.flagged, entity)
+        """D9.  With the first rows and their group sizes known, one aggregate
+        suffices: valid and gap rows are always first rows (a later row fails
+        the dedup check, and FALSE beats NULL), so every other row is invalid."""
+        if self.firsts is None or not self.audit_from_firsts:
+            return split_audit(self.flagged, entity)
+        st = F.col(STATUS)
+        a = self.firsts.agg(
+            F.sum(GROUP_ROWS).alias("rows_in"),
+            F.count(F.when(st == "valid", 1)).alias("rows_valid"),
+            (F.sum(GROUP_ROWS) - F.count(F.lit(1)) + F.count(F.when(st == "invalid", 1))).alias("rows_invalid"),
+            F.count(F.when(st == "gap", 1)).alias("rows_gap"))
+        return a.select(F.lit(entity).alias("entity"), F.col("rows_in").cast("bigint").alias("rows_in"),
+                        "rows_valid", F.col("rows_invalid").cast("bigint").alias("rows_invalid"), "rows_gap")
 
 
 def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: list,
-          null_policy: str = "parity", firsts: DataFrame | None = None) -> Routed:
+          null_policy: str = "parity", firsts: DataFrame | None = None,
+          audit_from_firsts: bool = True) -> Routed:
     """Route every row to valid / invalid with the first failing check as REASON.
 
     SQL three-valued logic is kept: valid = all checks TRUE; invalid = NOT(all)
@@ -165,7 +184,9 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
         raise ValueError("null_policy must be 'parity' or 'quarantine'")
     out = _apply_checks(df, checks, null_policy)
     first_out = _apply_checks(firsts, checks, null_policy) if firsts is not None else None
-    return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out)
+    return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out,
+                  audit_from_firsts=audit_from_firsts and first_out is not None
+                  and GROUP_ROWS in first_out.columns)
 
 
 def _apply_checks(df: DataFrame, checks: list[Check], null_policy: str) -> DataFrame:

@@ -180,3 +180,19 @@ def test_first_rows_path_equals_flagged_path(spark, policy):
     fast = r.valid()
     assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
     assert fast.count() == 44099
+
+
+@pytest.mark.parametrize("policy", ["parity", "quarantine"])
+def test_audit_from_first_rows_equals_full_audit(spark, policy):
+    from conftest import SF_MID
+    r = C.clean_orders(FX.raw_orders(spark, SF_MID), policy)
+    assert r.audit_from_firsts
+    fast = r.audit("orders").first().asDict()
+    slow = dq.split_audit(r.flagged, "orders").first().asDict()
+    assert fast == slow
+    for cl, raw in ((C.clean_customers, FX.raw_customers), (C.clean_products, FX.raw_products),
+                    (C.clean_employees, FX.raw_employees)):
+        rr = cl(raw(spark, SF_MID))
+        assert rr.audit("x").first().asDict() == dq.split_audit(rr.flagged, "x").first().asDict()
+    st = C.clean_stores(FX.raw_stores(spark, SF_MID), FX.raw_budgets(spark, SF_MID))
+    assert not st.audit_from_firsts
