@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import exprs as X
-from tallyhouse.operators import dq
 from tallyhouse.operators import warehouse as W
 from tallyhouse.sources import fixtures as FX
 from tallyhouse.sources.manifest import DEFAULT_RULES

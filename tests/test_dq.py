@@ -196,3 +196,10 @@ def test_audit_from_first_rows_equals_full_audit(spark, policy):
         assert rr.audit("x").first().asDict() == dq.split_audit(rr.flagged, "x").first().asDict()
     st = C.clean_stores(FX.raw_stores(spark, SF_MID), FX.raw_budgets(spark, SF_MID))
     assert not st.audit_from_firsts
+
+
+def test_fk_orphan_rows(spark):
+    child = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 12), (5, 12)], "id int, fk int")
+    parent = spark.createDataFrame([(10,), (12,), (12,), (None,)], "fk int")
+    got = sorted(r["id"] for r in dq.fk_orphans(child, "fk", parent, "fk").collect())
+    assert got == [2]          # NULL foreign keys are not orphans; duplicate parents do not fan out
