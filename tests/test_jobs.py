@@ -32,6 +32,10 @@ def test_ingest_orders_and_replay(spark, lake_env):
     again = J.ingest_orders(spark, src["orders"], lake, months)
     assert {r["status"] for r in again} == {"SKIPPED_EXISTS"}
     assert J.listed_months(spark, lake.bronze_orders) == set(months)
+    # a month without rows succeeds with 0 rows and is not ingested again
+    assert J.ingest_orders(spark, src["orders"], lake, ["1970-01"])[0] == {
+        "table": "orders", "run_month": "1970-01", "status": "SUCCEEDED", "rows": 0}
+    assert J.ingest_orders(spark, src["orders"], lake, ["1970-01"])[0]["status"] == "SKIPPED_EXISTS"
 
 
 def test_bronze_to_silver_matches_operator(spark, lake_env):
