@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import exprs as X
-from tallyhouse.operators.dq import FIRST, RID, Check, Routed, first_rows, keep_first, mark_first, route
+from tallyhouse.operators.dq import (FIRST, RID, Check, Routed, first_rows, keep_first, mark_first,
+                                     profile_aggs, route)
 
 # ----------------------------------------------------------------- orders
 ORDER_KEY = ["SalesOrderID", "SalesOrderDetailID"]
@@ -60,8 +61,9 @@ def dedup_orders(staged: DataFrame) -> DataFrame:
 def clean_orders(raw: DataFrame, null_policy: str = "parity") -> Routed:
     """Valid / invalid orders; DueDate and ShipDate are dropped."""
     s = stage_orders(raw)
-    return route(dedup_orders(s), order_checks(), ORDER_COLS, ORDER_COLS, null_policy,
-                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT))
+    checks = order_checks()
+    return route(dedup_orders(s), checks, ORDER_COLS, ORDER_COLS, null_policy,
+                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT, extra_aggs=profile_aggs(checks)))
 
 
 def latest_orders(raw: DataFrame) -> DataFrame:

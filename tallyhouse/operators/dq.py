@@ -85,10 +85,33 @@ def ordering_key(df: DataFrame, order: list[tuple[str, str]], rid: str = RID) ->
 
 
 def first_rows(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
-               rid: str = RID, flag: str = FIRST) -> DataFrame:
-    """The rows ``mark_first`` flags TRUE, with the flag column, computed by the
-    aggregate alone (see ``keep_first``)."""
-    return keep_first(df, keys, order, rid, GROUP_ROWS).withColumn(flag, F.lit(True))
+               rid: str = RID, flag: str = FIRST,
+               extra_aggs: dict[str, Column] | None = None) -> DataFrame:
+    """The rows ``mark_first`` flags TRUE, with the flag column and each key's
+    row count, computed by the aggregate alone (see ``keep_first``)."""
+    return keep_first(df, keys, order, rid, GROUP_ROWS, extra_aggs).withColumn(flag, F.lit(True))
+
+
+def pre_dedup_category(checks: list["Check"], dedup: str = "dedup") -> tuple[Column, list[str]]:
+    """For rows that are not first of their key: the REASON decided before the
+    dedup check (first FALSE check ahead of it), NULL when none fails, and the
+    list of such reasons."""
+    names = [c.name for c in checks]
+    pre = checks[:names.index(dedup)]
+    cat = None
+    for c in pre:
+        cond = ~c.predicate
+        cat = F.when(cond, c.reason) if cat is None else cat.when(cond, c.reason)
+    return (cat if cat is not None else F.lit(None).cast("string")), [c.reason for c in pre]
+
+
+def profile_aggs(checks: list["Check"], dedup: str = "dedup") -> dict[str, Column]:
+    """Per-key counts of rows per pre-dedup REASON (and of rows with none),
+    to be computed inside the first-row aggregate."""
+    cat, reasons = pre_dedup_category(checks, dedup)
+    aggs = {f"_pre{i}": F.count(F.when(cat == r, 1)) for i, r in enumerate(reasons)}
+    aggs["_pre_none"] = F.count(F.when(cat.isNull(), 1))
+    return aggs
 
 
 def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
@@ -110,16 +133,20 @@ GROUP_ROWS = "_group_rows"
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
-               rid: str = RID, count_col: str | None = None) -> DataFrame:
+               rid: str = RID, count_col: str | None = None,
+               extra_aggs: dict[str, Column] | None = None) -> DataFrame:
     """Rows with row number 1 only: the aggregate returns each key's winning
     row itself (``min_by`` of the whole row), so the input is consumed once and
-    no join back is needed.  ``count_col`` adds the key's row count."""
+    no join back is needed.  ``count_col`` adds the key's row count and
+    ``extra_aggs`` further per-key aggregates."""
     row = F.struct(*[F.col(c) for c in df.columns])
     aggs = [F.min_by(row, ordering_key(df, order, rid)).alias("_w")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
+    extra = dict(extra_aggs or {})
+    aggs += [a.alias(n) for n, a in extra.items()]
     return (df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
-            .select("_w.*", *([count_col] if count_col else [])))
+            .select("_w.*", *([count_col] if count_col else []), *extra))
 
 
 @dataclass(frozen=True)
@@ -140,6 +167,7 @@ class Routed:
     renames: dict = field(default_factory=dict)
     firsts: DataFrame | None = None   # the rn=1 rows only, with checks (no join back)
     audit_from_firsts: bool = False   # firsts carry group sizes of exactly the routed rows
+    checks: list = field(default_factory=list)
 
     def valid(self) -> DataFrame:
         """All checks TRUE.  Valid rows are first rows of their key, so when the
@@ -154,6 +182,26 @@ class Routed:
     def _cols(self, names: list[str]) -> list[Column]:
         return [F.col(c).alias(self.renames.get(c, c)) if isinstance(c, str) else c for c in names]
 
+    def reason_profile(self) -> DataFrame:
+        """Invalid rows per REASON.  From the first rows alone when they
+        carry per-key counts of the reasons decided before the dedup check: a
+        later row's REASON is that pre-dedup reason, else DUPLICATE_PK."""
+        f = self.firsts
+        if f is None or not self.audit_from_firsts or "_pre_none" not in f.columns:
+            return reason_profile(self.invalid())
+        cat, reasons = pre_dedup_category(self.checks)
+        dup_reason = next(c.reason for c in self.checks if c.name == "dedup")
+        later = [F.struct(F.lit(r).alias(REASON),
+                          (F.col(f"_pre{i}") - F.when(cat == r, 1).otherwise(0)).alias("n"))
+                 for i, r in enumerate(reasons)]
+        later.append(F.struct(F.lit(dup_reason).alias(REASON),
+                              (F.col("_pre_none") - F.when(cat.isNull(), 1).otherwise(0)).alias("n")))
+        first_part = f.where(F.col(STATUS) == "invalid").select(REASON, F.lit(1).cast("bigint").alias("n"))
+        later_part = f.select(F.explode(F.array(*later)).alias("x")).select(
+            "x." + REASON, F.col("x.n").cast("bigint").alias("n"))
+        return (first_part.unionByName(later_part).groupBy(REASON)
+                .agg(F.sum("n").alias("n")).where(F.col("n") > 0))
+
     def audit(self, entity: str) -> DataFrame:
         """D9.  With the first rows and their group sizes known, one aggregate
         suffices: valid and gap rows are always first rows (a later row fails
@@ -185,6 +233,7 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
     out = _apply_checks(df, checks, null_policy)
     first_out = _apply_checks(firsts, checks, null_policy) if firsts is not None else None
     return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out,
+                  checks=list(checks),
                   audit_from_firsts=audit_from_firsts and first_out is not None
                   and GROUP_ROWS in first_out.columns)
 

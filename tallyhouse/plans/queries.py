@@ -197,7 +197,7 @@ def q_orders_invalid(spark, sf):
 
 @register("orders_reason_profile")
 def q_orders_reason_profile(spark, sf):
-    return dq.reason_profile(C.clean_orders(_raw(spark, sf, "raw_orders")).invalid())
+    return C.clean_orders(_raw(spark, sf, "raw_orders")).reason_profile()
 
 
 @register("orders_split_audit")

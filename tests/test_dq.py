@@ -203,3 +203,23 @@ def test_fk_orphan_rows(spark):
     parent = spark.createDataFrame([(10,), (12,), (12,), (None,)], "fk int")
     got = sorted(r["id"] for r in dq.fk_orphans(child, "fk", parent, "fk").collect())
     assert got == [2]          # NULL foreign keys are not orphans; duplicate parents do not fan out
+
+
+@pytest.mark.parametrize("policy", ["parity", "quarantine"])
+def test_reason_profile_from_first_rows(spark, policy):
+    from conftest import SF_MID
+    r = C.clean_orders(FX.raw_orders(spark, SF_MID), policy)
+    fast = {x["REASON"]: x["n"] for x in r.reason_profile().collect()}
+    slow = {x["REASON"]: x["n"] for x in dq.reason_profile(r.invalid()).collect()}
+    assert fast == slow and sum(fast.values()) == r.invalid().count()
+
+
+def test_reason_profile_small_cases(spark):
+    rows = [order_row(oid="bad"), order_row(oid="bad", date="5/7/2011"),        # PK_NULL twice
+            order_row(oid="9", date="13/45/2011"), order_row(oid="9"),            # later row: bad date
+            order_row(oid="8", qty="0"), order_row(oid="8", date="5/1/2011"),     # first invalid, later dup
+            order_row(oid="7")]
+    r = C.clean_orders(raw_df(spark, rows))
+    fast = {x["REASON"]: x["n"] for x in r.reason_profile().collect()}
+    slow = {x["REASON"]: x["n"] for x in dq.reason_profile(r.invalid()).collect()}
+    assert fast == slow == {"PK_NULL": 2, "BAD_ORDERDATE": 1, "QTY_LE_0": 1, "DUPLICATE_PK": 1}
