@@ -10,6 +10,10 @@ huge group of identical copies) would land on a single executor.  Instead:
    so that join hashes evenly whatever the key distribution (AQE picks a hash
    or sort-merge join from the measured partition sizes).
 
+Outputs that need only the first rows (valid rows, latest rows) skip step 2:
+the aggregate returns the winning row itself, plus per-key counts from which
+the split audit and the per-REASON profile follow (``Routed``).
+
 The ordering is NULLS LAST in both directions (the reference engine's rule) and
 ends with ``_rid``, so ties between rows equal in every column are broken
 deterministically; such rows are indistinguishable in the output.
@@ -28,6 +32,7 @@ RID = "_rid"
 FIRST = "_first"
 STATUS = "_status"
 REASON = "REASON"
+GROUP_ROWS = "_group_rows"
 _EPOCH = "1970-01-01"
 
 
@@ -84,36 +89,6 @@ def ordering_key(df: DataFrame, order: list[tuple[str, str]], rid: str = RID) ->
     return F.struct(*parts)
 
 
-def first_rows(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
-               rid: str = RID, flag: str = FIRST,
-               extra_aggs: dict[str, Column] | None = None) -> DataFrame:
-    """The rows ``mark_first`` flags TRUE, with the flag column and each key's
-    row count, computed by the aggregate alone (see ``keep_first``)."""
-    return keep_first(df, keys, order, rid, GROUP_ROWS, extra_aggs).withColumn(flag, F.lit(True))
-
-
-def pre_dedup_category(checks: list["Check"], dedup: str = "dedup") -> tuple[Column, list[str]]:
-    """For rows that are not first of their key: the REASON decided before the
-    dedup check (first FALSE check ahead of it), NULL when none fails, and the
-    list of such reasons."""
-    names = [c.name for c in checks]
-    pre = checks[:names.index(dedup)]
-    cat = None
-    for c in pre:
-        cond = ~c.predicate
-        cat = F.when(cond, c.reason) if cat is None else cat.when(cond, c.reason)
-    return (cat if cat is not None else F.lit(None).cast("string")), [c.reason for c in pre]
-
-
-def profile_aggs(checks: list["Check"], dedup: str = "dedup") -> dict[str, Column]:
-    """Per-key counts of rows per pre-dedup REASON (and of rows with none),
-    to be computed inside the first-row aggregate."""
-    cat, reasons = pre_dedup_category(checks, dedup)
-    aggs = {f"_pre{i}": F.count(F.when(cat == r, 1)) for i, r in enumerate(reasons)}
-    aggs["_pre_none"] = F.count(F.when(cat.isNull(), 1))
-    return aggs
-
-
 def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
                rid: str = RID, flag: str = FIRST) -> DataFrame:
     """Add boolean ``flag``: TRUE for the single first row of each key group
@@ -129,9 +104,6 @@ def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
-GROUP_ROWS = "_group_rows"
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
                rid: str = RID, count_col: str | None = None,
                extra_aggs: dict[str, Column] | None = None) -> DataFrame:
@@ -149,6 +121,36 @@ def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
             .select("_w.*", *([count_col] if count_col else []), *extra))
 
 
+def first_rows(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
+               rid: str = RID, flag: str = FIRST,
+               extra_aggs: dict[str, Column] | None = None) -> DataFrame:
+    """The rows ``mark_first`` flags TRUE, with the flag column and each key's
+    row count, computed by the aggregate alone (see ``keep_first``)."""
+    return keep_first(df, keys, order, rid, GROUP_ROWS, extra_aggs).withColumn(flag, F.lit(True))
+
+
+def pre_dedup_category(checks: list["Check"], dedup: str = "dedup") -> tuple[Column, list[str]]:
+    """For rows that are not first of their key: the REASON decided before the
+    dedup check (first FALSE check ahead of it), NULL when none fails, and the
+    list of such reasons."""
+    names = [c.name for c in checks]
+    pre = checks[:names.index(dedup)]
+    cat = None
+    for c in pre:
+        cond = ~c.predicate
+        cat = F.when(cond, c.reason) if cat is None else cat.when(cond, c.reason)
+    return (cat if cat is not None else F.lit(None).cast("string")), [c.reason for c in pre]
+
+
+def profile_aggs(checks: list["Check"], dedup: str = "dedup") -> dict[str, Column]:
+    """Per-key counts of rows per pre-dedup REASON (and of rows with none),
+    to be computed inside the first-row aggregate."""
+    cat, reasons = pre_dedup_category(checks, dedup)
+    aggs = {f"_pre{i}": F.count(F.when(cat == r, 1)) for i, r in enumerate(reasons)}
+    aggs["_pre_none"] = F.count(F.when(cat.isNull(), 1))
+    return aggs
+
+
 @dataclass(frozen=True)
 class Check:
     """One named rule: ``predicate`` TRUE means the row passes; ``reason`` is
