@@ -59,11 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared, durable folder and is used as
     is.  Only when it is unset (local tests) a fresh scratch folder is made.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or current
+    if not d:  # local sessions only (tests): nothing names a shared folder
         d = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not current:
+        sc.setCheckpointDir(d)
     return d
 
 
