@@ -223,3 +223,12 @@ def test_reason_profile_small_cases(spark):
     fast = {x["REASON"]: x["n"] for x in r.reason_profile().collect()}
     slow = {x["REASON"]: x["n"] for x in dq.reason_profile(r.invalid()).collect()}
     assert fast == slow == {"PK_NULL": 2, "BAD_ORDERDATE": 1, "QTY_LE_0": 1, "DUPLICATE_PK": 1}
+
+
+def test_new_month_rows_anti_join(spark):
+    from tallyhouse.plans.loads import month_load_protocol, new_month_rows
+    loaded = spark.createDataFrame([("2011-05", 1), ("2011-05", 2), ("2011-06", 3)], "RunMonth string, x int")
+    incoming = spark.createDataFrame([("2011-06", 9), ("2011-07", 7), ("2011-07", 8)], "RunMonth string, x int")
+    assert sorted(r["x"] for r in new_month_rows(incoming, loaded).collect()) == [7, 8]
+    got = sorted(tuple(r) for r in month_load_protocol(incoming, loaded).collect())
+    assert got == [("2011-06", "SKIPPED_EXISTS", 1, 0), ("2011-07", "SUCCEEDED", 0, 2)]
