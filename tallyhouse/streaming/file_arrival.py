@@ -14,7 +14,8 @@ load protocol (I3) to all files of a micro-batch at once:
 A status row per file is recorded (partitioned by batch id) before the fact
 write; a replayed batch reuses the recorded decisions and rewrites the same
 RunMonth partitions, ending in the state of one clean run.  Files without
-data rows produce no rows in the stream and therefore no load.
+data rows, and corrupt or vanished files (skipped so they cannot stop the
+others), produce no rows in the stream and therefore no load.
 """
 
 from __future__ import annotations
@@ -101,8 +102,11 @@ def start_fact_stream(spark: SparkSession, landing_dir: str, fact_path: str, sta
     """Start the file-arrival load; ``available_now`` processes what is there
     and stops (a scheduled run), else it keeps watching the folder.  A large
     backlog is split into micro-batches of ``max_files_per_trigger`` files."""
+    # a corrupt or vanished file must not stop the other files of the batch
+    # (it yields no rows, hence no load and no status row)
     r = (spark.readStream.schema(raw_schema("orders")).option("header", True)
-         .option("escape", '"').option("pathGlobFilter", "*.csv"))
+         .option("escape", '"').option("pathGlobFilter", "*.csv")
+         .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = (r.csv(landing_dir)
