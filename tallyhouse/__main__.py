@@ -1,3 +1,3 @@
-from tallyhouse.cli import main
+from tallyhouse.cli import run
 
-main()
+run()

@@ -75,3 +75,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = J.next_month_job(spark, lake, a.start, a.end)
     print(json.dumps(out, default=str))
     return out
+
+
+def run() -> None:
+    """Console entry point: exit status 0 on success (the result is printed)."""
+    main()
