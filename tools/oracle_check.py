@@ -1,5 +1,6 @@
 """Run every registered query in Spark and its oracle SQL in DuckDB on the same
-parquet tables; compare row count, column names and the multiset of values.
+parquet tables; compare row count, column names and types, and the multiset of
+values.
 
     python tools/oracle_check.py [SF_DIR] [key ...]
 """
@@ -41,6 +42,21 @@ def rows_multiset(names, rows):
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_mismatches(df, rel) -> list:
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        if dt.get(f.name) != SPARK_TO_DUCK.get(t, t.upper()):
+            out.append((f.name, t, dt.get(f.name)))
+    return out
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -74,12 +90,15 @@ def compare(spark, sf_dir, keys=None, verbose=True):
             ok_n = len(s_rows) == len(d_rows)
             ms, md = rows_multiset(s_names, s_rows), rows_multiset(d_names, d_rows)
             ok_v = ms == md
-            status = "OK" if (ok_names and ok_n and ok_v) else "MISMATCH"
+            bad_types = type_mismatches(df, con.sql(sqls[k]))
+            status = "OK" if (ok_names and ok_n and ok_v and not bad_types) else "MISMATCH"
             results[k] = (status, len(s_rows), len(d_rows))
             if verbose:
                 print(f"{k:28s} {status:8s} spark={len(s_rows):7d} duck={len(d_rows):7d} "
                       f"spark_s={t1 - t0:6.2f}", flush=True)
             if status != "OK" and verbose:
+                if bad_types:
+                    print("   types:", bad_types)
                 if not ok_names:
                     print("   names:", sorted(s_names), sorted(d_names))
                 else:
