@@ -4,10 +4,11 @@ The mapping is FIXTURES.md section 4.  Everything is a DataFrame over the
 given parquet tables, so the work grows with them.  Numbers pass through
 DECIMAL before STRING so every engine prints them the same way.
 
-Each raw view carries ``_rid``: a row id that is stable across recomputation
-(a scan-side ``monotonically_increasing_id`` over an unshuffled file scan, or
-a unique data key).  Dedup uses it only to break ties between rows that are
-equal in every output column.
+Each raw view carries ``_rid``: a row id that is stable across recomputation.
+The orders feed uses (hash of file path, row index in the file) from the
+parquet scan; dimension views use ``monotonically_increasing_id`` over their
+unshuffled scans, or a unique data key.  Dedup uses it only to break ties
+between rows that are equal in every output column.
 """
 
 from __future__ import annotations
