@@ -33,16 +33,20 @@ from tallyhouse.sinks import writers as K
 from tallyhouse.sources.bronze import raw_schema
 
 
-def _loaded_months(spark: SparkSession, fact_path: str) -> DataFrame:
-    """RunMonth partitions present in the fact table, from the file listing
-    (one row per file, file contents are not read)."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .option("pathGlobFilter", "*.parquet").load(fact_path).select("path"))
-    except AnalysisException:  # no fact table yet
-        return spark.createDataFrame([], "RunMonth string")
-    m = F.regexp_extract("path", r"/RunMonth=([^/]+)/", 1)
-    return files.select(F.url_decode(m).alias("RunMonth")).where(F.col("RunMonth") != "").distinct()
+def _loaded_months(spark: SparkSession, fact_path: str, months: list[str]) -> DataFrame:
+    """Which of ``months`` already have a RunMonth partition in the fact table.
+    Only those partition folders are listed (never the whole table), and file
+    contents are not read."""
+    found = []
+    for m in months:
+        try:
+            files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                     .load(f"{fact_path.rstrip('/')}/RunMonth={m}").select("path").limit(1))
+            if files.count() > 0:
+                found.append(m)
+        except AnalysisException:  # partition (or table) absent
+            pass
+    return spark.createDataFrame([(m,) for m in found], "RunMonth string")
 
 
 def load_batch(batch: DataFrame, epoch_id: int, fact_path: str, status_path: str) -> None:
@@ -72,7 +76,10 @@ def _load(spark: SparkSession, batch: DataFrame, epoch_id: int, fact_path: str,
         files = rows.groupBy("file_path", "RunMonth").agg(F.count(F.lit(1)).alias("rows_file"))
         first = (files.where(F.col("RunMonth").isNotNull()).groupBy("RunMonth")
                  .agg(F.min("file_path").alias("_winner")))
-        loaded = _loaded_months(spark, fact_path).select(
+        # months named by this batch's files: bounded by the number of files
+        months = [r["RunMonth"] for r in files.where(F.col("RunMonth").isNotNull())
+                  .select("RunMonth").distinct().collect()]
+        loaded = _loaded_months(spark, fact_path, months).select(
             F.col("RunMonth").alias("_m"), F.lit(True).alias("_loaded"))
         status = (F.when(F.col("RunMonth").isNull(), "IGNORED_BAD_NAME")
                   .when(F.col("_loaded") | (F.col("file_path") != F.col("_winner")), "SKIPPED_EXISTS")
