@@ -96,6 +96,22 @@ def _succeeded_months(spark: SparkSession, lake: Lake, table: str) -> set[str]:
     return {r["run_month"] for r in rows}
 
 
+def present_months(spark: SparkSession, base: str, months: list[str]) -> set[str]:
+    """Which of ``months`` have a ``year=Y/month=M`` partition with files under
+    ``base``: only those folders are listed, never the whole table."""
+    found = set()
+    for ym in months:
+        y, m = (int(v) for v in ym.split("-"))
+        try:
+            files = (spark.read.format("binaryFile").load(f"{base.rstrip('/')}/year={y}/month={m}")
+                     .select("path").limit(1))
+            if files.count() > 0:
+                found.add(ym)
+        except AnalysisException:
+            pass
+    return found
+
+
 # ------------------------------------------------------------------ ingest
 def _read_delivery(spark: SparkSession, src: str, multiline: bool) -> DataFrame:
     """A delivered CSV with its own header.  Line records keep large files
@@ -115,7 +131,7 @@ def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[st
     run_id = _run_id("csv", run_months)
     # present = a written partition, or a SUCCEEDED run (a month with no rows
     # writes nothing but still counts as done, like the reference's empty file)
-    existing = listed_months(spark, lake.bronze_orders) | _succeeded_months(spark, lake, "orders")
+    existing = present_months(spark, lake.bronze_orders, run_months) | _succeeded_months(spark, lake, "orders")
     todo = [m for m in run_months if allow_overwrite or m not in existing]
     results = [{"table": "orders", "run_month": m, "status": "SKIPPED_EXISTS", "rows": 0}
                for m in run_months if m not in todo]
