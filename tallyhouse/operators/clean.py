@@ -63,7 +63,7 @@ def clean_orders(raw: DataFrame, null_policy: str = "parity") -> Routed:
     s = stage_orders(raw)
     checks = order_checks()
     return route(dedup_orders(s), checks, ORDER_COLS, ORDER_COLS, null_policy,
-                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT, extra_aggs=profile_aggs(checks)))
+                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT, extra_aggs=profile_aggs(checks)), staged=s)
 
 
 def latest_orders(raw: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def clean_customers(raw: DataFrame) -> Routed:
     st = stage_customers(raw)
     s = mark_first(st, ["CustomerID"], CUSTOMER_SORT)
     return route(s, _pk_dup_checks("CustomerID"), CUSTOMER_COLS, CUSTOMER_COLS,
-                 firsts=first_rows(st, ["CustomerID"], CUSTOMER_SORT))
+                 firsts=first_rows(st, ["CustomerID"], CUSTOMER_SORT), staged=st)
 
 
 def first_customers(raw: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def clean_employees(raw: DataFrame) -> Routed:
     invalid = common + ["MaritalStatus", "Gender", "Territory", "Country",
                         F.col("GroupCol").alias("Group")]
     return route(s, checks, valid, invalid,
-                 firsts=first_rows(st, ["EmployeeID"], EMPLOYEE_SORT))
+                 firsts=first_rows(st, ["EmployeeID"], EMPLOYEE_SORT), staged=st)
 
 
 # ----------------------------------------------------------------- stores
@@ -214,7 +214,7 @@ def clean_categories(raw: DataFrame) -> Routed:
     st = stage_categories(raw)
     s = mark_first(st, ["CategoryID"], [("CategoryName", "asc")])
     return route(s, _pk_dup_checks("CategoryID"), CATEGORY_COLS, CATEGORY_COLS,
-                 firsts=first_rows(st, ["CategoryID"], [("CategoryName", "asc")]))
+                 firsts=first_rows(st, ["CategoryID"], [("CategoryName", "asc")]), staged=st)
 
 
 def stage_subcategories(raw: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def clean_subcategories(raw: DataFrame) -> Routed:
     checks = _pk_dup_checks("SubCategoryID") + [
         Check("cat_fk", F.col("CategoryID").isNotNull(), "CAT_FK_NULL_OR_NOT_INT")]
     return route(s, checks, SUBCATEGORY_COLS, SUBCATEGORY_COLS,
-                 firsts=first_rows(st, ["SubCategoryID"], order))
+                 firsts=first_rows(st, ["SubCategoryID"], order), staged=st)
 
 
 def stage_products(raw: DataFrame) -> DataFrame:
@@ -256,4 +256,4 @@ def clean_products(raw: DataFrame) -> Routed:
     checks = _pk_dup_checks("ProductID") + [
         Check("subcat_fk", F.col("SubCategoryID").isNotNull(), "SUBCAT_FK_NULL_OR_NOT_INT")]
     return route(s, checks, PRODUCT_COLS, PRODUCT_COLS,
-                 firsts=first_rows(st, ["ProductID"], PRODUCT_SORT))
+                 firsts=first_rows(st, ["ProductID"], PRODUCT_SORT), staged=st)

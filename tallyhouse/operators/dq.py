@@ -170,6 +170,7 @@ class Routed:
     firsts: DataFrame | None = None   # the rn=1 rows only, with checks (no join back)
     audit_from_firsts: bool = False   # firsts carry group sizes of exactly the routed rows
     checks: list = field(default_factory=list)
+    staged: DataFrame | None = None   # the input before dedup (every row, with _rid)
 
     def valid(self) -> DataFrame:
         """All checks TRUE.  Valid rows are first rows of their key, so when the
@@ -179,7 +180,19 @@ class Routed:
         return src.where(F.col(STATUS) == "valid").select(*self._cols(self.valid_cols))
 
     def invalid(self) -> DataFrame:
-        return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
+        """Invalid rows with REASON.  With the first rows known (and no fan-out),
+        no row needs a flag: invalid first rows come from the checked first
+        rows, and every later row (an anti join on the unique row id) is invalid
+        with the reason decided before the dedup check, else the dedup reason."""
+        if self.firsts is None or not self.audit_from_firsts or self.staged is None:
+            return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
+        cat, _ = pre_dedup_category(self.checks)
+        dup_reason = next(c.reason for c in self.checks if c.name == "dedup")
+        first_bad = self.firsts.where(F.col(STATUS) == "invalid")
+        later = (self.staged.join(self.firsts.select(RID), on=RID, how="left_anti")
+                 .withColumn(REASON, F.coalesce(cat, F.lit(dup_reason))))
+        cols = self._cols(self.invalid_cols)
+        return first_bad.select(*cols).unionByName(later.select(*cols))
 
     def _cols(self, names: list[str]) -> list[Column]:
         return [F.col(c).alias(self.renames.get(c, c)) if isinstance(c, str) else c for c in names]
@@ -222,7 +235,7 @@ class Routed:
 
 def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: list,
           null_policy: str = "parity", firsts: DataFrame | None = None,
-          audit_from_firsts: bool = True) -> Routed:
+          audit_from_firsts: bool = True, staged: DataFrame | None = None) -> Routed:
     """Route every row to valid / invalid with the first failing check as REASON.
 
     SQL three-valued logic is kept: valid = all checks TRUE; invalid = NOT(all)
@@ -235,7 +248,7 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
     out = _apply_checks(df, checks, null_policy)
     first_out = _apply_checks(firsts, checks, null_policy) if firsts is not None else None
     return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out,
-                  checks=list(checks),
+                  checks=list(checks), staged=staged,
                   audit_from_firsts=audit_from_firsts and first_out is not None
                   and GROUP_ROWS in first_out.columns)
 
