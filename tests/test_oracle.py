@@ -7,7 +7,8 @@ import __spark_entry__ as entry
 
 
 def test_contract_keys():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.all_queries()) == set(entry.all_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) >= 50
 
 
