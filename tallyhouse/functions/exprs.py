@@ -1,7 +1,7 @@
 """Scalar column functions, all built-in Spark expressions.
 
-Every function maps Column -> Column, so whole-stage codegen stays on and no
-Python runs per row.
+Every function maps Column -> Column without lambdas, so whole-stage codegen
+stays on and no Python runs per row.
 """
 
 from __future__ import annotations
@@ -35,10 +35,10 @@ DECLARED_PATTERNS = {"M/d/yyyy": "%m/%d/%Y", "MM/dd/yyyy": "%m/%d/%Y",
 # ---------------------------------------------------------------------------
 
 _WS_CLASS = "[ \\t\\n\\x0B\\f\\r]"
-INT_TEXT = f"^{_WS_CLASS}*[+-]?[0-9]+{_WS_CLASS}*$"
-NUM_TEXT = f"^{_WS_CLASS}*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?{_WS_CLASS}*$"
-DEC_TEXT = f"^{_WS_CLASS}*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+){_WS_CLASS}*$"
-MDY_TEXT = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$"
+INT_TEXT = f"^{_WS_CLASS}*[+-]?[0-9]+{_WS_CLASS}*\\z"
+NUM_TEXT = f"^{_WS_CLASS}*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?{_WS_CLASS}*\\z"
+DEC_TEXT = f"^{_WS_CLASS}*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+){_WS_CLASS}*\\z"
+MDY_TEXT = r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z"   # \z: not before a final line break
 
 
 def _c(c) -> Column:
@@ -90,43 +90,14 @@ def parse_mdy_ts(c) -> Column:
     return parse_mdy(c).cast("timestamp_ntz")
 
 
-# F7 strptime-style cascade -------------------------------------------------------
-_DIRECTIVE = {
-    "%m": "(1[0-2]|0[1-9]|[1-9])",
-    "%d": "(3[01]|[12][0-9]|0[1-9]|[1-9])",
-    "%Y": "([0-9]{4})",
-}
-
-
-def strptime_regex(fmt: str) -> tuple[str, dict[str, int]]:
-    """Regex accepting exactly the texts ``datetime.strptime(s, fmt)`` accepts
-    for the directives %Y %m %d, and the group index of each part."""
-    out, groups, i, g = "^", {}, 0, 0
-    while i < len(fmt):
-        if fmt[i] == "%":
-            tok = fmt[i:i + 2]
-            g += 1
-            groups[tok[1]] = g
-            out += _DIRECTIVE[tok]
-            i += 2
-        else:
-            out += re.escape(fmt[i])
-            i += 1
-    return out + "$", groups
-
-
-def parse_strptime(c, fmt: str) -> Column:
-    """TRY(strptime(x, fmt)) as DATE: the regex admits the text, one
-    regexp_replace reorders it to year-month-day, an invalid day -> NULL."""
-    c = _c(c)
-    rx, g = strptime_regex(fmt)
-    ymd = F.regexp_replace(c, rx, f"${g['Y']}-${g['m']}-${g['d']}")
-    return F.when(c.rlike(rx), ymd.try_cast("date"))
-
-
-def cascade_formats(declared: str | None) -> list[str]:
-    first = DECLARED_PATTERNS.get(declared or "")
-    return ([first] if first else []) + CASCADE_FORMATS
+# F7 date-text cascade ------------------------------------------------------------
+_MONTH, _DAY, _YEAR = "(1[0-2]|0[1-9]|[1-9])", "(3[01]|[12][0-9]|0[1-9]|[1-9])", "([0-9]{4})"
+# One pattern per family of formats; families exclude one another by shape, so
+# only the two dash forms ever compete.
+_YEAR_FIRST = f"^{_YEAR}([-/]){_MONTH}\\2{_DAY}\\z"        # %Y-%m-%d, %Y/%m/%d
+_SLASHES = f"^{_MONTH}/{_DAY}/{_YEAR}\\z"                   # %m/%d/%Y
+_DAY_FIRST = f"^{_DAY}-{_MONTH}-{_YEAR}\\z"                 # %d-%m-%Y
+_MONTH_FIRST = f"^{_MONTH}-{_DAY}-{_YEAR}\\z"               # %m-%d-%Y
 
 
 def date_head(c) -> Column:
@@ -134,16 +105,22 @@ def date_head(c) -> Column:
     return F.substring_index(F.substring_index(trim_ws(c), "T", 1), " ", 1)
 
 
-def bind(c, fn) -> Column:
-    """Evaluate ``c`` once and pass it to ``fn`` as a lambda variable, so an
-    expression used many times by ``fn`` is not copied into the plan."""
-    return F.transform(F.array(_c(c)), fn).getItem(0)
-
-
 def parse_cascade(c, declared: str | None = "MM-dd-yyyy") -> Column:
-    """First format of the cascade that parses decides the date."""
-    fmts = cascade_formats(declared)
-    return bind(date_head(c), lambda h: F.coalesce(*[parse_strptime(h, f) for f in fmts]))
+    """First format of the cascade that parses decides the date (F7): the
+    declared one, then CASCADE_FORMATS in order.
+
+    The text passes through one replacement per family; a text that fits is
+    rewritten as year-month-day behind a mark and fits no later pattern.  So
+    every step is used once and the expression stays small.  (A text that fits
+    the first dash form but is no date never fits the second one: one of its
+    two numbers is above 12.)
+    """
+    day_first, month_first = (_DAY_FIRST, "$3-$2-$1"), (_MONTH_FIRST, "$3-$1-$2")
+    dashes = [month_first, day_first] if DECLARED_PATTERNS.get(declared or "") == "%m-%d-%Y" else [day_first, month_first]
+    text = F.regexp_replace(date_head(c), "^\u0001", " ")
+    for pattern, order in [(_YEAR_FIRST, "$1-$3-$4"), (_SLASHES, "$3-$1-$2"), *dashes]:
+        text = F.regexp_replace(text, pattern, "\u0001" + order)
+    return F.regexp_extract(text, "^\u0001(.*)$", 1).try_cast("date")
 
 
 def check_run_month(ym: str) -> str:
@@ -164,12 +141,6 @@ def parsed_month(c, declared: str | None = "MM-dd-yyyy") -> Column:
     return F.date_format(parse_cascade(c, declared), "yyyy-MM")
 
 
-def in_run_months(c, months: list[str], declared: str | None = "MM-dd-yyyy") -> Column:
-    for m in months:
-        check_run_month(m)
-    return F.coalesce(parsed_month(c, declared).isin(months), F.lit(False))
-
-
 # F6 / F12 -------------------------------------------------------------------
 def blank_to_null(c) -> Column:
     return F.nullif(trim_ws(c), F.lit(""))
@@ -265,8 +236,9 @@ def safe_ratio(num, den) -> Column:
 
 # F24 -------------------------------------------------------------------------
 def decode_key(c) -> Column:
-    """Percent-decode an object key ('+' -> space); malformed escapes -> NULL."""
-    return F.try_url_decode(_c(c))
+    """Percent-decode an object key ('+' -> space); a malformed escape stays as
+    it is."""
+    return F.try_url_decode(F.regexp_replace(_c(c), "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 # F25 -------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 Each ``stage_*`` types and trims the raw text columns; each ``clean_*`` adds
 the keep-first flag and routes rows with the entity's checks, in the
 reference's REASON precedence.  Raw inputs must carry ``_rid`` (see dq).
+The REASON texts are fixed values: they must equal the reference's.
 """
 
 from __future__ import annotations
@@ -63,7 +64,8 @@ def clean_orders(raw: DataFrame, null_policy: str = "parity") -> Routed:
     s = stage_orders(raw)
     checks = order_checks()
     return route(dedup_orders(s), checks, ORDER_COLS, ORDER_COLS, null_policy,
-                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT, extra_aggs=profile_aggs(checks)), staged=s)
+                 firsts=first_rows(s, ORDER_KEY, ORDER_SORT, extra_aggs=profile_aggs(checks)), staged=s,
+                 keys=ORDER_KEY)
 
 
 def latest_orders(raw: DataFrame) -> DataFrame:
@@ -90,7 +92,7 @@ def clean_customers(raw: DataFrame) -> Routed:
     st = stage_customers(raw)
     s = mark_first(st, ["CustomerID"], CUSTOMER_SORT)
     return route(s, _pk_dup_checks("CustomerID"), CUSTOMER_COLS, CUSTOMER_COLS,
-                 firsts=first_rows(st, ["CustomerID"], CUSTOMER_SORT), staged=st)
+                 firsts=first_rows(st, ["CustomerID"], CUSTOMER_SORT), staged=st, keys=["CustomerID"])
 
 
 def first_customers(raw: DataFrame) -> DataFrame:
@@ -135,7 +137,7 @@ def clean_employees(raw: DataFrame) -> Routed:
     invalid = common + ["MaritalStatus", "Gender", "Territory", "Country",
                         F.col("GroupCol").alias("Group")]
     return route(s, checks, valid, invalid,
-                 firsts=first_rows(st, ["EmployeeID"], EMPLOYEE_SORT), staged=st)
+                 firsts=first_rows(st, ["EmployeeID"], EMPLOYEE_SORT), staged=st, keys=["EmployeeID"])
 
 
 # ----------------------------------------------------------------- stores
@@ -214,7 +216,7 @@ def clean_categories(raw: DataFrame) -> Routed:
     st = stage_categories(raw)
     s = mark_first(st, ["CategoryID"], [("CategoryName", "asc")])
     return route(s, _pk_dup_checks("CategoryID"), CATEGORY_COLS, CATEGORY_COLS,
-                 firsts=first_rows(st, ["CategoryID"], [("CategoryName", "asc")]), staged=st)
+                 firsts=first_rows(st, ["CategoryID"], [("CategoryName", "asc")]), staged=st, keys=["CategoryID"])
 
 
 def stage_subcategories(raw: DataFrame) -> DataFrame:
@@ -230,7 +232,7 @@ def clean_subcategories(raw: DataFrame) -> Routed:
     checks = _pk_dup_checks("SubCategoryID") + [
         Check("cat_fk", F.col("CategoryID").isNotNull(), "CAT_FK_NULL_OR_NOT_INT")]
     return route(s, checks, SUBCATEGORY_COLS, SUBCATEGORY_COLS,
-                 firsts=first_rows(st, ["SubCategoryID"], order), staged=st)
+                 firsts=first_rows(st, ["SubCategoryID"], order), staged=st, keys=["SubCategoryID"])
 
 
 def stage_products(raw: DataFrame) -> DataFrame:
@@ -256,4 +258,4 @@ def clean_products(raw: DataFrame) -> Routed:
     checks = _pk_dup_checks("ProductID") + [
         Check("subcat_fk", F.col("SubCategoryID").isNotNull(), "SUBCAT_FK_NULL_OR_NOT_INT")]
     return route(s, checks, PRODUCT_COLS, PRODUCT_COLS,
-                 firsts=first_rows(st, ["ProductID"], PRODUCT_SORT), staged=st)
+                 firsts=first_rows(st, ["ProductID"], PRODUCT_SORT), staged=st, keys=["ProductID"])

@@ -11,7 +11,7 @@ huge group of identical copies) would land on a single executor.  Instead:
    or sort-merge join from the measured partition sizes).
 
 Outputs that need only the first rows (valid rows, latest rows) skip step 2:
-the aggregate returns the winning row itself, plus per-key counts from which
+the smallest ordering struct is the winning row itself; per-key counts give
 the split audit and the per-REASON profile follow (``Routed``).
 
 The ordering is NULLS LAST in both directions (the reference engine's rule) and
@@ -44,21 +44,6 @@ def with_row_id(df: DataFrame, name: str = RID) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def spread_if_few_partitions(df: DataFrame, key: str = RID) -> DataFrame:
-    """A scan with fewer partitions than the session has cores (for example a
-    file holding one large parquet row group) leaves all per-row work to a few
-    tasks.  Such input is spread evenly by its unique row id, so no key can
-    become hot.  Inputs with enough partitions are returned untouched, leaving
-    the planner's own exchanges and AQE's skew handling in place."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # sessions without RDD access: leave it to the planner
-        return df
-    return df.repartition(cores, key)
-
-
 def file_row_id() -> Column:
     """Deterministic row id of a parquet scan: (hash of the file path, row
     index in the file).  Exact within a file; files are told apart by a
@@ -107,18 +92,32 @@ def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
 def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
                rid: str = RID, count_col: str | None = None,
                extra_aggs: dict[str, Column] | None = None) -> DataFrame:
-    """Rows with row number 1 only: the aggregate returns each key's winning
-    row itself (``min_by`` of the whole row), so the input is consumed once and
-    no join back is needed.  ``count_col`` adds the key's row count and
-    ``extra_aggs`` further per-key aggregates."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    aggs = [F.min_by(row, ordering_key(df, order, rid)).alias("_w")]
+    """Rows with row number 1 only, in one aggregate and without a join back.
+
+    The smallest ordering struct *is* the winning row: it holds every ordered
+    column once (with its NULLS LAST flag; a descending one also as it was),
+    then ``_rid`` and whatever column takes no part in the ordering.
+    ``count_col`` adds the key's row count and ``extra_aggs`` further per-key
+    aggregates."""
+    parts, take = [], {k: F.col(k) for k in keys}
+    for i, (c, direction) in enumerate(order):
+        parts.append(F.col(c).isNull().alias(f"n{i}"))
+        if direction == "asc":
+            parts.append(F.col(c).alias(f"s{i}"))
+            take[c] = F.col(f"_w.s{i}")
+        else:
+            parts += [_descending_key(df, c).alias(f"s{i}"), F.col(c).alias(f"v{i}")]
+            take[c] = F.col(f"_w.v{i}")
+    for c in [rid] + [c for c in df.columns if c not in take and c != rid]:
+        parts.append(F.col(c).alias(f"r_{c}"))
+        take[c] = F.col(f"_w.r_{c}")
+    aggs = [F.min(F.struct(*parts)).alias("_w")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     extra = dict(extra_aggs or {})
     aggs += [a.alias(n) for n, a in extra.items()]
     return (df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
-            .select("_w.*", *([count_col] if count_col else []), *extra))
+            .select(*[take[c].alias(c) for c in df.columns], *([count_col] if count_col else []), *extra))
 
 
 def first_rows(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
@@ -171,6 +170,7 @@ class Routed:
     audit_from_firsts: bool = False   # firsts carry group sizes of exactly the routed rows
     checks: list = field(default_factory=list)
     staged: DataFrame | None = None   # the input before dedup (every row, with _rid)
+    keys: list = field(default_factory=list)   # the dedup key; a NULL in it fails a check before dedup
 
     def valid(self) -> DataFrame:
         """All checks TRUE.  Valid rows are first rows of their key, so when the
@@ -182,17 +182,22 @@ class Routed:
     def invalid(self) -> DataFrame:
         """Invalid rows with REASON.  With the first rows known (and no fan-out),
         no row needs a flag: invalid first rows come from the checked first
-        rows, and every later row (an anti join on the unique row id) is invalid
-        with the reason decided before the dedup check, else the dedup reason."""
-        if self.firsts is None or not self.audit_from_firsts or self.staged is None:
+        rows.  Later rows exist only for keys that repeat, so only these keys
+        are joined back; a later row is invalid with the reason decided before
+        the dedup check, else the dedup reason.  Rows with a NULL in the key are
+        invalid whatever their place in the group and take no part in the join."""
+        if self.firsts is None or not self.audit_from_firsts or self.staged is None or not self.keys:
             return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
         cat, _ = pre_dedup_category(self.checks)
         dup_reason = next(c.reason for c in self.checks if c.name == "dedup")
-        first_bad = self.firsts.where(F.col(STATUS) == "invalid")
-        later = (self.staged.join(self.firsts.select(RID), on=RID, how="left_anti")
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
+        first_bad = self.firsts.where(~no_key & (F.col(STATUS) == "invalid"))
+        again = self.firsts.where(~no_key & (F.col(GROUP_ROWS) > 1)).select(*self.keys, F.col(RID).alias("_win"))
+        later = (self.staged.where(~no_key).join(again, on=self.keys).where(F.col(RID) != F.col("_win"))
                  .withColumn(REASON, F.coalesce(cat, F.lit(dup_reason))))
+        keyless = self.staged.where(no_key).withColumn(REASON, cat)
         cols = self._cols(self.invalid_cols)
-        return first_bad.select(*cols).unionByName(later.select(*cols))
+        return first_bad.select(*cols).unionByName(later.select(*cols)).unionByName(keyless.select(*cols))
 
     def _cols(self, names: list[str]) -> list[Column]:
         return [F.col(c).alias(self.renames.get(c, c)) if isinstance(c, str) else c for c in names]
@@ -235,7 +240,8 @@ class Routed:
 
 def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: list,
           null_policy: str = "parity", firsts: DataFrame | None = None,
-          audit_from_firsts: bool = True, staged: DataFrame | None = None) -> Routed:
+          audit_from_firsts: bool = True, staged: DataFrame | None = None,
+          keys: list[str] | None = None) -> Routed:
     """Route every row to valid / invalid with the first failing check as REASON.
 
     SQL three-valued logic is kept: valid = all checks TRUE; invalid = NOT(all)
@@ -248,7 +254,7 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
     out = _apply_checks(df, checks, null_policy)
     first_out = _apply_checks(firsts, checks, null_policy) if firsts is not None else None
     return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out,
-                  checks=list(checks), staged=staged,
+                  checks=list(checks), staged=staged, keys=list(keys or []),
                   audit_from_firsts=audit_from_firsts and first_out is not None
                   and GROUP_ROWS in first_out.columns)
 

@@ -40,17 +40,29 @@ def units_sold(fact: DataFrame) -> DataFrame:
     return fact.groupBy("RunMonth").agg(F.sum("OrderQty").cast("bigint").alias("units_sold"))
 
 
-def _line_margin(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
+def _margin_parts(fact: DataFrame, by: str) -> DataFrame:
+    """Per (``by``, product): what gross margin needs, before any join.  Lines
+    without an amount or a quantity have no margin; ``total_sales`` counts all."""
+    both = F.col("LineTotal").isNotNull() & F.col("OrderQty").isNotNull()
+    return fact.groupBy(by, "ProductKey").agg(
+        F.sum(F.when(both, money("LineTotal"))).cast(MONEY).alias("_lines"),
+        F.sum(F.when(both, F.col("OrderQty"))).cast("decimal(20,0)").alias("_qty"),
+        F.sum(money("TotalDue")).cast(MONEY).alias("_due"))
+
+
+def _with_margin(parts: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """The product's cost joined to the aggregated lines (one row per product
+    key and group, times the product's dimension rows)."""
     p = dim_product.select(F.col("ProductKey").alias("_pk"),
                            F.col("StandardCost").cast("decimal(18,2)").alias("_cost"))
-    return fact.join(p, fact.ProductKey == p._pk, "left").withColumn(
-        "_margin", money("LineTotal") - F.col("OrderQty") * F.col("_cost"))
+    return parts.join(p, parts.ProductKey == p._pk, "left").withColumn(
+        "_margin", F.col("_lines") - (F.col("_qty") * F.col("_cost")).cast(MONEY))
 
 
 def gross_margin(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """M5: SUM(LineTotal - OrderQty * StandardCost) per month; lines without a
     known product cost are left out of the sum."""
-    return _line_margin(fact, dim_product).groupBy("RunMonth").agg(
+    return _with_margin(_margin_parts(fact, "RunMonth"), dim_product).groupBy("RunMonth").agg(
         _sum_money(F.col("_margin"), "gross_margin"))
 
 
@@ -77,50 +89,58 @@ def store_compliance_bands(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
                     ratio.alias("compliance"), band.alias("band"))
 
 
-def _with_country(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
+def _with_country(rows: DataFrame, dim_employee: DataFrame) -> DataFrame:
     e = dim_employee.select(F.col("EmployeeKey").alias("_ek"), "Country")
-    return fact.join(e, fact.EmployeeKey == e._ek, "left")
+    return rows.join(e, rows.EmployeeKey == e._ek, "left")
 
 
 def margin_by_country(fact: DataFrame, dim_employee: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """M7: sales and gross margin per employee Country."""
-    lines = _with_country(_line_margin(fact, dim_product), dim_employee)
-    return lines.groupBy("Country").agg(_sum_money(money("TotalDue"), "total_sales"),
-                                        _sum_money(F.col("_margin"), "gross_margin"))
+    """M7: sales and gross margin per employee Country, both dimensions joined
+    to lines already summed per (employee, product)."""
+    parts = _with_margin(_margin_parts(fact, "EmployeeKey"), dim_product)
+    per = parts.groupBy("EmployeeKey").agg(F.sum("_due").cast(MONEY).alias("_due"),
+                                           F.sum("_margin").cast(MONEY).alias("_margin"))
+    return _with_country(per, dim_employee).groupBy("Country").agg(
+        _sum_money(F.col("_due"), "total_sales"), _sum_money(F.col("_margin"), "gross_margin"))
 
 
 def sales_by_month_country(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
-    """Flagship: the sales view sliced by month and employee country."""
-    return _with_country(fact, dim_employee).groupBy("RunMonth", "Country").agg(
-        _sum_money(money("TotalDue"), "total_sales"),
-        F.sum("OrderQty").cast("bigint").alias("units"),
-        F.count(F.lit(1)).alias("lines"))
+    """Flagship: the sales view sliced by month and employee country; the fact
+    is summed per (month, employee) before the country is joined."""
+    per = fact.groupBy("RunMonth", "EmployeeKey").agg(
+        F.sum(money("TotalDue")).cast(MONEY).alias("_due"), F.sum("OrderQty").alias("_qty"),
+        F.count(F.lit(1)).alias("_n"))
+    return _with_country(per, dim_employee).groupBy("RunMonth", "Country").agg(
+        _sum_money(F.col("_due"), "total_sales"),
+        F.sum("_qty").cast("bigint").alias("units"),
+        F.sum("_n").cast("bigint").alias("lines"))
 
 
 def cumulative_sales(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """Running total per Country over a dense month calendar.
 
-    The fact is aggregated to (Country, month) first; the calendar spans the
-    loaded months' range and is generated per country with ``sequence`` (no
-    cross join); the window then runs over countries x months only.
+    The fact is scanned once, into the (Country, month) totals.  From these
+    alone come the range of months and the calendar: a country's gaps between
+    one month and its next (and out to both ends of the range) are filled with
+    ``sequence``.  The windows run over countries x months only.
     """
     monthly = sales_by_month_country(fact, dim_employee).select(
         "Country", F.col("RunMonth").alias("YearMonth"), "total_sales")
-    # calendar bounds are scalar subqueries (one value each, evaluated once)
-    lo = fact.agg(F.min("RunMonth")).scalar()
-    hi = fact.agg(F.max("RunMonth")).scalar()
-    countries = monthly.select("Country").distinct()
-    cal = countries.select(
-        "Country",
-        F.explode(F.sequence(X.month_start(lo), X.month_start(hi),
-                             F.expr("INTERVAL 1 MONTH"))).alias("m"))
-    cal = cal.select(F.col("Country").alias("_c"), F.date_format("m", "yyyy-MM").alias("_ym"))
-    dense = cal.join(monthly, on=[F.col("_c").eqNullSafe(F.col("Country")),
-                                  F.col("_ym") == F.col("YearMonth")], how="left").select(
-        F.col("_c").alias("Country"), F.col("_ym").alias("YearMonth"),
-        F.coalesce(F.col("total_sales"), F.lit(0).cast(MONEY)).alias("sales"))
-    w = (Window.partitionBy("Country").orderBy("YearMonth")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    month = X.month_start("YearMonth")
+    whole = Window.partitionBy()                    # as many rows as countries x months
+    own = Window.partitionBy("Country").orderBy("YearMonth")
+    spans = monthly.select(
+        "*", F.min(month).over(whole).alias("_lo"), F.max(month).over(whole).alias("_hi"),
+        F.row_number().over(own).alias("_k"), F.lead(month).over(own).alias("_next"))
+    # the first row of a country also covers the months before it
+    begin = F.when(F.col("_k") == 1, F.col("_lo")).otherwise(month)
+    end = F.coalesce(F.add_months("_next", -1), F.col("_hi"))
+    dense = spans.select("Country", month.alias("_m"), "total_sales", F.explode(
+        F.sequence(begin, end, F.expr("INTERVAL 1 MONTH"))).alias("m")).select(
+        "Country", F.date_format("m", "yyyy-MM").alias("YearMonth"),
+        F.when(F.col("m") == F.col("_m"), F.coalesce("total_sales", F.lit(0).cast(MONEY)))
+        .otherwise(F.lit(0).cast(MONEY)).alias("sales"))
+    w = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return dense.withColumn("cumulative_sales", F.sum("sales").over(w).cast(MONEY))
 
 

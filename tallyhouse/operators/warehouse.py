@@ -125,6 +125,21 @@ def fact_projection(raw_orders: DataFrame, run_month=None) -> DataFrame:
 
 
 # --------------------------------------------------------------- silver path
+def fact_from_silver(silver_orders: DataFrame, run_month: str | None = None) -> DataFrame:
+    """L5 from validated orders (no invalid rows, one row per order line).
+
+    Silver has no DueDate and ShipDate; they are NULL in the fact.  RunMonth is
+    ``run_month``, or the month of the (never NULL) OrderDate.
+    """
+    names = {"SalesOrderID": "SalesOrderKey", "SalesOrderDetailID": "SalesOrderDetailKey", "EmployeeID": "EmployeeKey",
+             "CustomerID": "CustomerKey", "ProductID": "ProductKey", "StoreID": "StoreKey"}
+    out = silver_orders.withColumnsRenamed(names).withColumns({
+        "RunMonth": F.lit(run_month) if run_month else F.date_format("OrderDate", "yyyy-MM"),
+        "OrderDate": F.col("OrderDate").cast("date"),
+        "DueDate": F.lit(None).cast("date"), "ShipDate": F.lit(None).cast("date")})
+    return out.select(*FACT_COLS)
+
+
 def silver_dim_customer(raw_customers: DataFrame) -> DataFrame:
     return C.clean_customers(raw_customers).valid().withColumnRenamed("CustomerID", "CustomerKey")
 
@@ -168,8 +183,12 @@ WAREHOUSE_SCHEMAS = {
 
 
 def read_warehouse(spark, path: str, table: str) -> DataFrame:
-    """Parquet scan of a warehouse table with its declared schema (no
-    inference; a silver-built store Budget stored as DECIMAL is read as DOUBLE)."""
-    df = spark.read.parquet(path)
+    """Parquet scan of a warehouse table with its declared schema, given to
+    the reader: no footer is read to infer one.  ``to_warehouse`` wrote it so."""
+    return spark.read.schema(WAREHOUSE_SCHEMAS[table]).parquet(path)
+
+
+def to_warehouse(df: DataFrame, table: str) -> DataFrame:
+    """Columns and types as declared (a silver Budget is DECIMAL, the table's DOUBLE)."""
     want = [f.split() for f in WAREHOUSE_SCHEMAS[table].split(", ")]
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in want])

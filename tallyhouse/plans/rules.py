@@ -82,22 +82,23 @@ def parent_of(fk: str, rules=DEFAULT_RULES) -> str | None:
 
 def fk_orphan_counts(child: DataFrame, table: str, parents: dict[str, tuple[str, DataFrame]]) -> DataFrame:
     """J6 for all foreign keys of one child table in one pass over the child:
-    each parent's distinct keys are left-joined as a found-marker, then one
-    aggregate counts checked (non-NULL) and orphaned rows per key."""
-    j = child
-    for i, (fk, (_parent, pdf)) in enumerate(parents.items()):
-        keys = pdf.where(F.col(fk).isNotNull()).select(F.col(fk).alias(f"_k{i}")).distinct()
-        j = j.join(keys.withColumn(f"_found{i}", F.lit(True)), F.col(fk) == F.col(f"_k{i}"), "left")
-    aggs = []
-    for i, fk in enumerate(parents):
-        aggs += [F.count(F.when(F.col(fk).isNotNull(), 1)).alias(f"c{i}"),
-                 F.count(F.when(F.col(fk).isNotNull() & F.col(f"_found{i}").isNull(), 1)).alias(f"o{i}")]
-    wide = j.agg(*aggs)
-    items = [F.struct(F.lit(fk).alias("fk"), F.lit(parent).alias("parent"),
-                      F.col(f"c{i}").alias("n_checked"), F.col(f"o{i}").alias("n_orphans"))
-             for i, (fk, (parent, _)) in enumerate(parents.items())]
-    return wide.select(F.explode(F.array(*items)).alias("x")).select(
-        F.lit(table).alias("table"), "x.fk", "x.parent", "x.n_checked", "x.n_orphans")
+    its rows are counted per (foreign key, value) first, and only these
+    distinct values are compared with the parents' keys."""
+    items = [F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("v")) for fk in parents]
+    values = (child.select(F.explode(F.array(*items)).alias("x")).where("x.v IS NOT NULL")
+              .groupBy("x.fk", "x.v").agg(F.count(F.lit(1)).alias("n")))
+    keys = reduce(DataFrame.unionByName, [
+        pdf.where(F.col(fk).isNotNull()).select(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("v"))
+        for fk, (_parent, pdf) in parents.items()]).distinct().withColumn("found", F.lit(True))
+    counted = values.join(keys, ["fk", "v"], "left").groupBy("fk").agg(
+        F.sum("n").alias("n_checked"),
+        F.sum(F.when(F.col("found").isNull(), F.col("n")).otherwise(0)).alias("n_orphans"))
+    # every foreign key has its row, also one without any value
+    every = child.sparkSession.createDataFrame([(fk, parent) for fk, (parent, _) in parents.items()], "fk string, parent string")
+    zero = F.lit(0).cast("bigint")
+    return every.join(counted, "fk", "left").select(
+        F.lit(table).alias("table"), "fk", "parent", F.coalesce("n_checked", zero).alias("n_checked"),
+        F.coalesce("n_orphans", zero).alias("n_orphans"))
 
 
 def fk_orphan_report(spark: SparkSession, sf: str, rules=DEFAULT_RULES) -> DataFrame:

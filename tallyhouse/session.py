@@ -30,6 +30,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    # generated classes of many different plans stay compiled
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
@@ -48,33 +50,22 @@ def build_session(master: str | None = None, app: str = "tallyhouse",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
-    spark = b.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return b.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared, durable folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is made.
+    On a cluster this setting must name a shared, durable folder.  Only a local
+    session (tests) gets a fresh scratch folder where it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None) or current
-    if not d:  # local sessions only (tests): nothing names a shared folder
+    if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
     if not current:
         sc.setCheckpointDir(d)
     return d
-
-
-def apply_session_defaults(spark: SparkSession) -> None:
-    """Apply the runtime-settable defaults to an existing session (driver-made)."""
-    for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui"):
-            continue
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static config on a running session: leave it
-            pass

@@ -6,8 +6,8 @@ DECIMAL before STRING so every engine prints them the same way.
 
 Each raw view carries ``_rid``: a row id that is stable across recomputation.
 The orders feed uses (hash of file path, row index in the file) from the
-parquet scan; dimension views use ``monotonically_increasing_id`` over their
-unshuffled scans, or a unique data key.  Dedup uses it only to break ties
+parquet scan; dimension views use their unique data key (its copy is told
+apart by a sign), the budget feed ``monotonically_increasing_id`` over its scans.  Dedup uses it only to break ties
 between rows that are equal in every output column.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dq import file_row_id, spread_if_few_partitions
+from tallyhouse.operators.dq import file_row_id
 
 RID = "_rid"
 
@@ -44,8 +44,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     ).withColumn(RID, file_row_id())  # deterministic: (file, row index)
-    li = spread_if_few_partitions(li)
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # lines and orders both grow with the data: a sort-merge join, whatever the
+    # size at hand (never a broadcast of the orders)
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
     su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(su, li.l_suppkey == su.s_suppkey)
 
@@ -84,11 +85,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_dups(base: DataFrame, is_dup: Column, suffix_cols: list[str]) -> DataFrame:
     """UNION ALL the rows selected by ``is_dup`` again, with ' B' appended to the
-    named columns, then number rows over the (unshuffled) union."""
+    named columns.  The row id is the data key ``_k``, negative for a copy, so it
+    is the same in every plan branch."""
     dup = base.where(is_dup).select(
         *[(F.concat(F.col(c), F.lit(" B")) if c in suffix_cols else F.col(c)).alias(c)
           for c in base.columns])
-    return base.unionByName(dup).withColumn(RID, F.monotonically_increasing_id())
+    return (base.withColumn(RID, F.col("_k").cast("bigint"))
+            .unionByName(dup.withColumn(RID, -F.col("_k").cast("bigint") - 1)))
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,12 +99,10 @@ def test_store_join_dropped_only_when_keys_unique(spark):
     assert V.v_sales(fact, cu, em, dup, pr).count() > 3000      # duplicates fan out
 
 
-def test_spread_only_few_partition_inputs(spark):
-    one = spark.range(0, 1000, numPartitions=1).select(F.col("id").alias(dq.RID))
-    spread = dq.spread_if_few_partitions(one)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread.rdd.getNumPartitions() == cores
-    plan = spread._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(_rid" in plan              # spread on the unique id, never on a key
-    many = spark.range(0, 1000, numPartitions=cores * 2).select(F.col("id").alias(dq.RID))
-    assert dq.spread_if_few_partitions(many) is many    # enough partitions: untouched
+def test_feed_join_never_broadcasts_the_orders(spark):
+    from conftest import SF_SMALL
+    from tallyhouse.sources import fixtures as FX
+    df = FX.raw_orders(spark, SF_SMALL)
+    df.count()
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [l_orderkey" in plan
