@@ -27,6 +27,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--run-months", nargs="+", required=True)
     s.add_argument("--refresh-dims", action="store_true")
     s.add_argument("--allow-overwrite", action="store_true")
+    s.add_argument("--jdbc-url", help="store database (manifest type mysql)")
+    s.add_argument("--jdbc-driver")
+    s.add_argument("--budget-inbox", help="folder of the budget sheet (manifest type excel)")
 
     s = lake(sub.add_parser("silver", help="bronze -> silver for one month"))
     s.add_argument("--run-month", required=True)
@@ -40,10 +43,11 @@ def _parser() -> argparse.ArgumentParser:
     s = lake(sub.add_parser("load-month", help="load one month file into fact_sales"))
     s.add_argument("--run-month")
     s.add_argument("--key", help="exact file path; wins over --run-month")
+    s.add_argument("--source", choices=["silver", "bronze"], default="silver")
 
     s = lake(sub.add_parser("stream", help="file-arrival fact load (available-now run)"))
     s.add_argument("--checkpoint", required=True)
-    s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--max-files-per-trigger", type=int, default=1000)
 
     s = lake(sub.add_parser("next-month", help="month the scheduler would request next"))
     s.add_argument("--start", default="2011-05")
@@ -58,17 +62,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or build_session(app=f"tallyhouse-{a.cmd}")
     lake = J.Lake(a.lake)
     if a.cmd == "ingest":
-        out = J.ingest_from_manifest(spark, a.manifest, lake, a.run_months, a.refresh_dims, a.allow_overwrite)
+        jdbc = {"url": a.jdbc_url, "properties": {"driver": a.jdbc_driver} if a.jdbc_driver else None} \
+            if a.jdbc_url else None
+        out = J.ingest_from_manifest(spark, a.manifest, lake, a.run_months, a.refresh_dims, a.allow_overwrite,
+                                     jdbc, {"inbox": a.budget_inbox} if a.budget_inbox else None)
     elif a.cmd == "silver":
         out = J.bronze_to_silver(spark, lake, a.run_month, a.refresh_dims, a.null_policy)
     elif a.cmd == "dims":
         out = J.build_dims(spark, lake, a.run_month, a.source)
     elif a.cmd == "load-month":
-        out = J.load_month(spark, lake, run_month=a.run_month, key=a.key)
+        out = J.load_month(spark, lake, run_month=a.run_month, key=a.key, source=a.source)
     elif a.cmd == "stream":
         from tallyhouse.streaming.file_arrival import start_fact_stream
         q = start_fact_stream(spark, lake.landing_orders, lake.warehouse("fact_sales"), lake.load_status,
-                              a.checkpoint, max_files_per_trigger=a.max_files_per_trigger)
+                              a.checkpoint, max_files_per_trigger=a.max_files_per_trigger,
+                              bronze_orders=lake.bronze_orders)
         q.awaitTermination()
         out = {"status": "FINISHED", "batches": len(q.recentProgress)}
     else:

@@ -1,6 +1,11 @@
 """Batch jobs over a lake folder: ingest (I5), bronze -> silver (I7),
 warehouse build (K3/K4, L1-L5), one-month fact load (I3/I4), next month (I6).
 
+Ingest writes bronze month slices and, once a slice is complete, its arrival
+marker; silver reads bronze; the fact load reads silver (or bronze) slices, and
+the file-arrival stream loads what the markers announce.  Status, error code
+and manifest table names are fixed values.
+
 Each job is a few Spark actions over whole datasets; the driver only sees
 counts and per-month status records (control plane).
 """
@@ -10,8 +15,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ from tallyhouse.operators import warehouse as W
 from tallyhouse.plans import loads as L
 from tallyhouse.sinks import writers as K
 from tallyhouse.sources import bronze as B
+from tallyhouse.sources import external as E
+from tallyhouse.sources import files
 
 
 @dataclass(frozen=True)
@@ -38,9 +43,16 @@ class Lake:
         return self._p("bronze", "source=github", "table=orders")
 
     @property
-    def landing_orders(self) -> str:          # orders_YYYY-MM.csv files (file-arrival)
+    def landing_orders(self) -> str:          # orders_YYYY-MM.csv files, .ready markers (file-arrival)
         return self._p("landing", "source=github", "table=orders")
 
+    def ready_marker(self, run_month: str) -> str:
+        return f"{self.landing_orders}/orders_{run_month}.ready"
+
+    @property
+    def budget_inbox(self) -> str:
+        return self._p("bronze", "source=excel", "table=storesBudget", "inbox")
+
     def bronze_dim(self, table: str) -> str:  # run_month=YYYY-MM snapshots
         return self._p("bronze", f"table={table}")
 
@@ -74,42 +86,28 @@ def _run_id(prefix: str, months: list[str]) -> str:
     return f"{prefix}_{'_'.join(months)}_{int(dt.datetime.now(dt.timezone.utc).timestamp())}"
 
 
-def listed_months(spark: SparkSession, base: str) -> set[str]:
-    """'YYYY-MM' of the ``year=Y/month=M`` partitions present under ``base``,
-    from the file listing only (file contents are not read)."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    except Exception:  # path absent: nothing written yet
-        return set()
-    ym = F.concat(F.regexp_extract("path", r"year=(\d{4})/", 1), F.lit("-"),
-                  F.lpad(F.regexp_extract("path", r"month=(\d{1,2})/", 1), 2, "0"))
-    return {r["ym"] for r in files.select(ym.alias("ym")).where(F.length("ym") == 7).distinct().collect()}
+def _control(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The control log; empty before the first record."""
+    if not files.exists(spark, lake.control):
+        return spark.createDataFrame([], K.CONTROL_SCHEMA)
+    return spark.read.schema(K.CONTROL_SCHEMA).parquet(lake.control)
 
 
 def _succeeded_months(spark: SparkSession, lake: Lake, table: str) -> set[str]:
-    try:
-        ctl = spark.read.parquet(lake.control)
-    except AnalysisException:
-        return set()
-    rows = (ctl.where((F.col("table") == table) & (F.col("status") == "SUCCEEDED"))
+    rows = (_control(spark, lake).where((F.col("table") == table) & (F.col("status") == "SUCCEEDED"))
             .select("run_month").distinct().collect())            # one row per month
     return {r["run_month"] for r in rows}
 
 
 def present_months(spark: SparkSession, base: str, months: list[str]) -> set[str]:
     """Which of ``months`` have a ``year=Y/month=M`` partition with files under
-    ``base``: only those folders are listed, never the whole table."""
-    found = set()
-    for ym in months:
-        y, m = (int(v) for v in ym.split("-"))
-        try:
-            files = (spark.read.format("binaryFile").load(f"{base.rstrip('/')}/year={y}/month={m}")
-                     .select("path").limit(1))
-            if files.count() > 0:
-                found.add(ym)
-        except AnalysisException:
-            pass
-    return found
+    ``base``: a metadata call for each, never a listing of the table."""
+    return {m for m in months if files.has_data(spark, B.month_folder(base, m))}
+
+
+def _slice(run_month: str) -> dict:
+    y, m = (int(v) for v in run_month.split("-"))
+    return {"year": y, "month": m}
 
 
 # ------------------------------------------------------------------ ingest
@@ -129,43 +127,63 @@ def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[st
     for m in run_months:
         X.check_run_month(m)
     run_id = _run_id("csv", run_months)
-    # present = a written partition, or a SUCCEEDED run (a month with no rows
-    # writes nothing but still counts as done, like the reference's empty file)
+    # present = a written partition, or a SUCCEEDED run of a month without rows
     existing = present_months(spark, lake.bronze_orders, run_months) | _succeeded_months(spark, lake, "orders")
     todo = [m for m in run_months if allow_overwrite or m not in existing]
-    results = [{"table": "orders", "run_month": m, "status": "SKIPPED_EXISTS", "rows": 0}
-               for m in run_months if m not in todo]
+    folder = {m: B.month_folder(lake.bronze_orders, m) for m in run_months}
+    results = [{"table": "orders", "run_month": m, "status": "SKIPPED_EXISTS", "rows": 0,
+                "note": f"{folder[m]} already exists"} for m in run_months if m not in todo]
     if todo:
         raw = _read_delivery(spark, src, multiline)
         pm = X.parsed_month(date_field, date_format)
         staged = (raw.withColumn("_ym", pm).where(F.col("_ym").isin(todo))
                   .withColumn("year", F.substring("_ym", 1, 4).cast("int"))
                   .withColumn("month", F.substring("_ym", 6, 2).cast("int")).drop("_ym"))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("header", True).option("escape", '"').partitionBy("year", "month")
-         .csv(lake.bronze_orders))
-        counts = {f"{r['year']}-{r['month']:02d}": r["n"] for r in
-                  B.read_months(spark, "orders", lake.bronze_orders, todo, row_id=False).groupBy("year", "month")
-                  .agg(F.count(F.lit(1)).alias("n")).collect()}
-        results += [{"table": "orders", "run_month": m, "status": "SUCCEEDED",
-                     "rows": int(counts.get(m, 0))} for m in todo]
+        counts = K.overwrite_slice(staged, lake.bronze_orders, ["year", "month"], [_slice(m) for m in todo],
+                                   fmt="csv", header=True, escape='"')
+        for m in todo:                        # the slice is complete: announce it
+            files.put_text(spark, lake.ready_marker(m), folder[m] + "\n")
+        results += [{"table": "orders", "run_month": m, "status": "SUCCEEDED", "rows": n, "note": f"wrote {folder[m]}"}
+                    for m, n in zip(todo, counts)]
     K.log_control(spark, lake.control, [
         {"run_id": f"{run_id}#orders", "run_month": r["run_month"], "source": "github",
-         "table": "orders", "status": r["status"], "records_out": r["rows"]} for r in results])
+         "table": "orders", "status": r["status"], "records_out": r["rows"], "note": r["note"]} for r in results])
     return results
 
 
+def _land_snapshot(spark: SparkSession, df: DataFrame, table: str, lake: Lake, run_month: str, source: str,
+                   allow_overwrite: bool, prefix: str) -> dict:
+    """A dimension snapshot, written once per run month (K6), with its control row."""
+    target = f"{lake.bronze_dim(table)}/run_month={X.check_run_month(run_month)}"
+    status, n = K.write_once(df, target, allow_overwrite, "csv", header=True, escape='"')
+    K.log_control(spark, lake.control, [{
+        "run_id": _run_id(prefix, [run_month]) + f"#{table}", "run_month": run_month, "source": source, "table": table,
+        "status": status, "records_out": n,
+        "note": f"wrote {target}" if status == "SUCCEEDED" else f"{target} already exists"}])
+    return {"table": table, "status": status, "rows": n}
+
+
 def ingest_dim_snapshot(spark: SparkSession, table: str, src: str, lake: Lake, run_month: str,
                         allow_overwrite: bool = False, multiline: bool = False) -> dict:
-    """Dimension snapshot landed once per run (K6 write-once)."""
-    X.check_run_month(run_month)
-    raw = _read_delivery(spark, src, multiline)
-    target = f"{lake.bronze_dim(table)}/run_month={run_month}"
-    status, n = K.write_once(raw, target, allow_overwrite, "csv", header=True, escape='"')
-    K.log_control(spark, lake.control, [{"run_id": _run_id("dims", [run_month]) + f"#{table}",
-                                         "run_month": run_month, "source": "github",
-                                         "table": table, "status": status, "records_out": n}])
-    return {"table": table, "status": status, "rows": n}
+    """A delivered CSV of one dimension."""
+    return _land_snapshot(spark, _read_delivery(spark, src, multiline), table, lake, run_month, "github",
+                          allow_overwrite, "dims")
+
+
+def ingest_stores(spark: SparkSession, lake: Lake, run_month: str, url: str, query: str = E.STORES_QUERY,
+                  properties: dict | None = None, allow_overwrite: bool = True, **slices) -> dict:
+    """The store table of the operational database; ``slices`` split the
+    read (see read_jdbc_query).  Each run replaces its month's snapshot."""
+    rows = E.read_jdbc_query(spark, url, query.rstrip("; \n"), properties=properties, **slices)
+    return _land_snapshot(spark, rows, "stores", lake, run_month, "mysql", allow_overwrite, "stores")
+
+
+def ingest_budget(spark: SparkSession, lake: Lake, run_month: str, inbox: str | None = None, suffix: str = ".csv",
+                  sep: str = ";", allow_overwrite: bool = True) -> dict:
+    """S6 + S5: the first budget sheet of the inbox, cleaned."""
+    sheet = E.pick_inbox_file(spark, inbox or lake.budget_inbox, suffix)
+    return _land_snapshot(spark, E.read_budget_sheet(spark, sheet, sep), "stores_budget", lake, run_month, "excel",
+                          allow_overwrite, "budget")
 
 
 # --------------------------------------------------------- bronze -> silver
@@ -181,33 +199,29 @@ DIM_ENTITIES = {
 
 def bronze_to_silver(spark: SparkSession, lake: Lake, run_month: str, refresh_dims: bool = False,
                      null_policy: str = "parity") -> dict:
-    """Orders of ``run_month`` always; dimension snapshots when asked."""
+    """Orders of ``run_month`` always; dimension snapshots when asked.  Each
+    output replaces exactly its own slice, also when it has no rows."""
     X.check_run_month(run_month)
-    y, m = (int(v) for v in run_month.split("-"))
     out = {}
-    # the month's rows feed the dedup aggregate and the routed output: read once
-    orders = B.read_month(spark, "orders", lake.bronze_orders, run_month).persist(StorageLevel.MEMORY_AND_DISK)
-    routed = C.clean_orders(orders, null_policy)
-    out["orders"] = K.write_routed(routed, lake.silver_orders, lake.invalid("orders"),
-                                   ["year", "month"], {"year": F.lit(y), "month": F.lit(m)})
-    orders.unpersist()
+    orders = B.read_month(spark, "orders", lake.bronze_orders, run_month)
+    out["orders"] = K.write_routed(C.clean_orders(orders, null_policy), lake.silver_orders, lake.invalid("orders"),
+                                   _slice(run_month))
     if refresh_dims:
-        snap = {"run_month": F.lit(run_month)}
+        snap = {"run_month": run_month}
         for entity, (table, cleaner) in DIM_ENTITIES.items():
             raw = B.read_bronze(spark, table, f"{lake.bronze_dim(table)}/run_month={run_month}")
             out[entity] = K.write_routed(cleaner(raw), lake.silver_dim(entity),
-                                         lake.invalid(f"dim={entity}"), ["run_month"], snap)
+                                         lake.invalid(f"dim={entity}"), snap)
         stores = B.read_bronze(spark, "stores", f"{lake.bronze_dim('stores')}/run_month={run_month}")
         budgets = B.read_bronze(spark, "stores_budget",
                                 f"{lake.bronze_dim('stores_budget')}/run_month={run_month}")
         out["store"] = K.write_routed(C.clean_stores(stores, budgets), lake.silver_dim("store"),
-                                      lake.invalid("dim=store"), ["run_month"], snap)
+                                      lake.invalid("dim=store"), snap)
     return out
 
 
 def read_silver_dim(spark: SparkSession, lake: Lake, entity: str, run_month: str) -> DataFrame:
-    return (spark.read.parquet(lake.silver_dim(entity))
-            .where(F.col("run_month") == run_month).drop("run_month"))
+    return spark.read.parquet(K.slice_path(lake.silver_dim(entity), {"run_month": run_month}))
 
 
 # ---------------------------------------------------------------- warehouse
@@ -247,68 +261,86 @@ def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "s
             "dim_product": "ProductKey"}
     dup = {}
     for name, df in (("dim_customer", cu), ("dim_employee", em), ("dim_store", st), ("dim_product", pr)):
-        K.write_parquet(df, lake.warehouse(name), mode)
+        df = W.to_warehouse(df, name)
+        if mode == "append":
+            K.append_table(df, lake.warehouse(name))
+        else:
+            K.write_parquet(df, lake.warehouse(name))
         # unique-key report on what was written: duplicates fan out v_sales lines
-        dup[name] = dq.duplicate_keys(spark.read.parquet(lake.warehouse(name)), [keys[name]]).count()
+        dup[name] = dq.duplicate_keys(W.read_warehouse(spark, lake.warehouse(name), name), [keys[name]]).count()
     return dup
 
 
 def load_month(spark: SparkSession, lake: Lake, run_month: str | None = None, key: str | None = None,
-               bucket: str | None = None, expected_bucket: str | None = None) -> dict:
-    """Load one month file into fact_sales if the month is absent.
-
-    ``key`` wins over ``run_month``; neither -> IGNORED_NO_INPUT.  The check
-    counts the month's partition only; the insert overwrites exactly that
-    RunMonth partition, so a replay after a failure cannot duplicate rows.
-    A failure is reported as status ERROR instead of stopping the caller.
+               bucket: str | None = None, expected_bucket: str | None = None, source: str = "silver",
+               insert: str = "overwrite") -> dict:
+    """Load one month into fact_sales if the month is absent.
+
+    ``run_month`` reads what the jobs before wrote: the validated silver slice,
+    or with ``source="bronze"`` the raw one (no DQ, no dedup; the reference's
+    path).  ``key`` names one landed month file and wins; neither ->
+    IGNORED_NO_INPUT.  The insert overwrites exactly that RunMonth partition, so
+    a replay after a failure cannot duplicate rows; ``insert="append"`` is the
+    reference's INSERT INTO.  A failure is reported as status ERROR instead of
+    stopping the caller.
     """
     try:
-        return _load_month(spark, lake, run_month, key, bucket, expected_bucket)
-    except Exception as e:  # one bad file must not stop the others
-        return {"key": key or run_month, "status": "ERROR", "error": str(e)[:500]}
+        return _load_month(spark, lake, run_month, key, bucket, expected_bucket, source, insert)
+    except Exception as e:  # one bad month must not stop the others
+        return {"key": key or run_month, "status": "ERROR", "error": str(e)}
 
 
-def _load_month(spark, lake, run_month, key, bucket, expected_bucket) -> dict:
+def _load_month(spark, lake, run_month, key, bucket, expected_bucket, source, insert) -> dict:
     if key is None and run_month is None:
         return {"results": [], "status": "IGNORED_NO_INPUT"}
-    if key is None:
-        key = f"{lake.landing_orders}/orders_{X.check_run_month(run_month)}.csv"
-    root = lake.root.rstrip("/") + "/"
-    rel = key[len(root):] if key.startswith(root) else key
-    exp = expected_bucket or "lake"
-    probe = spark.range(1).select(
-        X.classify_key(F.lit(bucket or exp), F.lit(rel), exp, prefix="landing/source").alias("s"),
-        X.month_from_key(F.lit(rel)).alias("m")).first()
-    if probe["s"] != "ACCEPTED":
-        return {"key": key, "status": probe["s"]}
-    ym = probe["m"]
-    fact_path = lake.warehouse("fact_sales")
-    n_month = _count_month(spark, fact_path, ym)
+    if source not in ("silver", "bronze") or insert not in ("overwrite", "append"):
+        raise ValueError("source must be 'silver' or 'bronze', insert 'overwrite' or 'append'")
+    if key is not None:
+        root = lake.root.rstrip("/") + "/"
+        exp = expected_bucket or "lake"
+        probe = spark.range(1).select(X.decode_key(F.lit(key)).alias("key")).withColumn(
+            "rel", F.when(F.col("key").startswith(root), F.substr("key", F.lit(len(root) + 1))).otherwise(F.col("key"))
+        ).select("key", X.classify_key(F.lit(bucket or exp), "rel", exp, prefix="landing/source").alias("s"),
+                 X.month_from_key("rel").alias("m")).first()
+        if probe["s"] != "ACCEPTED":
+            return {"key": key, "status": probe["s"]}
+        key, ym = probe["key"], probe["m"]
+    else:
+        ym = X.check_run_month(run_month)
+        key = K.slice_path(lake.silver_orders, _slice(ym)) if source == "silver" else \
+            B.month_folder(lake.bronze_orders, ym)
+    n_month = _count_month(spark, lake, ym)
     if n_month > 0:
         return {"key": key, "run_month": ym, "status": "SKIPPED_EXISTS", "rows_existing": n_month}
-    rows = B.read_bronze(spark, "orders", key, row_id=False)
-    if rows.limit(1).count() == 0:
+    if run_month is None or key.endswith(".csv"):
+        fact = W.fact_projection(B.read_bronze(spark, "orders", key, row_id=False), ym)
+    elif source == "silver":
+        fact = W.fact_from_silver(spark.read.parquet(key), ym)
+    else:
+        fact = W.fact_projection(B.read_month(spark, "orders", lake.bronze_orders, ym, row_id=False), ym)
+    if fact.isEmpty():
         return {"key": key, "run_month": ym, "status": "SKIPPED_EMPTY_FILE", "rows_file": 0}
-    K.overwrite_slice(W.fact_projection(rows, ym), fact_path, ["RunMonth"])
-    return {"key": key, "run_month": ym, "status": "SUCCEEDED",
-            "rows_inserted": _count_month(spark, fact_path, ym)}
+    path = lake.warehouse("fact_sales")
+    if insert == "append":
+        K.append_table(fact, path, ["RunMonth"])
+        n = _count_month(spark, lake, ym)
+    else:
+        n = K.overwrite_slice(fact, path, ["RunMonth"], [{"RunMonth": ym}])[0]
+    return {"key": key, "run_month": ym, "status": "SUCCEEDED", "rows_inserted": n}
 
 
-def _count_month(spark: SparkSession, fact_path: str, ym: str) -> int:
-    try:
-        return spark.read.parquet(fact_path).where(F.col("RunMonth") == ym).count()
-    except AnalysisException:  # no fact table yet
+def _count_month(spark: SparkSession, lake: Lake, ym: str) -> int:
+    """Rows of one RunMonth partition: its folder alone is read (footers)."""
+    folder = K.slice_path(lake.warehouse("fact_sales"), {"RunMonth": ym})
+    if not files.has_data(spark, folder):
         return 0
+    return L.scalar_int(spark.read.parquet(folder).agg(F.count(F.lit(1))))
 
 
 def next_month_job(spark: SparkSession, lake: Lake, start: str = "2011-05",
                    end: str = "2014-05") -> dict:
     """The month the scheduler would request next, from the control log."""
-    try:
-        ctl = spark.read.parquet(lake.control)
-    except AnalysisException:
-        ctl = spark.createDataFrame([], K.CONTROL_SCHEMA)
-    r = L.next_run_month(ctl, start, end).first()
+    r = L.next_run_month(_control(spark, lake), start, end).first()
     out = {"status": r["status"], "candidate": r["candidate"], "last_succeeded": r["last_succeeded"]}
     if r["status"] == "NO_ACTION":
         out["reason"] = f"candidate {r['candidate']} > END_MONTH {end}"
@@ -318,8 +350,8 @@ def next_month_job(spark: SparkSession, lake: Lake, start: str = "2011-05",
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     """The three BI views as temporary views over the warehouse tables."""
     from tallyhouse.operators import views as V
-    fact = spark.read.parquet(lake.warehouse("fact_sales"))
-    d = {n: spark.read.parquet(lake.warehouse(n))
+    fact = W.read_warehouse(spark, lake.warehouse("fact_sales"), "fact_sales")
+    d = {n: W.read_warehouse(spark, lake.warehouse(n), n)
          for n in ("dim_customer", "dim_employee", "dim_store", "dim_product")}
     # the store join only matters if StoreKey repeats; prove it before dropping it
     unique = dq.duplicate_keys(d["dim_store"], ["StoreKey"]).limit(1).count() == 0
@@ -338,42 +370,54 @@ MANIFEST_TABLES = {"customers": "customers", "employee": "employees", "orders":
 
 
 def ingest_from_manifest(spark: SparkSession, manifest_path: str, lake: Lake, run_months: list[str],
-                         refresh_dims: bool = False, allow_overwrite: bool = False) -> dict:
+                         refresh_dims: bool = False, allow_overwrite: bool = False,
+                         jdbc: dict | None = None, budget: dict | None = None) -> dict:
     """The ingest handler: manifest -> dimension snapshots (once, optional) ->
     orders months.  Each failing step writes an error record (K9) with its
-    code and re-raises.  ``url_or_query`` of a CSV source is a Spark-readable path."""
+    code and the whole message, and re-raises.
+
+    By source type: ``csv_github`` reads ``url_or_query`` as a Spark-readable
+    path; ``mysql`` runs it over JDBC (``jdbc``: url, properties, ...) and
+    ``excel`` takes the budget inbox (``budget``: inbox, suffix, sep); a source
+    whose connection is not given is left to its own job.
+    """
     from tallyhouse.sources import manifest as MF
     run_id = _run_id("csv", run_months)
 
-    def fail(table: str, code: str, e: Exception):
-        K.log_error(spark, lake.errors, run_id, "github", table, "ingest", code, str(e)[:1000])
+    def fail(table: str, code: str, e: Exception, source: str = "github"):
+        K.log_error(spark, lake.errors, run_id, source, table, "ingest", code, str(e))
 
     try:
-        sources, _defaults = MF.load_manifest(spark, manifest_path)
-        csv_sources = MF.select_sources(sources, type_="csv_github")
-        srcs = [r.asDict() for r in csv_sources.collect()]      # a handful of manifest entries
+        sources, defaults = MF.load_manifest(spark, manifest_path)
+        srcs = [r.asDict() for r in sources.collect()]           # a handful of manifest entries
+        allow_overwrite = allow_overwrite or bool((defaults.first() or [False])[0])
     except Exception as e:
         fail("_manifest", "LOAD_MANIFEST", e)
         raise
     out = {"run_id": run_id, "dims": [], "orders": []}
     if refresh_dims:
+        month = run_months[0]
         try:
             for s in srcs:
-                if s["table"] != "orders":
+                if s["type"] == "csv_github" and s["table"] != "orders":
                     out["dims"].append(ingest_dim_snapshot(spark, MANIFEST_TABLES[s["table"]], s["url_or_query"],
-                                                           lake, run_months[0], allow_overwrite))
+                                                           lake, month, allow_overwrite))
+                elif s["type"] == "mysql" and jdbc:
+                    out["dims"].append(ingest_stores(spark, lake, month, query=s["url_or_query"], **jdbc))
+                elif s["type"] == "excel" and budget is not None:
+                    out["dims"].append(ingest_budget(spark, lake, month, **budget))
         except Exception as e:
             fail("_dims", "DIMS_SNAPSHOT", e)
             raise
-    orders = next((s for s in srcs if s["table"] == "orders"), None)
+    orders = next((s for s in srcs if s["type"] == "csv_github" and s["table"] == "orders"), None)
     if orders is None:
         e = RuntimeError("no 'orders' source in the manifest")
         fail("orders", "ORDERS_SRC_NOT_FOUND", e)
         raise e
     try:
         out["orders"] = ingest_orders(spark, orders["url_or_query"], lake, run_months,
-                                      orders.get("date_field") or "OrderDate", orders.get("date_format"),
-                                      allow_overwrite)
+                                      orders.get("date_field") or "OrderDate",
+                                      orders.get("date_format") or "MM-dd-yyyy", allow_overwrite)
     except Exception as e:
         fail("orders", "ORDERS_MONTH_INGEST", e)
         raise

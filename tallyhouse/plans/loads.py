@@ -12,18 +12,18 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import exprs as X
 
-ORDERS_PREFIX = "bronze/source=github/table=orders/"
+ORDERS_PREFIX = "bronze/source=github/table=orders/"   # fixed value
 
 
 def month_load_protocol(incoming: DataFrame, loaded: DataFrame, month: str = "RunMonth") -> DataFrame:
-    """I3 per month: already loaded -> SKIPPED_EXISTS, empty -> SKIPPED_EMPTY_FILE,
-    else SUCCEEDED with the inserted row count (J5: anti join on the month)."""
+    """I3 per month of a feed: already loaded -> SKIPPED_EXISTS, else SUCCEEDED
+    with the inserted row count.  A month is here because it has rows; empty
+    files are the load jobs' matter (SKIPPED_EMPTY_FILE)."""
     inc = incoming.groupBy(month).agg(F.count(F.lit(1)).alias("rows_file"))
     have = loaded.groupBy(month).agg(F.count(F.lit(1)).alias("rows_existing"))
     j = inc.join(have, on=month, how="left").withColumn(
         "rows_existing", F.coalesce(F.col("rows_existing"), F.lit(0).cast("bigint")))
-    status = (F.when(F.col("rows_existing") > 0, "SKIPPED_EXISTS")
-              .when(F.col("rows_file") == 0, "SKIPPED_EMPTY_FILE").otherwise("SUCCEEDED"))
+    status = F.when(F.col("rows_existing") > 0, "SKIPPED_EXISTS").otherwise("SUCCEEDED")
     return j.select(month, status.alias("status"), "rows_existing",
                     F.when(status == "SUCCEEDED", F.col("rows_file"))
                     .otherwise(F.lit(0).cast("bigint")).alias("rows_inserted"))

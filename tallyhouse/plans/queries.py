@@ -344,6 +344,12 @@ def q_fact_projection(spark, sf):
     return _fact(spark, sf)
 
 
+@register("fact_from_silver")
+def q_fact_from_silver(spark, sf):
+    """L5 after D1: the fact as the pipeline loads it, from validated orders."""
+    return W.fact_from_silver(C.clean_orders(_raw(spark, sf, "raw_orders")).valid())
+
+
 @register("fact_month_counts")
 def q_fact_month_counts(spark, sf):
     return _fact(spark, sf).groupBy("RunMonth").agg(F.count(F.lit(1)).alias("n"))

@@ -1,13 +1,14 @@
 """Sinks: K1-K11.
 
-Silver and warehouse tables are Parquet (Snappy); partitioned writes use
-dynamic partition overwrite so a rerun replaces only the slices it writes.
-Control and error logs are append-only Parquet tables.
+Silver and warehouse tables are Parquet (Snappy).  A slice is a partition
+folder; rewriting one replaces exactly that folder, also when no row is left
+for it.  Control and error logs are append-only Parquet tables.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.functions import exprs as X
 from tallyhouse.operators.dq import Routed
+from tallyhouse.sources import files
 
 CONTROL_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("run_month", T.StringType()),
@@ -34,42 +37,46 @@ ERROR_SCHEMA = T.StructType([
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> None:
+    """Dynamic overwrite; rows of one partition are gathered first (and a large
+    partition is split by AQE), so tasks do not each write a file to each."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def write_silver(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """K1: CTAS-equivalent: Parquet/Snappy at an explicit location."""
-    write_parquet(df, path, "overwrite", partition_by)
+def slice_path(path: str, spec: dict | None) -> str:
+    return "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in (spec or {}).items())])
 
 
-def write_quarantine(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """K2: invalid rows with REASON."""
-    write_parquet(df, path, "overwrite", partition_by)
+def write_silver(df: DataFrame, path: str, spec: dict | None = None) -> None:
+    """K1: CTAS-equivalent: Parquet/Snappy at an explicit location, or exactly
+    the slice ``spec`` (column -> value) of a partitioned one."""
+    df.write.mode("overwrite").parquet(slice_path(path, spec))
+
 
+def write_quarantine(df: DataFrame, path: str, spec: dict | None = None) -> None:
+    """K2: invalid rows with REASON."""
+    write_silver(df, path, spec)
 
-def write_routed(routed: Routed, valid_path: str, invalid_path: str,
-                 partition_by: list[str] | None = None, extra: dict | None = None) -> dict:
-    """Write both outputs of one routed stage.
 
-    The staged rows are computed once (persisted; a lost block is rebuilt from
-    the deterministic lineage) and counted while written.  Returns the counts.
-    """
-    flagged = routed.flagged
-    if extra:
-        flagged = flagged.withColumns(extra)
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+def write_routed(routed: Routed, valid_path: str, invalid_path: str, spec: dict | None = None) -> dict:
+    """Write both outputs of one routed stage, each over its whole slice, and
+    return their counts.  The checked first rows (the dedup aggregate) are
+    computed once for both."""
+    r = routed
+    if routed.firsts is not None:
+        r = replace(routed, firsts=routed.firsts.persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        part = list(partition_by or [])
-        r = Routed(flagged, routed.valid_cols + part, routed.invalid_cols + part, routed.renames)
         ov, oi = Observation("valid"), Observation("invalid")
-        write_silver(r.valid().observe(ov, F.count(F.lit(1)).alias("n")), valid_path, part)
-        write_quarantine(r.invalid().observe(oi, F.count(F.lit(1)).alias("n")), invalid_path, part)
+        write_silver(r.valid().observe(ov, F.count(F.lit(1)).alias("n")), valid_path, spec)
+        write_quarantine(r.invalid().observe(oi, F.count(F.lit(1)).alias("n")), invalid_path, spec)
         return {"valid": int(ov.get["n"]), "invalid": int(oi.get["n"])}
     finally:
-        flagged.unpersist()
+        if r.firsts is not None:
+            r.firsts.unpersist()
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -77,18 +84,43 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     write_parquet(df, path, "append", partition_by)
 
 
-def overwrite_slice(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """K7: replace only the partitions present in ``df`` (dynamic overwrite)."""
-    write_parquet(df, path, "overwrite", partition_by)
+def overwrite_slice(df: DataFrame, path: str, partition_by: list[str], specs: list[dict] | None = None,
+                    fmt: str = "parquet", **options) -> list[int] | None:
+    """K7: replace the partitions present in ``df`` (dynamic overwrite).
+
+    With ``specs`` (the slices asked for, column -> value) the rows of each are
+    counted while they are written, a slice without rows is emptied, and the
+    counts are returned in order."""
+    def write(rows: DataFrame) -> None:
+        (rows.write.format(fmt).options(**options)
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
+
+    df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if specs is None:
+        write(df)
+        return None
+    mine = [F.coalesce(_in_slice(spec), F.lit(False)) for spec in specs]
+    seen = Observation("slices")
+    # counted in the writing stage itself, where a task's rows count once
+    write(df.observe(seen, *[F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(mine)]))
+    counts = [int(seen.get[f"n{i}"]) for i in range(len(specs))]
+    none = df.drop(*partition_by).limit(0)
+    for spec, n in zip(specs, counts):
+        if n == 0:
+            none.write.format(fmt).options(**options).mode("overwrite").save(slice_path(path, spec))
+    return counts
+
+
+def _in_slice(spec: dict):
+    out = F.lit(True)
+    for k, v in spec.items():
+        out = out & (F.col(k) == F.lit(v))
+    return out
 
 
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True when a write job completed at ``path`` (its ``_SUCCESS`` marker)."""
-    try:
-        spark.read.format("binaryFile").load(path.rstrip("/") + "/_SUCCESS").select("path").limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
+    return files.exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
 def write_once(df: DataFrame, path: str, allow_overwrite: bool = False, fmt: str = "csv",
@@ -105,7 +137,7 @@ def write_once(df: DataFrame, path: str, allow_overwrite: bool = False, fmt: str
     try:
         return "SUCCEEDED", attempt("overwrite" if allow_overwrite else "errorifexists")
     except AnalysisException as e:
-        if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
             raise
     if is_committed(df.sparkSession, path):
         return "SKIPPED_EXISTS", 0
@@ -122,32 +154,33 @@ def write_month_csv(df: DataFrame, prefix: str, table: str, run_month: str,
 
 def log_control(spark: SparkSession, path: str, records: list[dict]) -> None:
     """K8: append control-log records (run_id, run_month, source, table, status,
-    records_out, started_at, ended_at, note)."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    records_out, started_at, ended_at, note); missing times are now."""
     rows = [(r.get("run_id"), r.get("run_month"), r.get("source"), r.get("table"), r.get("status"),
-             int(r.get("records_out") or 0), r.get("started_at", now), r.get("ended_at", now),
-             r.get("note")) for r in records]
-    spark.createDataFrame(rows, CONTROL_SCHEMA).write.mode("append").parquet(path)
+             int(r.get("records_out") or 0), r.get("started_at"), r.get("ended_at"), r.get("note"))
+            for r in records]
+    (spark.createDataFrame(rows, CONTROL_SCHEMA)
+     .withColumns({c: F.coalesce(c, X.now_utc()) for c in ("started_at", "ended_at")})
+     .write.mode("append").parquet(path))
 
 
 def log_error(spark: SparkSession, path: str, run_id: str, source: str, table: str, step: str,
               error_code: str, message: str, severity: str = "ERROR") -> None:
-    """K9: append one error record."""
-    ts = int(dt.datetime.now(dt.timezone.utc).timestamp())
-    spark.createDataFrame([(run_id, ts, source, table, step, severity, error_code, message)],
-                          ERROR_SCHEMA).write.mode("append").parquet(path)
-
-
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
-                   partition_cols: list[str] | None = None, replace: bool = True) -> None:
-    """(re)create a catalog table over files at ``path``; partitions are
-    discovered from the directory layout."""
-    if replace:
+    """K9: append one error record, the message whole."""
+    (spark.createDataFrame([(run_id, None, source, table, step, severity, error_code, message)], ERROR_SCHEMA)
+     .withColumn("ts", X.epoch_seconds()).write.mode("append").parquet(path))
+
+
+def register_table(spark: SparkSession, name: str, path: str, schema: str, fmt: str = "parquet",
+                   partition_cols: list[str] | None = None, replace_table: bool = True,
+                   options: dict | None = None) -> None:
+    """(re)create a catalog table over files at ``path`` with the declared
+    ``schema`` (DDL text, partition columns included); partitions are found in
+    the directory layout.  ``options`` go to the reader (a CSV's header)."""
+    if replace_table:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
-    schema = spark.read.format(fmt).load(path).schema
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{parts} LOCATION '{path}'")
+    opts = f" OPTIONS ({', '.join(f'{k} {v!r}' for k, v in options.items())})" if options else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING {fmt}{opts}{parts} LOCATION '{path}'")
     if partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 

@@ -3,7 +3,9 @@ S8 read_month, S9 read_file_slice, A2 rows_per_file.
 
 Schemas are fixed (no inference).  Raw files are read with every column as
 STRING; typing happens in silver with guarded casts.  CSV quoting follows the
-writer of the landed files: ``"`` quotes, a doubled ``""`` inside quotes.
+writer of the landed files: ``"`` quotes, a doubled ``""`` inside quotes.  An
+empty unquoted field is NULL here (the reference's reader gives an empty text);
+an order by a text column therefore puts it last, not first.
 """
 
 from __future__ import annotations
@@ -58,26 +60,22 @@ def read_month(spark: SparkSession, table: str, base: str, run_month: str,
                row_id: bool = True) -> DataFrame:
     """One ``year=Y/month=M`` partition of a Hive-style partitioned raw table.
 
-    The filter is on partition columns only, so Spark lists and reads just that
-    directory (PartitionFilters in the plan); the row id is attached after it.
+    Only that folder is named to the reader, so nothing else is listed; the
+    partition columns come from its path below ``basePath``.
     """
+    return read_months(spark, table, base, [run_month], row_id)
+
+
+def month_folder(base: str, run_month: str) -> str:
     y, m = (int(x) for x in run_month.split("-"))
-    schema = raw_schema(table).add("year", T.IntegerType()).add("month", T.IntegerType())
-    df = (_csv(spark, schema).option("basePath", base).csv(base)
-          .where((F.col("year") == y) & (F.col("month") == m)))
-    return with_row_id(df) if row_id else df
+    return f"{base.rstrip('/')}/year={y}/month={m}"
 
 
 def read_months(spark: SparkSession, table: str, base: str, run_months: list[str],
                 row_id: bool = True) -> DataFrame:
-    """Several ``year=/month=`` partitions in one pruned scan."""
+    """Several ``year=/month=`` partitions in one scan of their folders alone."""
     schema = raw_schema(table).add("year", T.IntegerType()).add("month", T.IntegerType())
-    cond = None
-    for ym in run_months:
-        y, m = (int(x) for x in ym.split("-"))
-        c = (F.col("year") == y) & (F.col("month") == m)
-        cond = c if cond is None else cond | c
-    df = _csv(spark, schema).option("basePath", base).csv(base).where(cond)
+    df = _csv(spark, schema).option("basePath", base).csv([month_folder(base, m) for m in run_months])
     return with_row_id(df) if row_id else df
 
 
@@ -102,11 +100,11 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 
 
 def land_csv(spark: SparkSession, src: str, dst: str, mode: str = "errorifexists",
-             multiline: bool = True) -> int:
+             multiline: bool = False) -> int:
     """S3: take a whole delivered CSV (UTF-8, bad bytes replaced, header kept)
-    and rewrite it to bronze with the same header and columns.  Quoted fields
-    may span lines (``multiline``, one task per file); pass ``False`` for large
-    line-record deliveries so they split.
+    and rewrite it to bronze with the same header and columns.  Records are
+    lines, so a large delivery is split; ``multiline=True`` reads quoted fields
+    that span lines at one task per file.
 
     Returns the number of data rows written (counted while writing).
     """
@@ -121,4 +119,4 @@ def land_csv(spark: SparkSession, src: str, dst: str, mode: str = "errorifexists
 
 
 __all__ = ["RAW_COLUMNS", "RID", "raw_schema", "read_bronze", "read_typed", "read_month",
-           "read_file_slice", "rows_per_file", "land_csv", "as_uri", "file_path_col"]
+           "read_months", "month_folder", "read_file_slice", "rows_per_file", "land_csv", "as_uri", "file_path_col"]

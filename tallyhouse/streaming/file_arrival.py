@@ -1,124 +1,191 @@
 """File-arrival fact loading with Structured Streaming.
 
-Each new ``orders_YYYY-MM.csv`` under the landing folder is processed once
-(the file source's checkpoint tracks seen files).  ``foreachBatch`` applies the
-load protocol (I3) to all files of a micro-batch at once:
+The stream carries the arriving files, not their rows: each new
+``orders_YYYY-MM.csv`` (a landed month file) or ``orders_YYYY-MM.ready`` (the
+ingest job's marker of a complete bronze slice) is seen once, by the file
+source's checkpoint, without opening it.  So a broken file cannot fail the
+stream, and one without data rows is still seen (files of no bytes, which
+Spark's sources pass over, are taken from the folder's listing).  ``foreachBatch`` applies the load
+protocol (I3) to the files of a micro-batch in name order:
 
 * the month comes from the file name (F19); other names -> IGNORED_BAD_NAME;
-* two files of one month in a batch: the first path wins, the other is
-  SKIPPED_EXISTS (the reference handles files in turn, so the first wins);
-* months already in fact_sales -> SKIPPED_EXISTS (anti join on RunMonth);
+* a month already in fact_sales, or taken by an earlier file -> SKIPPED_EXISTS;
+* a file that cannot be read -> ERROR with the whole message; no data rows ->
+  SKIPPED_EMPTY_FILE; both leave the month to a later file;
 * the rest is projected (L5) and written with dynamic partition overwrite on
   RunMonth, so a replayed batch rewrites the same partitions, never duplicates.
 
-A status row per file is recorded (partitioned by batch id) before the fact
-write; a replayed batch reuses the recorded decisions and rewrites the same
-RunMonth partitions, ending in the state of one clean run.  Files without
-data rows, and corrupt or vanished files (skipped so they cannot stop the
-others), produce no rows in the stream and therefore no load.
+One status row per file is recorded before the fact write, under the stream's
+query id and batch id.  A replay of that batch uses the recorded decisions; a
+new checkpoint is another query and decides anew.  A file that fails only
+while it is written turns its own status into ERROR and stops no other file.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+import re
+import time
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.functions import exprs as X
 from tallyhouse.operators import warehouse as W
-from tallyhouse.session import ensure_checkpoint_dir
 from tallyhouse.sinks import writers as K
-from tallyhouse.sources.bronze import raw_schema
+from tallyhouse.sources import bronze as B
+from tallyhouse.sources import files
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+STATUS_SCHEMA = ("file_path string, RunMonth string, status string, rows_file bigint, rows_inserted bigint, "
+                 "error string, query_id string, batch_id bigint")
+MARKER_MONTH = r"orders_(\d{4}-\d{2})\.(?:csv|ready)$"
+
+
+def _source(spark: SparkSession, path: str, month: str, bronze_orders: str | None) -> str:
+    """Where the rows of an arrived file are, as a full URI."""
+    if path.endswith(".ready") and bronze_orders:
+        path = B.month_folder(bronze_orders, month)
+    return files.qualified(spark, path)
 
-def _loaded_months(spark: SparkSession, fact_path: str, months: list[str]) -> DataFrame:
-    """Which of ``months`` already have a RunMonth partition in the fact table.
-    Only those partition folders are listed (never the whole table), and file
-    contents are not read."""
-    found = []
-    for m in months:
-        try:
-            files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                     .load(f"{fact_path.rstrip('/')}/RunMonth={m}").select("path").limit(1))
-            if files.count() > 0:
-                found.append(m)
-        except AnalysisException:  # partition (or table) absent
-            pass
-    return spark.createDataFrame([(m,) for m in found], "RunMonth string")
-
-
-def load_batch(batch: DataFrame, epoch_id: int, fact_path: str, status_path: str) -> None:
-    """The I3 protocol for every file of one micro-batch."""
-    spark = batch.sparkSession
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read twice below
-    try:
-        _load(spark, batch, epoch_id, fact_path, status_path)
-    finally:
-        batch.unpersist()
 
+def _read(spark: SparkSession, sources: list[str]) -> DataFrame:
+    """Raw order rows of month files and bronze slices, with their file and RunMonth."""
+    path = F.col("_metadata.file_path")
+    of_slice = F.concat(F.regexp_extract(path, r"/year=(\d+)/month=\d+/", 1), F.lit("-"),
+                        F.lpad(F.regexp_extract(path, r"/year=\d+/month=(\d+)/", 1), 2, "0"))
+    return (spark.read.schema(B.raw_schema("orders")).option("header", True).option("escape", '"').csv(sources)
+            .withColumns({"file_path": path, "RunMonth": F.coalesce(X.month_from_key(path), of_slice)}))
 
-def _prior_status(spark: SparkSession, status_path: str, epoch_id: int) -> DataFrame | None:
-    """Statuses already recorded for this batch id (a replayed micro-batch)."""
+
+def _rows_per_source(spark: SparkSession, sources: list[str]) -> tuple[dict, dict]:
+    """Rows of each source, and the message of each that cannot be read.  One
+    job for all; only if it fails is each tried on its own."""
+    if not sources:
+        return {}, {}
+    plain = {re.sub(r"^(\w+):/+", r"\1:/", s): s for s in sources}     # file:/x and file:///x are one
+    try:
+        counts = dict.fromkeys(sources, 0)
+        for r in _read(spark, sources).groupBy("file_path").agg(F.count(F.lit(1)).alias("n")).collect():
+            at = re.sub(r"^(\w+):/+", r"\1:/", unquote(r["file_path"]))
+            counts[plain.get(at) or plain[at.rsplit("/", 1)[0]]] += r["n"]   # a file, or one of a slice
+        return counts, {}
+    except Exception as e:
+        if len(sources) == 1:
+            return {}, {sources[0]: str(e)}
+    counts, errors = {}, {}
+    for s in sources:
+        c, e = _rows_per_source(spark, [s])
+        counts |= c
+        errors |= e
+    return counts, errors
+
+
+def _decide(spark: SparkSession, paths: list[str], fact_path: str, bronze_orders: str | None) -> list[dict]:
+    """The I3 protocol: one decision per file, in name order."""
+    month = {p: (m[1] if (m := re.search(MARKER_MONTH, p)) else None) for p in paths}
+    loaded = {m for m in set(month.values()) - {None}
+              if files.has_data(spark, K.slice_path(fact_path, {"RunMonth": m}))
+              and not spark.read.parquet(K.slice_path(fact_path, {"RunMonth": m})).isEmpty()}
+    source = {p: _source(spark, p, month[p], bronze_orders) for p in paths if month[p] and month[p] not in loaded}
+    counts, errors = _rows_per_source(spark, sorted(set(source.values())))
+    out = []
+    for p in sorted(paths):
+        m, n, error, status = month[p], counts.get(source.get(p), 0), errors.get(source.get(p)), "SUCCEEDED"
+        if m is None:
+            status = "IGNORED_BAD_NAME"
+        elif m in loaded:
+            status = "SKIPPED_EXISTS"
+        elif error is not None:
+            status = "ERROR"
+        elif n == 0:
+            status = "SKIPPED_EMPTY_FILE"
+        else:
+            loaded.add(m)
+        out.append({"file_path": p, "RunMonth": m, "status": status, "rows_file": n,
+                    "rows_inserted": n if status == "SUCCEEDED" else 0, "error": error if status == "ERROR" else None})
+    return out
+
+
+def _record(spark: SparkSession, decisions: list[dict], status_path: str, query_id: str, epoch_id: int) -> None:
+    rows = [(d["file_path"], d["RunMonth"], d["status"], d["rows_file"], d["rows_inserted"], d["error"], query_id,
+             epoch_id) for d in decisions]
+    (spark.createDataFrame(rows, STATUS_SCHEMA).coalesce(1).drop("query_id", "batch_id").write.mode("overwrite")
+     .parquet(K.slice_path(status_path, {"query_id": query_id, "batch_id": epoch_id})))
+
+
+def _recorded(spark: SparkSession, status_path: str, query_id: str, epoch_id: int) -> list[dict]:
+    at = K.slice_path(status_path, {"query_id": query_id, "batch_id": epoch_id})
+    if not K.is_committed(spark, at):
+        return []
+    return [r.asDict() for r in spark.read.parquet(at).collect()]        # one row per file of the batch
+
+
+def record_empty(spark: SparkSession, landing_dir: str, status_path: str) -> None:
+    """Status rows for month files of no bytes at all, which no reader reports:
+    from the folder's listing, once per path (query id ``empty``)."""
+    found = files.empty_files(spark, landing_dir, ".csv")
+    mine = K.slice_path(status_path, {"query_id": "empty"})
+    if found and files.exists(spark, mine):
+        known = {r["file_path"] for r in spark.read.parquet(mine).select("file_path").collect()}
+        found = [p for p in found if p not in known]
+    if found:
+        month = {p: (m[1] if (m := re.search(MARKER_MONTH, p)) else None) for p in found}
+        _record(spark, [{"file_path": p, "RunMonth": month[p], "rows_file": 0, "rows_inserted": 0, "error": None,
+                         "status": "SKIPPED_EMPTY_FILE" if month[p] else "IGNORED_BAD_NAME"} for p in found],
+                status_path, "empty", time.time_ns())
+
+
+def _load(spark: SparkSession, decisions: list[dict], fact_path: str, bronze_orders: str | None) -> None:
+    sources = [_source(spark, d["file_path"], d["RunMonth"], bronze_orders) for d in decisions]
+    K.overwrite_slice(W.fact_projection(_read(spark, sources)), fact_path, ["RunMonth"])
+
+
+def load_batch(arrived: DataFrame, epoch_id: int, fact_path: str, status_path: str,
+               query_id: str | None = None, bronze_orders: str | None = None) -> None:
+    """The I3 protocol for every file of one micro-batch (column ``path``)."""
+    spark = arrived.sparkSession
+    query_id = query_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+    decisions = _recorded(spark, status_path, query_id, epoch_id)
+    if not decisions:
+        # file names of one micro-batch: bounded by maxFilesPerTrigger
+        paths = [r["path"] for r in arrived.select("path").distinct().collect()]
+        decisions = _decide(spark, paths, fact_path, bronze_orders)
+        if not decisions:
+            return
+        _record(spark, decisions, status_path, query_id, epoch_id)
+    accepted = [d for d in decisions if d["status"] == "SUCCEEDED"]
+    if not accepted:
+        return
     try:
-        prior = spark.read.parquet(status_path).where(F.col("batch_id") == epoch_id)
-    except AnalysisException:
-        return None
-    return prior if prior.limit(1).count() > 0 else None
-
-
-def _load(spark: SparkSession, batch: DataFrame, epoch_id: int, fact_path: str,
-          status_path: str) -> None:
-    rows = batch.withColumn("RunMonth", X.month_from_key("file_path"))
-    st = _prior_status(spark, status_path, epoch_id)
-    if st is None:
-        files = rows.groupBy("file_path", "RunMonth").agg(F.count(F.lit(1)).alias("rows_file"))
-        first = (files.where(F.col("RunMonth").isNotNull()).groupBy("RunMonth")
-                 .agg(F.min("file_path").alias("_winner")))
-        # months named by this batch's files: bounded by the number of files
-        months = [r["RunMonth"] for r in files.where(F.col("RunMonth").isNotNull())
-                  .select("RunMonth").distinct().collect()]
-        loaded = _loaded_months(spark, fact_path, months).select(
-            F.col("RunMonth").alias("_m"), F.lit(True).alias("_loaded"))
-        status = (F.when(F.col("RunMonth").isNull(), "IGNORED_BAD_NAME")
-                  .when(F.col("_loaded") | (F.col("file_path") != F.col("_winner")), "SKIPPED_EXISTS")
-                  .when(F.col("rows_file") == 0, "SKIPPED_EMPTY_FILE")
-                  .otherwise("SUCCEEDED"))
-        st = (files.join(first, "RunMonth", "left").join(loaded, F.col("RunMonth") == F.col("_m"), "left")
-              .select("file_path", "RunMonth", "rows_file", status.alias("status"))
-              .withColumn("rows_inserted", F.when(F.col("status") == "SUCCEEDED", F.col("rows_file"))
-                          .otherwise(F.lit(0).cast("bigint")))
-              .withColumn("batch_id", F.lit(epoch_id)))
-        # decisions are fixed before the fact write changes the loaded months:
-        # materialise them (one row per file) in the shared checkpoint folder,
-        # then record them, so a replay of this batch reuses them
-        ensure_checkpoint_dir(spark)
-        st = st.checkpoint(eager=True)
-        st.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "batch_id").parquet(status_path)
-    accepted = st.where(F.col("status") == "SUCCEEDED").select("file_path")
-    to_load = rows.join(accepted, "file_path", "left_semi").drop("file_path")
-    # dynamic overwrite of the accepted months: a replay rewrites the same partitions
-    K.overwrite_slice(W.fact_projection(to_load), fact_path, ["RunMonth"])
+        _load(spark, accepted, fact_path, bronze_orders)
+        return
+    except Exception:                      # find out which files fail, load the others
+        pass
+    for d in accepted:
+        try:
+            _load(spark, [d], fact_path, bronze_orders)
+        except Exception as e:
+            d |= {"status": "ERROR", "rows_inserted": 0, "error": str(e)}
+    _record(spark, decisions, status_path, query_id, epoch_id)
 
 
 def start_fact_stream(spark: SparkSession, landing_dir: str, fact_path: str, status_path: str,
-                      checkpoint: str, available_now: bool = True,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      checkpoint: str, available_now: bool = True, max_files_per_trigger: int | None = 1000,
+                      bronze_orders: str | None = None) -> StreamingQuery:
     """Start the file-arrival load; ``available_now`` processes what is there
     and stops (a scheduled run), else it keeps watching the folder.  A large
-    backlog is split into micro-batches of ``max_files_per_trigger`` files."""
-    # a corrupt or vanished file must not stop the other files of the batch
-    # (it yields no rows, hence no load and no status row)
-    r = (spark.readStream.schema(raw_schema("orders")).option("header", True)
-         .option("escape", '"').option("pathGlobFilter", "*.csv")
-         .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True))
+    backlog is split into micro-batches of ``max_files_per_trigger`` files.
+    ``bronze_orders`` is where the slices of ``.ready`` markers are."""
+    r = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.{csv,ready}")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = (r.csv(landing_dir)
-           .select("*", F.col("_metadata.file_path").alias("file_path")))
-    w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, e: load_batch(b, e, fact_path, status_path)))
+    def batch(arrived: DataFrame, epoch_id: int) -> None:
+        record_empty(arrived.sparkSession, landing_dir, status_path)
+        load_batch(arrived, epoch_id, fact_path, status_path, bronze_orders=bronze_orders)
+
+    record_empty(spark, landing_dir, status_path)
+    w = r.load(landing_dir).select("path").writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from lakefix import month_rows, write_month_file
-from tallyhouse.streaming.file_arrival import start_fact_stream
+from tallyhouse.streaming.file_arrival import load_batch, start_fact_stream
 
 
 def _run(spark, landing, fact, status, ckpt, per_trigger=None):
@@ -53,23 +53,68 @@ def test_stream_loads_each_file_once(spark, scratch):
     assert spark.read.parquet(fact).count() == len(m3) + len(m4) + len(m5)
 
 
-def test_replayed_batch_is_idempotent(spark, scratch):
-    """foreachBatch may run an epoch again after a failure: no duplicate rows."""
-    from pyspark.sql import functions as F
+def _batch(spark, *paths):
+    return spark.createDataFrame([(f"file:{p}",) for p in paths], "path string")
 
-    from conftest import SF_SMALL
-    from tallyhouse.plans.queries import RAW_ORDER_COLS
-    from tallyhouse.sources import fixtures as FX
-    from tallyhouse.streaming.file_arrival import load_batch
 
+def test_replayed_batch_is_idempotent(spark, scratch):
+    """foreachBatch may run an epoch again after a failure: no duplicate rows,
+    and the recorded decisions stand."""
     fact, status = os.path.join(scratch, "fact"), os.path.join(scratch, "status")
-    raw = FX.raw_orders(spark, SF_SMALL).where(F.col("RunMonth").isin("1995-03", "1995-04"))
-    batch = raw.select(*RAW_ORDER_COLS, F.concat(F.lit("file:/landing/orders_"), F.col("RunMonth"),
-                                                  F.lit(".csv")).alias("file_path"))
-    n = batch.count()
-    load_batch(batch, 0, fact, status)
-    load_batch(batch, 0, fact, status)          # the same epoch again
-    assert spark.read.parquet(fact).count() == n
-    st = sorted((r["status"], r["rows_inserted"]) for r in spark.read.parquet(status).collect())
-    assert [x[0] for x in st] == ["SUCCEEDED", "SUCCEEDED"]      # the recorded decisions stand
-    assert sum(x[1] for x in st) == n
+    rows = month_rows(spark, "1995-03")
+    p = os.path.join(scratch, "landing", "orders_1995-03.csv")
+    write_month_file(p, rows)
+    for _ in range(2):
+        load_batch(_batch(spark, p), 0, fact, status, "query-a")
+        assert spark.read.parquet(fact).count() == len(rows)
+        assert _statuses(spark, status) == [("orders_1995-03.csv", "SUCCEEDED", len(rows))]
+
+
+def test_new_checkpoint_on_an_old_status_path(spark, scratch):
+    """A new query starts at batch 0 again; its files are decided anew."""
+    landing, fact = os.path.join(scratch, "landing"), os.path.join(scratch, "fact")
+    status = os.path.join(scratch, "status")
+    m3, m4 = month_rows(spark, "1995-03"), month_rows(spark, "1995-04")
+    write_month_file(os.path.join(landing, "orders_1995-03.csv"), m3)
+    _run(spark, landing, fact, status, os.path.join(scratch, "ckpt-a"))
+    write_month_file(os.path.join(landing, "orders_1995-04.csv"), m4)
+    _run(spark, landing, fact, status, os.path.join(scratch, "ckpt-b"))
+    assert spark.read.parquet(fact).count() == len(m3) + len(m4)
+    assert _statuses(spark, status) == sorted([
+        ("orders_1995-03.csv", "SUCCEEDED", len(m3)), ("orders_1995-03.csv", "SKIPPED_EXISTS", 0),
+        ("orders_1995-04.csv", "SUCCEEDED", len(m4))])
+    assert spark.read.parquet(status).where("query_id = 'manual'").count() == 0
+
+
+def test_unreadable_and_empty_files_beside_good_ones(spark, scratch):
+    """One status row per file; a file that yields nothing leaves its month to a later one."""
+    landing, fact = os.path.join(scratch, "landing"), os.path.join(scratch, "fact")
+    status = os.path.join(scratch, "status")
+    m3, m4 = month_rows(spark, "1995-03"), month_rows(spark, "1995-04")
+    good, empty = os.path.join(landing, "orders_1995-03.csv"), os.path.join(landing, "orders_1995-04.csv")
+    later, gone = os.path.join(landing, "z_orders_1995-04.csv"), os.path.join(landing, "orders_1995-05.csv")
+    write_month_file(good, m3)
+    write_month_file(empty, [])                       # a header only
+    write_month_file(later, m4)
+    load_batch(_batch(spark, good, empty, later, gone), 0, fact, status, "q")     # gone: vanished since it was seen
+    assert spark.read.parquet(fact).count() == len(m3) + len(m4)
+    assert _statuses(spark, status) == sorted([
+        ("orders_1995-03.csv", "SUCCEEDED", len(m3)), ("orders_1995-04.csv", "SKIPPED_EMPTY_FILE", 0),
+        ("z_orders_1995-04.csv", "SUCCEEDED", len(m4)), ("orders_1995-05.csv", "ERROR", 0)])
+    error = spark.read.parquet(status).where("status = 'ERROR'").first()["error"]
+    assert "orders_1995-05.csv" in error
+    # the month comes again later and loads
+    write_month_file(gone, month_rows(spark, "1995-05"))
+    load_batch(_batch(spark, gone), 1, fact, status, "q")
+    assert {r["RunMonth"] for r in spark.read.parquet(fact).select("RunMonth").distinct().collect()} == {
+        "1995-03", "1995-04", "1995-05"}
+
+
+def test_stream_sees_empty_files(spark, scratch):
+    landing, status = os.path.join(scratch, "landing"), os.path.join(scratch, "status")
+    write_month_file(os.path.join(landing, "orders_1995-03.csv"), [])
+    with open(os.path.join(landing, "orders_1995-04.csv"), "w"):
+        pass
+    _run(spark, landing, os.path.join(scratch, "fact"), status, os.path.join(scratch, "ckpt"))
+    assert _statuses(spark, status) == [("orders_1995-03.csv", "SKIPPED_EMPTY_FILE", 0),
+                                        ("orders_1995-04.csv", "SKIPPED_EMPTY_FILE", 0)]
