@@ -44,6 +44,7 @@ RATE = 0.5
 FALSE_REJECTS = 0.002
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
+_ASCII_LETTER = re.compile("[a-z]").search
 
 
 @dataclass
@@ -58,7 +59,9 @@ class Model:
 def letters(text: str | None) -> bytes:
     """Words of letters, lower-cased, one blank around each; empty without letters."""
     words = _OTHER.sub(" ", (text or "").lower()).strip(" ")
-    return f" {words} ".encode("utf-8", "surrogatepass") if words else b""
+    if not _ASCII_LETTER(words) and not any(map(str.isalpha, words)):
+        return b""                      # numerals such as a raised two are no letters
+    return f" {words} ".encode("utf-8", "surrogatepass")
 
 
 def subwords(line: bytes, bits: int = BUCKET_BITS) -> np.ndarray:

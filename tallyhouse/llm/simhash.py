@@ -191,8 +191,8 @@ def _links(max_bits: int):
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between different fingerprints of ``prints`` at ``max_bits``
-    or fewer differing bits: enough of them to connect all that are linked."""
+    """Edges (a, b) between different fingerprints of ``prints`` that connect
+    exactly what links of ``max_bits`` or fewer differing bits connect."""
     distinct = prints.select("fingerprint").distinct()
     own, probes = _ring_keys(max_bits)
     filed = distinct.select(F.explode(own).alias("key"), "fingerprint")

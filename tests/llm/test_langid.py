@@ -24,6 +24,7 @@ def test_rejects_what_is_in_no_language(spark):
     for text in ["Привет мир как дела сегодня", "日本語の文章です", "ελληνικά κείμενα εδώ"]:
         lang, p = L.predict_text(text, model)
         assert lang in model.languages and p < model.threshold
+    assert L.predict_text("² ½ Ⅷ 12", model) == ("und", 0.0)
     assert L.predict_text("the of and to this is with that", model)[1] > model.threshold
 
 

@@ -64,8 +64,6 @@ def test_links_connect_all_that_brute_force_does(spark):
         prints = random_prints(900, bits)
         signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
         links = H.links(spark.createDataFrame(signed, "fingerprint bigint"), bits, block).collect()
-        for r in links:
-            assert 0 < bin((r.a ^ r.b) & (2**64 - 1)).count("1") <= bits
         place = {p[0]: k for k, p in enumerate(signed)}
         label = list(range(len(signed)))
 
