@@ -16,16 +16,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 KEYS = ["orders_valid", "v_sales", "cumulative_sales", "fk_orphans", "store_diversity",
         "scan_parquet", "ingest_month_filter", "total_sales_header"]
 NOTES = {
-    "orders_valid": "Dedup = two-phase `min_by` aggregate (partial before the shuffle) + shuffled "
-                    "hash join on the unique row id; no Window operator.",
+    "orders_valid": "Dedup = one two-phase `min` of an ordering struct that is the winning row "
+                    "(partial before the shuffle); no Window operator, no join back.",
     "v_sales": "Left outer star join; AQE broadcasts a dimension only when its runtime size is "
                "under the threshold, otherwise sort-merge join with skew splitting.",
     "cumulative_sales": "Fact aggregated to (Country, month) before the dense calendar and the "
-                        "running-sum window; calendar bounds are scalar subqueries.",
-    "fk_orphans": "One pass per child table: each parent's distinct keys left-joined as a marker.",
+                        "running-sum window; the fact is scanned once.",
+    "fk_orphans": "One pass per child table: rows counted per (key, value), the distinct values joined "
+                  "with the parents' keys.",
     "store_diversity": "count(DISTINCT) per store via Expand + partial aggregation.",
     "scan_parquet": "Column pruning: ReadSchema lists only the 4 projected columns.",
-    "ingest_month_filter": "Format cascade bound once per row through a lambda variable.",
+    "ingest_month_filter": "Format cascade as one chain of replacements inside code generation.",
     "total_sales_header": "Two partial aggregations (per order, per month).",
 }
 
