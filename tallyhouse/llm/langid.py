@@ -6,8 +6,8 @@ embedding table.  The mean of the rows goes through a linear layer and a
 softmax.  Both are trained by stochastic gradient descent in numpy, on pieces
 of a bounded sample of labelled documents.  A temperature, fitted on documents
 kept out of the training, makes the probabilities honest, and a threshold on
-them, set there so that at most ``false_rejects`` of good documents fall
-below it, rejects texts in none of the languages.
+them, set there between chance and the lowest of the good pieces, rejects texts
+in none of the languages.
 
 Prediction needs no embedding rows: rows times layer give a table of scores
 per hash, so a text costs one look-up per subword.  Scoring covers whole
@@ -41,7 +41,8 @@ SAMPLE_CHARS = 20_000    # longer ones are not drawn
 PIECE = 240              # characters of a training piece, about
 EPOCHS = 2
 RATE = 0.5
-FALSE_REJECTS = 0.002
+FALSE_REJECTS = 0.002    # share of good pieces that counts as the lowest ones
+MARGIN = 0.25            # place of the threshold between chance and the lowest good pieces
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
 _ASCII_LETTER = re.compile("[a-z]").search
@@ -140,10 +141,10 @@ def train(texts: list[str], langs: list[str], bits: int = BUCKET_BITS, dimension
         model.temperature = float(grid[int(np.argmin(loss))])
         best = np.array([probabilities(x, model).max() for x in s])
         good = best[s.argmax(axis=1) == y]
-        # between chance and the kept-out documents' lowest probabilities, with room below these
+        # between chance and the kept-out pieces' lowest probabilities, well below these
         lowest = float(np.quantile(good, false_rejects)) if len(good) else 0.0
         chance = 1 / len(names)
-        model.threshold = chance + 0.5 * max(0.0, lowest - chance)
+        model.threshold = chance + MARGIN * max(0.0, lowest - chance)
     return model
 
 
