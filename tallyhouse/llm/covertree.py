@@ -44,7 +44,7 @@ CELLS = 256            # cells of the upper level at most
 SAMPLE = 4096          # classes from which the cells' centres are chosen
 RADII = (1.0, 0.5, 0.25)
 ROWS_AT_ONCE = 1024
-SLACK = 1e-9
+SLACK = 1e-7           # rounding of distances near zero
 
 
 def unit(vectors) -> np.ndarray:
@@ -126,55 +126,62 @@ def nest(vectors: np.ndarray, radii=RADII) -> np.ndarray:
 
 
 class Tree:
-    """Children, centres and covering radii from the paths of ``nest``."""
+    """Nodes and covering radii from the paths of ``nest``.  A node is named by
+    its centre; a node of one vector has radius 0 and is that vector."""
 
     def __init__(self, vectors: np.ndarray, path: np.ndarray):
         self.vectors, self.levels = vectors, path.shape[1]
-        self.radius, self.members = [], []
+        self.radius = []
         for level in range(self.levels):
             far = distance(np.einsum("ij,ij->i", vectors, vectors[path[:, level]]))
             far[path[:, level] == np.arange(len(vectors))] = 0.0
             radius = np.zeros(len(vectors))
             np.maximum.at(radius, path[:, level], far)
-            self.radius.append(radius)
-            order = np.argsort(path[:, level], kind="stable")
-            self.members.append((order, path[order, level]))
+            several = np.bincount(path[:, level], minlength=len(vectors)) > 1
+            self.radius.append(np.where(several, np.maximum(radius, 10 * SLACK), 0.0))
         self.path = path
         self.top = np.unique(path[:, 0])
 
-    def below(self, node: int, level: int) -> np.ndarray:
-        """The nodes of the next level (or the vectors) under a node."""
-        order, own = self.members[level]
-        rows = order[np.searchsorted(own, node):np.searchsorted(own, node, "right")]
+    def below(self, nodes: np.ndarray, level: int) -> np.ndarray:
+        """The nodes of the next level (or the vectors) under some nodes."""
+        chosen = np.zeros(len(self.vectors), dtype=bool)
+        chosen[nodes] = True
+        rows = np.flatnonzero(chosen[self.path[:, level]])
         return rows if level + 1 == self.levels else np.unique(self.path[rows, level + 1])
 
 
 def traverse(a: Tree, b: Tree, threshold: float, found) -> None:
-    """Call found(rows of a, rows of b, link matrix) until all links are told."""
+    """Call found(rows of a, rows of b, link matrix) until all links are told.
+
+    Node pairs that the bound lets through go down together: those of one node
+    (on the side that has fewer) with all of its partners.
+    """
     reach = distance(threshold) + SLACK
     waiting = [(0, a.top, b.top)]
     while waiting:
         level, left, right = waiting.pop()
-        last = level == a.levels
-        zero = lambda n: np.zeros(len(n))
-        ra = zero(left) if last else a.radius[level][left]
-        rb = zero(right) if last else b.radius[level][right]
-        # nodes of like radius stand together, so that one bound fits all of a matrix
+        ra = a.radius[level][left] if level < a.levels else np.zeros(len(left))
+        rb = b.radius[level][right] if level < b.levels else np.zeros(len(right))
+        # nodes of like radius stand together, single vectors apart from the rest
         for la in _by_radius(ra):
             for lb in _by_radius(rb):
-                bound = ra[la].max() + rb[lb].max() + reach
+                single = ra[la].max() <= SLACK and rb[lb].max() <= SLACK
                 for at in range(0, len(la), ROWS_AT_ONCE):
                     rows = la[at:at + ROWS_AT_ONCE]
                     cosine = a.vectors[left[rows]] @ b.vectors[right[lb]].T
-                    if bound <= reach:                        # single vectors on both sides
+                    if single:
                         link = cosine >= threshold
                         if link.any():
                             found(left[rows], right[lb], link)
                         continue
-                    near = np.argwhere(cosine >= 1.0 - min(bound, 2.0) ** 2 / 2.0 - SLACK)
-                    for i, j in near:
-                        if distance(cosine[i, j]) <= ra[rows[i]] + rb[lb[j]] + reach:
-                            waiting.append((level + 1, a.below(left[rows[i]], level), b.below(right[lb[j]], level)))
+                    bound = np.minimum(2.0, ra[rows][:, None] + rb[lb][None, :] + reach)
+                    near = cosine >= 1.0 - bound * bound / 2.0 - SLACK
+                    if len(rows) <= len(lb):
+                        waiting += [(level + 1, a.below(left[rows[i:i + 1]], level), b.below(right[lb[near[i]]], level))
+                                    for i in np.flatnonzero(near.any(axis=1))]
+                    else:
+                        waiting += [(level + 1, a.below(left[rows[near[:, j]]], level), b.below(right[lb[j:j + 1]], level))
+                                    for j in np.flatnonzero(near.any(axis=0))]
 
 
 def _by_radius(radius: np.ndarray) -> list[np.ndarray]:

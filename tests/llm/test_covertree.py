@@ -67,6 +67,15 @@ def test_edges(spark):
     assert C.near_duplicates(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_vectors_that_differ_by_a_factor(spark):
+    """One direction, many classes: distances are rounding noise."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(5, 16))
+    rows = [(k, [float(x) for x in base[k % 5] * rng.uniform(0.1, 9)]) for k in range(200)]
+    got = C.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute(rows), key=key)
+
+
 def test_table_and_pairs(spark):
     df = read_table(spark, SF_SMALL, "embeddings")
     rows = [(r.vec_id, list(r.embedding)) for r in df.collect()]
