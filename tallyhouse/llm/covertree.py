@@ -43,12 +43,14 @@ BLOCK = 4096           # classes in one block, about
 CELLS = 256            # cells of the upper level at most
 SAMPLE = 4096          # classes from which the cells' centres are chosen
 RADII = (1.0, 0.5, 0.25)
+LEAF = 16              # nodes of fewer vectors are not worth a bound: each vector stands for itself
 ROWS_AT_ONCE = 1024
 SLACK = 1e-7           # rounding of distances near zero
+ROUGH = 1e-4           # error bound of a cosine in single precision (dimensions * 2**-23, for up to 800)
 
 
 def unit(vectors) -> np.ndarray:
-    v = np.stack([np.asarray(x, dtype=np.float64) for x in vectors])
+    v = np.concatenate(list(vectors)).astype(np.float64).reshape(len(vectors), -1)
     v = v / np.abs(v).max(axis=1, keepdims=True)          # no overflow in the squares
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
@@ -100,8 +102,9 @@ def net(vectors: np.ndarray, radius: float) -> np.ndarray:
 
 
 def nest(vectors: np.ndarray, radii=RADII) -> np.ndarray:
-    """Place of each vector's centre on each level, one column per radius."""
-    path = np.empty((len(vectors), len(radii)), dtype=np.int64)
+    """Place of each vector's centre on each level, one column per radius; a
+    vector in a node of fewer than LEAF is its own centre from there on."""
+    path = np.repeat(np.arange(len(vectors))[:, None], len(radii), axis=1)
     groups = [np.arange(len(vectors))]
     for level, radius in enumerate(radii):
         below = []
@@ -109,19 +112,14 @@ def nest(vectors: np.ndarray, radii=RADII) -> np.ndarray:
             if level:                       # the centre above stays a centre
                 centre = path[group[0], level - 1]
                 group = np.concatenate([[centre], group[group != centre]])
-            own = group[net(vectors[group], radius)] if len(group) > 1 else group
-            path[group, level] = own
-            if len(group) > 1:
-                order = np.argsort(own, kind="stable")
-                cuts = np.flatnonzero(np.diff(own[order])) + 1
-                below += [g for g in np.split(group[order], cuts)]
-            else:
-                below.append(group)
+            own = group[net(vectors[group], radius)]
+            order = np.argsort(own, kind="stable")
+            cuts = np.flatnonzero(np.diff(own[order])) + 1
+            for node in np.split(order, cuts):
+                if len(node) >= LEAF:
+                    path[group[node], level] = own[node]
+                    below.append(group[node])
         groups = below
-        for group in groups:
-            if len(group) == 1:
-                path[group[0], level:] = group[0]
-        groups = [g for g in groups if len(g) > 1]
     return path
 
 
@@ -131,6 +129,7 @@ class Tree:
 
     def __init__(self, vectors: np.ndarray, path: np.ndarray):
         self.vectors, self.levels = vectors, path.shape[1]
+        self.rough = vectors.astype(np.float32) if vectors.shape[1] <= 800 else vectors
         self.radius = []
         for level in range(self.levels):
             far = distance(np.einsum("ij,ij->i", vectors, vectors[path[:, level]]))
@@ -154,7 +153,9 @@ def traverse(a: Tree, b: Tree, threshold: float, found) -> None:
     """Call found(rows of a, rows of b, link matrix) until all links are told.
 
     Node pairs that the bound lets through go down together: those of one node
-    (on the side that has fewer) with all of its partners.
+    (on the side that has fewer) with all of its partners.  Bounds are tested in
+    single precision with room for its error; pairs of single vectors that come
+    close are computed again in double precision.
     """
     reach = distance(threshold) + SLACK
     waiting = [(0, a.top, b.top)]
@@ -165,17 +166,22 @@ def traverse(a: Tree, b: Tree, threshold: float, found) -> None:
         # nodes of like radius stand together, single vectors apart from the rest
         for la in _by_radius(ra):
             for lb in _by_radius(rb):
+                other = b.rough[right[lb]]
                 single = ra[la].max() <= SLACK and rb[lb].max() <= SLACK
                 for at in range(0, len(la), ROWS_AT_ONCE):
                     rows = la[at:at + ROWS_AT_ONCE]
-                    cosine = a.vectors[left[rows]] @ b.vectors[right[lb]].T
+                    cosine = a.rough[left[rows]] @ other.T
                     if single:
-                        link = cosine >= threshold
-                        if link.any():
-                            found(left[rows], right[lb], link)
+                        near = cosine >= np.float32(threshold - ROUGH)
+                        i, j = np.flatnonzero(near.any(axis=1)), None
+                        if len(i):
+                            j = np.flatnonzero(near[i].any(axis=0))
+                            link = a.vectors[left[rows[i]]] @ b.vectors[right[lb[j]]].T >= threshold
+                            if link.any():
+                                found(left[rows[i]], right[lb[j]], link)
                         continue
                     bound = np.minimum(2.0, ra[rows][:, None] + rb[lb][None, :] + reach)
-                    near = cosine >= 1.0 - bound * bound / 2.0 - SLACK
+                    near = cosine >= 1.0 - bound * bound / 2.0 - ROUGH
                     if len(rows) <= len(lb):
                         waiting += [(level + 1, a.below(left[rows[i:i + 1]], level), b.below(right[lb[near[i]]], level))
                                     for i in np.flatnonzero(near.any(axis=1))]
@@ -228,10 +234,14 @@ def _roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _sides(rows: pd.DataFrame):
-    rows = rows.sort_values(["side", "pos"], ignore_index=True)
-    one = rows[rows["side"] == 0]
-    two = rows[rows["side"] == 1].reset_index(drop=True)
-    tree = lambda part: Tree(unit(part["vector"]), np.stack(part["path"]).astype(np.int64))
+    side, pos = rows["side"].to_numpy(), rows["pos"].to_numpy()
+    order = np.lexsort((pos, side))
+    cut = int((side == 0).sum())
+    columns = {c: rows[c].to_numpy()[order] for c in ("class", "copies", "vector", "path")}
+    one = pd.DataFrame({c: v[:cut] for c, v in columns.items()})
+    two = pd.DataFrame({c: v[cut:] for c, v in columns.items()})
+    tree = lambda part: Tree(unit(part["vector"].to_numpy()),
+                             np.concatenate(list(part["path"])).astype(np.int64).reshape(len(part), -1))
     return one, two, tree
 
 
@@ -339,7 +349,7 @@ def _blocks(per: DataFrame, threshold: float, block: int, cells: int, sample: in
                 if s not in centres:          # a length that the sample missed: one cell of any radius
                     cell[mine], far[mine] = other + s, 2.0
                     continue
-                cosine = unit(batch["vector"].iloc[mine]) @ centres[s].T
+                cosine = unit(batch["vector"].to_numpy()[mine]) @ centres[s].T
                 best = cosine.argmax(axis=1)
                 cell[mine] = offset[s] + best
                 far[mine] = distance(cosine[np.arange(len(mine)), best])
@@ -369,7 +379,7 @@ def _blocks(per: DataFrame, threshold: float, block: int, cells: int, sample: in
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("class", ignore_index=True)
-        path = nest(unit(group["vector"]))
+        path = nest(unit(group["vector"].to_numpy()))
         return group.assign(pos=np.arange(len(group)), path=list(path))
 
     kept = "cell bigint, part bigint, class bigint, copies bigint, vector " + vector + \
