@@ -92,12 +92,12 @@ def parse_mdy_ts(c) -> Column:
 
 # F7 date-text cascade ------------------------------------------------------------
 _MONTH, _DAY, _YEAR = "(1[0-2]|0[1-9]|[1-9])", "(3[01]|[12][0-9]|0[1-9]|[1-9])", "([0-9]{4})"
-# One pattern per family of formats; families exclude one another by shape, so
-# only the two dash forms ever compete.
-_YEAR_FIRST = f"^{_YEAR}([-/]){_MONTH}\\2{_DAY}\\z"        # %Y-%m-%d, %Y/%m/%d
-_SLASHES = f"^{_MONTH}/{_DAY}/{_YEAR}\\z"                   # %m/%d/%Y
-_DAY_FIRST = f"^{_DAY}-{_MONTH}-{_YEAR}\\z"                 # %d-%m-%Y
-_MONTH_FIRST = f"^{_MONTH}-{_DAY}-{_YEAR}\\z"               # %m-%d-%Y
+# One alternative per family of formats, its year, month and day in groups of
+# its own; families exclude one another by shape, so only the two dash forms compete.
+_YEAR_FIRST = f"(?<y0>{_YEAR})([-/])(?<m0>{_MONTH})\\3(?<d0>{_DAY})"      # %Y-%m-%d, %Y/%m/%d
+_SLASHES = f"(?<m1>{_MONTH})/(?<d1>{_DAY})/(?<y1>{_YEAR})"               # %m/%d/%Y
+_DAY_FIRST = f"(?<d2>{_DAY})-(?<m2>{_MONTH})-(?<y2>{_YEAR})"             # %d-%m-%Y
+_MONTH_FIRST = f"(?<m3>{_MONTH})-(?<d3>{_DAY})-(?<y3>{_YEAR})"           # %m-%d-%Y
 
 
 def date_head(c) -> Column:
@@ -109,18 +109,19 @@ def parse_cascade(c, declared: str | None = "MM-dd-yyyy") -> Column:
     """First format of the cascade that parses decides the date (F7): the
     declared one, then CASCADE_FORMATS in order.
 
-    The text passes through one replacement per family; a text that fits is
-    rewritten as year-month-day behind a mark and fits no later pattern.  So
-    every step is used once and the expression stays small.  (A text that fits
-    the first dash form but is no date never fits the second one: one of its
-    two numbers is above 12.)
+    One replacement rewrites a text that fits as year-month-day behind a mark
+    (groups that took no part are empty); what has no mark has no date.  Every
+    step uses its input once, so the expression stays small inside generated
+    code.  (A text that fits the first dash form but is no date never fits the
+    second one: one of its two numbers is above 12.)
     """
-    day_first, month_first = (_DAY_FIRST, "$3-$2-$1"), (_MONTH_FIRST, "$3-$1-$2")
-    dashes = [month_first, day_first] if DECLARED_PATTERNS.get(declared or "") == "%m-%d-%Y" else [day_first, month_first]
-    text = F.regexp_replace(date_head(c), "^\u0001", " ")
-    for pattern, order in [(_YEAR_FIRST, "$1-$3-$4"), (_SLASHES, "$3-$1-$2"), *dashes]:
-        text = F.regexp_replace(text, pattern, "\u0001" + order)
-    return F.regexp_extract(text, "^\u0001(.*)$", 1).try_cast("date")
+    dashes = [_MONTH_FIRST, _DAY_FIRST] if DECLARED_PATTERNS.get(declared or "") == "%m-%d-%Y" \
+        else [_DAY_FIRST, _MONTH_FIRST]
+    fits = f"^(?:{'|'.join([_YEAR_FIRST, _SLASHES, *dashes])})\\z"
+    part = {c: "".join(f"${{{c}{k}}}" for k in range(4)) for c in "ymd"}
+    marked = F.regexp_replace(F.translate(date_head(c), "\u0001", " "), fits,
+                              f"\u0001{part['y']}-{part['m']}-{part['d']}")
+    return F.split_part(marked, F.lit("\u0001"), F.lit(2)).try_cast("date")
 
 
 def check_run_month(ym: str) -> str:

@@ -185,19 +185,21 @@ class Routed:
         rows.  Later rows exist only for keys that repeat, so only these keys
         are joined back; a later row is invalid with the reason decided before
         the dedup check, else the dedup reason.  Rows with a NULL in the key are
-        invalid whatever their place in the group and take no part in the join."""
+        invalid whatever their place in the group.  Both are picked out in one
+        pass over the staged rows."""
         if self.firsts is None or not self.audit_from_firsts or self.staged is None or not self.keys:
             return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
         cat, _ = pre_dedup_category(self.checks)
         dup_reason = next(c.reason for c in self.checks if c.name == "dedup")
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
         first_bad = self.firsts.where(~no_key & (F.col(STATUS) == "invalid"))
-        again = self.firsts.where(~no_key & (F.col(GROUP_ROWS) > 1)).select(*self.keys, F.col(RID).alias("_win"))
-        later = (self.staged.where(~no_key).join(again, on=self.keys).where(F.col(RID) != F.col("_win"))
-                 .withColumn(REASON, F.coalesce(cat, F.lit(dup_reason))))
-        keyless = self.staged.where(no_key).withColumn(REASON, cat)
+        again = self.firsts.where(~no_key & (F.col(GROUP_ROWS) > 1)).select(
+            *self.keys, F.col(RID).alias("_win"))
+        rest = (self.staged.join(again, on=self.keys, how="left")
+                .where(no_key | (F.col(RID) != F.col("_win")))
+                .withColumn(REASON, F.coalesce(cat, F.lit(dup_reason))))
         cols = self._cols(self.invalid_cols)
-        return first_bad.select(*cols).unionByName(later.select(*cols)).unionByName(keyless.select(*cols))
+        return first_bad.select(*cols).unionByName(rest.select(*cols))
 
     def _cols(self, names: list[str]) -> list[Column]:
         return [F.col(c).alias(self.renames.get(c, c)) if isinstance(c, str) else c for c in names]
