@@ -31,7 +31,7 @@ from tallyhouse.llm.common import stored
 
 MAX_REPEAT = 3
 WEIGHTS = 3           # weights 1 .. WEIGHTS, repeating
-SALT_ROWS = 20_000
+SALT_ROWS = 4096
 SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -115,7 +115,7 @@ ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          md5(concat_ws('|', CAST(doc_id AS VARCHAR), source, text)) AS k,
-         CAST(ceil((SELECT count(*) FROM documents) / 20000.0) AS BIGINT) AS salts
+         CAST(ceil((SELECT count(*) FROM documents) / 4096.0) AS BIGINT) AS salts
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM s),

@@ -24,7 +24,7 @@ def targets(sizes, cap=3):
         fixed |= {s: cap * sizes[s] for s in above}
 
 
-def check(docs, salt_rows=20_000):
+def check(docs, salt_rows=M.SALT_ROWS):
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     rows = docs.collect()
     sizes = defaultdict(int)
@@ -50,7 +50,7 @@ def check(docs, salt_rows=20_000):
 
 def test_targets_are_met(spark):
     docs = read_table(spark, SF_MID, "documents")
-    for salt_rows in (20_000, 50):
+    for salt_rows in (M.SALT_ROWS, 50):
         want, taken, largest = check(docs, salt_rows)
         for s in want:
             assert abs(taken[s] - want[s]) <= 2 * largest[s] + 0.02 * want[s]
