@@ -5,9 +5,13 @@ four bytes of each word, its borders included, are hashed to rows of an
 embedding table.  The mean of the rows goes through a linear layer and a
 softmax.  Both are trained by stochastic gradient descent in numpy, on pieces
 of a bounded sample of labelled documents.  A temperature, fitted on documents
-kept out of the training, makes the probabilities honest, and a threshold on
-them, set there between chance and the lowest of the good pieces, rejects texts
-in none of the languages.
+kept out of the training, makes the probabilities honest.  Two bounds, each at
+the ``FALSE_REJECTS`` quantile of good texts, reject texts in none of the
+languages: one on the probability, from the kept-out texts and their pieces,
+one on the share of a text's subwords that the training has seen, from each
+trained text against the others (the mean share counts for ``PRIOR`` subwords
+more, so that a short text is not judged by one of them).  Below the second
+bound the score is 0.
 
 Prediction needs no embedding rows: rows times layer give a table of scores
 per hash, so a text costs one look-up per subword.  Scoring covers whole
@@ -41,8 +45,8 @@ SAMPLE_CHARS = 20_000    # longer ones are not drawn
 PIECE = 240              # characters of a training piece, about
 EPOCHS = 2
 RATE = 0.5
-FALSE_REJECTS = 0.002    # share of good pieces that counts as the lowest ones
-MARGIN = 0.25            # place of the threshold between chance and the lowest good pieces
+FALSE_REJECTS = 0.002    # share of good texts below each bound
+PRIOR = 50               # subwords that the mean share of seen ones counts for
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
 _ASCII_LETTER = re.compile("[a-z]").search
@@ -55,6 +59,9 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float         # calibrated probability below which a text is rejected
+    seen: np.ndarray         # per subword hash, whether the training has seen it
+    usual: float = 1.0       # mean share of seen subwords
+    familiar: float = 0.0    # share of them below which a text is rejected
 
 
 def letters(text: str | None) -> bytes:
@@ -90,12 +97,15 @@ def train(texts: list[str], langs: list[str], bits: int = BUCKET_BITS, dimension
     names = sorted(set(langs))
     rng = np.random.default_rng(seed)
     number = {name: k for k, name in enumerate(names)}
-    pieces, truth, kept_out = [], [], []
+    pieces, truth, kept_out, whole = [], [], [], []
     for at, (text, lang) in enumerate(zip(texts, langs)):
         if at % 10 == 9:
             kept_out.append((text, number[lang]))
             continue
-        words = letters(text).split()
+        line = letters(text)
+        words = line.split()
+        if words:
+            whole.append(subwords(line, bits))
         size = 0
         start = 0
         for k, w in enumerate(words):
@@ -127,9 +137,13 @@ def train(texts: list[str], langs: list[str], bits: int = BUCKET_BITS, dimension
             bias -= 0.1 * eta * p
             np.subtract.at(rows, ids, (eta / len(ids) * back).astype(np.float32))
     # one contiguous column of scores per language
-    model = Model(names, np.ascontiguousarray((rows @ layer).T), bias, 1.0, 0.0)
-    scored = [(raw_scores(subwords(letters(t[at:at + PIECE]), bits), model), y) for t, y in kept_out
-              for at in range(0, min(len(t), 4 * PIECE), PIECE) if letters(t[at:at + PIECE])]
+    holders = np.zeros(1 << bits, dtype=np.int64)        # trained texts that have the hash
+    for ids in whole:
+        holders[np.unique(ids)] += 1
+    model = Model(names, np.ascontiguousarray((rows @ layer).T), bias, 1.0, 0.0, holders > 0)
+    cut = [(t[at:at + PIECE], y) for t, y in kept_out for at in range(0, min(len(t), 4 * PIECE), PIECE)]
+    known = [(subwords(letters(t), bits), y) for t, y in kept_out + cut if letters(t)]
+    scored = [(raw_scores(ids, model), y) for ids, y in known]
     if scored:
         s, y = np.array([x for x, _ in scored]), np.array([x for _, x in scored])
         loss = []
@@ -141,10 +155,13 @@ def train(texts: list[str], langs: list[str], bits: int = BUCKET_BITS, dimension
         model.temperature = float(grid[int(np.argmin(loss))])
         best = np.array([probabilities(x, model).max() for x in s])
         good = best[s.argmax(axis=1) == y]
-        # between chance and the kept-out pieces' lowest probabilities, well below these
-        lowest = float(np.quantile(good, false_rejects)) if len(good) else 0.0
-        chance = 1 / len(names)
-        model.threshold = chance + MARGIN * max(0.0, lowest - chance)
+        model.threshold = low_quantile(good, false_rejects) if len(good) else 0.0
+    # each trained text against the others: a hash in one text only is new there
+    sizes = np.array([len(ids) for ids in whole])
+    if sizes.sum():
+        fresh = np.array([np.count_nonzero(holders[ids] < 2) for ids in whole])
+        model.usual = float(1 - fresh.sum() / sizes.sum())
+        model.familiar = low_quantile((sizes - fresh + PRIOR * model.usual) / (sizes + PRIOR), false_rejects)
     return model
 
 
@@ -154,6 +171,19 @@ def raw_scores(ids: np.ndarray, model: Model) -> np.ndarray:
     return np.array([column[ids].sum() for column in model.table]) / len(ids) + model.bias
 
 
+def low_quantile(values: np.ndarray, share: float) -> float:
+    """The quantile at ``share``, or below it where few values leave it open:
+    that of an exponential tail below the lowest tenth."""
+    start = np.quantile(values, 0.1)
+    slope = (start - values[values <= start]).mean()
+    return float(min(np.quantile(values, share), start + slope * np.log(min(1.0, 10 * share))))
+
+
+def familiarity(ids: np.ndarray, model: Model) -> float:
+    """Share of subwords that the training has seen, PRIOR usual ones added."""
+    return float((np.count_nonzero(model.seen[ids]) + PRIOR * model.usual) / (len(ids) + PRIOR))
+
+
 def probabilities(scores: np.ndarray, model: Model) -> np.ndarray:
     z = scores / model.temperature
     p = np.exp(z - z.max())
@@ -161,13 +191,14 @@ def probabilities(scores: np.ndarray, model: Model) -> np.ndarray:
 
 
 def predict_text(text: str | None, model: Model) -> tuple[str, float]:
-    """(language, calibrated probability)."""
+    """(language, calibrated probability; 0 if too few subwords are known)."""
     line = letters(text)
     if not line or not model.languages:
         return UNKNOWN, 0.0
     bits = model.table.shape[1].bit_length() - 1
-    p = probabilities(raw_scores(subwords(line, bits), model), model)
-    return model.languages[int(p.argmax())], float(p.max())
+    ids = subwords(line, bits)
+    p = probabilities(raw_scores(ids, model), model)
+    return model.languages[int(p.argmax())], float(p.max()) if familiarity(ids, model) >= model.familiar else 0.0
 
 
 def held_out(doc_id):
@@ -181,7 +212,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS)
                          & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     per = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not per:
-        return Model([], np.zeros((0, 2), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
+        return Model([], np.zeros((0, 2), np.float32), np.zeros(0, np.float32), 1.0, 0.0, np.zeros(2, bool))
     share = sample / len(per)
     # a document is drawn if its hash falls below its language's share
     draw = F.lit(0.0)

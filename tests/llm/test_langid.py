@@ -68,3 +68,16 @@ def test_subwords():
     assert len(L.subwords(L.letters("ab"))) == 3 + 2 + 1           # " a", "ab", "b "; " ab", "ab "; " ab "
     assert len(L.subwords(L.letters("1 2 !"))) == 0
     assert len(L.subwords(L.letters("a b"))) == 4 + 2              # no run has a blank inside
+
+
+def test_rejects_latin_script_that_it_has_not_learnt(spark):
+    rows = [r for r in read_table(spark, SF_MID, "documents").collect() if r.text and len(r.text) > 40]
+    rng = np.random.default_rng(3)
+    noise = [" ".join("".join(map(chr, rng.integers(97, 123, rng.integers(2, 10)))) for _ in range(n)) for n in (8, 30, 300) * 20]
+    for names in (["de", "en", "fr"], ["de", "en", "es"], ["de", "en"], ["en"]):
+        taught = [r for r in rows if r.lang in names and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+        model = L.train([r.text for r in taught], [r.lang for r in taught])
+        rejected = lambda texts: np.mean([L.predict_text(t, model)[1] < model.threshold for t in texts])
+        assert rejected([r.text for r in rows if r.lang not in names]) >= 0.95
+        assert rejected(noise) >= 0.95
+        assert rejected([r.text for r in rows if r.lang in names]) <= 0.02
