@@ -7,7 +7,8 @@ digits, lower and upper case), ``ident`` (a named account or client) and
 ``endpoint`` (the address of a service).  A weak candidate is reported only if
 a complementary part stands within its scope, ``SCOPE`` code points to either
 side: a key with an identifier or an endpoint, an identifier or an endpoint
-with a secret of any kind.
+with a secret of any kind.  Candidates that overlap a strong span count as
+parts like any other; only those wholly inside one are no spans of their own.
 
 Spans come from one pass per kind: the pieces between matches and the matches
 themselves give the positions, so overlapping rules cost nothing.  Linking is
@@ -106,15 +107,13 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     rows = _keyed(docs, "doc_id")
     spans = rows.select("doc_id", "_h", "_n", F.array_sort(_strong(F.col("text"))).alias("strong"),
                         _weak(F.col("text")).alias("weak"))
-    # a weak candidate inside a strong span says nothing new
-    apart = F.filter("weak", lambda w: ~F.exists(
-        "strong", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-    found = stored(spans.withColumn("weak", apart), "secret-spans")
+    found = stored(spans, "secret-spans")
     links = stored(_linked(found, scope), "secret-links")
+    # a weak candidate wholly inside a strong span is evidence for others, but no span of its own
+    linked = F.filter(F.coalesce("linked", F.array().cast(f"array<{_SPAN}>")), lambda w: ~F.exists(
+        "strong", lambda s: (s["start"] <= w["start"]) & (w["end"] <= s["end"])))
     return found.join(links, ["_h", "_n"], "left").select(
-        "doc_id", "strong",
-        F.array_sort(F.concat("strong", F.coalesce("linked", F.array().cast(f"array<{_SPAN}>")))).alias("spans"),
-        "_h", "_n")
+        "doc_id", "strong", F.array_sort(F.concat("strong", linked)).alias("spans"), "_h", "_n")
 
 
 def span_text(spans: Column) -> Column:

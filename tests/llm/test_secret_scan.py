@@ -96,3 +96,21 @@ def test_plan_is_native(spark, text):
     docs = make_docs(spark, [(1, text, "en", "a")])
     plan = S.digest(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_weak_parts_that_overlap_strong_spans(spark):
+    url = "https://api.example.com/?token=abcdef12"
+    mixed = KEY + "0123456789abcdef01234567" + "Zz9"
+    texts = {
+        f"{url} {KEY}": ("endpoint:0:39,assign:25:39,key:40:82", f"{S.MARK} {S.MARK}"),
+        f"login=root {mixed} end": ("ident:0:10,key:11:80,hex:51:77", f"{S.MARK} {S.MARK} end"),
+        f"https://h.example/{'0f' * 12}/x {KEY}": ("endpoint:0:44,hex:18:42,key:45:87", f"{S.MARK} {S.MARK}"),
+        # inside a strong span: evidence for the key, no span of its own
+        f"password=user_id=abcdef {KEY}": ("assign:0:23,key:24:66", f"{S.MARK} {S.MARK}"),
+        f"{mixed} end": ("hex:40:66", f"{KEY[:-2]}{S.MARK}Zz9 end"),
+    }
+    docs = make_docs(spark, [(k, t, "en", "a") for k, t in enumerate(texts)])
+    spans = {r.doc_id: r.spans for r in S.digest(docs).collect()}
+    clean = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    for k, (want, text) in enumerate(texts.values()):
+        assert (spans[k], clean[k]) == (want, text)
