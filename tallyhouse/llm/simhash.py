@@ -113,6 +113,25 @@ def _linker(max_bits: int):
     return near
 
 
+def _groups(runs, at, filed, looked):
+    """(runs, first lookup of each, lookups of each) to compare at once: small
+    runs together, up to CHUNK pairs; a run of more is alone, cut by its
+    lookups, one at least."""
+    work = filed * looked
+    small = np.flatnonzero(work <= CHUNK)
+    total = np.cumsum(work[small])
+    done = 0
+    while done < len(small):
+        upto = int(np.searchsorted(total, CHUNK + (total[done - 1] if done else 0), side="right"))
+        take = small[done:upto]
+        yield runs[take], at[take], looked[take]
+        done = upto
+    for k in np.flatnonzero(work > CHUNK):
+        step = max(1, CHUNK // int(filed[k]))
+        for start in range(0, int(looked[k]), step):
+            yield runs[[k]], at[[k]] + start, np.array([min(step, int(looked[k]) - start)])
+
+
 def _links(max_bits: int):
     """Links within runs of equal (key, block), filed fingerprints before looked-up ones."""
     near = _linker(max_bits)
@@ -155,31 +174,20 @@ def _links(max_bits: int):
             held = (key[new[-1]], block[new[-1]], prints[new[-1]:new[-1] + filed[-1]])
             runs = np.flatnonzero((filed > 0) & (looked > 0))
             found_a, found_b = [], []
-            work = filed[runs] * looked[runs]
             first = key[new] >> 58                       # ring position
-            # runs are compared in groups of about CHUNK pairs; a longer run is cut by its lookups
-            group = np.cumsum(work) // CHUNK
-            for g in np.unique(group):
-                mine = runs[group == g]
-                f, p = filed[mine], looked[mine]
-                parts = -(-int((f * p).max()) // CHUNK) if len(mine) == 1 else 1
-                step = -(-int(p[0]) // parts) if parts > 1 else 0
-                for part in range(parts):
-                    if parts > 1:
-                        at = new[mine] + f + part * step
-                        count = np.minimum(step, p - part * step)
-                    else:
-                        at, count = new[mine] + f, p
-                    if count.min() <= 0:
-                        continue
-                    size = f * count
-                    run = np.repeat(np.arange(len(mine)), size)
-                    inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                    a = prints[new[mine][run] + inner % f[run]]
-                    b = prints[at[run] + inner // f[run]]
-                    ok = near(a, b, first[mine][run])
-                    found_a.append(a[ok])
-                    found_b.append(b[ok])
+            for mine, at, count in _groups(runs, new[runs] + filed[runs], filed[runs], looked[runs]):
+                f = filed[mine]
+                size = f * count
+                run = np.repeat(np.arange(len(mine)), size)
+                inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                a = prints[new[mine][run] + inner % f[run]]
+                b = prints[at[run] + inner // f[run]]
+                ok = near(a, b, first[mine][run])
+                found_a.append(a[ok])
+                found_b.append(b[ok])
+                if sum(map(len, found_a)) > CHUNK:       # links of a dense run are reduced as they come
+                    a, b = reduced(np.concatenate(found_a), np.concatenate(found_b))
+                    found_a, found_b = [a], [b]
             if found_a:
                 a, b = np.concatenate(found_a), np.concatenate(found_b)
                 if len(a):

@@ -109,3 +109,32 @@ def test_components(spark):
     want = {x: find(x) for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_hot_run_before_small_runs_keeps_to_the_chunk(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(4)
+    runs = [(k, f, p) for k, (f, p) in enumerate([(1, 2), (60, 500), (2, 3), (1, 1), (70, 9), (3, 2), (5, 20), (50, 400), (1, 4)])]
+    rows = []
+    for key, f, p in runs:
+        centre = rng.getrandbits(64)
+        near = lambda: centre ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64))  # noqa: B023, E731
+        rows += [(key, 0, False, near()) for _ in range(f)] + [(key, 0, True, near()) for _ in range(p)]
+    key, block, probe, prints = (list(c) for c in zip(*rows))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(key, pa.int64()), pa.array(block, pa.int64()), pa.array(probe),
+         pa.array(np.array(prints, dtype=np.uint64).view(np.int64))], names=["key", "block", "probe", "fingerprint"])
+    real, sizes = H._linker(4), []
+
+    def measured(a, b, first):
+        sizes.append(len(a))
+        return real(a, b, first)
+
+    def edges():
+        return {(a, b) for out in H._links(4)([batch]) for a, b in zip(*(c.to_pylist() for c in out.columns))}
+
+    want = edges()
+    monkeypatch.setattr(H, "_linker", lambda bits: measured)
+    monkeypatch.setattr(H, "CHUNK", 256)
+    assert edges() == want and len(want) > 50
+    assert max(sizes) <= 256 and sum(sizes) == sum(f * p for _, f, p in runs)
