@@ -38,7 +38,7 @@ ASSIGN_MIN = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"       # a maximal run from the first AKIA, 20 or more in all
 HEX = r"[0-9a-f]{24,}"              # a maximal run
 # weak patterns of the method
-KEY = r"(?<![A-Za-z0-9/+])(?=[A-Za-z0-9/+]{0,39}[0-9])(?=[A-Za-z0-9/+]{0,39}[a-z])(?=[A-Za-z0-9/+]{0,39}[A-Z])[A-Za-z0-9/+]{40,}"
+KEY = r"(?<![A-Za-z0-9/+])(?=[A-Za-z/+]*[0-9])(?=[A-Z0-9/+]*[a-z])(?=[a-z0-9/+]*[A-Z])[A-Za-z0-9/+]{40,}"
 IDENT = r"""(?<![A-Za-z0-9_])(?i:(?:client_?id|user_?name|user_?id|login|account|access_?key_?id))["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""
 ENDPOINT = r"(?<![A-Za-z0-9_])(?i:(?:https?|ftps?|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp|s3)://)[^\s\"'<>]{3,}"
 

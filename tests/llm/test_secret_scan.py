@@ -114,3 +114,13 @@ def test_weak_parts_that_overlap_strong_spans(spark):
     clean = {r.doc_id: r.text for r in S.redact(docs).collect()}
     for k, (want, text) in enumerate(texts.values()):
         assert (spans[k], clean[k]) == (want, text)
+
+
+def test_key_classes_count_over_the_whole_run(spark):
+    runs = ["A" * 60 + "b1", "Z1" * 25 + "z", "z" * 45 + "9Q", "/" * 40 + "aA1", "Q" * 40_000 + "w7" + "Q" * 40_000]
+    no_keys = ["A" * 60 + "1", "G" * 60_000, "g" * 50 + "9", "Ab1" * 13]
+    docs = make_docs(spark, [(k, f"login=root {t} x", "en", "a") for k, t in enumerate(runs + no_keys)])
+    spans = {r.doc_id: r.spans for r in S.digest(docs).collect()}
+    for k, t in enumerate(runs + no_keys):
+        want = f"ident:0:10,key:11:{11 + len(t)}" if t in runs else ""
+        assert spans[k] == want
