@@ -8,6 +8,7 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.session import ensure_checkpoint_dir
 
@@ -20,6 +21,9 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+ship_by_value(__name__)
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker process does.
 
@@ -47,3 +51,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
+
+
+HOT_SHARE = 1024
+
+
+def text_key() -> F.Column:
+    """SHA-256 of the text (null: of the empty text), as 32 bytes."""
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def join_copies(rows: DataFrame, per_text: DataFrame, total: int) -> DataFrame:
+    """``rows`` (a row per document) joined by ``key`` with ``per_text``, which
+    has one row per key and in ``copies`` the number of its documents.
+
+    A key of more than 1 in ``HOT_SHARE`` of the ``total`` documents is one of
+    fewer than ``HOT_SHARE`` such keys: these are broadcast and their documents
+    stay where they are.  The others are shuffled, no group of them being larger
+    than that share.
+    """
+    is_hot = F.col("copies") * HOT_SHARE > F.lit(total)
+    hot = per_text.filter(is_hot)
+    near = rows.join(F.broadcast(hot), "key")
+    far = rows.join(F.broadcast(hot.select("key")), "key", "left_anti").join(per_text.filter(~is_hot), "key")
+    return near.unionByName(far)
