@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import (covertree, langid, licenses, mixing, packing, periodic, quality, secret_scan, sharding,
-                            simhash, spotsigs, warc)
+from tallyhouse.llm import (covertree, crosstok, langid, licenses, mixing, packing, periodic, quality, secret_scan,
+                            sharding, simhash, spotsigs, warc)
 from tallyhouse.llm.common import read_table
 
 
@@ -65,6 +65,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.measures(read_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.scan(read_table(spark, sf_dir, "documents"), edit=periodic.planted))
 
@@ -79,7 +83,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_license_scans, op3_secret_scans, op4_document_fingerprints, op5_simhash_near_dedup,
         op6_language_id, op7_mixing, op8_quality_classifier, op9_warc, op10_embedding_near_dedup,
-        op12_periodic_runs, op13_sharding)}
+        op11_cross_tokenizer_alignment, op12_periodic_runs, op13_sharding)}
 
 
 def all_sql() -> dict[str, str]:
