@@ -1,18 +1,18 @@
 """Data-quality building blocks: keep-first dedup, check routing, audit, FK check.
 
 Dedup (SURVEY W1/W2) is ROW_NUMBER() OVER (PARTITION BY key ORDER BY ...) = 1.
-A window would sort each key's rows inside one task, so one hot key (or one
+That window would sort each key's rows inside one task, so one hot key (or one
 huge group of identical copies) would land on a single executor.  Instead:
 
-1. ``groupBy(key).agg(min_by(_rid, ordering))`` finds the winner of every key;
-   partial (map-side) aggregation collapses a hot key before the shuffle.
-2. The winners' row ids are joined back on ``_rid`` alone; ``_rid`` is unique,
-   so that join hashes evenly whatever the key distribution (AQE picks a hash
-   or sort-merge join from the measured partition sizes).
-
-Outputs that need only the first rows (valid rows, latest rows) skip step 2:
-the smallest ordering struct is the winning row itself; per-key counts give
-the split audit and the per-REASON profile follow (``Routed``).
+* Outputs that need only the first rows (valid rows, latest rows) come from one
+  aggregate: the smallest ordering struct of a key is the winning row itself,
+  and partial aggregation collapses a hot key before the shuffle.  Per-key
+  counts give the split audit and the per-REASON profile (``Routed``).
+* Outputs that need every row with its flag (check flags, quarantined rows) rank
+  in two stages, in one pass and without a self-join: rows are dealt by key and
+  a salt of the row id, and ranked within each salt; a key's salt winners, at
+  most as many as there are salts, are then ranked among themselves.  A hot key
+  is spread over as many groups as there are shuffle partitions.
 
 The ordering is NULLS LAST in both directions (the reference engine's rule) and
 ends with ``_rid``, so ties between rows equal in every column are broken
@@ -24,7 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,29 +64,24 @@ def _descending_key(df: DataFrame, c: str) -> Column:
     raise TypeError(f"descending order on {dt} not supported for column {c}")
 
 
-def ordering_key(df: DataFrame, order: list[tuple[str, str]], rid: str = RID) -> Column:
-    """One struct whose ascending order is the requested NULLS LAST ordering."""
-    parts: list[Column] = []
-    for c, direction in order:
-        parts.append(F.col(c).isNull())
-        parts.append(F.col(c) if direction == "asc" else _descending_key(df, c))
-    parts.append(F.col(rid))
-    return F.struct(*parts)
-
-
 def mark_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
-               rid: str = RID, flag: str = FIRST) -> DataFrame:
+               rid: str = RID, flag: str = FIRST, salts: int | None = None) -> DataFrame:
     """Add boolean ``flag``: TRUE for the single first row of each key group
-    (NULL keys form one group, as in SQL PARTITION BY)."""
-    winners = (df.groupBy(*[F.col(k) for k in keys])
-               .agg(F.min_by(F.col(rid), ordering_key(df, order, rid)).alias("_win"))
-               .select(F.col("_win").alias(rid), F.lit(True).alias(flag)))
-    # join on the unique id: even partitions whatever the key skew.  AQE turns
-    # it into a shuffled hash join when every build partition is measured under
-    # spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold, else it stays a
-    # (spillable) sort-merge join.
-    return (df.join(winners, on=rid, how="left")
-            .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+    (NULL keys form one group, as in SQL PARTITION BY).
+
+    Two rankings: within (key, salt of the row id), then among a key's salt
+    winners.  In the second one the other rows stay apart, each in the group of
+    its salt, so no group is larger than in the first."""
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = [F.col(c).asc_nulls_last() if direction == "asc" else F.col(c).desc_nulls_last()
+              for c, direction in order] + [F.col(rid)]
+    group = [F.col(k) for k in keys]
+    near = Window.partitionBy(*group, "_salt").orderBy(*ranked)
+    across = Window.partitionBy(*group, F.when(F.col("_ahead"), -1).otherwise(F.col("_salt"))).orderBy(*ranked)
+    return (df.withColumn("_salt", F.pmod(F.xxhash64(rid), F.lit(salts)))
+            .withColumn("_ahead", F.row_number().over(near) == 1)
+            .withColumn(flag, F.col("_ahead") & (F.row_number().over(across) == 1))
+            .drop("_salt", "_ahead"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[tuple[str, str]],
@@ -169,8 +164,6 @@ class Routed:
     firsts: DataFrame | None = None   # the rn=1 rows only, with checks (no join back)
     audit_from_firsts: bool = False   # firsts carry group sizes of exactly the routed rows
     checks: list = field(default_factory=list)
-    staged: DataFrame | None = None   # the input before dedup (every row, with _rid)
-    keys: list = field(default_factory=list)   # the dedup key; a NULL in it fails a check before dedup
 
     def valid(self) -> DataFrame:
         """All checks TRUE.  Valid rows are first rows of their key, so when the
@@ -180,26 +173,8 @@ class Routed:
         return src.where(F.col(STATUS) == "valid").select(*self._cols(self.valid_cols))
 
     def invalid(self) -> DataFrame:
-        """Invalid rows with REASON.  With the first rows known (and no fan-out),
-        no row needs a flag: invalid first rows come from the checked first
-        rows.  Later rows exist only for keys that repeat, so only these keys
-        are joined back; a later row is invalid with the reason decided before
-        the dedup check, else the dedup reason.  Rows with a NULL in the key are
-        invalid whatever their place in the group.  Both are picked out in one
-        pass over the staged rows."""
-        if self.firsts is None or not self.audit_from_firsts or self.staged is None or not self.keys:
-            return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
-        cat, _ = pre_dedup_category(self.checks)
-        dup_reason = next(c.reason for c in self.checks if c.name == "dedup")
-        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
-        first_bad = self.firsts.where(~no_key & (F.col(STATUS) == "invalid"))
-        again = self.firsts.where(~no_key & (F.col(GROUP_ROWS) > 1)).select(
-            *self.keys, F.col(RID).alias("_win"))
-        rest = (self.staged.join(again, on=self.keys, how="left")
-                .where(no_key | (F.col(RID) != F.col("_win")))
-                .withColumn(REASON, F.coalesce(cat, F.lit(dup_reason))))
-        cols = self._cols(self.invalid_cols)
-        return first_bad.select(*cols).unionByName(rest.select(*cols))
+        """Rows for which NOT(all checks) is TRUE, with REASON."""
+        return self.flagged.where(F.col(STATUS) == "invalid").select(*self._cols(self.invalid_cols))
 
     def _cols(self, names: list[str]) -> list[Column]:
         return [F.col(c).alias(self.renames.get(c, c)) if isinstance(c, str) else c for c in names]
@@ -242,8 +217,7 @@ class Routed:
 
 def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: list,
           null_policy: str = "parity", firsts: DataFrame | None = None,
-          audit_from_firsts: bool = True, staged: DataFrame | None = None,
-          keys: list[str] | None = None) -> Routed:
+          audit_from_firsts: bool = True) -> Routed:
     """Route every row to valid / invalid with the first failing check as REASON.
 
     SQL three-valued logic is kept: valid = all checks TRUE; invalid = NOT(all)
@@ -256,7 +230,7 @@ def route(df: DataFrame, checks: list[Check], valid_cols: list, invalid_cols: li
     out = _apply_checks(df, checks, null_policy)
     first_out = _apply_checks(firsts, checks, null_policy) if firsts is not None else None
     return Routed(out, list(valid_cols), list(invalid_cols) + [REASON], firsts=first_out,
-                  checks=list(checks), staged=staged, keys=list(keys or []),
+                  checks=list(checks),
                   audit_from_firsts=audit_from_firsts and first_out is not None
                   and GROUP_ROWS in first_out.columns)
 

@@ -64,19 +64,16 @@ def write_quarantine(df: DataFrame, path: str, spec: dict | None = None) -> None
 
 def write_routed(routed: Routed, valid_path: str, invalid_path: str, spec: dict | None = None) -> dict:
     """Write both outputs of one routed stage, each over its whole slice, and
-    return their counts.  The checked first rows (the dedup aggregate) are
-    computed once for both."""
-    r = routed
-    if routed.firsts is not None:
-        r = replace(routed, firsts=routed.firsts.persist(StorageLevel.MEMORY_AND_DISK))
+    return their counts.  The flagged rows are computed once for both (kept in
+    memory and on executors' disks while the slice is written)."""
+    r = replace(routed, flagged=routed.flagged.persist(StorageLevel.MEMORY_AND_DISK), firsts=None)
     try:
         ov, oi = Observation("valid"), Observation("invalid")
         write_silver(r.valid().observe(ov, F.count(F.lit(1)).alias("n")), valid_path, spec)
         write_quarantine(r.invalid().observe(oi, F.count(F.lit(1)).alias("n")), invalid_path, spec)
         return {"valid": int(ov.get["n"]), "invalid": int(oi.get["n"])}
     finally:
-        if r.firsts is not None:
-            r.firsts.unpersist()
+        r.flagged.unpersist()
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

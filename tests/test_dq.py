@@ -236,7 +236,7 @@ def test_new_month_rows_anti_join(spark):
 
 
 @pytest.mark.parametrize("policy", ["parity", "quarantine"])
-def test_invalid_from_first_rows_equals_flagged(spark, policy):
+def test_outputs_from_first_rows_equal_flagged(spark, policy):
     from conftest import SF_MID
     cases = [C.clean_orders(FX.raw_orders(spark, SF_MID), policy),
              C.clean_customers(FX.raw_customers(spark, SF_MID)),
@@ -246,7 +246,31 @@ def test_invalid_from_first_rows_equals_flagged(spark, policy):
              C.clean_categories(FX.raw_categories(spark, SF_MID))]
     key = lambda row: tuple(str(x) for x in row)      # noqa: E731
     for r in cases:
-        assert r.staged is not None
-        slow = r.flagged.where(F.col(dq.STATUS) == "invalid").select(*r._cols(r.invalid_cols))
-        assert sorted(map(tuple, r.invalid().collect()), key=key) == \
+        slow = r.flagged.where(F.col(dq.STATUS) == "valid").select(*r._cols(r.valid_cols))
+        assert sorted(map(tuple, r.valid().collect()), key=key) == \
             sorted(map(tuple, slow.collect()), key=key)
+        counts = {x[dq.STATUS]: x["count"] for x in r.flagged.groupBy(dq.STATUS).count().collect()}
+        a = r.audit("x").first()
+        assert (a.rows_valid, a.rows_invalid, a.rows_gap) == tuple(
+            counts.get(k, 0) for k in ("valid", "invalid", "gap"))
+
+
+def test_flagged_orders_read_the_feed_once(spark):
+    from conftest import SF_SMALL
+    r = C.clean_orders(FX.raw_orders(spark, SF_SMALL))
+    for df in (r.invalid(), r.flagged):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("lineitem.parquet") == 1 and plan.count("Window [") == 2
+        assert plan.count("Join") == 2                # lines with orders and suppliers, nothing with itself
+
+
+@pytest.mark.parametrize("salts", [1, 2, 7, 1000])
+def test_mark_first_whatever_the_salts(spark, salts):
+    rnd = random.Random(salts)
+    rows = [(rnd.choice([None, 1, 2, 3, rnd.randrange(100)]), rnd.choice([None, 1, 2]), i) for i in range(1500)]
+    df = spark.createDataFrame(rows, f"k int, v int, {dq.RID} long")
+    order = [("v", "desc")]
+    got = dq.mark_first(df, ["k"], order, salts=salts)
+    assert got.columns == ["k", "v", dq.RID, dq.FIRST] and got.count() == 1500
+    want = {r[dq.RID] for r in _window_first(df, ["k"], order).collect()}
+    assert {r[dq.RID] for r in got.where(dq.FIRST).collect()} == want

@@ -71,15 +71,25 @@ def test_star_join_splits_hot_key(spark):
     assert "isSkewJoin=true" in plan or "skew=true" in plan
 
 
-def test_dedup_hot_key_is_pre_aggregated(spark):
-    with conf(spark, SKEW_CONF):
-        df = spark.range(20000).select(F.lit(7).alias("k"), (F.col("id") % 10).alias("v"),
-                                       F.col("id").alias(dq.RID))
+def test_dedup_hot_key_is_spread(spark):
+    with conf(spark, SKEW_CONF | {"spark.sql.shuffle.partitions": "64"}):
+        df = spark.range(64000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-7).alias("k"),
+                                       (F.col("id") % 10).alias("v"), F.col("id").alias(dq.RID))
         out = dq.mark_first(df, ["k"], [("v", "desc")])
-        firsts = out.where(dq.FIRST).collect()
-        plan = out._jdf.queryExecution().executedPlan().toString()
+        firsts = out.where(F.col(dq.FIRST) & (F.col("k") == -7)).collect()
+        spread = out.groupBy(F.spark_partition_id()).agg(F.count(F.when(F.col("k") == -7, 1)).alias("n"),
+                                                            F.max(dq.FIRST)).collect()
     assert len(firsts) == 1 and firsts[0]["v"] == 9
-    assert "partial_min_by" in plan
+    # two thirds of the rows have one key; no task holds more than a tenth of them
+    hot = sum(r["n"] for r in spread)
+    assert hot > 42000 and max(r["n"] for r in spread) < hot / 10
+
+
+def test_first_rows_are_pre_aggregated(spark):
+    df = spark.range(20000).select(F.lit(7).alias("k"), (F.col("id") % 10).alias("v"), F.col("id").alias(dq.RID))
+    out = dq.keep_first(df, ["k"], [("v", "desc")])
+    assert [r["v"] for r in out.collect()] == [9]
+    assert "partial_min" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_store_join_dropped_only_when_keys_unique(spark):
