@@ -7,7 +7,7 @@ softmax.  Both are trained by stochastic gradient descent in numpy, on pieces
 of a bounded sample of labelled documents.  A temperature, fitted on documents
 kept out of the training, makes the probabilities honest.  Two bounds, each at
 the ``FALSE_REJECTS`` quantile of good texts, reject texts in none of the
-languages: one on the probability, from the kept-out texts and their pieces,
+languages: one on the probability, from the kept-out texts and pieces of them,
 one on the share of a text's subwords that the training has seen, from each
 trained text against the others (the mean share counts for ``PRIOR`` subwords
 more, so that a short text is not judged by one of them).  Below the second
@@ -15,8 +15,9 @@ bound the score is 0.
 
 Prediction needs no embedding rows: rows times layer give a table of scores
 per hash, so a text costs one look-up per subword.  Scoring covers whole
-texts; the sample alone is bounded (``SAMPLE`` documents, spread evenly over
-the languages, none longer than ``SAMPLE_CHARS``).
+texts; the sample alone is bounded: ``SAMPLE`` documents, spread evenly over
+the languages, and of a document longer than ``SAMPLE_CHARS`` so many
+characters, in ``STRETCHES`` stretches spread evenly from its start to its end.
 
 Edge cases: a null text, or one without a letter, is predicted ``und`` with
 score 0 and is rejected; without labelled rows all texts with letters get
@@ -41,11 +42,12 @@ ship_by_value(__name__)
 BUCKET_BITS = 15
 DIMENSIONS = 16
 SAMPLE = 2000            # labelled documents that training may use
-SAMPLE_CHARS = 20_000    # longer ones are not drawn
+SAMPLE_CHARS = 20_000    # characters that training may use of a document
+STRETCHES = 10           # that a longer document gives
 PIECE = 240              # characters of a training piece, about
 EPOCHS = 2
 RATE = 0.5
-FALSE_REJECTS = 0.002    # share of good texts below each bound
+FALSE_REJECTS = 0.001    # share of good texts below each bound
 PRIOR = 50               # subwords that the mean share of seen ones counts for
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -141,7 +143,9 @@ def train(texts: list[str], langs: list[str], bits: int = BUCKET_BITS, dimension
     for ids in whole:
         holders[np.unique(ids)] += 1
     model = Model(names, np.ascontiguousarray((rows @ layer).T), bias, 1.0, 0.0, holders > 0)
-    cut = [(t[at:at + PIECE], y) for t, y in kept_out for at in range(0, min(len(t), 4 * PIECE), PIECE)]
+    # the kept-out texts whole, and up to four long and four short pieces from all over each
+    cut = [(t[at:at + size], y) for t, y in kept_out for size in (PIECE, PIECE // 8)
+           for at in np.linspace(0, max(0, len(t) - size), min(4, -(-len(t) // size)), dtype=int)]
     known = [(subwords(letters(t), bits), y) for t, y in kept_out + cut if letters(t)]
     scored = [(raw_scores(ids, model), y) for ids, y in known]
     if scored:
@@ -151,11 +155,15 @@ def train(texts: list[str], langs: list[str], bits: int = BUCKET_BITS, dimension
         for t in grid:
             z = s / t
             z -= z.max(axis=1, keepdims=True)
-            loss.append(-(z[np.arange(len(y)), y] - np.log(np.exp(z).sum(axis=1))).mean())
+            z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+            # as if one text more had each language alike: never surer than so many texts can show
+            loss.append(-(z[np.arange(len(y)), y].sum() + z.mean()))
         model.temperature = float(grid[int(np.argmin(loss))])
-        best = np.array([probabilities(x, model).max() for x in s])
-        good = best[s.argmax(axis=1) == y]
-        model.threshold = low_quantile(good, false_rejects) if len(good) else 0.0
+        good = s[s.argmax(axis=1) == y]
+        if len(good):                   # on the scale of log odds, where the tail is even
+            odds = low_quantile(np.array([log_odds(x, model) for x in good]), false_rejects)
+            # never below a half: some language must be likelier than all others together
+            model.threshold = max(0.5, float(1 / (1 + np.exp(-odds))))
     # each trained text against the others: a hash in one text only is new there
     sizes = np.array([len(ids) for ids in whole])
     if sizes.sum():
@@ -190,6 +198,12 @@ def probabilities(scores: np.ndarray, model: Model) -> np.ndarray:
     return p / p.sum()
 
 
+def log_odds(scores: np.ndarray, model: Model) -> float:
+    """Log odds of the likeliest language against all others."""
+    z = np.sort(scores / model.temperature)[::-1]
+    return float(-np.log(np.exp(z[1:] - z[0]).sum())) if len(z) > 1 else 0.0
+
+
 def predict_text(text: str | None, model: Model) -> tuple[str, float]:
     """(language, calibrated probability; 0 if too few subwords are known)."""
     line = letters(text)
@@ -219,20 +233,28 @@ def fit(docs: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS)
     for lang, n in per.items():
         draw = F.when(F.col("lang") == lang, F.lit(min(1.0, share / n))).otherwise(draw)
     place = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = usable.filter((place < draw) & (F.length("text") <= sample_chars)).limit(2 * sample) \
-        .select("doc_id", "lang", "text").collect()
+    n, size = F.length("text"), sample_chars // STRETCHES
+    begins = [((n - size) * k / (STRETCHES - 1)).cast("int") + 1 for k in range(STRETCHES)]
+    spread = F.concat_ws("\n", *(F.substring("text", at, F.lit(size)) for at in begins))
+    rows = usable.filter(place < draw).limit(2 * sample).select(
+        "doc_id", "lang", F.when(n <= sample_chars, F.col("text")).otherwise(spread).alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
+def _broadcast(docs: DataFrame, model: Model):
+    """The model's plain values: executors read them without this package."""
+    return docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
+
+
 def predict(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:
     """``carry`` (doc_id), lang_pred, score, rejected of every row."""
     carry = carry or ["doc_id"]
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    known = _broadcast(docs, model)
 
     def rows(batches):
-        m = known.value
+        m = Model(*known.value)
         for batch in batches:
             found = [predict_text(t.as_py(), m) for t in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
@@ -247,11 +269,11 @@ def predict(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Da
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose text is in a known language."""
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    known = _broadcast(docs, model)
     at = docs.columns.index("text")
 
     def rows(batches):
-        m = known.value
+        m = Model(*known.value)
         for batch in batches:
             found = (predict_text(t.as_py(), m) for t in batch.column(at))
             yield batch.filter(pa.array([lang != UNKNOWN and p >= m.threshold for lang, p in found], pa.bool_()))

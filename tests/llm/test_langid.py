@@ -81,3 +81,27 @@ def test_rejects_latin_script_that_it_has_not_learnt(spark):
         assert rejected([r.text for r in rows if r.lang not in names]) >= 0.95
         assert rejected(noise) >= 0.95
         assert rejected([r.text for r in rows if r.lang in names]) <= 0.02
+
+
+def test_language_of_long_documents_only(spark):
+    """Documents beyond the sample's length teach their language too."""
+    texts = {"en": "the quiet river runs below the old stone bridge and the town sleeps on", "de":
+             "der stille Fluss fließt unter der alten Brücke und die kleine Stadt schläft noch lange weiter"}
+    rng = np.random.default_rng(1)
+    mixed = lambda lang, n: " ".join(rng.choice(texts[lang].split(), n))
+    rows = [(k, mixed("en", 60), "en", "a") for k in range(100)]
+    rows += [(1000 + k, mixed("de", 5000), "de", "a") for k in range(100)]
+    docs = make_docs(spark, rows)
+    assert min(len(t) for _, t, lang, _ in rows if lang == "de") > L.SAMPLE_CHARS
+    found = L.predict(docs, L.fit(docs)).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id < 1000 else "de") and not r.rejected for r in found)
+
+
+def test_sample_is_spread_over_long_documents(spark):
+    """What stands at the end of a long document is learnt like its beginning."""
+    rows = [(k, "anfang wort " * 5000 + "schluss ende " * 5000, "de", "a") for k in range(40)]
+    rows += [(100 + k, "start word " * 20, "en", "a") for k in range(40)]
+    model = L.fit(make_docs(spark, rows))
+    for text in ("anfang wort anfang wort", "schluss ende schluss ende"):
+        assert L.predict_text(text, model)[0] == "de"
+        assert L.familiarity(L.subwords(L.letters(text)), model) > 0.95

@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from llm_docs import SF_SMALL, collect_by_row, edge, nothing  # noqa: F401
+from llm_docs import SF_SMALL, collect_by_row, edge, make_docs, nothing  # noqa: F401
 
 from tallyhouse.llm import licenses as L
 from tallyhouse.llm.queries import op2_license_scans
@@ -55,6 +55,23 @@ def test_tag_adds_labels():
     assert found["labels"] == ["gpl", "mit"] and found["base_labels"] == [] and found["alternatives"] == 2
 
 
+def test_prose_after_a_tag_gives_no_label():
+    for text in ["see the LICENSE file", "unknown", "NONE", "a b c", "gpled", "mitt", "see MIT"]:
+        found = L.scan_text(f"SPDX-License-Identifier: {text}")
+        assert found["labels"] == [] and found["score"] == 0.5, text
+    found = L.scan_text("SPDX-License-Identifier: MIT see the file")
+    assert found["labels"] == ["mit"]
+    for name in ["BSD-3-Clause", "GPL-3.0+", "Zlib", "LicenseRef-Acme-1.0", "CC-BY-4.0", "0BSD", "OFL-1.1", "Python-2.0"]:
+        assert L.scan_text(f"SPDX-License-Identifier: {name}")["score"] == 1.0, name
+
+
+def test_any_number_of_alternatives(spark):
+    rows = [(n, "SPDX-License-Identifier: " + " AND ".join(["(MIT OR BSD)"] * n), "en", "a") for n in (1, 70, 3000)]
+    got = {r.doc_id: r for r in L.scan(make_docs(spark, rows)).collect()}
+    assert got[1].alternatives == 2 and got[70].alternatives == 2.0 ** 70 and got[3000].alternatives == float("inf")
+    assert all(r.labels == ["bsd", "mit"] and r.score == 1 for r in got.values())
+
+
 def test_query_columns(spark):
     rows = op2_license_scans(spark, SF_SMALL).collect()
     assert len(rows) == 200
