@@ -11,7 +11,8 @@ with a secret of any kind.  Candidates that overlap a strong span count as
 parts like any other; only those wholly inside one are no spans of their own.
 
 Spans come from one pass per kind: the pieces between matches and the matches
-themselves give the positions, so overlapping rules cost nothing.  Linking is
+themselves give the positions by running sums, so overlapping rules cost
+nothing, and running sums go in blocks, so many spans do not slow down a text.  Linking is
 an interval join: parts are filed under the blocks of ``SCOPE`` code points
 that they touch, weak ones under the blocks that their scope touches, joined
 on document and block, with the overlap as condition.  It is a semi join, so
@@ -47,34 +48,61 @@ SECRET = ("assign", "hex", "key")
 _SPAN = "struct<start:bigint,rank:int,end:bigint>"
 
 
-def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
-    """Array of (start, rank, end) of the pattern's leftmost non-overlapping matches."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def _before(values: Column, merge) -> Column:
+    """For each of an array of bigints what ``merge`` makes of all before it,
+    from 0.  In blocks of about the square root of their number, as an array
+    that grows element by element is copied each time."""
+    none = F.array().cast("array<bigint>")
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values).cast("double"))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / width).cast("int")),
+                         lambda i: F.slice(values, i * width + 1, width))
+
+    def run(part, begin):
+        return F.aggregate(part, F.struct(begin.alias("at"), none.alias("out")), lambda acc, v: F.struct(
+            merge(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    zero = F.lit(0).cast("bigint")
+    begins = run(F.transform(blocks, lambda b: F.aggregate(b, zero, merge)), zero)
+    each = F.flatten(F.zip_with(blocks, begins, run))
+    return F.when(F.size(values) > 0, each).otherwise(none)
+
+
+def _with_spans(rows: DataFrame, patterns: dict) -> DataFrame:
+    """Add per kind the array of (start, rank, end) of its pattern's leftmost
+    non-overlapping matches; ``patterns``: kind -> (pattern, test of a match).
+
+    The pieces between matches and the matches themselves, in turn, give the
+    positions by a running sum of lengths."""
     none = F.array().cast(f"array<{_SPAN}>")
+    for kind, (pattern, keep) in patterns.items():
+        hits = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
+        pieces = F.transform(
+            F.arrays_zip(F.split("text", pattern, -1).alias("gap"), hits.alias("hit")),
+            lambda p: F.struct(F.length(p["gap"]).cast("bigint").alias("gap"),
+                               F.coalesce(F.length(p["hit"]), F.lit(0)).cast("bigint").alias("hit"),
+                               (p["hit"].isNotNull() & keep(p["hit"])).alias("good")))
+        found = F.regexp_like("text", F.lit(pattern))
+        rows = rows.withColumn("_pieces", F.when(found, pieces))
+        rows = rows.withColumn("_lengths", F.transform("_pieces", lambda p: p["gap"] + p["hit"]))
+        rows = rows.withColumn("_begins", _before(F.col("_lengths"), lambda a, b: a + b))
+        spans = F.transform(F.filter(F.arrays_zip(F.col("_pieces").alias("p"), F.col("_begins").alias("at")),
+                                     lambda x: x["p"]["good"]),
+                            lambda x: F.struct((x["at"] + x["p"]["gap"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
+                                               (x["at"] + x["p"]["gap"] + x["p"]["hit"]).alias("end")))
+        rows = rows.withColumn(kind, F.coalesce(spans.cast(f"array<{_SPAN}>"), none))
+    return rows.drop("_pieces", "_lengths", "_begins")
 
-    def step(acc, part):
-        start = acc["at"] + F.length(part["gap"])
-        end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"))
-        good = part["hit"].isNotNull() if keep is None else part["hit"].isNotNull() & keep(part["hit"])
-        return F.struct(end.alias("at"),
-                        F.when(good, F.concat(acc["out"], F.array(span).cast(f"array<{_SPAN}>")))
-                        .otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(
-        F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("hit")),
-        F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(none)
+def _any(hit: Column) -> Column:
+    return F.lit(True)
 
 
-def _strong(text: Column) -> Column:
-    long_enough = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= ASSIGN_MIN
-    return F.concat(_spans(text, ASSIGN, "assign", long_enough), _spans(text, ACCESS, "access"),
-                    _spans(text, HEX, "hex"))
+def _long_enough(hit: Column) -> Column:
+    return F.length(F.regexp_extract(hit, ASSIGN, 2)) >= ASSIGN_MIN
 
 
-def _weak(text: Column) -> Column:
-    return F.concat(_spans(text, KEY, "key"), _spans(text, IDENT, "ident"), _spans(text, ENDPOINT, "endpoint"))
+PATTERNS = {"assign": (ASSIGN, _long_enough), "access": (ACCESS, _any), "hex": (HEX, _any),
+            "key": (KEY, _any), "ident": (IDENT, _any), "endpoint": (ENDPOINT, _any)}
 
 
 def _keyed(docs: DataFrame, *carry) -> DataFrame:
@@ -87,7 +115,7 @@ def _linked(found: DataFrame, scope: int) -> DataFrame:
     """_h, _n, linked: weak spans with a complementary part in their scope."""
     is_secret = F.col("part.rank").isin([KINDS.index(k) for k in SECRET])
     weak_from = KINDS.index("key")
-    parts = found.filter(F.size("weak") > 0).select("_h", "_n", F.explode(F.concat("strong", "weak")).alias("part")) \
+    parts = found.filter(F.size("weak") > 0).dropDuplicates(["_h", "_n"]).select("_h", "_n", F.explode(F.concat("strong", "weak")).alias("part")) \
         .select("_h", "_n", "part", is_secret.alias("secret"))
     block = lambda low, high: F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope))).alias("block")
     weak = parts.filter(F.col("part.rank") >= weak_from).select(
@@ -105,8 +133,9 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, strong, spans: arrays of (start, rank, end), rank an index of
     KINDS, by start and rank; and the content key _h, _n."""
     rows = _keyed(docs, "doc_id")
-    spans = rows.select("doc_id", "_h", "_n", F.array_sort(_strong(F.col("text"))).alias("strong"),
-                        _weak(F.col("text")).alias("weak"))
+    spans = _with_spans(rows, PATTERNS).select(
+        "doc_id", "_h", "_n", F.array_sort(F.concat("assign", "access", "hex")).alias("strong"),
+        F.concat("key", "ident", "endpoint").alias("weak"))
     found = stored(spans, "secret-spans")
     links = stored(_linked(found, scope), "secret-links")
     # a weak candidate wholly inside a strong span is evidence for others, but no span of its own
@@ -134,19 +163,27 @@ def digest(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 def redact(docs: DataFrame, scope: int = SCOPE, mark: str = MARK) -> DataFrame:
     """All rows of ``docs``, every span of their text replaced by ``mark``;
     n_chars, where there is one, follows the new text."""
-    spans = stored(scan(docs, scope).filter(F.size("spans") > 0).select("_h", "_n", "spans")
-                   .dropDuplicates(["_h", "_n"]), "secret-redact")
-    text = F.col("text")
-
-    def step(acc, s):
-        piece = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(
-            s["start"] >= acc["at"], F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step,
-                        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    joined = _keyed(docs, F.struct(*docs.columns).alias("row")).join(spans, ["_h", "_n"], "left").withColumn(
-        "clean", F.when(F.col("spans").isNotNull(), clean))
+    spans = scan(docs, scope).filter(F.size("spans") > 0).select("_h", "_n", "spans").dropDuplicates(["_h", "_n"])
+    # spans that begin after all earlier ones have ended, with that end
+    spans = spans.withColumn("ends", F.transform("spans", lambda s: s["end"]))
+    spans = spans.withColumn("reach", _before(F.col("ends"), lambda a, b: F.greatest(a, b)))
+    cuts = F.transform(F.filter(F.arrays_zip(F.col("spans").alias("s"), F.col("reach").alias("r")),
+                                lambda x: x["s"]["start"] >= x["r"]),
+                       lambda x: F.struct(x["r"].cast("int").alias("low"), x["s"]["start"].cast("int").alias("high")))
+    spans = stored(spans.select("_h", "_n", cuts.alias("cuts"), F.array_max("ends").cast("int").alias("last")),
+                   "secret-redact")
+    # the pieces between, in blocks: each is cut out of its block's text, not of the whole
+    joined = _keyed(docs, F.struct(*docs.columns).alias("row")).join(spans, ["_h", "_n"], "left")
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("cuts").cast("double"))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("cuts") - 1) / width).cast("int")),
+                         lambda i: F.slice("cuts", i * width + 1, width))
+    joined = joined.withColumn("blocks", F.when(F.col("cuts").isNotNull(), F.transform(blocks, lambda b: F.struct(
+        b.alias("cuts"), b[0]["low"].alias("low"),
+        F.substring(F.col("text"), b[0]["low"] + 1, F.element_at(b, -1)["high"] - b[0]["low"]).alias("part")))))
+    pieces = F.flatten(F.transform("blocks", lambda b: F.transform(b["cuts"], lambda c: F.substring(
+        b["part"], c["low"] - b["low"] + 1, c["high"] - c["low"]))))
+    tail = F.substring(F.col("text"), F.col("last") + 1, F.length("text"))
+    joined = joined.withColumn("clean", F.concat(F.array_join(pieces, mark), F.lit(mark), tail))
     out = {c: F.col(f"row.`{c}`") for c in docs.columns}
     out["text"] = F.coalesce("clean", out["text"])
     if "n_chars" in out:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -124,3 +125,25 @@ def test_key_classes_count_over_the_whole_run(spark):
     for k, t in enumerate(runs + no_keys):
         want = f"ident:0:10,key:11:{11 + len(t)}" if t in runs else ""
         assert spans[k] == want
+
+
+def test_many_spans_take_time_in_proportion(spark):
+    """Four times the spans of one document take about four times as long, not sixteen."""
+    def seconds(n):
+        docs = make_docs(spark, [(1, "password=abcdefg " * n, "en", "a")])
+        began = time.perf_counter()
+        row = S.digest(docs).collect()[0]
+        text = S.redact(docs).collect()[0].text
+        assert row.n_assign == n and row.spans.count(",") == n - 1 and text == f"{S.MARK} " * n
+        return time.perf_counter() - began
+    seconds(100)
+    few, many = min(seconds(8000) for _ in range(2)), seconds(32_000)
+    assert many < 6 * few
+
+
+def test_repeated_rows_are_linked_once(spark):
+    """Thousands of equal rows whose weak parts stay unlinked, and of rows whose parts are linked."""
+    rows = [(1, "user_name: bob here", "en", "a")] * 4000 + [(2, f"user_name: bob {KEY}", "en", "a")] * 4000
+    got = S.digest(make_docs(spark, rows)).groupBy("doc_id", "spans").count().collect()
+    assert {(r.doc_id, r.spans, r["count"]) for r in got} == {
+        (1, "", 4000), (2, said(all_spans(rows[-1][1])), 4000)}
