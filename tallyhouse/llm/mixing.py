@@ -9,7 +9,9 @@ goes by size class, the words taken come within a few documents of the target.
 The running sum is a rank times the rate, and the rank is found in three
 levels, none of which gathers a source in one task: documents before the size
 class, before the salt within the class, and before the document within the
-salt.  Salts hold about ``salt_rows`` documents.
+salt.  A size class of a source has one salt for each ``salt_rows`` documents,
+or for each 1 in ``HOT`` of all documents where these are more; so classes of
+more than one salt are at most ``HOT``, whatever the table, and are broadcast.
 
 Targets: sources in code point order, null last, weigh 1, 2, 3, 1, 2, 3, ...
 and share the total size; a target stops at ``max_repeat`` times its source's
@@ -32,6 +34,7 @@ from tallyhouse.llm.common import stored
 MAX_REPEAT = 3
 WEIGHTS = 3           # weights 1 .. WEIGHTS, repeating
 SALT_ROWS = 4096
+HOT = 65_536
 SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -41,19 +44,17 @@ def _unit(text):
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def sized(docs: DataFrame, carry: list[str], salt_rows: int = SALT_ROWS) -> DataFrame:
-    """row (struct of ``carry``), source, skey, size, class, salt, key."""
-    salts = max(1, -(-docs.count() // salt_rows))
+def sized(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """row (struct of ``carry``), source, skey, size, class, key."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    rows = docs.select(F.struct(*carry).alias("row"), "source", size.alias("size"),
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), "source", size.alias("size"),
                        F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), "source", "text")).alias("key"))
     # size class: position of the first bit and the three after it; the first
     # character of skey tells a null source from any other
     return rows.select(
         "row", "source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("skey"), "size",
         F.expr("CASE WHEN size = 0 THEN -1L ELSE 8L * (length(bin(size)) - 1) +"
-               " (size * 8) div shiftleft(1L, length(bin(size)) - 1) - 8 END").alias("class"),
-        F.expr(f"cast(conv(substring(key, 1, 7), 16, 10) AS bigint) % {salts}").alias("salt"), "key")
+               " (size * 8) div shiftleft(1L, length(bin(size)) - 1) - 8 END").alias("class"), "key")
 
 
 def source_targets(rows: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS) -> DataFrame:
@@ -75,21 +76,36 @@ def source_targets(rows: DataFrame, max_repeat: int = MAX_REPEAT, weights: int =
         _unit(F.concat(F.lit(SEED), "skey")).alias("offset"))
 
 
-def copies(rows: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS) -> DataFrame:
+def _salted(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with their salt: 0 but in the classes of ``hot``."""
+    number = F.conv(F.substring("key", 1, 7), 16, 10).cast("bigint")
+    return rows.join(F.broadcast(hot), ["skey", "class"], "left").withColumn(
+        "salt", number % F.coalesce("salts", F.lit(1))).drop("salts")
+
+
+def copies(rows: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS,
+           salt_rows: int = SALT_ROWS) -> DataFrame:
     """``sized`` rows with source_size, target and copies."""
-    groups = stored(rows.groupBy("skey", "source", "class", "salt")
-                    .agg(F.count("*").alias("n"), F.sum("size").alias("size")), "mix-groups")
+    slim = stored(rows.select("skey", "source", "class", "size", "key"), "mix-slim")
+    groups = stored(slim.groupBy("skey", "source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size")),
+                    "mix-classes")
     sources = stored(source_targets(groups, max_repeat, weights), "mix-sources")
+    per_salt = max(salt_rows, -(-slim.count() // HOT))
+    hot = stored(groups.filter(F.col("n") > per_salt).select(
+        "skey", "class", F.ceil(F.col("n") / per_salt).cast("bigint").alias("salts")), "mix-hot")      # HOT at most
     upto = (Window.unboundedPreceding, -1)
-    classes = groups.groupBy("skey", "class").agg(F.sum("n").alias("n")).select(
-        "skey", "class", F.sum("n").over(Window.partitionBy("skey").orderBy("class").rowsBetween(*upto)).alias("lower"))
-    starts = groups.select("skey", "class", "salt", F.sum("n").over(
+    classes = groups.select("skey", "class", F.sum("n").over(
+        Window.partitionBy("skey").orderBy("class").rowsBetween(*upto)).alias("lower"))
+    salts = _salted(slim.join(F.broadcast(hot.select("skey", "class")), ["skey", "class"], "left_semi"), hot) \
+        .groupBy("skey", "class", "salt").agg(F.count("*").alias("n"))
+    within = salts.select("skey", "class", "salt", F.sum("n").over(
         Window.partitionBy("skey", "class").orderBy("salt").rowsBetween(*upto)).alias("within"))
-    starts = starts.join(classes, ["skey", "class"]).join(sources, "skey").select(
-        "skey", "class", "salt", (F.coalesce("lower", F.lit(0)) + F.coalesce("within", F.lit(0))).alias("before"),
+    starts = classes.join(within, ["skey", "class"], "left").join(sources, "skey").select(
+        "skey", "class", F.coalesce("salt", F.lit(0)).alias("salt"),
+        (F.coalesce("lower", F.lit(0)) + F.coalesce("within", F.lit(0))).alias("before"),
         "source_size", "target", "rate", "offset")
     rank = F.row_number().over(Window.partitionBy("skey", "class", "salt").orderBy("size", "key"))
-    placed = rows.withColumn("rank", rank).join(stored(starts, "mix-starts"), ["skey", "class", "salt"])
+    placed = _salted(rows, hot).withColumn("rank", rank).join(stored(starts, "mix-starts"), ["skey", "class", "salt"])
     sum_to = lambda k: F.floor(F.col("rate") * k + F.col("offset"))
     k = F.col("before") + F.col("rank")
     crossed = F.least(sum_to(k) - sum_to(k - 1), F.ceil("rate"))
@@ -99,14 +115,14 @@ def copies(rows: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS
 def mix_plan(docs: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS,
              salt_rows: int = SALT_ROWS) -> DataFrame:
     """doc_id, size, source_size, target, copies of each row."""
-    rows = stored(sized(docs, ["doc_id"], salt_rows), "mix-sized")
-    return copies(rows, max_repeat, weights).select("row.doc_id", "size", "source_size", "target", "copies")
+    rows = stored(sized(docs, ["doc_id"]), "mix-sized")
+    return copies(rows, max_repeat, weights, salt_rows).select("row.doc_id", "size", "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS,
           salt_rows: int = SALT_ROWS) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as it is taken."""
-    planned = copies(sized(docs, docs.columns, salt_rows), max_repeat, weights)
+    planned = copies(sized(docs, docs.columns), max_repeat, weights, salt_rows)
     return planned.filter("copies > 0").select(
         "row", F.explode(F.expr("sequence(1L, copies)")).alias("copy")).select("row.*")
 
@@ -114,9 +130,16 @@ def mixed(docs: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS,
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5(concat_ws('|', CAST(doc_id AS VARCHAR), source, text)) AS k,
-         CAST(ceil((SELECT count(*) FROM documents) / 4096.0) AS BIGINT) AS salts
+         md5(concat_ws('|', CAST(doc_id AS VARCHAR), source, text)) AS k
   FROM documents),
+c AS (
+  SELECT *, CASE WHEN size = 0 THEN -1 ELSE 8 * (length(bin(size)) - 1)
+              + (size * 8) // (CAST(1 AS BIGINT) << CAST(length(bin(size)) - 1 AS INTEGER)) - 8 END AS class
+  FROM d),
+h AS (
+  SELECT *, CAST(ceil(count(*) OVER (PARTITION BY source, class)
+                      / greatest(4096.0, ceil(count(*) OVER () / 65536.0))) AS BIGINT) AS salts
+  FROM c),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM s),
 l AS (SELECT *,
@@ -128,12 +151,10 @@ t AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), (SELECT max(lev) FR
 r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
         CAST(CAST('0x' || substr(md5('mix' || coalesce('=' || source, '')), 1, 8) AS BIGINT) AS DOUBLE)
         / 4294967296.0 AS u FROM t),
-o AS (SELECT doc_id, d.size, r.source_size, r.target, rate, u,
-        row_number() OVER (PARTITION BY d.source ORDER BY
-          CASE WHEN d.size = 0 THEN -1 ELSE 8 * (length(bin(d.size)) - 1)
-               + (d.size * 8) // (CAST(1 AS BIGINT) << CAST(length(bin(d.size)) - 1 AS INTEGER)) - 8 END,
-          CAST('0x' || substr(k, 1, 7) AS BIGINT) % salts, d.size, k) AS n
-      FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+o AS (SELECT doc_id, h.size, r.source_size, r.target, rate, u,
+        row_number() OVER (PARTITION BY h.source ORDER BY class,
+          CAST('0x' || substr(k, 1, 7) AS BIGINT) % salts, h.size, k) AS n
+      FROM h JOIN r ON h.source IS NOT DISTINCT FROM r.source)
 SELECT doc_id, size, source_size, target,
        CAST(size * least(floor(rate * n + u) - floor(rate * (n - 1) + u), ceil(rate)) AS BIGINT) AS taken
 FROM o

@@ -75,3 +75,21 @@ def test_capped_sources(spark):
 def test_reruns_agree(spark, edge):  # noqa: F811
     one = sorted(map(str, M.mix_plan(edge).collect()))
     assert one == sorted(map(str, M.mix_plan(edge.repartition(7)).collect()))
+
+
+def test_helper_tables_do_not_grow_with_rows(spark, monkeypatch):
+    """One line per size class of a source, and per salt where a class is large."""
+    held = {}
+    stored = M.stored
+
+    def noted(df, name):
+        held[name] = stored(df, name)
+        return held[name]
+    monkeypatch.setattr(M, "stored", noted)
+    docs = make_docs(spark, [(k, "w " * (k % 9), "en", "ab"[k % 2]) for k in range(6000)])
+    plan = M.mix_plan(docs, salt_rows=100)
+    assert plan.count() == 6000
+    sizes = {r[0]: r[1] for r in held["mix-starts"].groupBy("skey").count().collect()}
+    assert held["mix-hot"].count() > 0 and sum(sizes.values()) <= 2 * 9 + 6000 // 100 + held["mix-hot"].count()
+    small = M.mix_plan(docs)
+    assert small.count() == 6000 and held["mix-hot"].count() == 0 and held["mix-starts"].count() <= 18
