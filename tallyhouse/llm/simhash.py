@@ -24,10 +24,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import ship_by_value, stored
+from tallyhouse.llm.common import join_copies, ship_by_value, stored
 from tallyhouse.llm.components import connected_components
 
 ship_by_value(__name__)
@@ -201,7 +201,9 @@ def _links(max_bits: int):
 def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) between different fingerprints of ``prints`` that connect
     exactly what links of ``max_bits`` or fewer differing bits connect."""
-    distinct = prints.select("fingerprint").distinct()
+    # a few bytes each, but each is looked up under many keys: spread before that
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fingerprint").distinct().repartition(tasks, "fingerprint")
     own, probes = _ring_keys(max_bits)
     filed = distinct.select(F.explode(own).alias("key"), "fingerprint")
     looked = distinct.select(F.explode(probes).alias("key"), "fingerprint")
@@ -222,13 +224,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     prints = stored(fingerprints(docs, shingle), "prints")
     parts = stored(connected_components(links(prints, max_bits)), "components")
-    lowest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low"))
-    classes = lowest.join(parts, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "low", F.coalesce("component", "fingerprint").alias("class"))
-    smallest = classes.groupBy("class").agg(F.min("low").alias("component_id"))
-    ids = stored(classes.join(smallest, "class").select("fingerprint", "component_id"), "classes")
-    return prints.join(ids, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    lowest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low"), F.count("*").alias("documents"))
+    classes = stored(lowest.join(parts, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "low", "documents", F.coalesce("component", "fingerprint").alias("key")), "classes")
+    smallest = stored(classes.groupBy("key").agg(F.min("low").alias("component_id"), F.count("*").alias("copies")),
+                      "smallest")
+    ids = stored(join_copies(classes.select("key", "fingerprint", "documents"), smallest, classes.count()).select(
+        F.col("fingerprint").alias("key"), F.col("documents").alias("copies"), "component_id"), "ids")
+    return join_copies(prints.select(F.col("fingerprint").alias("key"), "doc_id"), ids, prints.count()).select(
+        "doc_id", F.lower(F.lpad(F.hex("key"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -236,7 +240,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     doc_id (rows without one come last, then by text hash), once."""
     key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.xxhash64("text").alias("hash"))
     groups = near_duplicates(docs.select(key.alias("doc_id"), "text"), shingle, max_bits)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    once = Window.partitionBy("_key").orderBy(F.lit(0))
-    return (docs.withColumn("_key", key).join(kept, "_key", "left_semi")
-            .withColumn("_copy", F.row_number().over(once)).filter("_copy = 1").select(*docs.columns))
+    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
+    # repeated rows become one before anything is shuffled
+    rows = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    once = rows.groupBy("key").agg(F.first("row").alias("row"))
+    return once.join(kept, "key", "left_semi").select("row.*")

@@ -11,12 +11,13 @@ SF_MID = "/root/testdata/sf0.01"
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
           # names that the operators use themselves
           "piece int, start bigint, row string, spans string, size bigint, fingerprint string, key string, hash bigint, "
-          "component_id bigint, lang_pred string, score double, `range` int, _h bigint, copies bigint, labels string")
+          "component_id bigint, lang_pred string, score double, `range` int, _h bigint, copies bigint, labels string, "
+          "_key string, _copy bigint, shard int")
 
 
 def make_docs(spark, rows):
     """rows: (doc_id, text, lang, source); the clashing columns hold junk."""
-    junk = (7, 7, "x", "x", 7, "x", "x", 7, 7, "x", 0.5, 7, 7, 7, "x")
+    junk = (7, 7, "x", "x", 7, "x", "x", 7, 7, "x", 0.5, 7, 7, 7, "x", "x", 7, 7)
     return spark.createDataFrame([(i, t, lang, src, None if t is None else len(t), *junk) for i, t, lang, src in rows],
                                  SCHEMA).repartition(3)
 

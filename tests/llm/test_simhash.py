@@ -138,3 +138,12 @@ def test_hot_run_before_small_runs_keeps_to_the_chunk(monkeypatch):
     monkeypatch.setattr(H, "CHUNK", 256)
     assert edges() == want and len(want) > 50
     assert max(sizes) <= 256 and sum(sizes) == sum(f * p for _, f, p in runs)
+
+
+def test_repeated_rows_and_clashing_names_in_keep_one(spark, edge):  # noqa: F811
+    """Columns called like the operator's own come back as they were."""
+    kept = H.keep_one(edge, H.SHINGLE, H.MAX_BITS)
+    assert kept.schema == edge.schema
+    assert {r._key for r in kept.collect()} == {"x"} and {r._copy for r in kept.collect()} == {7}
+    many = make_docs(spark, [(1, "the same words in every row", "en", "a")] * 3000)
+    assert H.keep_one(many, H.SHINGLE, H.MAX_BITS).count() == 1
