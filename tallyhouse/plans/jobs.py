@@ -13,6 +13,7 @@ counts and per-month status records (control plane).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from tallyhouse.operators import clean as C
 from tallyhouse.operators import dq
 from tallyhouse.operators import warehouse as W
 from tallyhouse.plans import loads as L
+from tallyhouse.sinks import claims, snapshots
 from tallyhouse.sinks import writers as K
 from tallyhouse.sources import bronze as B
 from tallyhouse.sources import external as E
@@ -93,16 +95,12 @@ def _control(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.read.schema(K.CONTROL_SCHEMA).parquet(lake.control)
 
 
-def _succeeded_months(spark: SparkSession, lake: Lake, table: str) -> set[str]:
-    rows = (_control(spark, lake).where((F.col("table") == table) & (F.col("status") == "SUCCEEDED"))
-            .select("run_month").distinct().collect())            # one row per month
-    return {r["run_month"] for r in rows}
-
-
 def present_months(spark: SparkSession, base: str, months: list[str]) -> set[str]:
-    """Which of ``months`` have a ``year=Y/month=M`` partition with files under
-    ``base``: a metadata call for each, never a listing of the table."""
-    return {m for m in months if files.has_data(spark, B.month_folder(base, m))}
+    """Which of ``months`` have a complete ``year=Y/month=M`` slice under
+    ``base``, with data files or, for a month without rows, the commit marker
+    alone: metadata calls for each, never a listing of the table."""
+    return {m for m in months for at in [B.month_folder(base, m)]
+            if files.has_data(spark, at) or K.is_committed(spark, at)}
 
 
 def _slice(run_month: str) -> dict:
@@ -123,12 +121,13 @@ def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[st
                   allow_overwrite: bool = False, multiline: bool = False) -> list[dict]:
     """I5 + P4 + K5-K8: one pass over the delivered orders file for all requested
     months; rows land in ``year=/month=`` partitions (dynamic overwrite).
-    Months already present are SKIPPED_EXISTS unless ``allow_overwrite``."""
+    Months whose slice is there are SKIPPED_EXISTS unless ``allow_overwrite``;
+    a slice that was lost or removed is written again, whatever the log says."""
     for m in run_months:
         X.check_run_month(m)
     run_id = _run_id("csv", run_months)
-    # present = a written partition, or a SUCCEEDED run of a month without rows
-    existing = present_months(spark, lake.bronze_orders, run_months) | _succeeded_months(spark, lake, "orders")
+    snapshots.recover(spark, lake.bronze_orders)
+    existing = present_months(spark, lake.bronze_orders, run_months)
     todo = [m for m in run_months if allow_overwrite or m not in existing]
     folder = {m: B.month_folder(lake.bronze_orders, m) for m in run_months}
     results = [{"table": "orders", "run_month": m, "status": "SKIPPED_EXISTS", "rows": 0,
@@ -203,6 +202,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, run_month: str, refresh_di
     output replaces exactly its own slice, also when it has no rows."""
     X.check_run_month(run_month)
     out = {}
+    snapshots.recover(spark, lake.bronze_orders)
     orders = B.read_month(spark, "orders", lake.bronze_orders, run_month)
     out["orders"] = K.write_routed(C.clean_orders(orders, null_policy), lake.silver_orders, lake.invalid("orders"),
                                    _slice(run_month))
@@ -221,6 +221,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, run_month: str, refresh_di
 
 
 def read_silver_dim(spark: SparkSession, lake: Lake, entity: str, run_month: str) -> DataFrame:
+    snapshots.recover(spark, lake.silver_dim(entity))
     return spark.read.parquet(K.slice_path(lake.silver_dim(entity), {"run_month": run_month}))
 
 
@@ -281,7 +282,8 @@ def load_month(spark: SparkSession, lake: Lake, run_month: str | None = None, ke
     path).  ``key`` names one landed month file and wins; neither ->
     IGNORED_NO_INPUT.  The insert overwrites exactly that RunMonth partition, so
     a replay after a failure cannot duplicate rows; ``insert="append"`` is the
-    reference's INSERT INTO.  A failure is reported as status ERROR instead of
+    reference's INSERT INTO.  A claim on the month keeps two loaders (jobs or
+    streams, in any driver) from loading it both: the second is SKIPPED_EXISTS.  A failure is reported as status ERROR instead of
     stopping the caller.
     """
     try:
@@ -309,24 +311,31 @@ def _load_month(spark, lake, run_month, key, bucket, expected_bucket, source, in
         ym = X.check_run_month(run_month)
         key = K.slice_path(lake.silver_orders, _slice(ym)) if source == "silver" else \
             B.month_folder(lake.bronze_orders, ym)
-    n_month = _count_month(spark, lake, ym)
-    if n_month > 0:
-        return {"key": key, "run_month": ym, "status": "SKIPPED_EXISTS", "rows_existing": n_month}
-    if run_month is None or key.endswith(".csv"):
-        fact = W.fact_projection(B.read_bronze(spark, "orders", key, row_id=False), ym)
-    elif source == "silver":
-        fact = W.fact_from_silver(spark.read.parquet(key), ym)
-    else:
-        fact = W.fact_projection(B.read_month(spark, "orders", lake.bronze_orders, ym, row_id=False), ym)
-    if fact.isEmpty():
-        return {"key": key, "run_month": ym, "status": "SKIPPED_EMPTY_FILE", "rows_file": 0}
     path = lake.warehouse("fact_sales")
-    if insert == "append":
-        K.append_table(fact, path, ["RunMonth"])
-        n = _count_month(spark, lake, ym)
-    else:
-        n = K.overwrite_slice(fact, path, ["RunMonth"], [{"RunMonth": ym}])[0]
-    return {"key": key, "run_month": ym, "status": "SUCCEEDED", "rows_inserted": n}
+    with claims.held(spark, claims.month_folder(path, ym), f"load-{uuid.uuid4().hex}") as claim:
+        # counted under the claim: nobody else loads this month between the count and the insert
+        n_month = _count_month(spark, lake, ym)
+        if n_month > 0:
+            return {"key": key, "run_month": ym, "status": "SKIPPED_EXISTS", "rows_existing": n_month}
+        if claim is None:
+            return {"key": key, "run_month": ym, "status": "SKIPPED_EXISTS", "rows_existing": 0,
+                    "note": "another loader is at work on this month"}
+        if run_month is None or key.endswith(".csv"):
+            fact = W.fact_projection(B.read_bronze(spark, "orders", key, row_id=False), ym)
+        elif source == "silver":
+            snapshots.recover(spark, lake.silver_orders)
+            fact = W.fact_from_silver(spark.read.parquet(key), ym)
+        else:
+            snapshots.recover(spark, lake.bronze_orders)
+            fact = W.fact_projection(B.read_month(spark, "orders", lake.bronze_orders, ym, row_id=False), ym)
+        if fact.isEmpty():
+            return {"key": key, "run_month": ym, "status": "SKIPPED_EMPTY_FILE", "rows_file": 0}
+        if insert == "append":
+            K.append_table(fact, path, ["RunMonth"])
+        else:
+            K.overwrite_slice(fact, path, ["RunMonth"], [{"RunMonth": ym}])
+        # what the table holds now, not what the writer said
+        return {"key": key, "run_month": ym, "status": "SUCCEEDED", "rows_inserted": _count_month(spark, lake, ym)}
 
 
 def _count_month(spark: SparkSession, lake: Lake, ym: str) -> int:

@@ -2,13 +2,14 @@
 
 Silver and warehouse tables are Parquet (Snappy).  A slice is a partition
 folder; rewriting one replaces exactly that folder, also when no row is left
-for it.  Control and error logs are append-only Parquet tables.
+for it, and readers see the old one until the new one is complete
+(``snapshots``).  Control and error logs are append-only Parquet tables.
 """
 
 from __future__ import annotations
 
-
 from dataclasses import replace
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions import exprs as X
 from tallyhouse.operators.dq import Routed
+from tallyhouse.sinks import snapshots
 from tallyhouse.sources import files
 
 CONTROL_SCHEMA = T.StructType([
@@ -54,7 +56,12 @@ def slice_path(path: str, spec: dict | None) -> str:
 def write_silver(df: DataFrame, path: str, spec: dict | None = None) -> None:
     """K1: CTAS-equivalent: Parquet/Snappy at an explicit location, or exactly
     the slice ``spec`` (column -> value) of a partitioned one."""
-    df.write.mode("overwrite").parquet(slice_path(path, spec))
+    base, rel = (path, slice_path("", spec)[1:]) if spec else path.rstrip("/").rsplit("/", 1)
+
+    def write(folder: str) -> list[str]:
+        df.write.parquet(f"{folder}/{rel}")
+        return [rel]
+    snapshots.replace(df.sparkSession, base, write)
 
 
 def write_quarantine(df: DataFrame, path: str, spec: dict | None = None) -> None:
@@ -86,25 +93,29 @@ def overwrite_slice(df: DataFrame, path: str, partition_by: list[str], specs: li
     """K7: replace the partitions present in ``df`` (dynamic overwrite).
 
     With ``specs`` (the slices asked for, column -> value) the rows of each are
-    counted while they are written, a slice without rows is emptied, and the
-    counts are returned in order."""
-    def write(rows: DataFrame) -> None:
-        (rows.write.format(fmt).options(**options)
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
-
+    counted while they are written, a slice without rows is emptied, all of them
+    change together, and the counts are returned in order."""
     df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if specs is None:
-        write(df)
+        (df.write.format(fmt).options(**options)
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
         return None
     mine = [F.coalesce(_in_slice(spec), F.lit(False)) for spec in specs]
     seen = Observation("slices")
-    # counted in the writing stage itself, where a task's rows count once
-    write(df.observe(seen, *[F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(mine)]))
-    counts = [int(seen.get[f"n{i}"]) for i in range(len(specs))]
-    none = df.drop(*partition_by).limit(0)
-    for spec, n in zip(specs, counts):
-        if n == 0:
-            none.write.format(fmt).options(**options).mode("overwrite").save(slice_path(path, spec))
+    counts = []
+
+    def write(folder: str) -> list[str]:
+        # counted in the writing stage itself, where a task's rows count once
+        (df.where(reduce(lambda a, b: a | b, mine))
+         .observe(seen, *[F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(mine)])
+         .write.format(fmt).options(**options).partitionBy(*partition_by).save(folder))
+        counts.extend(int(seen.get[f"n{i}"]) for i in range(len(specs)))
+        none = df.drop(*partition_by).limit(0)
+        for spec, n in zip(specs, counts):
+            if n == 0:
+                none.write.format(fmt).options(**options).save(slice_path(folder, spec))
+        return [slice_path("", spec)[1:] for spec in specs]
+    snapshots.replace(df.sparkSession, path, write)
     return counts
 
 
@@ -141,14 +152,6 @@ def write_once(df: DataFrame, path: str, allow_overwrite: bool = False, fmt: str
     return "SUCCEEDED", attempt("overwrite")
 
 
-def write_month_csv(df: DataFrame, prefix: str, table: str, run_month: str,
-                    allow_overwrite: bool = False) -> tuple[str, int]:
-    """K5: the month's bronze file set ``<prefix>/<table>_<YYYY-MM>.csv/`` with a
-    header.  Zero matching rows still writes (and counts as SUCCEEDED)."""
-    target = f"{prefix.rstrip('/')}/{table}_{run_month}.csv"
-    return write_once(df, target, allow_overwrite, "csv", header=True, escape='"')
-
-
 def log_control(spark: SparkSession, path: str, records: list[dict]) -> None:
     """K8: append control-log records (run_id, run_month, source, table, status,
     records_out, started_at, ended_at, note); missing times are now."""

@@ -60,3 +60,65 @@ def empty_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p)
                   if s.isFile() and s.getLen() == 0 and s.getPath().getName().endswith(suffix)
                   and not s.getPath().getName().startswith(("_", ".")))
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless one of that name is there; of several callers
+    one alone gets True.  On a local disk the file appears with its text (a hard
+    link); elsewhere by the store's own create-if-absent."""
+    from py4j.protocol import Py4JJavaError
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    jvm = spark.sparkContext._jvm
+    try:
+        if fs.getUri().getScheme() == "file":
+            nio = jvm.java.nio.file
+            final = nio.Paths.get(fs.makeQualified(p).toUri())
+            draft = nio.Files.createTempFile(final.getParent(), "_draft", ".part",
+                                             spark.sparkContext._gateway.new_array(nio.attribute.FileAttribute, 0))
+            try:
+                nio.Files.write(draft, text.encode(), spark.sparkContext._gateway.new_array(nio.OpenOption, 0))
+                nio.Files.createLink(final, draft)
+            finally:
+                nio.Files.deleteIfExists(draft)
+        else:
+            out = fs.create(p, False)
+            out.write(bytearray(text.encode()))
+            out.close()
+        return True
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names right under a folder, in order; none if there is no folder."""
+    fs, p = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a file or folder; ``dst`` must not be there, its parent is made."""
+    fs, a = _fs(spark, src)
+    _, b = _fs(spark, dst)
+    fs.mkdirs(b.getParent())
+    if fs.exists(b) or not fs.rename(a, b):
+        raise OSError(f"cannot rename {src} to {dst}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -9,7 +9,8 @@ Spark's sources pass over, are taken from the folder's listing).  ``foreachBatch
 protocol (I3) to the files of a micro-batch in name order:
 
 * the month comes from the file name (F19); other names -> IGNORED_BAD_NAME;
-* a month already in fact_sales, or taken by an earlier file -> SKIPPED_EXISTS;
+* a month already in fact_sales, taken by an earlier file, or claimed by another
+  loader at work (``claims``) -> SKIPPED_EXISTS;
 * a file that cannot be read -> ERROR with the whole message; no data rows ->
   SKIPPED_EMPTY_FILE; both leave the month to a later file;
 * the rest is projected (L5) and written with dynamic partition overwrite on
@@ -23,6 +24,7 @@ while it is written turns its own status into ERROR and stops no other file.
 
 from __future__ import annotations
 
+import logging
 import re
 import time
 from urllib.parse import unquote
@@ -33,10 +35,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.functions import exprs as X
 from tallyhouse.operators import warehouse as W
+from tallyhouse.sinks import claims
 from tallyhouse.sinks import writers as K
 from tallyhouse.sources import bronze as B
 from tallyhouse.sources import files
 
+log = logging.getLogger(__name__)
+
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 STATUS_SCHEMA = ("file_path string, RunMonth string, status string, rows_file bigint, rows_inserted bigint, "
                  "error string, query_id string, batch_id bigint")
@@ -82,11 +87,20 @@ def _rows_per_source(spark: SparkSession, sources: list[str]) -> tuple[dict, dic
     return counts, errors
 
 
-def _decide(spark: SparkSession, paths: list[str], fact_path: str, bronze_orders: str | None) -> list[dict]:
+def _claimed(spark: SparkSession, months: set[str], fact_path: str, owner: str) -> dict:
+    """month -> the claim on it, for those that nobody else holds."""
+    found = {m: claims.acquire(spark, claims.month_folder(fact_path, m), owner) for m in sorted(months)}
+    return {m: c for m, c in found.items() if c}
+
+
+def _decide(spark: SparkSession, paths: list[str], fact_path: str, bronze_orders: str | None,
+            owner: str) -> list[dict]:
     """The I3 protocol: one decision per file, in name order."""
     month = {p: (m[1] if (m := re.search(MARKER_MONTH, p)) else None) for p in paths}
-    loaded = {m for m in set(month.values()) - {None}
-              if files.has_data(spark, K.slice_path(fact_path, {"RunMonth": m}))
+    months = set(month.values()) - {None}
+    mine = _claimed(spark, months, fact_path, owner)
+    loaded = {m for m in months if m not in mine
+              or files.has_data(spark, K.slice_path(fact_path, {"RunMonth": m}))
               and not spark.read.parquet(K.slice_path(fact_path, {"RunMonth": m})).isEmpty()}
     source = {p: _source(spark, p, month[p], bronze_orders) for p in paths if month[p] and month[p] not in loaded}
     counts, errors = _rows_per_source(spark, sorted(set(source.values())))
@@ -147,22 +161,41 @@ def load_batch(arrived: DataFrame, epoch_id: int, fact_path: str, status_path: s
     """The I3 protocol for every file of one micro-batch (column ``path``)."""
     spark = arrived.sparkSession
     query_id = query_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+    owner = f"{query_id}/{epoch_id}"
     decisions = _recorded(spark, status_path, query_id, epoch_id)
-    if not decisions:
-        # file names of one micro-batch: bounded by maxFilesPerTrigger
-        paths = [r["path"] for r in arrived.select("path").distinct().collect()]
-        decisions = _decide(spark, paths, fact_path, bronze_orders)
-        if not decisions:
-            return
-        _record(spark, decisions, status_path, query_id, epoch_id)
+    months = {d["RunMonth"] for d in decisions if d["status"] == "SUCCEEDED"}
+    try:
+        if decisions:                      # a replay: the claims are this batch's own, unless their lease ended
+            mine = _claimed(spark, months, fact_path, owner)
+            lost = [d for d in decisions if d["status"] == "SUCCEEDED" and d["RunMonth"] not in mine]
+            for d in lost:
+                d |= {"status": "SKIPPED_EXISTS", "rows_inserted": 0}
+            if lost:
+                _record(spark, decisions, status_path, query_id, epoch_id)
+        else:
+            # file names of one micro-batch: bounded by maxFilesPerTrigger
+            paths = [r["path"] for r in arrived.select("path").distinct().collect()]
+            months = {m[1] for p in paths if (m := re.search(MARKER_MONTH, p))}
+            decisions = _decide(spark, paths, fact_path, bronze_orders, owner)
+            if not decisions:
+                return
+            _record(spark, decisions, status_path, query_id, epoch_id)
+        _load_accepted(spark, decisions, fact_path, status_path, query_id, epoch_id, bronze_orders)
+    finally:
+        for m in months:
+            claims.release_owned(spark, claims.month_folder(fact_path, m), owner)
+
+
+def _load_accepted(spark: SparkSession, decisions: list[dict], fact_path: str, status_path: str, query_id: str,
+                   epoch_id: int, bronze_orders: str | None) -> None:
     accepted = [d for d in decisions if d["status"] == "SUCCEEDED"]
     if not accepted:
         return
     try:
         _load(spark, accepted, fact_path, bronze_orders)
         return
-    except Exception:                      # find out which files fail, load the others
-        pass
+    except Exception as e:                 # find out which files fail, load the others
+        log.warning("batch %s of %s: joint load failed, files are tried one by one: %s", epoch_id, query_id, e)
     for d in accepted:
         try:
             _load(spark, [d], fact_path, bronze_orders)
