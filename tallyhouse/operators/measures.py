@@ -40,14 +40,23 @@ def units_sold(fact: DataFrame) -> DataFrame:
     return fact.groupBy("RunMonth").agg(F.sum("OrderQty").cast("bigint").alias("units_sold"))
 
 
-def _margin_parts(fact: DataFrame, by: str) -> DataFrame:
-    """Per (``by``, product): what gross margin needs, before any join.  Lines
-    without an amount or a quantity have no margin; ``total_sales`` counts all."""
+def margin_parts(fact: DataFrame, by: list[str]) -> DataFrame:
+    """Per (``by``, product): what sales, units and gross margin need, before any
+    join.  Lines without an amount or a quantity have no margin; ``_due``,
+    ``_units`` and ``_n`` count all.  The sums add up over any coarser groups."""
     both = F.col("LineTotal").isNotNull() & F.col("OrderQty").isNotNull()
-    return fact.groupBy(by, "ProductKey").agg(
+    return fact.groupBy(*by, "ProductKey").agg(
         F.sum(F.when(both, money("LineTotal"))).cast(MONEY).alias("_lines"),
         F.sum(F.when(both, F.col("OrderQty"))).cast("decimal(20,0)").alias("_qty"),
-        F.sum(money("TotalDue")).cast(MONEY).alias("_due"))
+        F.sum(money("TotalDue")).cast(MONEY).alias("_due"),
+        F.sum("OrderQty").cast("bigint").alias("_units"), F.count(F.lit(1)).alias("_n"))
+
+
+def sum_parts(parts: DataFrame, by: list[str]) -> DataFrame:
+    """``margin_parts`` of coarser groups."""
+    return parts.groupBy(*by, "ProductKey").agg(
+        F.sum("_lines").cast(MONEY).alias("_lines"), F.sum("_qty").cast("decimal(20,0)").alias("_qty"),
+        F.sum("_due").cast(MONEY).alias("_due"))
 
 
 def _with_margin(parts: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -62,15 +71,22 @@ def _with_margin(parts: DataFrame, dim_product: DataFrame) -> DataFrame:
 def gross_margin(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """M5: SUM(LineTotal - OrderQty * StandardCost) per month; lines without a
     known product cost are left out of the sum."""
-    return _with_margin(_margin_parts(fact, "RunMonth"), dim_product).groupBy("RunMonth").agg(
-        _sum_money(F.col("_margin"), "gross_margin"))
+    return gross_margin_of(margin_parts(fact, ["RunMonth"]), dim_product)
+
+
+def gross_margin_of(parts: DataFrame, dim_product: DataFrame) -> DataFrame:
+    return _with_margin(parts, dim_product).groupBy("RunMonth").agg(_sum_money(F.col("_margin"), "gross_margin"))
 
 
 def budget_compliance(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
     """M2: total sales / total budget (SUM of the store dimension's Budget)."""
+    return budget_compliance_of(fact.agg(_sum_money(money("TotalDue"), "total_sales")), dim_store)
+
+
+def budget_compliance_of(total: DataFrame, dim_store: DataFrame) -> DataFrame:
     # the budget total is a scalar subquery: one value, evaluated once
     budget = dim_store.agg(F.sum(F.col("Budget").cast("decimal(18,2)")).cast("decimal(38,2)")).scalar()
-    j = fact.agg(_sum_money(money("TotalDue"), "total_sales")).withColumn("total_budget", budget)
+    j = total.withColumn("total_budget", budget)
     return j.select("total_sales", "total_budget",
                     X.safe_ratio(F.col("total_sales").cast("double"),
                                  F.col("total_budget").cast("double")).alias("compliance"))
@@ -78,7 +94,11 @@ def budget_compliance(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
 
 def store_compliance_bands(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
     """M6: per-store sales / budget, banded over +500 % and under 10 %."""
-    sales = fact.groupBy("StoreKey").agg(_sum_money(money("TotalDue"), "total_sales"))
+    return store_compliance_bands_of(
+        fact.groupBy("StoreKey").agg(_sum_money(money("TotalDue"), "total_sales")), dim_store)
+
+
+def store_compliance_bands_of(sales: DataFrame, dim_store: DataFrame) -> DataFrame:
     st = dim_store.select(F.col("StoreKey").alias("_sk"), "StoreName",
                           F.col("Budget").cast("decimal(18,2)").alias("Budget"))
     j = sales.join(st, sales.StoreKey == st._sk, "left")
@@ -97,7 +117,11 @@ def _with_country(rows: DataFrame, dim_employee: DataFrame) -> DataFrame:
 def margin_by_country(fact: DataFrame, dim_employee: DataFrame, dim_product: DataFrame) -> DataFrame:
     """M7: sales and gross margin per employee Country, both dimensions joined
     to lines already summed per (employee, product)."""
-    parts = _with_margin(_margin_parts(fact, "EmployeeKey"), dim_product)
+    return margin_by_country_of(margin_parts(fact, ["EmployeeKey"]), dim_employee, dim_product)
+
+
+def margin_by_country_of(parts: DataFrame, dim_employee: DataFrame, dim_product: DataFrame) -> DataFrame:
+    parts = _with_margin(parts, dim_product)
     per = parts.groupBy("EmployeeKey").agg(F.sum("_due").cast(MONEY).alias("_due"),
                                            F.sum("_margin").cast(MONEY).alias("_margin"))
     return _with_country(per, dim_employee).groupBy("Country").agg(
@@ -110,6 +134,10 @@ def sales_by_month_country(fact: DataFrame, dim_employee: DataFrame) -> DataFram
     per = fact.groupBy("RunMonth", "EmployeeKey").agg(
         F.sum(money("TotalDue")).cast(MONEY).alias("_due"), F.sum("OrderQty").alias("_qty"),
         F.count(F.lit(1)).alias("_n"))
+    return sales_by_month_country_of(per, dim_employee)
+
+
+def sales_by_month_country_of(per: DataFrame, dim_employee: DataFrame) -> DataFrame:
     return _with_country(per, dim_employee).groupBy("RunMonth", "Country").agg(
         _sum_money(F.col("_due"), "total_sales"),
         F.sum("_qty").cast("bigint").alias("units"),
@@ -124,7 +152,11 @@ def cumulative_sales(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     one month and its next (and out to both ends of the range) are filled with
     ``sequence``.  The windows run over countries x months only.
     """
-    monthly = sales_by_month_country(fact, dim_employee).select(
+    return cumulative_of(sales_by_month_country(fact, dim_employee))
+
+
+def cumulative_of(by_month_country: DataFrame) -> DataFrame:
+    monthly = by_month_country.select(
         "Country", F.col("RunMonth").alias("YearMonth"), "total_sales")
     month = X.month_start("YearMonth")
     whole = Window.partitionBy()                    # as many rows as countries x months

@@ -16,6 +16,7 @@ from tallyhouse.functions import exprs as X
 from tallyhouse.operators import clean as C
 from tallyhouse.operators import dq
 from tallyhouse.operators import measures as M
+from tallyhouse.operators import rollups as R
 from tallyhouse.operators import views as V
 from tallyhouse.operators import warehouse as W
 from tallyhouse.sources import fixtures as FX
@@ -460,3 +461,26 @@ def q_store_diversity(spark, sf):
 def q_sales_by_month_country(spark, sf):
     e = W.silver_dim_employee(_raw(spark, sf, "raw_employees"))
     return M.sales_by_month_country(_fact(spark, sf), e)
+
+
+# ------------------------------------- measures from the months' partial sums
+@register("rollup_total_sales")
+def q_rollup_total_sales(spark, sf):
+    return R.total_sales(R.partials(_fact(spark, sf)))
+
+
+@register("rollup_gross_margin")
+def q_rollup_gross_margin(spark, sf):
+    return R.gross_margin(R.partials(_fact(spark, sf)), _silver_dims(spark, sf)["product"])
+
+
+@register("rollup_margin_by_country")
+def q_rollup_margin_by_country(spark, sf):
+    d = _silver_dims(spark, sf)
+    return R.margin_by_country(R.partials(_fact(spark, sf)), d["employee"], d["product"])
+
+
+@register("rollup_store_diversity")
+def q_rollup_store_diversity(spark, sf):
+    st = W.silver_dim_store(_raw(spark, sf, "raw_stores"), _raw(spark, sf, "raw_budgets"))
+    return R.store_diversity(R.partials(_fact(spark, sf)), st)
