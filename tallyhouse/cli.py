@@ -44,10 +44,18 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--run-month")
     s.add_argument("--key", help="exact file path; wins over --run-month")
     s.add_argument("--source", choices=["silver", "bronze"], default="silver")
+    s.add_argument("--catalog", help="database whose fact_sales gets the month's partition")
 
     s = lake(sub.add_parser("stream", help="file-arrival fact load (available-now run)"))
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--max-files-per-trigger", type=int, default=1000)
+    s.add_argument("--archive", help="folder that loaded files are moved to")
+
+    s = lake(sub.add_parser("register", help="catalog tables over the warehouse"))
+    s.add_argument("--database", required=True)
+
+    s = lake(sub.add_parser("rollups", help="refresh partial sums of changed months"))
+    s.add_argument("--run-months", nargs="*")
 
     s = lake(sub.add_parser("next-month", help="month the scheduler would request next"))
     s.add_argument("--start", default="2011-05")
@@ -71,14 +79,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     elif a.cmd == "dims":
         out = J.build_dims(spark, lake, a.run_month, a.source)
     elif a.cmd == "load-month":
-        out = J.load_month(spark, lake, run_month=a.run_month, key=a.key, source=a.source)
+        out = J.load_month(spark, lake, run_month=a.run_month, key=a.key, source=a.source, catalog=a.catalog)
     elif a.cmd == "stream":
         from tallyhouse.streaming.file_arrival import start_fact_stream
         q = start_fact_stream(spark, lake.landing_orders, lake.warehouse("fact_sales"), lake.load_status,
                               a.checkpoint, max_files_per_trigger=a.max_files_per_trigger,
-                              bronze_orders=lake.bronze_orders)
+                              bronze_orders=lake.bronze_orders, archive_dir=a.archive)
         q.awaitTermination()
-        out = {"status": "FINISHED", "batches": len(q.recentProgress)}
+        out = {"status": "FINISHED", "batches": len(q.recentProgress), "rollups": J.refresh_rollups(spark, lake)}
+    elif a.cmd == "register":
+        out = {"tables": J.register_tables(spark, lake, a.database)}
+    elif a.cmd == "rollups":
+        out = {"run_months": J.refresh_rollups(spark, lake, a.run_months or None)}
     else:
         out = J.next_month_job(spark, lake, a.start, a.end)
     print(json.dumps(out, default=str))

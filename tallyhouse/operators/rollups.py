@@ -20,6 +20,13 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import measures as M
 
 TABLES = ["employee_product", "store", "store_products", "month"]
+SCHEMAS = {
+    "employee_product": "EmployeeKey int, ProductKey int, _lines decimal(38,4), _qty decimal(20,0), "
+                        "_due decimal(38,4), _units bigint, _n bigint, RunMonth string",
+    "store": "StoreKey int, due decimal(38,4), n_lines bigint, RunMonth string",
+    "store_products": "StoreKey int, bucket bigint, products binary, RunMonth string",
+    "month": "total_sales_header decimal(38,4), RunMonth string",
+}
 
 
 def employee_product(fact: DataFrame) -> DataFrame:

@@ -63,3 +63,11 @@ def v_calendar_month_loaded(fact: DataFrame) -> DataFrame:
         F.date_format(X.month_start(ym), "MMM").alias("MonthShort"),
         F.quarter(X.month_start(ym)).cast("int").alias("Quarter"),
     )
+
+
+def of_months(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Fact rows of the calendar's months.  The calendar has a row per loaded
+    month, so it is broadcast, and its filters prune the fact's RunMonth
+    partitions at run time."""
+    months = calendar.select(F.col("YearMonth").alias("_ym")).distinct()
+    return fact.join(F.broadcast(months), fact.RunMonth == F.col("_ym"), "left_semi")

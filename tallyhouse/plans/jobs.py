@@ -16,12 +16,13 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import exprs as X
 from tallyhouse.operators import clean as C
 from tallyhouse.operators import dq
+from tallyhouse.operators import rollups as R
 from tallyhouse.operators import warehouse as W
 from tallyhouse.plans import loads as L
 from tallyhouse.sinks import claims, snapshots
@@ -71,6 +72,9 @@ class Lake:
     def warehouse(self, table: str) -> str:
         return self._p("warehouse", table)
 
+    def rollup(self, name: str) -> str:
+        return self._p("warehouse", f"rollup_{name}")
+
     @property
     def control(self) -> str:
         return self._p("logs", "control")
@@ -90,9 +94,7 @@ def _run_id(prefix: str, months: list[str]) -> str:
 
 def _control(spark: SparkSession, lake: Lake) -> DataFrame:
     """The control log; empty before the first record."""
-    if not files.exists(spark, lake.control):
-        return spark.createDataFrame([], K.CONTROL_SCHEMA)
-    return spark.read.schema(K.CONTROL_SCHEMA).parquet(lake.control)
+    return K.read_log(spark, lake.control, K.CONTROL_SCHEMA)
 
 
 def present_months(spark: SparkSession, base: str, months: list[str]) -> set[str]:
@@ -109,11 +111,17 @@ def _slice(run_month: str) -> dict:
 
 
 # ------------------------------------------------------------------ ingest
-def _read_delivery(spark: SparkSession, src: str, multiline: bool) -> DataFrame:
-    """A delivered CSV with its own header.  Line records keep large files
-    splittable; ``multiline`` reads quoted line breaks (one task per file)."""
-    return (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-            .option("encoding", "UTF-8").csv(src))
+LINE = "_line"                      # text of a line with too many or too few fields
+MALFORMED = "MALFORMED_LINE"
+
+
+def _quarantine_lines(rows: DataFrame, path: str, by: list[str], specs: list[dict], n: int) -> None:
+    """The malformed lines among ``rows`` (``n`` of them) replace those of the same slices."""
+    spark = rows.sparkSession
+    if n or files.exists(spark, path):
+        bad = rows.where(F.col(LINE).isNotNull()).select(
+            F.col(LINE).alias("line"), F.col(rows.columns[0]).alias("first_field"), F.lit(MALFORMED).alias(dq.REASON), *by)
+        K.overwrite_slice(bad, path, by, specs)
 
 
 def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[str],
@@ -122,7 +130,9 @@ def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[st
     """I5 + P4 + K5-K8: one pass over the delivered orders file for all requested
     months; rows land in ``year=/month=`` partitions (dynamic overwrite).
     Months whose slice is there are SKIPPED_EXISTS unless ``allow_overwrite``;
-    a slice that was lost or removed is written again, whatever the log says."""
+    a slice that was lost or removed is written again, whatever the log says.
+    Lines with too many or too few fields go to ``invalid("ingest_orders_lines")``
+    with REASON MALFORMED_LINE: by the month of their date, or ``unknown``."""
     for m in run_months:
         X.check_run_month(m)
     run_id = _run_id("csv", run_months)
@@ -133,13 +143,17 @@ def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[st
     results = [{"table": "orders", "run_month": m, "status": "SKIPPED_EXISTS", "rows": 0,
                 "note": f"{folder[m]} already exists"} for m in run_months if m not in todo]
     if todo:
-        raw = _read_delivery(spark, src, multiline)
-        pm = X.parsed_month(date_field, date_format)
-        staged = (raw.withColumn("_ym", pm).where(F.col("_ym").isin(todo))
+        raw = B.read_delivery(spark, src, multiline, LINE).withColumn("_ym", X.parsed_month(date_field, date_format))
+        lines = Observation("lines")
+        staged = (raw.observe(lines, F.count(LINE).alias("malformed"))
+                  .where(F.col(LINE).isNull() & F.col("_ym").isin(todo)).drop(LINE)
                   .withColumn("year", F.substring("_ym", 1, 4).cast("int"))
                   .withColumn("month", F.substring("_ym", 6, 2).cast("int")).drop("_ym"))
         counts = K.overwrite_slice(staged, lake.bronze_orders, ["year", "month"], [_slice(m) for m in todo],
                                    fmt="csv", header=True, escape='"')
+        _quarantine_lines(raw.withColumn("run_month", F.coalesce("_ym", F.lit("unknown"))),
+                          lake.invalid("ingest_orders_lines"), ["run_month"],
+                          [{"run_month": m} for m in [*todo, "unknown"]], int(lines.get["malformed"]))
         for m in todo:                        # the slice is complete: announce it
             files.put_text(spark, lake.ready_marker(m), folder[m] + "\n")
         results += [{"table": "orders", "run_month": m, "status": "SUCCEEDED", "rows": n, "note": f"wrote {folder[m]}"}
@@ -165,7 +179,7 @@ def _land_snapshot(spark: SparkSession, df: DataFrame, table: str, lake: Lake, r
 def ingest_dim_snapshot(spark: SparkSession, table: str, src: str, lake: Lake, run_month: str,
                         allow_overwrite: bool = False, multiline: bool = False) -> dict:
     """A delivered CSV of one dimension."""
-    return _land_snapshot(spark, _read_delivery(spark, src, multiline), table, lake, run_month, "github",
+    return _land_snapshot(spark, B.read_delivery(spark, src, multiline), table, lake, run_month, "github",
                           allow_overwrite, "dims")
 
 
@@ -199,13 +213,21 @@ DIM_ENTITIES = {
 def bronze_to_silver(spark: SparkSession, lake: Lake, run_month: str, refresh_dims: bool = False,
                      null_policy: str = "parity") -> dict:
     """Orders of ``run_month`` always; dimension snapshots when asked.  Each
-    output replaces exactly its own slice, also when it has no rows."""
+    output replaces exactly its own slice, also when it has no rows.  Lines of a
+    bronze file with too many or too few fields (files landed by others) go to
+    ``invalid("orders_lines")`` with REASON MALFORMED_LINE."""
     X.check_run_month(run_month)
     out = {}
     snapshots.recover(spark, lake.bronze_orders)
-    orders = B.read_month(spark, "orders", lake.bronze_orders, run_month)
-    out["orders"] = K.write_routed(C.clean_orders(orders, null_policy), lake.silver_orders, lake.invalid("orders"),
+    orders = B.read_month(spark, "orders", lake.bronze_orders, run_month, corrupt_col=LINE)
+    lines = Observation("lines")
+    good = orders.observe(lines, F.count(LINE).alias("malformed")).where(F.col(LINE).isNull()).drop(LINE)
+    out["orders"] = K.write_routed(C.clean_orders(good, null_policy), lake.silver_orders, lake.invalid("orders"),
                                    _slice(run_month))
+    n = int(lines.get["malformed"])
+    _quarantine_lines(orders, lake.invalid("orders_lines"), ["year", "month"], [_slice(run_month)], n)
+    if n:
+        out["orders_lines"] = {"malformed": n}
     if refresh_dims:
         snap = {"run_month": run_month}
         for entity, (table, cleaner) in DIM_ENTITIES.items():
@@ -274,7 +296,7 @@ def build_dims(spark: SparkSession, lake: Lake, run_month: str, source: str = "s
 
 def load_month(spark: SparkSession, lake: Lake, run_month: str | None = None, key: str | None = None,
                bucket: str | None = None, expected_bucket: str | None = None, source: str = "silver",
-               insert: str = "overwrite") -> dict:
+               insert: str = "overwrite", catalog: str | None = None) -> dict:
     """Load one month into fact_sales if the month is absent.
 
     ``run_month`` reads what the jobs before wrote: the validated silver slice,
@@ -283,11 +305,19 @@ def load_month(spark: SparkSession, lake: Lake, run_month: str | None = None, ke
     IGNORED_NO_INPUT.  The insert overwrites exactly that RunMonth partition, so
     a replay after a failure cannot duplicate rows; ``insert="append"`` is the
     reference's INSERT INTO.  A claim on the month keeps two loaders (jobs or
-    streams, in any driver) from loading it both: the second is SKIPPED_EXISTS.  A failure is reported as status ERROR instead of
+    streams, in any driver) from loading it both: the second is SKIPPED_EXISTS.
+    The month's partial sums are refreshed after it, and with ``catalog`` (a
+    database that ``register_tables`` filled) its partition is added there.  A failure is reported as status ERROR instead of
     stopping the caller.
     """
     try:
-        return _load_month(spark, lake, run_month, key, bucket, expected_bucket, source, insert)
+        out = _load_month(spark, lake, run_month, key, bucket, expected_bucket, source, insert)
+        if out["status"] == "SUCCEEDED":
+            refresh_rollups(spark, lake, [out["run_month"]])
+            if catalog:
+                spec = {"RunMonth": out["run_month"]}
+                K.add_partition(spark, f"{catalog}.fact_sales", spec, K.slice_path(lake.warehouse("fact_sales"), spec))
+        return out
     except Exception as e:  # one bad month must not stop the others
         return {"key": key or run_month, "status": "ERROR", "error": str(e)}
 
@@ -346,6 +376,57 @@ def _count_month(spark: SparkSession, lake: Lake, ym: str) -> int:
     return L.scalar_int(spark.read.parquet(folder).agg(F.count(F.lit(1))))
 
 
+def refresh_rollups(spark: SparkSession, lake: Lake, run_months: list[str] | None = None) -> list[str]:
+    """Write the partial sums of the given months, each in place of its old
+    ones; without any given, of the months whose fact slice is newer than its
+    partials (a rerun, a backfill, a stream's load, a job that died between the
+    two).  Returns the months written."""
+    fact_path = lake.warehouse("fact_sales")
+    if run_months is None:
+        last = R.TABLES[-1]                   # written last, so it stands for all
+        run_months = [m for s in files.partitions(spark, fact_path, ["RunMonth"]) for m in [s["RunMonth"]]
+                      if files.newest(spark, K.slice_path(fact_path, s)) >
+                      files.newest(spark, K.slice_path(lake.rollup(last), s))]
+    if not run_months:
+        return []
+    specs = [{"RunMonth": m} for m in run_months]
+    schema = W.WAREHOUSE_SCHEMAS["fact_sales"]
+    fact = spark.read.schema(schema).option("basePath", fact_path).parquet(*[K.slice_path(fact_path, s) for s in specs])
+    parts = R.partials(fact)
+    for name in R.TABLES:
+        K.overwrite_slice(parts[name], lake.rollup(name), ["RunMonth"], specs)
+    return run_months
+
+
+def read_rollups(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The partial tables, for the measures of ``operators.rollups``."""
+    for name in R.TABLES:
+        snapshots.recover(spark, lake.rollup(name))
+    return {name: spark.read.schema(R.SCHEMAS[name]).parquet(lake.rollup(name)) for name in R.TABLES}
+
+
+def loaded_months(spark: SparkSession, lake: Lake) -> DataFrame:
+    """RunMonth of each loaded month, from the names of the fact's partition
+    folders (a load never leaves one without rows): no fact file is opened."""
+    path = lake.warehouse("fact_sales")
+    months = [s["RunMonth"] for s in files.partitions(spark, path, ["RunMonth"])
+              if files.has_data(spark, K.slice_path(path, s))]
+    return spark.createDataFrame([(m,) for m in months], "RunMonth string")
+
+
+def register_tables(spark: SparkSession, lake: Lake, database: str) -> list[str]:
+    """Catalog tables over the warehouse; the fact by RunMonth.  Months
+    loaded later are added one by one by ``load_month(catalog=database)``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, schema in W.WAREHOUSE_SCHEMAS.items():
+        if files.exists(spark, lake.warehouse(name)):
+            K.register_table(spark, f"{database}.{name}", lake.warehouse(name), schema,
+                             partition_cols=["RunMonth"] if name == "fact_sales" else None)
+            names.append(name)
+    return names
+
+
 def next_month_job(spark: SparkSession, lake: Lake, start: str = "2011-05",
                    end: str = "2014-05") -> dict:
     """The month the scheduler would request next, from the control log."""
@@ -367,11 +448,11 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     V.v_sales(fact, d["dim_customer"], d["dim_employee"], d["dim_store"], d["dim_product"],
               store_keys_unique=unique).createOrReplaceTempView("v_sales")
     V.v_dim_store(d["dim_store"]).createOrReplaceTempView("v_dim_store")
-    V.v_calendar_month_loaded(fact).createOrReplaceTempView("v_calendar_month_loaded")
+    V.v_calendar_month_loaded(loaded_months(spark, lake)).createOrReplaceTempView("v_calendar_month_loaded")
     return ["v_sales", "v_dim_store", "v_calendar_month_loaded"]
 
 
-# Manifest table name -> bronze table of this package.
+# fixed values: manifest table name -> bronze table of this package
 MANIFEST_TABLES = {"customers": "customers", "employee": "employees", "orders": "orders",
                    "productCategories": "product_categories", "products": "products",
                    "productSubcategories": "product_subcategories", "stores": "stores",

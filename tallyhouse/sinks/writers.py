@@ -3,17 +3,20 @@
 Silver and warehouse tables are Parquet (Snappy).  A slice is a partition
 folder; rewriting one replaces exactly that folder, also when no row is left
 for it, and readers see the old one until the new one is complete
-(``snapshots``).  Control and error logs are append-only Parquet tables.
+(``snapshots``).  Control and error logs are append-only Parquet tables, a
+folder per month, compacted as they grow.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import replace
 from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,41 +155,80 @@ def write_once(df: DataFrame, path: str, allow_overwrite: bool = False, fmt: str
     return "SUCCEEDED", attempt("overwrite")
 
 
+LOG_FILES = 64           # files of one month of a log beyond which they become one
+
+
+def _append_log(rows: DataFrame, path: str, when: Column) -> None:
+    """Append to the log, a folder ``log_month=YYYY-MM`` for each month of
+    ``when``.  A month of many files is rewritten as one and swapped in whole;
+    appending and compacting take turns by a claim on the log."""
+    from tallyhouse.sinks import claims
+    spark = rows.sparkSession
+    owner, deadline = uuid.uuid4().hex, time.monotonic() + 300
+    while not (claim := claims.acquire(spark, f"{path.rstrip('/')}/_claim", owner, lease=600)):
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"the log {path} is busy")
+        time.sleep(0.2)
+    try:
+        snapshots.recover(spark, path)
+        (rows.withColumn("log_month", F.date_format(when, "yyyy-MM")).coalesce(1)
+         .write.mode("append").partitionBy("log_month").parquet(path))
+        for spec in files.partitions(spark, path, ["log_month"]):
+            at = slice_path(path, spec)
+            if sum(not n.startswith(("_", ".")) for n in files.children(spark, at)) > LOG_FILES:
+                write_silver(spark.read.schema(rows.schema).parquet(at).coalesce(1), path, spec)
+    finally:
+        claims.release(spark, claim)
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A control or error log; empty before its first record."""
+    if not files.partitions(spark, path, ["log_month"]):
+        return spark.createDataFrame([], schema)
+    snapshots.recover(spark, path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def log_control(spark: SparkSession, path: str, records: list[dict]) -> None:
     """K8: append control-log records (run_id, run_month, source, table, status,
     records_out, started_at, ended_at, note); missing times are now."""
     rows = [(r.get("run_id"), r.get("run_month"), r.get("source"), r.get("table"), r.get("status"),
              int(r.get("records_out") or 0), r.get("started_at"), r.get("ended_at"), r.get("note"))
             for r in records]
-    (spark.createDataFrame(rows, CONTROL_SCHEMA)
-     .withColumns({c: F.coalesce(c, X.now_utc()) for c in ("started_at", "ended_at")})
-     .write.mode("append").parquet(path))
+    _append_log(spark.createDataFrame(rows, CONTROL_SCHEMA)
+                .withColumns({c: F.coalesce(c, X.now_utc()) for c in ("started_at", "ended_at")}), path, F.col("ended_at"))
 
 
 def log_error(spark: SparkSession, path: str, run_id: str, source: str, table: str, step: str,
               error_code: str, message: str, severity: str = "ERROR") -> None:
     """K9: append one error record, the message whole."""
-    (spark.createDataFrame([(run_id, None, source, table, step, severity, error_code, message)], ERROR_SCHEMA)
-     .withColumn("ts", X.epoch_seconds()).write.mode("append").parquet(path))
+    _append_log(spark.createDataFrame([(run_id, None, source, table, step, severity, error_code, message)], ERROR_SCHEMA)
+                .withColumn("ts", X.epoch_seconds()), path, X.now_utc())
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema: str, fmt: str = "parquet",
                    partition_cols: list[str] | None = None, replace_table: bool = True,
                    options: dict | None = None) -> None:
     """(re)create a catalog table over files at ``path`` with the declared
-    ``schema`` (DDL text, partition columns included); partitions are found in
-    the directory layout.  ``options`` go to the reader (a CSV's header)."""
+    ``schema`` (DDL text, partition columns included).  The partitions that are
+    there are added once, from the folders' names; later ones by the jobs that
+    write them (``add_partition``).  ``options`` go to the reader (a CSV's header)."""
     if replace_table:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
     opts = f" OPTIONS ({', '.join(f'{k} {v!r}' for k, v in options.items())})" if options else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING {fmt}{opts}{parts} LOCATION '{path}'")
-    if partition_cols:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    known = files.partitions(spark, path, partition_cols) if partition_cols else []
+    for at in range(0, len(known), 500):
+        specs = " ".join(f"PARTITION ({_spec(s)}) LOCATION '{slice_path(path, s)}'" for s in known[at:at + 500])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+
+
+def _spec(spec: dict) -> str:
+    return ", ".join(f"{k}={v!r}" for k, v in spec.items())
 
 
 def add_partition(spark: SparkSession, name: str, spec: dict, location: str | None = None) -> None:
     """ALTER TABLE ... ADD IF NOT EXISTS PARTITION."""
-    s = ", ".join(f"{k}={v!r}" if isinstance(v, str) else f"{k}={v}" for k, v in spec.items())
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({s}){loc}")
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_spec(spec)}){loc}")

@@ -27,7 +27,11 @@ def raw_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[table]])
 
 
-def _csv(spark: SparkSession, schema: T.StructType, sep: str = ","):
+def _csv(spark: SparkSession, schema: T.StructType, sep: str = ",", corrupt_col: str | None = None):
+    """``corrupt_col``: a column of ``schema`` for the text of lines with too many
+    or too few fields; all columns are parsed then, as a line is judged whole."""
+    if corrupt_col:
+        return _csv(spark, schema, sep).option("columnNameOfCorruptRecord", corrupt_col).option("columnPruning", False)
     return (spark.read.schema(schema).option("header", True).option("sep", sep)
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
 
@@ -44,9 +48,7 @@ def read_bronze(spark: SparkSession, table: str, path: str, row_id: bool = True,
     in that column (PERMISSIVE mode); well-formed lines have NULL there.
     """
     schema = raw_schema(table)
-    r = _csv(spark, schema.add(corrupt_col, T.StringType()) if corrupt_col else schema)
-    if corrupt_col:
-        r = r.option("columnNameOfCorruptRecord", corrupt_col)
+    r = _csv(spark, schema.add(corrupt_col, T.StringType()) if corrupt_col else schema, corrupt_col=corrupt_col)
     df = r.option("multiLine", multiline).csv(path)
     return with_row_id(df) if row_id else df
 
@@ -57,13 +59,13 @@ def read_typed(spark: SparkSession, table: str, path: str, corrupt_col: str | No
 
 
 def read_month(spark: SparkSession, table: str, base: str, run_month: str,
-               row_id: bool = True) -> DataFrame:
+               row_id: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """One ``year=Y/month=M`` partition of a Hive-style partitioned raw table.
 
     Only that folder is named to the reader, so nothing else is listed; the
     partition columns come from its path below ``basePath``.
     """
-    return read_months(spark, table, base, [run_month], row_id)
+    return read_months(spark, table, base, [run_month], row_id, corrupt_col)
 
 
 def month_folder(base: str, run_month: str) -> str:
@@ -72,13 +74,29 @@ def month_folder(base: str, run_month: str) -> str:
 
 
 def read_months(spark: SparkSession, table: str, base: str, run_months: list[str],
-                row_id: bool = True) -> DataFrame:
+                row_id: bool = True, corrupt_col: str | None = None) -> DataFrame:
     """Several ``year=/month=`` partitions in one scan of their folders alone."""
-    schema = raw_schema(table).add("year", T.IntegerType()).add("month", T.IntegerType())
-    df = _csv(spark, schema).option("basePath", base).csv([month_folder(base, m) for m in run_months])
+    schema = raw_schema(table)
+    if corrupt_col:
+        schema = schema.add(corrupt_col, T.StringType())
+    schema = schema.add("year", T.IntegerType()).add("month", T.IntegerType())
+    df = _csv(spark, schema, corrupt_col=corrupt_col).option("basePath", base).csv([month_folder(base, m) for m in run_months])
     return with_row_id(df) if row_id else df
 
 
+def read_delivery(spark: SparkSession, src: str, multiline: bool = False, corrupt_col: str | None = None) -> DataFrame:
+    """A delivered CSV with its own header, every column as text.  Line records
+    keep large files splittable; ``multiline`` reads quoted line breaks (one task
+    per file).  ``corrupt_col``: as in ``read_bronze``."""
+    r = (spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+         .option("encoding", "UTF-8"))
+    if not corrupt_col:
+        return r.csv(src)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*r.csv(src).columns, corrupt_col]])   # the header alone
+    return (r.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+            .option("columnPruning", False).csv(src))
+
+
 def file_path_col() -> Column:
     return F.col("_metadata.file_path")
 
@@ -119,4 +137,4 @@ def land_csv(spark: SparkSession, src: str, dst: str, mode: str = "errorifexists
 
 
 __all__ = ["RAW_COLUMNS", "RID", "raw_schema", "read_bronze", "read_typed", "read_month",
-           "read_months", "month_folder", "read_file_slice", "rows_per_file", "land_csv", "as_uri", "file_path_col"]
+           "read_months", "read_delivery", "month_folder", "read_file_slice", "rows_per_file", "land_csv", "as_uri", "file_path_col"]

@@ -122,3 +122,21 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def newest(spark: SparkSession, folder: str) -> int:
+    """Latest modification time (ms) of the data files right under a folder; 0 without any."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return 0
+    return max((s.getModificationTime() for s in fs.listStatus(p)
+                if s.isFile() and not s.getPath().getName().startswith(("_", "."))), default=0)
+
+
+def partitions(spark: SparkSession, base: str, columns: list[str]) -> list[dict]:
+    """Partition folders ``column=value/...`` under ``base``, from their names alone."""
+    if not columns:
+        return [{}]
+    found = [n.split("=", 1)[1] for n in children(spark, base) if n.startswith(f"{columns[0]}=")]
+    return [{columns[0]: v} | rest for v in found
+            for rest in partitions(spark, f"{base.rstrip('/')}/{columns[0]}={v}", columns[1:])]

@@ -136,19 +136,24 @@ def _recorded(spark: SparkSession, status_path: str, query_id: str, epoch_id: in
     return [r.asDict() for r in spark.read.parquet(at).collect()]        # one row per file of the batch
 
 
-def record_empty(spark: SparkSession, landing_dir: str, status_path: str) -> None:
+def record_empty(spark: SparkSession, landing_dir: str, status_path: str, archive_dir: str | None = None) -> None:
     """Status rows for month files of no bytes at all, which no reader reports:
-    from the folder's listing, once per path (query id ``empty``)."""
+    from the folder's listing, once per path (query id ``empty``).  With an
+    archive they are moved there, so the folder holds only what is pending."""
     found = files.empty_files(spark, landing_dir, ".csv")
     mine = K.slice_path(status_path, {"query_id": "empty"})
-    if found and files.exists(spark, mine):
+    fresh = found
+    if found and not archive_dir and files.exists(spark, mine):
         known = {r["file_path"] for r in spark.read.parquet(mine).select("file_path").collect()}
-        found = [p for p in found if p not in known]
-    if found:
-        month = {p: (m[1] if (m := re.search(MARKER_MONTH, p)) else None) for p in found}
+        fresh = [p for p in found if p not in known]
+    if fresh:
+        month = {p: (m[1] if (m := re.search(MARKER_MONTH, p)) else None) for p in fresh}
         _record(spark, [{"file_path": p, "RunMonth": month[p], "rows_file": 0, "rows_inserted": 0, "error": None,
-                         "status": "SKIPPED_EMPTY_FILE" if month[p] else "IGNORED_BAD_NAME"} for p in found],
+                         "status": "SKIPPED_EMPTY_FILE" if month[p] else "IGNORED_BAD_NAME"} for p in fresh],
                 status_path, "empty", time.time_ns())
+    if archive_dir:
+        for p in found:
+            files.rename(spark, p, f"{archive_dir.rstrip('/')}/empty/{time.time_ns()}-{p.rsplit('/', 1)[1]}")
 
 
 def _load(spark: SparkSession, decisions: list[dict], fact_path: str, bronze_orders: str | None) -> None:
@@ -206,19 +211,24 @@ def _load_accepted(spark: SparkSession, decisions: list[dict], fact_path: str, s
 
 def start_fact_stream(spark: SparkSession, landing_dir: str, fact_path: str, status_path: str,
                       checkpoint: str, available_now: bool = True, max_files_per_trigger: int | None = 1000,
-                      bronze_orders: str | None = None) -> StreamingQuery:
+                      bronze_orders: str | None = None, archive_dir: str | None = None) -> StreamingQuery:
     """Start the file-arrival load; ``available_now`` processes what is there
     and stops (a scheduled run), else it keeps watching the folder.  A large
     backlog is split into micro-batches of ``max_files_per_trigger`` files.
-    ``bronze_orders`` is where the slices of ``.ready`` markers are."""
+    ``bronze_orders`` is where the slices of ``.ready`` markers are.  With
+    ``archive_dir`` files of finished batches are moved there (by the source, once
+    the next batch begins), so no listing ever sees them again."""
     r = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.{csv,ready}")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+
     def batch(arrived: DataFrame, epoch_id: int) -> None:
-        record_empty(arrived.sparkSession, landing_dir, status_path)
+        record_empty(arrived.sparkSession, landing_dir, status_path, archive_dir)
         load_batch(arrived, epoch_id, fact_path, status_path, bronze_orders=bronze_orders)
 
-    record_empty(spark, landing_dir, status_path)
+    record_empty(spark, landing_dir, status_path, archive_dir)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     w = r.load(landing_dir).select("path").writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
