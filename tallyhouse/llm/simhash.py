@@ -203,7 +203,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
     exactly what links of ``max_bits`` or fewer differing bits connect."""
     # a few bytes each, but each is looked up under many keys: spread before that
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select("fingerprint").distinct().repartition(tasks, "fingerprint")
+    distinct = prints.select("fingerprint").distinct().repartition(tasks, F.xxhash64("fingerprint"))
     own, probes = _ring_keys(max_bits)
     filed = distinct.select(F.explode(own).alias("key"), "fingerprint")
     looked = distinct.select(F.explode(probes).alias("key"), "fingerprint")
