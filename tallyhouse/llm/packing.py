@@ -20,6 +20,7 @@ they are called.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
@@ -54,6 +55,15 @@ _CHARS = [chr(c) for c in range(0x180)
 _PLAIN = "".join(map(re.escape, _CHARS))
 _LETTERS = "".join(c for c in _CHARS if unicodedata.category(c)[0] == "L")
 _NUMBERS = "".join(c for c in _CHARS if unicodedata.category(c)[0] == "N")
+# The settings that make this so; a tokenizer with others gets every text whole.
+# fixed values: normalizer, pre-tokenizer and model options of the file
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>"}
 # fixed: the pre-tokenizer's pattern, over these characters
 _SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+"
 
@@ -97,12 +107,20 @@ class _Chunks(dict):
         return ids
 
 
+def by_words(tokenizer) -> bool:
+    """Whether words of plain texts may be tokenised one by one."""
+    told = json.loads(tokenizer.to_str())
+    return (told.get("normalizer") == _NORMALIZER and told.get("pre_tokenizer") == _PRE_TOKENIZER
+            and all(told["model"].get(k) == v for k, v in _MODEL.items()))
+
+
 def _tokenizer(path: str):
     state = worker_state()
     if ("tokenizer", path) not in state:
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
-        state["tokenizer", path] = (t, _Chunks(t).__getitem__, re.compile(f"[{_PLAIN}]*").fullmatch)
+        plain = re.compile(f"[{_PLAIN}]*").fullmatch if by_words(t) else lambda text: None
+        state["tokenizer", path] = (t, _Chunks(t).__getitem__, plain)
     return state["tokenizer", path]
 
 

@@ -79,3 +79,14 @@ def test_each_placement_is_the_best_square_sum():
         taken = capacity - fill[b] if b in fill else capacity
         assert squares(taken) == min(map(squares, choices)) and at == fill[b]
         fill[b] += n
+
+
+def test_other_tokenizers_take_whole_texts():
+    """A file with other rules is never treated by the default one's word rules."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    usual, other = P.default_tokenizer(), public_tokenizers.path("byte_bpe_50k.json")
+    assert P.by_words(Tokenizer.from_file(usual)) and not P.by_words(Tokenizer.from_file(other))
+    t = Tokenizer.from_file(other)
+    for text in ["Plain words Here", "two  spaces\nand lines", ""]:
+        assert P.token_bytes(text, other) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
