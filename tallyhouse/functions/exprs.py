@@ -133,8 +133,9 @@ def check_run_month(ym: str) -> str:
 def in_run_month(c, run_month: str, declared: str | None = "MM-dd-yyyy") -> Column:
     """TRUE when the text date falls in run_month; unparsable -> FALSE."""
     check_run_month(run_month)
-    return F.coalesce(F.date_format(parse_cascade(c, declared), "yyyy-MM") == F.lit(run_month),
-                      F.lit(False))
+    # every format writes the year in four digits: most rows need no parsing
+    return F.coalesce(_c(c).contains(run_month[:4])
+                      & (F.date_format(parse_cascade(c, declared), "yyyy-MM") == F.lit(run_month)), F.lit(False))
 
 
 def parsed_month(c, declared: str | None = "MM-dd-yyyy") -> Column:

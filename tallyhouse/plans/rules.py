@@ -80,25 +80,32 @@ def parent_of(fk: str, rules=DEFAULT_RULES) -> str | None:
     return None
 
 
+def _word(key: str) -> Column:
+    """Number of the 64-key word that an integer key falls into."""
+    return F.shiftright(F.col(key).cast("bigint"), 6)
+
+
+def _bit(key: str) -> Column:
+    return F.expr(f"shiftleft(1L, cast(`{key}` & 63 AS int))")
+
+
 def fk_orphan_counts(child: DataFrame, table: str, parents: dict[str, tuple[str, DataFrame]]) -> DataFrame:
-    """J6 for all foreign keys of one child table in one pass over the child:
-    its rows are counted per (foreign key, value) first, and only these
-    distinct values are compared with the parents' keys."""
-    items = [F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("v")) for fk in parents]
-    values = (child.select(F.explode(F.array(*items)).alias("x")).where("x.v IS NOT NULL")
-              .groupBy("x.fk", "x.v").agg(F.count(F.lit(1)).alias("n")))
-    keys = reduce(DataFrame.unionByName, [
-        pdf.where(F.col(fk).isNotNull()).select(F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("v"))
-        for fk, (_parent, pdf) in parents.items()]).distinct().withColumn("found", F.lit(True))
-    counted = values.join(keys, ["fk", "v"], "left").groupBy("fk").agg(
-        F.sum("n").alias("n_checked"),
-        F.sum(F.when(F.col("found").isNull(), F.col("n")).otherwise(0)).alias("n_orphans"))
-    # every foreign key has its row, also one without any value
-    every = child.sparkSession.createDataFrame([(fk, parent) for fk, (parent, _) in parents.items()], "fk string, parent string")
-    zero = F.lit(0).cast("bigint")
-    return every.join(counted, "fk", "left").select(
-        F.lit(table).alias("table"), "fk", "parent", F.coalesce("n_checked", zero).alias("n_checked"),
-        F.coalesce("n_orphans", zero).alias("n_orphans"))
+    """J6 for all foreign keys of one child table in one pass over the child.
+
+    A parent's integer keys become a bitmap, one row per 64 neighbouring keys;
+    each child row looks its keys up in the bitmaps (broadcast where their size
+    allows, else joined by word) and tests one bit each.  Nothing is multiplied
+    and no row is grouped before the one final aggregate."""
+    rows, aggs, items = child.select(*parents), [], []
+    for i, (fk, (parent, pdf)) in enumerate(parents.items()):
+        words = pdf.where(F.col(fk).isNotNull()).groupBy(_word(fk).alias(f"_w{i}")).agg(
+            F.bit_or(_bit(fk)).alias(f"_bits{i}"))
+        rows = rows.join(words, _word(fk) == F.col(f"_w{i}"), "left")
+        known = F.coalesce(F.col(f"_bits{i}"), F.lit(0).cast("bigint")).bitwiseAND(_bit(fk)) != 0
+        aggs += [F.count(fk).alias(f"n{i}"), F.count(F.when(F.col(fk).isNotNull() & ~known, 1)).alias(f"o{i}")]
+        items.append(F.struct(F.lit(fk).alias("fk"), F.lit(parent).alias("parent"), F.col(f"n{i}").alias("n_checked"),
+                              F.col(f"o{i}").alias("n_orphans")))
+    return rows.agg(*aggs).select(F.explode(F.array(*items)).alias("x")).select(F.lit(table).alias("table"), "x.*")
 
 
 def fk_orphan_report(spark: SparkSession, sf: str, rules=DEFAULT_RULES) -> DataFrame:

@@ -274,3 +274,26 @@ def test_mark_first_whatever_the_salts(spark, salts):
     assert got.columns == ["k", "v", dq.RID, dq.FIRST] and got.count() == 1500
     want = {r[dq.RID] for r in _window_first(df, ["k"], order).collect()}
     assert {r[dq.RID] for r in got.where(dq.FIRST).collect()} == want
+
+
+@pytest.mark.parametrize("broadcast", ["67108864", "-1"])
+def test_fk_orphans_by_bitmaps(spark, broadcast):
+    from tallyhouse.plans.rules import fk_orphan_counts
+    rnd = random.Random(5)
+    keys = [None, 0, 1, 63, 64, 65, -1, -64, -65, 2**31 - 1, -2**31, *range(1000, 1100, 3)]
+    child = [(rnd.choice(keys + [7, 7, 7, 999]), rnd.choice(keys), 5 if i % 3 else None) for i in range(4000)]
+    a, b = set(rnd.sample(keys[1:], 25)), set(rnd.sample(keys[1:], 10))
+    df = spark.createDataFrame(child, "a int, b int, c int")
+    one = lambda c, ks: spark.createDataFrame([(k,) for k in [*ks, *list(ks)[:3], None]], f"{c} int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, broadcast)
+        got = fk_orphan_counts(df, "t", {"a": ("pa", one("a", a)), "b": ("pb", one("b", b)), "c": ("pc", one("c", []))})
+        rows = {r.fk: (r.table, r.parent, r.n_checked, r.n_orphans) for r in got.collect()}
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, old)
+    for i, (fk, known) in enumerate([("a", a), ("b", b), ("c", set())]):
+        values = [r[i] for r in child if r[i] is not None]
+        assert rows[fk] == ("t", f"p{fk}", len(values), sum(v not in known for v in values))
