@@ -5,12 +5,14 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.session import ensure_checkpoint_dir
+from tallyhouse.sources import files
 
 
 def ship_by_value(module_name: str) -> None:
@@ -46,9 +48,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tallyhouse-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[str] = []     # tables of this driver, oldest first
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``stored`` writes inside the block are deleted at its end, all
+    but the last one, which is its result.  After a failure they stay."""
+    begin = len(_WRITTEN)
+    yield
+    for path in _WRITTEN[begin:-1]:
+        files.delete(spark, path)
+    del _WRITTEN[begin:-1]
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
