@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import langid, mixing, packing, secret_scan, simhash
-from tallyhouse.llm.common import read_table, stored
+from tallyhouse.llm.common import read_table, scratch, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +53,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    with scratch(spark):                    # what the stages wrote for each other goes in the end
+        for name, stage in STAGES:
+            with scratch(spark):            # what a stage wrote for itself, as soon as it is done
+                docs = stored(stage(spark, docs, sf_dir), name)
     return docs
