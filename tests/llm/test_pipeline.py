@@ -8,6 +8,8 @@ from test_simhash import classes, fingerprint
 import corpus_pipeline
 from tallyhouse.llm import langid, mixing
 from tallyhouse.llm.common import read_table, stored
+from tallyhouse.session import ensure_checkpoint_dir
+from tallyhouse.sources import files
 
 
 def test_names():
@@ -49,7 +51,11 @@ def test_stages_against_brute_force(spark):
 
 
 def test_run(spark):
+    folder = ensure_checkpoint_dir(spark)
+    before = set(files.children(spark, folder))
     run = corpus_pipeline.run(spark, SF_SMALL)
+    left = [n for n in files.children(spark, folder) if n not in before and n.startswith("tallyhouse-")]
+    assert len(left) == 1 and left[0].startswith("tallyhouse-best_fit_packing")      # nothing but the result
     assert run.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert run.count() > 100
 
