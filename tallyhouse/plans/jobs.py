@@ -16,6 +16,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,6 +116,16 @@ LINE = "_line"                      # text of a line with too many or too few fi
 MALFORMED = "MALFORMED_LINE"
 
 
+def _malformed(lines: Observation, rows: DataFrame) -> int:
+    """Malformed lines counted while ``rows`` were read.  Where no row was left,
+    Spark drops the observation with the plan; then they are counted anew."""
+    try:
+        return int(lines.get["malformed"])
+    except Py4JJavaError:
+        # (a query of that column alone is not allowed on CSV)
+        return rows.agg(F.count(LINE).alias("n"), F.count(rows.columns[0]).alias("other")).first()["n"]
+
+
 def _quarantine_lines(rows: DataFrame, path: str, by: list[str], specs: list[dict], n: int) -> None:
     """The malformed lines among ``rows`` (``n`` of them) replace those of the same slices."""
     spark = rows.sparkSession
@@ -153,7 +164,7 @@ def ingest_orders(spark: SparkSession, src: str, lake: Lake, run_months: list[st
                                    fmt="csv", header=True, escape='"')
         _quarantine_lines(raw.withColumn("run_month", F.coalesce("_ym", F.lit("unknown"))),
                           lake.invalid("ingest_orders_lines"), ["run_month"],
-                          [{"run_month": m} for m in [*todo, "unknown"]], int(lines.get["malformed"]))
+                          [{"run_month": m} for m in [*todo, "unknown"]], _malformed(lines, raw))
         for m in todo:                        # the slice is complete: announce it
             files.put_text(spark, lake.ready_marker(m), folder[m] + "\n")
         results += [{"table": "orders", "run_month": m, "status": "SUCCEEDED", "rows": n, "note": f"wrote {folder[m]}"}
@@ -224,7 +235,7 @@ def bronze_to_silver(spark: SparkSession, lake: Lake, run_month: str, refresh_di
     good = orders.observe(lines, F.count(LINE).alias("malformed")).where(F.col(LINE).isNull()).drop(LINE)
     out["orders"] = K.write_routed(C.clean_orders(good, null_policy), lake.silver_orders, lake.invalid("orders"),
                                    _slice(run_month))
-    n = int(lines.get["malformed"])
+    n = _malformed(lines, orders)
     _quarantine_lines(orders, lake.invalid("orders_lines"), ["year", "month"], [_slice(run_month)], n)
     if n:
         out["orders_lines"] = {"malformed": n}

@@ -146,6 +146,14 @@ def test_malformed_lines_are_quarantined(spark, lake, scratch):
     out = J.bronze_to_silver(spark, lake, "2011-05")
     assert out["orders"] == {"valid": 2, "invalid": 0} and out["orders_lines"] == {"malformed": 2}
     assert sorted(r.line for r in spark.read.parquet(lake.invalid("orders_lines")).collect()) == sorted([long, short])
+    # a month of nothing but such lines
+    J.ingest_orders(spark, src, lake, ["2011-07"], date_format=None)
+    with open(f"{lake.bronze_orders}/year=2011/month=7/extra.csv", "w") as fh:
+        fh.write("\n".join([HEAD, long, short]) + "\n")
+    out = J.bronze_to_silver(spark, lake, "2011-07")
+    assert out["orders"] == {"valid": 0, "invalid": 0} and out["orders_lines"] == {"malformed": 2}
+    os.remove(f"{lake.bronze_orders}/year=2011/month=7/extra.csv")
+    J.bronze_to_silver(spark, lake, "2011-07")
     os.remove(f"{lake.bronze_orders}/year=2011/month=5/extra.csv")
     assert "orders_lines" not in J.bronze_to_silver(spark, lake, "2011-05")
     assert spark.read.parquet(lake.invalid("orders_lines")).count() == 0
