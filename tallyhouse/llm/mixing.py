@@ -9,9 +9,10 @@ goes by size class, the words taken come within a few documents of the target.
 The running sum is a rank times the rate, and the rank is found in three
 levels, none of which gathers a source in one task: documents before the size
 class, before the salt within the class, and before the document within the
-salt.  A size class of a source has one salt for each ``salt_rows`` documents,
-or for each 1 in ``HOT`` of all documents where these are more; so classes of
-more than one salt are at most ``HOT``, whatever the table, and are broadcast.
+salt.  A size class of a source has one salt for each ``salt_rows`` documents
+and for each ``SALT_WORDS`` words, or for each 1 in ``HOT`` of all documents and
+words where these are more; so classes of more than one salt are at most twice
+``HOT``, whatever the table, and are broadcast.
 
 Targets: sources in code point order, null last, weigh 1, 2, 3, 1, 2, 3, ...
 and share the total size; a target stops at ``max_repeat`` times its source's
@@ -34,7 +35,8 @@ from tallyhouse.llm.common import stored
 MAX_REPEAT = 3
 WEIGHTS = 3           # weights 1 .. WEIGHTS, repeating
 SALT_ROWS = 4096
-HOT = 65_536
+SALT_WORDS = 524_288
+HOT = 262_144
 SEED = "mix"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -90,9 +92,10 @@ def copies(rows: DataFrame, max_repeat: int = MAX_REPEAT, weights: int = WEIGHTS
     groups = stored(slim.groupBy("skey", "source", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size")),
                     "mix-classes")
     sources = stored(source_targets(groups, max_repeat, weights), "mix-sources")
-    per_salt = max(salt_rows, -(-slim.count() // HOT))
-    hot = stored(groups.filter(F.col("n") > per_salt).select(
-        "skey", "class", F.ceil(F.col("n") / per_salt).cast("bigint").alias("salts")), "mix-hot")      # HOT at most
+    documents, words = groups.agg(F.sum("n"), F.sum("size")).first()
+    salts = F.greatest(F.ceil(F.col("n") / max(salt_rows, -(-(documents or 0) // HOT))),
+                       F.ceil(F.col("size") / max(SALT_WORDS, -(-(words or 0) // HOT)))).cast("bigint")
+    hot = stored(groups.select("skey", "class", salts.alias("salts")).filter("salts > 1"), "mix-hot")  # 2 x HOT at most
     upto = (Window.unboundedPreceding, -1)
     classes = groups.select("skey", "class", F.sum("n").over(
         Window.partitionBy("skey").orderBy("class").rowsBetween(*upto)).alias("lower"))
@@ -137,9 +140,9 @@ c AS (
               + (size * 8) // (CAST(1 AS BIGINT) << CAST(length(bin(size)) - 1 AS INTEGER)) - 8 END AS class
   FROM d),
 h AS (
-  SELECT *, CAST(ceil(count(*) OVER (PARTITION BY source, class)
-                      / greatest(4096.0, ceil(count(*) OVER () / 65536.0))) AS BIGINT) AS salts
-  FROM c),
+  SELECT *, CAST(greatest(1, ceil(count(*) OVER g / greatest(4096.0, ceil(count(*) OVER () / 262144.0))),
+                          ceil(sum(size) OVER g / greatest(524288.0, ceil(sum(size) OVER () / 262144.0)))) AS BIGINT) AS salts
+  FROM c WINDOW g AS (PARTITION BY source, class)),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight, 3 * source_size AS cap FROM s),
 l AS (SELECT *,

@@ -93,3 +93,11 @@ def test_helper_tables_do_not_grow_with_rows(spark, monkeypatch):
     assert held["mix-hot"].count() > 0 and sum(sizes.values()) <= 2 * 9 + 6000 // 100 + held["mix-hot"].count()
     small = M.mix_plan(docs)
     assert small.count() == 6000 and held["mix-hot"].count() == 0 and held["mix-starts"].count() <= 18
+
+
+def test_classes_of_many_words_have_salts(spark, monkeypatch):
+    monkeypatch.setattr(M, "SALT_WORDS", 3000)
+    docs = make_docs(spark, [(k, "w " * (900 + k), "en", "ab"[k % 2]) for k in range(60)])
+    want, taken, largest = check(docs)
+    for s in want:
+        assert abs(taken[s] - want[s]) <= 2 * largest[s] + 0.02 * want[s]
