@@ -22,8 +22,10 @@ NOTES = {
                "under the threshold, otherwise sort-merge join with skew splitting.",
     "cumulative_sales": "Fact aggregated to (Country, month) before the dense calendar and the "
                         "running-sum window; the fact is scanned once.",
-    "fk_orphans": "One pass per child table: rows counted per (key, value), the distinct values joined "
-                  "with the parents' keys.",
+    "orders_invalid": "The feed is read once; two windows (within salts of the key, then among the salts' "
+                      "first rows), no join of the rows with themselves.",
+    "fk_orphans": "One pass per child table: each key tests a bit of its parent's bitmap (one row per 64 "
+                  "keys), then one global aggregate; nothing is multiplied or grouped by key.",
     "store_diversity": "count(DISTINCT) per store via Expand + partial aggregation.",
     "scan_parquet": "Column pruning: ReadSchema lists only the 4 projected columns.",
     "ingest_month_filter": "Format cascade as one chain of replacements inside code generation.",
