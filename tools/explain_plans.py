@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-KEYS = ["orders_valid", "v_sales", "cumulative_sales", "fk_orphans", "store_diversity",
+KEYS = ["orders_valid", "orders_invalid", "v_sales", "cumulative_sales", "fk_orphans", "store_diversity",
         "scan_parquet", "ingest_month_filter", "total_sales_header"]
 NOTES = {
     "orders_valid": "Dedup = one two-phase `min` of an ordering struct that is the winning row "
