@@ -11,10 +11,12 @@ p - j content words before it; so chains are slices of the content words, and
 a text takes linear time.
 
 Likeness is the Jaccard coefficient of two sets (1 for two empty ones).
-``near_duplicates`` finds all pairs at a threshold: sets are partitioned by
-length so that only neighbouring partitions can reach it, filed under their
-rarest signatures only as far as the threshold allows (a pair beyond shares
-none of them), and compared exactly after a bound on the lengths.
+Different sets are partitioned by length so that only neighbouring partitions
+can reach a threshold, filed under their rarest signatures only as far as the
+threshold allows (a pair beyond shares none of them), pruned by bounds on the
+lengths and on the places of the shared signature, and compared exactly.
+``with_classes`` finds the classes that all links at the threshold connect,
+``near_duplicates`` the pairs themselves.
 
 Edge cases: a null text counts as empty; repeated rows stay rows (in order of
 doc_id, then text hash; a null doc_id comes last); an empty table gives no
@@ -23,13 +25,18 @@ rows; a single document is its own next document; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import join_copies, stored
+from tallyhouse.llm.components import connected_components
 
 CHAIN = 3
 THRESHOLD = 0.8
+BUCKETS = 1 << 16  # of signatures, whose counts the driver gets
+BLOCK = 4096       # sets of one signature that a task holds against as many
 # fixed values: common words of English, German, French and Spanish
 ANCHORS = """
 a an and are as at be but by can for from had has have he his i if in is it not of on or our she that the their they
@@ -121,11 +128,12 @@ def _in_order(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Each row against its edited text and the next document, by doc_id
-    (after the last: the first).  The edited text has its last floor(n/2) code
-    points replaced by the first as many of the next document.
+    (after the last: the first), and its class of near-duplicates.  The edited
+    text has its last floor(n/2) code points replaced by the first as many of
+    the next document.
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next.
+    near_edited, near_next, near_class, near_rows.
     """
     rows, follow = _in_order(docs)
     guests = rows.alias("r").join(F.broadcast(follow.alias("f")), [
@@ -144,32 +152,154 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     signed = with_signatures(with_signatures(placed, "text", "own"), "edited", "other").select(
         "range", "part", "guest", "doc_id", "hash", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "other")
     signed = signed.withColumn("next", F.lead("own").over(order)).filter("NOT guest")
-    return signed.select(
+    signed = signed.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"))
+        likeness(F.col("own"), F.col("next")).alias("near_next"), F.col("own").alias("signatures"),
+        F.monotonically_increasing_id().alias("rid"))
+    return with_classes(stored(signed, "signatures"))
+
+
+def _levels(signed: DataFrame) -> bytes:
+    """How often signatures occur, as one byte for each of ``BUCKETS`` buckets
+    that they fall into (so the driver gets at most that many counts)."""
+    each = signed.select(F.explode("signatures").alias("signature")).select(
+        F.pmod("signature", F.lit(BUCKETS)).cast("int").alias("bucket"))
+    levels = bytearray(BUCKETS)
+    for r in each.groupBy("bucket").count().collect():
+        levels[r["bucket"]] = min(255, int(6 * math.log2(1 + r["count"])))
+    return bytes(levels)
+
+
+def _sets(signed: DataFrame, threshold: float) -> DataFrame:
+    """One row per fingerprint: fingerprint, n, filed, rid, copies, low.
+
+    ``filed`` are its rarest signatures, as many as a set that shares none of
+    them must lack to be below ``threshold``.  Any order that all sets share
+    will do, so counts by bucket are enough."""
+    levels = F.lit(_levels(signed))
+    ranked = F.array_sort(F.transform("signatures", lambda s: F.struct(
+        F.substring(levels, F.pmod(s, F.lit(BUCKETS)).cast("int") + 1, 1).alias("level"), s.alias("signature"))))
+    n = F.size("signatures")
+    rarest = F.slice(ranked, 1, (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
+    short = signed.select("fingerprint", n.alias("n"), F.transform(rarest, lambda r: r["signature"]).alias("filed"),
+                          "rid", "doc_id")
+    return stored(short.groupBy("fingerprint", "n", "filed").agg(
+        F.min("rid").alias("rid"), F.count("*").alias("copies"), F.min("doc_id").alias("low")), "sets")
+
+
+def _members(sets: DataFrame, threshold: float) -> DataFrame:
+    """The sets under each signature that more than one set is filed under:
+    key (the signature), rid, n, place, part (of the lengths)."""
+    filed = sets.filter("n > 0").select("rid", "n", F.posexplode("filed").alias("place", "key"), F.floor(
+        F.log(F.col("n")) / F.log(F.lit(1 / threshold)) + 1e-9).alias("part"))
+    shared = stored(filed.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1"), "shared")
+    total = shared.agg(F.sum("copies")).first()[0] or 0
+    return stored(join_copies(filed, shared, total).select("key", "rid", "n", "place", "part"), "members")
+
+
+def _long_enough(a: Column, b: Column, threshold: float) -> Column:
+    return F.least(a, b) >= F.greatest(a, b) * threshold - 1e-9
+
 
+def _candidates(members: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a signature they
+    are filed under, if their lengths and its places in them allow ``threshold``.
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Membership (doc_id, fingerprint) of all rows, and the pairs (a, b,
+    Sets of a signature's largest component are no partners of each other, so
+    the others alone are held against all.  Both sides are dealt into blocks:
+    no task holds more than ``block`` by ``block`` sets of one signature."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+    open_ = stored(sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("most"),
+        F.sum("size").alias("copies"), F.count("*").alias("components")).filter("components > 1").select(
+            "key", "main", "copies", F.ceil((F.col("copies") - F.col("most")) / block).alias("odd_blocks"),
+            F.ceil(F.col("copies") / block).alias("blocks")), "open-signatures")
+    rows = stored(join_copies(members, open_, members.count()), "open-members")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("rid"), F.col(n))
+    odd = rows.filter("component <> main").withColumn("odd_block", mine("odd_blocks")).withColumn(
+        "block", numbers("blocks")).withColumn("at", F.explode(F.array(*(F.col("part") + d for d in (-1, 0, 1)))))
+    every = rows.withColumn("block", mine("blocks")).withColumn("odd_block", numbers("odd_blocks")).withColumn(
+        "at", F.col("part"))
+    columns = ("key", "at", "block", "odd_block", "rid", "n", "place", "component")
+    x, y = odd.select(*columns).alias("x"), every.select(*columns).alias("y")
+    col = lambda side, name: F.col(f"{side}.{name}")
+    # in both orders alike: what comes before the shared signature, itself, and what comes after it
+    most = F.least(col("x", "place"), col("y", "place")) + F.least(
+        col("x", "n") - col("x", "place"), col("y", "n") - col("y", "place"))
+    pairs = x.join(y, [col("x", c) == col("y", c) for c in columns[:4]] + [
+        col("x", "component") != col("y", "component"), _long_enough(col("x", "n"), col("y", "n"), threshold),
+        most >= (col("x", "n") + col("y", "n")) * (threshold / (1 + threshold)) - 1e-9])
+    return pairs.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs (a, b) that reach ``threshold``, with their likeness;
+    ``sets`` holds rid and signatures.  A set of many pairs is broadcast."""
+    pairs = stored(pairs, "candidates")
+    total = pairs.count()
+    for side in ("a", "b"):
+        often = pairs.groupBy(F.col(side).alias("key")).agg(F.count("*").alias("copies"))
+        known = sets.select(F.col("rid").alias("key"), F.col("signatures").alias(f"{side}_set")).join(often, "key")
+        pairs = join_copies(pairs.withColumn("key", F.col(side)), known, total).drop("key", "copies")
+    return stored(pairs.select("a", "b", likeness(F.col("a_set"), F.col("b_set")).alias("likeness"))
+                  .filter(F.col("likeness") >= threshold), "links")
+
+
+def _of_members(signed: DataFrame, members: DataFrame) -> DataFrame:
+    ids = stored(members.select("rid").distinct(), "member-ids")
+    return stored(signed.join(ids, "rid", "left_semi").select("rid", "signatures"), "member-sets")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Membership (doc_id, fingerprint) of all rows, and all pairs (a, b,
     likeness) of different fingerprints with a likeness of ``threshold`` or more."""
-    signed = stored(fingerprints(docs), "signatures")
-    sets = signed.filter(F.size("signatures") > 0).groupBy("fingerprint").agg(F.first("signatures").alias("signatures"))
-    each = sets.select("fingerprint", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
-    often = each.groupBy("signature").agg(F.count("*").alias("often"))
-    ranked = each.join(often, "signature").withColumn("place", F.row_number().over(
-        Window.partitionBy("fingerprint").orderBy("often", "signature")))
-    # beyond this place a set's partner would share too little
-    filed = ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).select(
-        "signature", "fingerprint", "n", F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold))).alias("length_part"))
-    left = filed.withColumn("at", F.explode(F.array("length_part", F.col("length_part") + 1))).alias("l")
-    right = filed.withColumn("at", F.col("length_part")).alias("r")
-    pairs = left.join(right, [
-        F.col("l.signature") == F.col("r.signature"), F.col("l.at") == F.col("r.at"),
-        (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.fingerprint") < F.col("r.fingerprint"))),
-        F.col("l.n") >= F.col("r.n") * threshold - 1e-9,
-    ]).select(F.col("l.fingerprint").alias("a"), F.col("r.fingerprint").alias("b")).distinct()
-    known = lambda side: sets.select(F.col("fingerprint").alias(side), F.col("signatures").alias(f"{side}_set"))
-    compared = pairs.join(known("a"), "a").join(known("b"), "b") \
-        .withColumn("likeness", likeness(F.col("a_set"), F.col("b_set")))
-    return signed.select("doc_id", "fingerprint"), compared.filter(F.col("likeness") >= threshold).select("a", "b", "likeness")
+    signed = stored(fingerprints(docs).withColumn("rid", F.monotonically_increasing_id()), "signatures")
+    sets = _sets(signed, threshold)
+    members = _members(sets, threshold)
+    pairs = _verified(_candidates(members.withColumn("component", F.col("rid")), threshold, block),
+                      _of_members(signed, members), threshold)
+    name = lambda side: sets.select(F.col("rid").alias(side), F.col("fingerprint").alias(f"{side}_print"))
+    pairs = pairs.join(name("a"), "a").join(name("b"), "b").select(
+        F.least("a_print", "b_print").alias("a"), F.greatest("a_print", "b_print").alias("b"), "likeness")
+    return signed.select("doc_id", "fingerprint"), pairs
+
+
+def _components(sets: DataFrame, signed: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(node, component) of the sets (by rid) that any link of ``threshold`` connects.
+
+    First each set is compared with the first one of its length under each
+    signature, which joins most of a large group in linear work; then only sets
+    that are still apart are candidates of one another."""
+    members = _members(sets, threshold)
+    known = _of_members(signed, members)
+    keyed = members.withColumn("key", F.struct("key", "part"))
+    first = stored(keyed.groupBy("key").agg(
+        F.min(F.struct("rid", "n")).alias("first"), F.count("*").alias("copies")).filter("copies > 1"), "first-sets")
+    pairs = join_copies(keyed, first, members.count()).filter(
+        (F.col("rid") != F.col("first.rid")) & _long_enough(F.col("n"), F.col("first.n"), threshold)) \
+        .select(F.col("first.rid").alias("a"), F.col("rid").alias("b")).distinct()
+    near = _verified(pairs, known, threshold)
+    parts = stored(connected_components(near), "components")
+    apart = members.join(parts, F.col("rid") == F.col("node"), "left").select(
+        "key", "rid", "n", "place", "part", F.coalesce("component", "rid").alias("component"))
+    far = _verified(_candidates(stored(apart, "apart"), threshold, block), known, threshold)
+    return stored(connected_components(near.select("a", "b").union(far.select("a", "b"))), "components")
+
+
+def with_classes(signed: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """``signed`` (a stored table with doc_id, fingerprint, signatures, rid)
+    without its signatures, with near_class, the smallest doc_id that links of
+    ``threshold`` or more lead to (itself included), and near_rows, the
+    number of rows of that class.  Rows without signatures are one class."""
+    sets = _sets(signed, threshold)
+    parts = _components(sets, signed, threshold, block)
+    classes = stored(sets.join(parts, F.col("rid") == F.col("node"), "left").select(
+        "fingerprint", "copies", "low", F.coalesce("component", "rid").alias("key")), "classes")
+    whole = stored(classes.groupBy("key").agg(F.min("low").alias("near_class"), F.sum("copies").alias("near_rows"),
+                                              F.count("*").alias("copies")), "class-sizes")
+    per = stored(join_copies(classes.withColumnRenamed("copies", "rows"), whole, classes.count()).select(
+        F.col("fingerprint").alias("key"), F.col("rows").alias("copies"), "near_class", "near_rows"), "class-of")
+    rows = signed.drop("signatures", "rid").withColumn("key", F.col("fingerprint"))
+    return join_copies(rows, per, signed.count()).drop("key", "copies")

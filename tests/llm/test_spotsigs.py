@@ -1,11 +1,13 @@
 import hashlib
+import random
 import re
 
 import pytest
 from llm_docs import SF_SMALL, edge, make_docs, nothing  # noqa: F401
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import spotsigs as S
-from tallyhouse.llm.common import read_table
+from tallyhouse.llm.common import read_table, stored
 
 
 def signatures(text):
@@ -69,16 +71,66 @@ def test_plan_is_native(edge):  # noqa: F811
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_near_duplicates(spark, edge):  # noqa: F811
-    for docs in (edge, read_table(spark, SF_SMALL, "documents")):
-        members, pairs = S.near_duplicates(docs)
-        sets = {}
-        for r in docs.collect():
-            s = signatures(r.text)
-            if s:
-                sets[frozenset(s)] = s
-        names = {r.fingerprint: r.doc_id for r in members.collect()}
+def distinct_sets(docs):
+    found = {}
+    for r in docs.collect():
+        found.setdefault(frozenset(signatures(r.text)), []).append(r.doc_id)
+    return found
+
+
+def near_sets(sets):
+    some = [s for s in sets if s]
+    return [(a, b) for i, a in enumerate(some) for b in some[:i] if jaccard(a, b) >= 0.8]
+
+
+def varied(spark):
+    """Chains of near copies, whose ends are far apart, and a passage shared by many."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    text = lambda n: [x for _ in range(n) for x in ("the", word())]
+    rows, passage = [], text(12)
+    for group in range(6):
+        words = text(rng.choice([6, 20, 40]))
+        for _ in range(25):
+            words = list(words)
+            words[rng.randrange(len(words))] = word()
+            rows.append(" ".join(words))
+    rows += [" ".join(passage + text(rng.choice([1, 2, 3, 8]))) for _ in range(60)]
+    rng.shuffle(rows)
+    return make_docs(spark, [(i, t, "en", "a") for i, t in enumerate(rows + rows[:9])])
+
+
+@pytest.mark.parametrize("block", [3, S.BLOCK])
+def test_classes(spark, edge, block):  # noqa: F811
+    for docs in (edge, varied(spark), read_table(spark, SF_SMALL, "documents")):
+        sets = distinct_sets(docs)
+        root = {s: s for s in sets}
+
+        def top(s):
+            while root[s] != s:
+                s = root[s]
+            return s
+
+        links = near_sets(sets)
+        assert links
+        for a, b in links:
+            root[top(a)] = top(b)
+        ids = {}
+        for s, some in sets.items():
+            ids.setdefault(top(s), []).extend(some)
+        want = sorted(((repr(i), min((k for k in some if k is not None), default=None), len(some))
+                       for some in ids.values() for i in some), key=repr)
+        signed = stored(S.fingerprints(docs).withColumn("rid", F.monotonically_increasing_id()), "signed")
+        got = S.with_classes(signed, block=block)
+        assert sorted(((repr(r.doc_id), r.near_class, r.near_rows) for r in got.collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("block", [3, S.BLOCK])
+def test_near_duplicates(spark, edge, block):  # noqa: F811
+    for docs in (edge, varied(spark), read_table(spark, SF_SMALL, "documents")):
+        members, pairs = S.near_duplicates(docs, block=block)
+        names = {r.fingerprint for r in members.collect()}
         assert members.count() == docs.count()
-        want = sum(1 for i, a in enumerate(sets) for b in list(sets)[:i] if jaccard(a, b) >= 0.8)
         got = pairs.collect()
-        assert len(got) == want and all(r.a in names and r.b in names and r.likeness >= 0.8 for r in got)
+        assert len(got) == len({(r.a, r.b) for r in got}) == len(near_sets(distinct_sets(docs)))
+        assert all(r.a in names and r.b in names and r.likeness >= 0.8 for r in got)
