@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import join_copies, stored
+from tallyhouse.llm.common import join_copies, scratch, stored
 from tallyhouse.llm.components import connected_components
 
 CHAIN = 3
@@ -293,13 +293,14 @@ def with_classes(signed: DataFrame, threshold: float = THRESHOLD, block: int = B
     without its signatures, with near_class, the smallest doc_id that links of
     ``threshold`` or more lead to (itself included), and near_rows, the
     number of rows of that class.  Rows without signatures are one class."""
-    sets = _sets(signed, threshold)
-    parts = _components(sets, signed, threshold, block)
-    classes = stored(sets.join(parts, F.col("rid") == F.col("node"), "left").select(
-        "fingerprint", "copies", "low", F.coalesce("component", "rid").alias("key")), "classes")
-    whole = stored(classes.groupBy("key").agg(F.min("low").alias("near_class"), F.sum("copies").alias("near_rows"),
-                                              F.count("*").alias("copies")), "class-sizes")
-    per = stored(join_copies(classes.withColumnRenamed("copies", "rows"), whole, classes.count()).select(
-        F.col("fingerprint").alias("key"), F.col("rows").alias("copies"), "near_class", "near_rows"), "class-of")
+    with scratch(signed.sparkSession):          # all but the last table goes
+        sets = _sets(signed, threshold)
+        parts = _components(sets, signed, threshold, block)
+        classes = stored(sets.join(parts, F.col("rid") == F.col("node"), "left").select(
+            "fingerprint", "copies", "low", F.coalesce("component", "rid").alias("key")), "classes")
+        whole = stored(classes.groupBy("key").agg(F.min("low").alias("near_class"), F.sum("copies").alias("near_rows"),
+                                                  F.count("*").alias("copies")), "class-sizes")
+        per = stored(join_copies(classes.withColumnRenamed("copies", "rows"), whole, classes.count()).select(
+            F.col("fingerprint").alias("key"), F.col("rows").alias("copies"), "near_class", "near_rows"), "class-of")
     rows = signed.drop("signatures", "rid").withColumn("key", F.col("fingerprint"))
     return join_copies(rows, per, signed.count()).drop("key", "copies")
