@@ -111,18 +111,27 @@ class Aligner:
         same = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
         return np.array(a, "<u4"), np.array(b, "<u4"), same
 
+    def learn_alone(self, part: str) -> None:
+        a, b, same = self.encode(part)
+        self.of_a[part], self.of_b[part] = (a.tobytes(), b.tobytes()) if same else (None, None)
+
     def learn(self, parts: set[str]) -> None:
-        """Tokenise the chunks that are new, many in one go."""
+        """Tokenise the chunks that are new, many in one go.  Those that begin or
+        end a text with white space would join the next one's space: one by one."""
         if len(self.of_a) > CACHE_CHUNKS:
             self.of_a, self.of_b = {}, {}
-        new = [p for p in parts if p not in self.of_a]
-        for at in range(0, len(new), 128):
-            block = new[at:at + 128]
+        new, joined = [p for p in parts if p not in self.of_a], []
+        for p in new:
+            if self.chunked and not p[0].isspace() and not p[-1].isspace():
+                joined.append(p)
+            else:
+                self.learn_alone(p)
+        for at in range(0, len(joined), 128):
+            block = joined[at:at + 128]
             a, b, same = self.encode(" ".join(block))
             if not same:
                 for p in block:
-                    a, b, same = self.encode(p)
-                    self.of_a[p], self.of_b[p] = (a.tobytes(), b.tobytes()) if same else (None, None)
+                    self.learn_alone(p)
                 continue
             ends = np.cumsum([1 + len(p.encode("utf-8", "surrogatepass")) for p in block])
             for ids, lengths, known in ((a, self.a_lengths, self.of_a), (b, self.b_lengths, self.of_b)):

@@ -107,6 +107,18 @@ def test_chunks_equal_whole_texts(plain):
         assert dict(zip(found[5].tolist(), found[6].tolist())) == Counter(a << 32 | b for a, b in links)
 
 
+def test_a_chunk_tokenises_the_same_beside_others(plain):
+    """White space at a text's end is not tokenised with the next text's."""
+    aligner = C.Aligner(C.default_a(), C.default_b())
+    chunks = ["trail ", "word", "two  ", "  lead", "tab\t", "plain", " ", "x   ", "end"]
+    aligner.learn(chunks)
+    for text in chunks:
+        n_a, n_b, groups, links = align(plain(text))
+        [found] = aligner.align([text])
+        assert found[:4] == (n_a, n_b, len(groups), len(links)), repr(text)
+        assert found[4].decode() == ";".join(groups)
+
+
 def test_edges(spark, edge, nothing, plain):  # noqa: F811
     check(edge, plain)
     check(make_docs(spark, [(k, t, "en", "a") for k, t in enumerate(STRANGE * 2)]), plain)
