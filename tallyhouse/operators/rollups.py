@@ -7,9 +7,12 @@ then read the partials, not the fact.
 * ``employee_product``: per month, employee and product, the sums behind M1,
   M3-M5, M7 and the sales by month and country;
 * ``store``: per month and store, the sums behind M2, M6 and M8;
-* ``store_products``: per month and store, which products were sold, as bitmaps
-  of 32,768 keys each.  Distinct counts do not add up, but bitmaps unite;
-* ``month``: M1 counted once per order (an order's lines are in one month).
+* ``month``: M1 counted once per order (an order's lines are in one month);
+* ``store_product_words``: per month and store, which products were sold, a bit
+  per product in words of 64 neighbouring keys.  Distinct counts do not add up,
+  but bits unite.  A word is written only where a product was sold, so there are
+  no more words than the month's distinct (store, product) pairs, and their
+  aggregates spill.
 """
 
 from __future__ import annotations
@@ -19,13 +22,13 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import measures as M
 
-TABLES = ["employee_product", "store", "store_products", "month"]
+TABLES = ["employee_product", "store", "month", "store_product_words"]
 SCHEMAS = {
     "employee_product": "EmployeeKey int, ProductKey int, _lines decimal(38,4), _qty decimal(20,0), "
                         "_due decimal(38,4), _units bigint, _n bigint, RunMonth string",
     "store": "StoreKey int, due decimal(38,4), n_lines bigint, RunMonth string",
-    "store_products": "StoreKey int, bucket bigint, products binary, RunMonth string",
     "month": "total_sales_header decimal(38,4), RunMonth string",
+    "store_product_words": "StoreKey int, word bigint, products bigint, RunMonth string",
 }
 
 
@@ -38,20 +41,20 @@ def store(fact: DataFrame) -> DataFrame:
         F.sum(M.money("TotalDue")).cast(M.MONEY).alias("due"), F.count(F.lit(1)).alias("n_lines"))
 
 
-def store_products(fact: DataFrame) -> DataFrame:
-    return fact.where("ProductKey IS NOT NULL").groupBy(
-        "RunMonth", "StoreKey", F.bitmap_bucket_number("ProductKey").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("ProductKey")).alias("products"))
-
-
 def month(fact: DataFrame) -> DataFrame:
     return M.total_sales_header(fact)
 
 
+def store_product_words(fact: DataFrame) -> DataFrame:
+    return fact.where("ProductKey IS NOT NULL").groupBy(
+        "RunMonth", "StoreKey", F.shiftright(F.col("ProductKey").cast("bigint"), 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(ProductKey & 63 AS int))")).alias("products"))
+
+
 def partials(fact: DataFrame) -> dict[str, DataFrame]:
     """Every partial table of the given fact rows."""
     return {"employee_product": employee_product(fact), "store": store(fact),
-            "store_products": store_products(fact), "month": month(fact)}
+            "month": month(fact), "store_product_words": store_product_words(fact)}
 
 
 # ------------------------------------------------------ measures from partials
@@ -95,9 +98,9 @@ def store_compliance_bands(p: dict, dim_store: DataFrame) -> DataFrame:
 
 
 def store_diversity(p: dict, dim_store: DataFrame) -> DataFrame:
-    """M8: the months' bitmaps of a store united, then counted."""
-    united = p["store_products"].groupBy("StoreKey", "bucket").agg(F.bitmap_or_agg("products").alias("products"))
-    distinct = united.groupBy("StoreKey").agg(F.sum(F.bitmap_count("products")).alias("n_products"))
+    """M8: the months' words of a store united, then their bits counted."""
+    united = p["store_product_words"].groupBy("StoreKey", "word").agg(F.bit_or("products").alias("products"))
+    distinct = united.groupBy("StoreKey").agg(F.sum(F.bit_count("products").cast("bigint")).alias("n_products"))
     sales = p["store"].groupBy("StoreKey").agg(F.sum("due").cast(M.MONEY).alias("total_sales"),
                                                F.sum("n_lines").alias("n_lines"))
     d = distinct.withColumnRenamed("StoreKey", "_dk")

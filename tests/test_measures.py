@@ -74,3 +74,20 @@ def test_land_csv_replaces_bad_bytes(spark, scratch):
     assert B.land_csv(spark, src, os.path.join(scratch, "out")) == 1
     name = B.read_bronze(spark, "stores", os.path.join(scratch, "out"), row_id=False).first()["StoreName"]
     assert name.startswith("Caf") and "�" in name
+
+
+def test_store_diversity_from_words_that_spill(spark):
+    """The months' product sets unite to the distinct counts, in words of a few
+    bytes each that an aggregate with fixed-width buffers makes."""
+    from tallyhouse.operators import rollups as R
+    rows = [("2011-05", 1, p, s, 1, 1.0, 1.0) for s, keys in
+            {1: [1, 63, 64, 65, 40000, 2147483647], 2: [-1, -64, -65, 0, 7], 3: [None], None: [5, 6]}.items() for p in keys]
+    rows += [("2011-06", *r[1:]) for r in rows if r[2] in (64, -1, 0, 5)] + [("2011-06", 1, 8, 2, 1, 1.0, 1.0)]
+    f = fact(spark, rows)
+    st = spark.createDataFrame([(1, "s"), (3, "t")], "StoreKey int, StoreName string")
+    assert sorted(map(str, R.store_diversity(R.partials(f), st).collect())) == \
+        sorted(map(str, M.store_diversity(f, st).collect()))
+    assert {r["StoreKey"]: r["n_products"] for r in R.store_diversity(R.partials(f), st).collect()} == \
+        {1: 6, 2: 6, 3: 0, None: 2}
+    plan = R.store_diversity(R.partials(f), st)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
