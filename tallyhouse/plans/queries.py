@@ -118,17 +118,20 @@ def q_ingest_month_filter(spark, sf):
 
 def _mixed_date_text():
     """The order date written in the five shapes the cascade must read, chosen
-    per row; some with a time part or surrounding blanks."""
-    d = X.parse_mdy("OrderDate")
-    k = (F.col("SalesOrderDetailID").cast("int") + F.dayofmonth(d)) % 7
-    return (F.when(d.isNull(), F.col("OrderDate"))
-            .when(k == 0, F.date_format(d, "yyyy-MM-dd"))
-            .when(k == 1, F.concat(F.date_format(d, "yyyy/MM/dd"), F.lit(" 10:00:00")))
-            .when(k == 2, F.date_format(d, "dd-MM-yyyy"))
-            .when(k == 3, F.concat(F.lit(" "), F.date_format(d, "MM/dd/yyyy"), F.lit("T08:00")))
-            .when(k == 4, F.date_format(d, "MM-dd-yyyy"))
-            .when(k == 5, F.date_format(d, "M-d-yyyy"))
-            .otherwise(F.col("OrderDate")))
+    per row; some with a time part or surrounding blanks.  A function of the
+    parsed date (array of one), so that a row's date is parsed once, wherever
+    the text is used."""
+    def written(d):
+        k = (F.col("SalesOrderDetailID").cast("int") + F.dayofmonth(d)) % 7
+        return (F.when(d.isNull(), F.col("OrderDate"))
+                .when(k == 0, F.date_format(d, "yyyy-MM-dd"))
+                .when(k == 1, F.concat(F.date_format(d, "yyyy/MM/dd"), F.lit(" 10:00:00")))
+                .when(k == 2, F.date_format(d, "dd-MM-yyyy"))
+                .when(k == 3, F.concat(F.lit(" "), F.date_format(d, "MM/dd/yyyy"), F.lit("T08:00")))
+                .when(k == 4, F.date_format(d, "MM-dd-yyyy"))
+                .when(k == 5, F.date_format(d, "M-d-yyyy"))
+                .otherwise(F.col("OrderDate")))
+    return F.transform(F.array(X.parse_mdy("OrderDate")), written)[0]
 
 
 @register("backfill_months")
