@@ -395,7 +395,7 @@ def q_classify_keys(spark, sf):
 @register("v_sales")
 def q_v_sales(spark, sf):
     d = _direct_dims(spark, sf)
-    return V.v_sales(_fact(spark, sf), d["customer"], d["employee"], d["store"], d["product"])
+    return V.v_sales(_fact(spark, sf), d["customer"], d["employee"], d["store"], d["product"], counted=True)
 
 
 @register("v_dim_store")

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dq import file_row_id
+from tallyhouse.operators.views import broadcast_if_small
 
 RID = "_rid"
 
@@ -47,7 +48,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # lines and orders both grow with the data: a sort-merge join, whatever the
     # size at hand (never a broadcast of the orders)
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
-    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    su = broadcast_if_small(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(su, li.l_suppkey == su.s_suppkey)
 
     k = F.col("l_orderkey") * 7 + F.col("l_linenumber")

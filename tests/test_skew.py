@@ -109,6 +109,34 @@ def test_store_join_dropped_only_when_keys_unique(spark):
     assert V.v_sales(fact, cu, em, dup, pr).count() > 3000      # duplicates fan out
 
 
+def test_small_dimensions_shuffle_no_fact(spark, monkeypatch):
+    """Employees and store keys that are queries of their own are counted and
+    broadcast; the joins that shuffle the fact come before their texts are on it."""
+    fact = _fact(spark, 3000)
+    cu = spark.range(500).select(F.col("id").cast("int").alias("CustomerKey"), F.lit("c").alias("FullName"))
+    em = spark.range(25).select(F.col("id").cast("int").alias("EmployeeKey"), F.lit("e").alias("FullName"),
+                                F.lit("t").alias("JobTitle"), F.lit("x").alias("Territory"),
+                                F.lit("y").alias("Country"))
+    pr = spark.range(200).select(F.col("id").cast("int").alias("ProductKey"), F.lit("p").alias("ProductName"),
+                                 F.lit("m").alias("ModelName"), F.lit("s").alias("SubCategoryName"),
+                                 F.lit("c").alias("CategoryName"))
+    st = spark.range(100).unionByName(spark.range(5)).select(F.col("id").cast("int").alias("StoreKey"))
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plans = [V.v_sales(fact, cu, em, st, pr, counted=c) for c in (False, True)]
+        shown = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+        rows = [sorted(map(str, p.collect())) for p in plans]
+        monkeypatch.setattr(V, "SMALL_VALUES", 99)
+        large = V.broadcast_if_small(st)._jdf.queryExecution().optimizedPlan().toString()
+        few = V.broadcast_if_small(st.where("StoreKey < 50"))
+        assert "broadcast" in few._jdf.queryExecution().analyzed().toString()
+    assert rows[0] == rows[1] and len(rows[0]) > 3000
+    assert "broadcast" not in large
+    assert [t.count("SortMergeJoin") for t in shown] == [4, 2] and shown[1].count("BroadcastHashJoin") == 2
+    for t in shown:
+        wide = [t.index(f"[{k}") for k in ("StoreKey#", "EmployeeKey#", "ProductKey#", "CustomerKey#")]
+        assert wide == sorted(wide)         # the plan's last join stands first
+
+
 def test_feed_join_never_broadcasts_the_orders(spark):
     from conftest import SF_SMALL
     from tallyhouse.sources import fixtures as FX
