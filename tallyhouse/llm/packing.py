@@ -38,7 +38,7 @@ ship_by_value(__name__)
 MAX_TOKENS = 4096
 END_ID = 1
 SHARD_PIECES = 4096      # pieces packed together in one group
-CACHE_WORDS = 500_000    # per worker and kind; further words are tokenised anew each time
+CACHE_WORDS = 1 << 17    # per worker, which keeps them while idle; further words are tokenised anew each time
 
 
 def default_tokenizer() -> str:
@@ -76,32 +76,23 @@ def _byte_names() -> dict[int, int]:
     return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
 
 
-class _Words(dict):
-    """Lower-case pre-token -> its ids as little-endian unsigned 32-bit bytes."""
+class _Chunks(dict):
+    """White-space delimited lower-case chunk, or one of its pre-tokens (a chunk
+    of itself alone) -> its ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.model = tokenizer.model
         self.names = _byte_names()
-
-    def __missing__(self, word):
-        named = word if word.isascii() else word.encode().decode("latin-1").translate(self.names)
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(named)])
-        if len(self) < CACHE_WORDS:
-            self[word] = ids
-        return ids
-
-
-class _Chunks(dict):
-    """White-space delimited chunk -> the ids of its pre-tokens."""
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.word = _Words(tokenizer).__getitem__
         self.split = re.compile(_SPLIT).findall
 
     def __missing__(self, chunk):
-        ids = self.word(chunk) if chunk.isalpha() else b"".join(map(self.word, self.split(chunk)))
+        words = [chunk] if chunk.isalpha() else self.split(chunk)
+        if words == [chunk]:
+            named = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.names)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(named)])
+        else:
+            ids = b"".join(map(self.__getitem__, words))
         if len(self) < CACHE_WORDS:
             self[chunk] = ids
         return ids

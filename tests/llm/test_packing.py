@@ -90,3 +90,19 @@ def test_other_tokenizers_take_whole_texts():
     t = Tokenizer.from_file(other)
     for text in ["Plain words Here", "two  spaces\nand lines", ""]:
         assert P.token_bytes(text, other) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_remembered_chunks_are_few_and_right_when_full(monkeypatch):
+    """One bounded store for chunks and their pre-tokens, as idle workers keep it."""
+    from tokenizers import Tokenizer
+
+    from tallyhouse.llm import packing as P
+    monkeypatch.setattr(P, "CACHE_WORDS", 6)
+    t = Tokenizer.from_file(P.default_tokenizer())
+    chunks = P._Chunks(t)
+    for text in ["don't stop", "a,b;c", "x1y22", "'s", "''s", "...", "naïve café", "we'll've"] * 2:
+        got = b"".join(chunks[c] for c in text.lower().split())
+        assert got == b"".join(i.to_bytes(4, "little") for i in t.encode(text, add_special_tokens=False).ids), text
+    assert len(chunks) == 6
+    assert not any(isinstance(getattr(v, "__self__", v), dict) and len(getattr(v, "__self__", v)) == 6
+                   for k, v in vars(chunks).items() if k != "names")     # no second store beside it
