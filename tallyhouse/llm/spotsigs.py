@@ -11,10 +11,12 @@ p - j content words before it; so chains are slices of the content words, and
 a text takes linear time.
 
 Likeness is the Jaccard coefficient of two sets (1 for two empty ones).
-Different sets are partitioned by length so that only neighbouring partitions
-can reach a threshold, filed under their rarest signatures only as far as the
-threshold allows (a pair beyond shares none of them), pruned by bounds on the
-lengths and on the places of the shared signature, and compared exactly.
+Different sets are partitioned by length, so that only sets of one or of
+neighbouring lengths that can reach a threshold meet, and each set by the first
+bits of its signatures.  It is filed under what its parts hold, the rarest parts
+first and only as many as the threshold allows to differ (a pair beyond shares
+none of them).  Pairs are pruned by bounds on the lengths and on parity bits of
+the sets, and compared exactly.
 ``with_classes`` finds the classes that all links at the threshold connect,
 ``near_duplicates`` the pairs themselves.
 
@@ -26,6 +28,7 @@ rows; a single document is its own next document; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +38,11 @@ from tallyhouse.llm.components import connected_components
 
 CHAIN = 3
 THRESHOLD = 0.8
-BUCKETS = 1 << 16  # of signatures, whose counts the driver gets
-BLOCK = 4096       # sets of one signature that a task holds against as many
+BUCKETS = 1 << 18  # of parts' contents, by which the frequent ones are told
+FREQUENT = 2048    # of these buckets at most, that the driver gets
+BLOCK = 4096       # sets of one key that a task holds against as many
+PIVOTS = 32        # sets of a key's main component, and of its others, that each other set is held against
+BITS = 256         # parities of a set's signatures, a power of 2
 # fixed values: common words of English, German, French and Spanish
 ANCHORS = """
 a an and are as at be but by can for from had has have he his i if in is it not of on or our she that the their they
@@ -160,77 +166,160 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     return with_classes(stored(signed, "signatures"))
 
 
-def _levels(signed: DataFrame) -> bytes:
-    """How often signatures occur, as one byte for each of ``BUCKETS`` buckets
-    that they fall into (so the driver gets at most that many counts)."""
-    each = signed.select(F.explode("signatures").alias("signature")).select(
-        F.pmod("signature", F.lit(BUCKETS)).cast("int").alias("bucket"))
-    levels = bytearray(BUCKETS)
-    for r in each.groupBy("bucket").count().collect():
-        levels[r["bucket"]] = min(255, int(6 * math.log2(1 + r["count"])))
-    return bytes(levels)
+def _most_apart(n: Column, threshold: float) -> Column:
+    """In how many signatures a set of ``n`` and its partners differ at most."""
+    return F.floor((n + F.floor(n / threshold + 1e-9)) * ((1 - threshold) / (1 + threshold)) + 1e-9).cast("int")
 
 
-def _sets(signed: DataFrame, threshold: float) -> DataFrame:
-    """One row per fingerprint: fingerprint, n, filed, rid, copies, low.
-
-    ``filed`` are its rarest signatures, as many as a set that shares none of
-    them must lack to be below ``threshold``.  Any order that all sets share
-    will do, so counts by bucket are enough."""
-    levels = F.lit(_levels(signed))
-    ranked = F.array_sort(F.transform("signatures", lambda s: F.struct(
-        F.substring(levels, F.pmod(s, F.lit(BUCKETS)).cast("int") + 1, 1).alias("level"), s.alias("signature"))))
+def _tokens(df: DataFrame, scale: str, where: str, name: str) -> DataFrame:
+    """Add columns ``name``_starts and ``name``: where the parts of column
+    ``ordered`` (sorted signatures) begin, and (size, key) of what each part
+    that has signatures holds; both empty but ``where`` the row is filed at
+    this scale.  A part has the signatures of equal first ``scale`` bits."""
+    starts = f"{name}_starts"
+    df = df.withColumn(starts, F.expr(
+        f"if({where}, filter(transform(ordered, (v, i) -> if(i = 0 or shiftrightunsigned(v, 64 - {scale}) <> "
+        f"shiftrightunsigned(get(ordered, i - 1), 64 - {scale}), i, -1)), i -> i >= 0), array())"))
+    return df.withColumn(name, F.expr(
+        f"transform(arrays_zip({starts}, slice({starts}, 2, size({starts}))), t -> named_struct("
+        f"'size', coalesce(t['1'], size(ordered)) - t['{starts}'], 'key', xxhash64({scale}, slice(ordered, t['{starts}'] + 1, "
+        f"coalesce(t['1'], size(ordered)) - t['{starts}']))))"))
+
+
+def _in_parts(signed: DataFrame, threshold: float) -> DataFrame:
+    """Add n, apart and, for both scales, what the parts of each set hold; sets
+    that no other set can reach are filed at none."""
     n = F.size("signatures")
-    rarest = F.slice(ranked, 1, (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
-    short = signed.select("fingerprint", n.alias("n"), F.transform(rarest, lambda r: r["signature"]).alias("filed"),
-                          "rid", "doc_id")
-    return stored(short.groupBy("fingerprint", "n", "filed").agg(
+    rows = signed.withColumns({"n": n, "apart": _most_apart(n, threshold)})
+    rows = rows.withColumns({
+        "ordered": F.sort_array("signatures"), "scale": F.length(F.bin("n")) - 1, "above": F.length(F.bin("n")),
+        "both": (F.col("apart") > 0) & (F.floor(F.col("n") / threshold + 1e-9) >= F.expr("shiftleft(1, length(bin(n)))"))})
+    return _tokens(_tokens(rows, "scale", "apart > 0", "tokens"), "above", "both", "tokens_above")
+
+
+def _frequent(parted: DataFrame) -> list[list[int]]:
+    """Of the ``BUCKETS`` buckets that the keys of parts' contents fall into, up to
+    ``FREQUENT`` that hold far more than most do, in groups from the fullest on."""
+    each = parted.select(F.explode(F.concat("tokens", "tokens_above")).alias("token")).select(
+        F.pmod("token.key", F.lit(BUCKETS)).alias("bucket"))
+    counts = stored(each.groupBy("bucket").count(), "buckets")
+    usual = (counts.agg(F.sum("count")).first()[0] or 0) / BUCKETS
+    full = [r["bucket"] for r in counts.filter(F.col("count") > usual + 4 * math.sqrt(usual) + 4).orderBy(
+        F.desc("count"), "bucket").limit(FREQUENT).collect()]
+    return [some for some in (full[:FREQUENT // 64], full[FREQUENT // 64:FREQUENT // 8], full[FREQUENT // 8:]) if some]
+
+
+def _filed(name: str, scale: str, frequent: list[list[int]]) -> Column:
+    """Keys of the ``apart`` + 1 parts whose contents are the rarest: what is frequent
+    comes late, what is larger before that, empty parts last."""
+    level = " ".join(f"when pmod(t.key, {BUCKETS}) in ({', '.join(map(str, some))}) then {len(frequent) - k}"
+                     for k, some in enumerate(frequent))
+    level = f"case {level} else 0 end" if frequent else "0"
+    keys = (f"transform(slice(sort_array(transform({name}, t -> named_struct('level', {level}, 'less', -t.size, "
+            f"'key', t.key))), 1, apart + 1), r -> r.key)")
+    empty = (f"transform(slice(array_except(sequence(0L, shiftleft(1L, {scale}) - 1), transform({name}_starts, "
+             f"i -> shiftrightunsigned(get(ordered, i), 64 - {scale}))), 1, apart + 1 - size({name})), "
+             f"p -> xxhash64({scale}, p))")
+    return F.expr(f"concat({keys}, if(size({name}) > apart, array(), {empty}))")
+
+
+def _sets(signed: DataFrame, threshold: float) -> DataFrame:
+    """One row per fingerprint: fingerprint, filed, rid, copies, low.
+
+    A set's signatures fall into 2^scale parts by their first bits.  Sets that
+    differ in at most d signatures differ in at most d parts; so in any order
+    of all contents of parts that both share, the first d + 1 parts of one and
+    the other have one in common.  ``filed`` are these, the rarest first.
+    Any order that all sets share will do, so counts by bucket are enough."""
+    parted = _in_parts(signed, threshold)
+    frequent = _frequent(parted)
+    none = F.array().cast("array<bigint>")
+    filed = F.concat(F.when(F.col("apart") > 0, _filed("tokens", "scale", frequent)).otherwise(none),
+                     F.when(F.col("both"), _filed("tokens_above", "above", frequent)).otherwise(none))
+    short = parted.select("fingerprint", filed.alias("filed"), "rid", "doc_id")
+    return stored(short.groupBy("fingerprint", "filed").agg(
         F.min("rid").alias("rid"), F.count("*").alias("copies"), F.min("doc_id").alias("low")), "sets")
 
 
-def _members(sets: DataFrame, threshold: float) -> DataFrame:
-    """The sets under each signature that more than one set is filed under:
-    key (the signature), rid, n, place, part (of the lengths)."""
-    filed = sets.filter("n > 0").select("rid", "n", F.posexplode("filed").alias("place", "key"), F.floor(
-        F.log(F.col("n")) / F.log(F.lit(1 / threshold)) + 1e-9).alias("part"))
+def _members(sets: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sets under each key that more than one set is filed under (key, rid,
+    n, bits), and these sets once each (rid, signatures, n, bits).
+
+    ``bits`` are BITS parities of the signatures: two sets differ in no more of
+    them than in signatures."""
+    filed = sets.select(F.explode("filed").alias("key"), "rid")
     shared = stored(filed.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1"), "shared")
     total = shared.agg(F.sum("copies")).first()[0] or 0
-    return stored(join_copies(filed, shared, total).select("key", "rid", "n", "place", "part"), "members")
+    some = stored(join_copies(filed, shared, total).select("key", "rid"), "shared-keys")
+    bits = F.array(*(F.expr(f"aggregate(signatures, 0L, (a, v) -> a ^ if((v & {BITS // 64 - 1}) = {k}, "
+                            "shiftleft(1L, cast((v >> 8) & 63 as int)), 0L))") for k in range(BITS // 64)))
+    known = stored(signed.join(some.select("rid").distinct(), "rid", "left_semi").select(
+        "rid", "signatures", F.size("signatures").alias("n"), bits.alias("bits")), "member-sets")
+    return stored(some.join(known.select("rid", "n", "bits"), "rid"), "members"), known
 
 
-def _long_enough(a: Column, b: Column, threshold: float) -> Column:
-    return F.least(a, b) >= F.greatest(a, b) * threshold - 1e-9
+def _differ(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """In how many of their bits two sets differ."""
+    return sum((F.bit_count(F.get(x("bits"), F.lit(k)).bitwiseXOR(F.get(y("bits"), F.lit(k))))
+                for k in range(BITS // 64)), F.lit(0))
 
 
-def _candidates(members: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Pairs (a, b) of sets of different components that share a signature they
-    are filed under, if their lengths and its places in them allow ``threshold``.
+def _may_link(x: Callable[[str], Column], y: Callable[[str], Column], threshold: float) -> Column:
+    """Whether n and bits of two sets allow ``threshold``."""
+    return (F.least(x("n"), y("n")) >= F.greatest(x("n"), y("n")) * threshold - 1e-9) & (
+        _differ(x, y) <= (x("n") + y("n")) * ((1 - threshold) / (1 + threshold)) + 1e-9)
 
-    Sets of a signature's largest component are no partners of each other, so
-    the others alone are held against all.  Both sides are dealt into blocks:
-    no task holds more than ``block`` by ``block`` sets of one signature."""
+
+def _of(side: str) -> Callable[[str], Column]:
+    return lambda name: F.col(f"{side}.{name}")
+
+
+def _open(members: DataFrame, block: int) -> DataFrame:
+    """The members of keys that hold several components, with the largest one
+    (main), and in how many blocks its sets and those of the others fit."""
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
-    open_ = stored(sizes.groupBy("key").agg(
+    keys = stored(sizes.groupBy("key").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("most"),
         F.sum("size").alias("copies"), F.count("*").alias("components")).filter("components > 1").select(
             "key", "main", "copies", F.ceil((F.col("copies") - F.col("most")) / block).alias("odd_blocks"),
-            F.ceil(F.col("copies") / block).alias("blocks")), "open-signatures")
-    rows = stored(join_copies(members, open_, members.count()), "open-members")
+            F.ceil(F.col("copies") / block).alias("blocks")), "open-keys")
+    return stored(join_copies(members, keys, members.count()), "open-members")
+
+
+def _nearest(rows: DataFrame, threshold: float) -> DataFrame:
+    """A pair (a, b) for each set outside its key's main component that may link
+    to a pivot of another component: the pivot whose bits are the nearest."""
+    order = F.xxhash64("rid", "key")
+    one = rows.groupBy("key", (F.col("component") == F.col("main")).alias("in_main"),
+                       F.pmod(order, F.lit(PIVOTS)).alias("slot")).agg(
+        F.min(F.struct(order.alias("order"), "rid", "n", "bits", "component")).alias("pivot"), F.count("*").alias("copies"))
+    pivots = stored(one.groupBy("key").agg(
+        F.collect_list("pivot").alias("pivots"), F.sum("copies").alias("copies")), "pivots")
+    odd = rows.filter("component <> main").select("key", "rid", "n", "bits", "component")
+    likely = F.filter("pivots", lambda p: (p["component"] != F.col("component")) & _may_link(
+        F.col, p.__getitem__, threshold))
+    found = join_copies(odd, pivots, rows.count()).select("rid", F.array_min(F.transform(likely, lambda p: F.struct(
+        (_differ(F.col, p.__getitem__) / (F.col("n") + p["n"])).alias("apart"), p["rid"].alias("rid")))).alias("pivot"))
+    return found.filter("pivot IS NOT NULL").groupBy("rid").agg(F.min("pivot").alias("pivot")).select(
+        F.col("pivot.rid").alias("a"), F.col("rid").alias("b"))
+
+
+def _candidates(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of sets of different components that share a key they are
+    filed under, if their lengths and bits allow ``threshold``.
+
+    Sets of a key's largest component are no partners of each other, so
+    the others alone are held against all.  Both sides are dealt into blocks:
+    no task holds more than a block by a block of sets of one key."""
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("rid"), F.col(n))
     odd = rows.filter("component <> main").withColumn("odd_block", mine("odd_blocks")).withColumn(
-        "block", numbers("blocks")).withColumn("at", F.explode(F.array(*(F.col("part") + d for d in (-1, 0, 1)))))
-    every = rows.withColumn("block", mine("blocks")).withColumn("odd_block", numbers("odd_blocks")).withColumn(
-        "at", F.col("part"))
-    columns = ("key", "at", "block", "odd_block", "rid", "n", "place", "component")
+        "block", numbers("blocks"))
+    every = rows.withColumn("block", mine("blocks")).withColumn("odd_block", numbers("odd_blocks"))
+    columns = ("key", "block", "odd_block", "rid", "n", "bits", "component")
     x, y = odd.select(*columns).alias("x"), every.select(*columns).alias("y")
-    col = lambda side, name: F.col(f"{side}.{name}")
-    # in both orders alike: what comes before the shared signature, itself, and what comes after it
-    most = F.least(col("x", "place"), col("y", "place")) + F.least(
-        col("x", "n") - col("x", "place"), col("y", "n") - col("y", "place"))
-    pairs = x.join(y, [col("x", c) == col("y", c) for c in columns[:4]] + [
-        col("x", "component") != col("y", "component"), _long_enough(col("x", "n"), col("y", "n"), threshold),
-        most >= (col("x", "n") + col("y", "n")) * (threshold / (1 + threshold)) - 1e-9])
+    pairs = x.join(y, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in columns[:3]] + [
+        F.col("x.component") != F.col("y.component"), _may_link(_of("x"), _of("y"), threshold)])
     return pairs.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
 
 
@@ -247,19 +336,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                   .filter(F.col("likeness") >= threshold), "links")
 
 
-def _of_members(signed: DataFrame, members: DataFrame) -> DataFrame:
-    ids = stored(members.select("rid").distinct(), "member-ids")
-    return stored(signed.join(ids, "rid", "left_semi").select("rid", "signatures"), "member-sets")
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Membership (doc_id, fingerprint) of all rows, and all pairs (a, b,
     likeness) of different fingerprints with a likeness of ``threshold`` or more."""
     signed = stored(fingerprints(docs).withColumn("rid", F.monotonically_increasing_id()), "signatures")
     sets = _sets(signed, threshold)
-    members = _members(sets, threshold)
-    pairs = _verified(_candidates(members.withColumn("component", F.col("rid")), threshold, block),
-                      _of_members(signed, members), threshold)
+    members, known = _members(sets, signed)
+    pairs = _verified(_candidates(_open(members.withColumn("component", F.col("rid")), block), threshold), known, threshold)
     name = lambda side: sets.select(F.col("rid").alias(side), F.col("fingerprint").alias(f"{side}_print"))
     pairs = pairs.join(name("a"), "a").join(name("b"), "b").select(
         F.least("a_print", "b_print").alias("a"), F.greatest("a_print", "b_print").alias("b"), "likeness")
@@ -269,23 +352,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, block: int =
 def _components(sets: DataFrame, signed: DataFrame, threshold: float, block: int) -> DataFrame:
     """(node, component) of the sets (by rid) that any link of ``threshold`` connects.
 
-    First each set is compared with the first one of its length under each
-    signature, which joins most of a large group in linear work; then only sets
-    that are still apart are candidates of one another."""
-    members = _members(sets, threshold)
-    known = _of_members(signed, members)
-    keyed = members.withColumn("key", F.struct("key", "part"))
-    first = stored(keyed.groupBy("key").agg(
-        F.min(F.struct("rid", "n")).alias("first"), F.count("*").alias("copies")).filter("copies > 1"), "first-sets")
-    pairs = join_copies(keyed, first, members.count()).filter(
-        (F.col("rid") != F.col("first.rid")) & _long_enough(F.col("n"), F.col("first.n"), threshold)) \
+    First each set is compared with the first one under each of its keys, which
+    joins most of a large group in linear work, and each that is still apart with
+    its nearest pivot; then only sets still apart are candidates of one another."""
+    members, known = _members(sets, signed)
+    first = stored(members.groupBy("key").agg(
+        F.min(F.struct("rid", "n", "bits")).alias("first"), F.count("*").alias("copies")), "first-sets")
+    pairs = join_copies(members.withColumn("own", F.struct("rid", "n", "bits")), first, members.count()).filter(
+        (F.col("rid") != F.col("first.rid")) & _may_link(_of("own"), _of("first"), threshold)) \
         .select(F.col("first.rid").alias("a"), F.col("rid").alias("b")).distinct()
     near = _verified(pairs, known, threshold)
-    parts = stored(connected_components(near), "components")
-    apart = members.join(parts, F.col("rid") == F.col("node"), "left").select(
-        "key", "rid", "n", "place", "part", F.coalesce("component", "rid").alias("component"))
-    far = _verified(_candidates(stored(apart, "apart"), threshold, block), known, threshold)
-    return stored(connected_components(near.select("a", "b").union(far.select("a", "b"))), "components")
+    links = near.select("a", "b")
+
+    def apart() -> DataFrame:
+        parts = stored(connected_components(links), "components")
+        return _open(stored(members.join(parts, F.col("rid") == F.col("node"), "left").select(
+            "key", "rid", "n", "bits", F.coalesce("component", "rid").alias("component")), "apart"), block)
+
+    links = links.union(_verified(_nearest(apart(), threshold), known, threshold).select("a", "b"))
+    links = links.union(_verified(_candidates(apart(), threshold), known, threshold).select("a", "b"))
+    return stored(connected_components(links), "components")
 
 
 def with_classes(signed: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:

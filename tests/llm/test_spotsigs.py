@@ -134,3 +134,28 @@ def test_near_duplicates(spark, edge, block):  # noqa: F811
         got = pairs.collect()
         assert len(got) == len({(r.a, r.b) for r in got}) == len(near_sets(distinct_sets(docs)))
         assert all(r.a in names and r.b in names and r.likeness >= 0.8 for r in got)
+
+
+def test_candidates_of_a_large_group(spark, monkeypatch):
+    """Copies of one text that all differ too much are no candidates of one another, not a square of pairs."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=7))
+    base, rows = [x for _ in range(60) for x in ("the", word())], []
+    for _ in range(300):
+        words = list(base)
+        for at in rng.sample(range(1, 120, 2), 2):
+            words[at] = word()
+        rows.append(" ".join(words))
+    docs = make_docs(spark, [(i, t, "en", "a") for i, t in enumerate(rows)])
+    made, keep = [], S.stored
+
+    def counted(df, name):
+        table = keep(df, name)
+        if name == "candidates":
+            made.append(table.count())
+        return table
+
+    monkeypatch.setattr(S, "stored", counted)
+    signed = keep(S.fingerprints(docs).withColumn("rid", F.monotonically_increasing_id()), "signed")
+    assert S.with_classes(signed).count() == 300
+    assert made and sum(made) <= 10 * 300
