@@ -33,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import join_copies, scratch, stored
+from tallyhouse.llm.common import hot_keys, join_copies, scratch, stored
 from tallyhouse.llm.components import connected_components
 
 CHAIN = 3
@@ -250,7 +250,7 @@ def _members(sets: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     filed = sets.select(F.explode("filed").alias("key"), "rid")
     shared = stored(filed.groupBy("key").agg(F.count("*").alias("copies")).filter("copies > 1"), "shared")
     total = shared.agg(F.sum("copies")).first()[0] or 0
-    some = stored(join_copies(filed, shared, total).select("key", "rid"), "shared-keys")
+    some = stored(join_copies(filed, shared, total, hot_keys(shared, total)).select("key", "rid"), "shared-keys")
     bits = F.array(*(F.expr(f"aggregate(signatures, 0L, (a, v) -> a ^ if((v & {BITS // 64 - 1}) = {k}, "
                             "shiftleft(1L, cast((v >> 8) & 63 as int)), 0L))") for k in range(BITS // 64)))
     known = stored(signed.join(some.select("rid").distinct(), "rid", "left_semi").select(
@@ -283,7 +283,8 @@ def _open(members: DataFrame, block: int) -> DataFrame:
         F.sum("size").alias("copies"), F.count("*").alias("components")).filter("components > 1").select(
             "key", "main", "copies", F.ceil((F.col("copies") - F.col("most")) / block).alias("odd_blocks"),
             F.ceil(F.col("copies") / block).alias("blocks")), "open-keys")
-    return stored(join_copies(members, keys, members.count()), "open-members")
+    total = members.count()
+    return stored(join_copies(members, keys, total, hot_keys(keys, total)), "open-members")
 
 
 def _nearest(rows: DataFrame, threshold: float) -> DataFrame:
@@ -298,7 +299,8 @@ def _nearest(rows: DataFrame, threshold: float) -> DataFrame:
     odd = rows.filter("component <> main").select("key", "rid", "n", "bits", "component")
     likely = F.filter("pivots", lambda p: (p["component"] != F.col("component")) & _may_link(
         F.col, p.__getitem__, threshold))
-    found = join_copies(odd, pivots, rows.count()).select("rid", F.array_min(F.transform(likely, lambda p: F.struct(
+    total = rows.count()
+    found = join_copies(odd, pivots, total, hot_keys(pivots, total)).select("rid", F.array_min(F.transform(likely, lambda p: F.struct(
         (_differ(F.col, p.__getitem__) / (F.col("n") + p["n"])).alias("apart"), p["rid"].alias("rid")))).alias("pivot"))
     return found.filter("pivot IS NOT NULL").groupBy("rid").agg(F.min("pivot").alias("pivot")).select(
         F.col("pivot.rid").alias("a"), F.col("rid").alias("b"))
@@ -326,12 +328,12 @@ def _candidates(rows: DataFrame, threshold: float) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Those of the pairs (a, b) that reach ``threshold``, with their likeness;
     ``sets`` holds rid and signatures.  A set of many pairs is broadcast."""
-    pairs = stored(pairs, "candidates")
+    pairs = candidates = stored(pairs, "candidates")
     total = pairs.count()
     for side in ("a", "b"):
-        often = pairs.groupBy(F.col(side).alias("key")).agg(F.count("*").alias("copies"))
+        often = candidates.groupBy(F.col(side).alias("key")).agg(F.count("*").alias("copies"))
         known = sets.select(F.col("rid").alias("key"), F.col("signatures").alias(f"{side}_set")).join(often, "key")
-        pairs = join_copies(pairs.withColumn("key", F.col(side)), known, total).drop("key", "copies")
+        pairs = join_copies(pairs.withColumn("key", F.col(side)), known, total, hot_keys(often, total)).drop("key", "copies")
     return stored(pairs.select("a", "b", likeness(F.col("a_set"), F.col("b_set")).alias("likeness"))
                   .filter(F.col("likeness") >= threshold), "links")
 
@@ -358,7 +360,8 @@ def _components(sets: DataFrame, signed: DataFrame, threshold: float, block: int
     members, known = _members(sets, signed)
     first = stored(members.groupBy("key").agg(
         F.min(F.struct("rid", "n", "bits")).alias("first"), F.count("*").alias("copies")), "first-sets")
-    pairs = join_copies(members.withColumn("own", F.struct("rid", "n", "bits")), first, members.count()).filter(
+    total = members.count()
+    pairs = join_copies(members.withColumn("own", F.struct("rid", "n", "bits")), first, total, hot_keys(first, total)).filter(
         (F.col("rid") != F.col("first.rid")) & _may_link(_of("own"), _of("first"), threshold)) \
         .select(F.col("first.rid").alias("a"), F.col("rid").alias("b")).distinct()
     near = _verified(pairs, known, threshold)
@@ -384,9 +387,11 @@ def with_classes(signed: DataFrame, threshold: float = THRESHOLD, block: int = B
         parts = _components(sets, signed, threshold, block)
         classes = stored(sets.join(parts, F.col("rid") == F.col("node"), "left").select(
             "fingerprint", "copies", "low", F.coalesce("component", "rid").alias("key")), "classes")
+        total = classes.count()
         whole = stored(classes.groupBy("key").agg(F.min("low").alias("near_class"), F.sum("copies").alias("near_rows"),
                                                   F.count("*").alias("copies")), "class-sizes")
-        per = stored(join_copies(classes.withColumnRenamed("copies", "rows"), whole, classes.count()).select(
+        per = stored(join_copies(classes.withColumnRenamed("copies", "rows"), whole, total, hot_keys(whole, total)).select(
             F.col("fingerprint").alias("key"), F.col("rows").alias("copies"), "near_class", "near_rows"), "class-of")
     rows = signed.drop("signatures", "rid").withColumn("key", F.col("fingerprint"))
-    return join_copies(rows, per, signed.count()).drop("key", "copies")
+    total = signed.count()
+    return join_copies(rows, per, total, hot_keys(per, total)).drop("key", "copies")

@@ -159,3 +159,33 @@ def test_candidates_of_a_large_group(spark, monkeypatch):
     signed = keep(S.fingerprints(docs).withColumn("rid", F.monotonically_increasing_id()), "signed")
     assert S.with_classes(signed).count() == 300
     assert made and sum(made) <= 10 * 300
+
+
+def test_members_of_frequent_keys(spark, monkeypatch):
+    """What is filed under frequent keys is told by these keys, not by joins that all that is filed runs through."""
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=7))
+    base = [x for _ in range(40) for x in ("the", word())]
+    rows = [" ".join(base + ["the", word()]) for _ in range(200)]
+    rows += [" ".join(x for _ in range(20) for x in ("the", word())) for _ in range(100)]
+    docs = make_docs(spark, [(i, t, "en", "a") for i, t in enumerate(rows)])
+    plans, keep = [], S.stored
+
+    def planned(df, name):
+        if name == "shared-keys":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, name)
+
+    monkeypatch.setattr(S, "stored", planned)
+    signed = keep(S.fingerprints(docs).withColumn("rid", F.monotonically_increasing_id()), "signed")
+    sets = S._sets(signed, S.THRESHOLD)
+    members, known = S._members(sets, signed)
+    assert len(plans) == 1 and "LeftAnti" not in plans[0]
+    filed = [(k, r.rid) for r in sets.collect() for k in r.filed]
+    sharing = {}
+    for k, rid in filed:
+        sharing.setdefault(k, []).append(rid)
+    want = sorted((k, rid) for k, rid in filed if len(sharing[k]) > 1)
+    assert 0 < len(want) < len(filed)
+    assert sorted((r.key, r.rid) for r in members.collect()) == want
+    assert sorted(r.rid for r in known.collect()) == sorted({rid for _, rid in want})
