@@ -223,7 +223,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     prints = stored(fingerprints(docs, shingle), "prints")
-    parts = stored(connected_components(links(prints, max_bits)), "components")
+    parts = connected_components(links(prints, max_bits))
     lowest = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low"), F.count("*").alias("documents"))
     classes = stored(lowest.join(parts, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "low", "documents", F.coalesce("component", "fingerprint").alias("key")), "classes")
@@ -241,7 +241,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.xxhash64("text").alias("hash"))
     groups = near_duplicates(docs.select(key.alias("doc_id"), "text"), shingle, max_bits)
     kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
-    # repeated rows become one before anything is shuffled
-    rows = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    # repeated rows become one before anything is shuffled; with the key in the type it was stored in (all fields
+    # nullable), the join takes the rows as they were shuffled for that, else it casts and shuffles them again
+    rows = docs.select(key.cast(kept.schema["key"].dataType).alias("key"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     once = rows.groupBy("key").agg(F.first("row").alias("row"))
     return once.join(kept, "key", "left_semi").select("row.*")
